@@ -15,4 +15,4 @@ def run(spark: SparkSession, file_paths: Mapping[str, str], output: SinkSpec,
     """Read all sources (lazily), write ``write_key``'s frame, return read-back counts."""
     frames = read_registry(spark, file_paths)
     write_counted(frames[write_key], output)
-    return verify_readback(spark, [output])
+    return verify_readback(spark, {write_key: output})

@@ -1 +1,323 @@
-"""Checks of sources, sinks and whole flows."""
+"""Checks of sources, sinks and whole flows (round trips through the shared scratch area).
+
+Every check writes derived data of the given tables to a fresh folder under
+``spark.checkpoint.dir`` and reads it back with the operator under test.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.operators import quality
+from strata.plans import copy as copy_flow
+from strata.plans import inputs, patients, patients_roles, places, study, trains, trips
+from strata.plans.layout import LayerLayout
+from strata.queries import register
+from strata.queries.core import DQ_RESULTS_SQL
+from strata.queries.domains import PATIENTS_A_CTE, PATIENTS_B_CTE, TRIPS_CTE, _RUNNING_DAYS_SQL
+from strata.queries.sqlhelp import PATIENTS_RAW, PLACES_CTE, STUDY_RAW, TRAINS_BRONZE, TRAINS_CTE, TRIPS_RAW
+from strata.session import scratch_path
+from strata.sources import readers, sinks
+
+# Text formats that keep microseconds through CSV and JSON.
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return inputs.table(spark, sf, name)
+
+
+def land_csv(spark: SparkSession, df: DataFrame, name: str, header: bool = True) -> str:
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").option("header", str(header).lower()).option("timestampNTZFormat", TS_FORMAT) \
+        .option("timestampFormat", TS_FORMAT).option("ignoreLeadingWhiteSpace", "false") \
+        .option("ignoreTrailingWhiteSpace", "false").csv(path)
+    return path
+
+
+def cast_like(df: DataFrame, like: DataFrame) -> DataFrame:
+    """Cast a read-back frame to the types of the frame that was written."""
+    return df.select(*[F.col(c).cast(t).alias(c) for c, t in like.dtypes])
+
+
+# ------------------------------------------------------------------ scans
+
+@register("scan_generic", "SELECT * FROM nation")
+def scan_generic(spark, sf):
+    path = land_csv(spark, T(spark, sf, "nation"), "nation-csv")
+    return readers.read_file(spark, path, "csv", header="true", inferSchema="true")
+
+
+@register("scan_registry", """SELECT 'csv' AS source_format, count(*) AS row_count, count(DISTINCT r_name) AS names FROM region
+UNION ALL SELECT 'json', count(*), count(DISTINCT r_name) FROM region
+UNION ALL SELECT 'parquet', count(*), count(DISTINCT r_name) FROM region""")
+def scan_registry(spark, sf):
+    region = T(spark, sf, "region")
+    root = scratch_path(spark, "registry")
+    paths = {fmt: f"{root}/{fmt}" for fmt in ("csv", "json", "parquet")}
+    region.write.option("header", "true").csv(paths["csv"])
+    region.write.json(paths["json"])
+    region.write.parquet(paths["parquet"])
+    frames = readers.read_registry(spark, paths)
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("r_name").alias("names"))
+             .select(F.lit(fmt).alias("source_format"), "row_count", "names") for fmt, df in frames.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("scan_csv_infer", TRIPS_RAW)
+def scan_csv_infer(spark, sf):
+    raw = inputs.trips_raw(spark, sf)
+    path = land_csv(spark, raw, "trips-csv")
+    read = spark.read.option("header", "true").option("inferSchema", "true") \
+        .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT).csv(path)
+    return cast_like(read, raw)
+
+
+_NEWLINE_NAME = "CASE WHEN \"Room Number\" % 97 = 0 THEN concat(\"Name\", chr(10), 'jr') ELSE \"Name\" END"
+
+
+@register("scan_csv_multiline", f"SELECT * REPLACE ({_NEWLINE_NAME} AS \"Name\") FROM ({PATIENTS_RAW})")
+def scan_csv_multiline(spark, sf):
+    raw = inputs.patients_raw(spark, sf).withColumn("Name", F.expr(_NEWLINE_NAME.replace('"', '`')))
+    path = land_csv(spark, raw, "patients-csv")
+    read = readers.read_csv(spark, path, infer=True, multiline=True)
+    return cast_like(read, raw)
+
+
+@register("scan_csv_schema", STUDY_RAW)
+def scan_csv_schema(spark, sf):
+    path = land_csv(spark, inputs.study_raw(spark, sf), "study-csv")
+    return readers.read_csv(spark, path, schema=study.STUDY_SCHEMA)
+
+
+@register("scan_csv_strings", "SELECT cast(n_nationkey AS VARCHAR) AS n_nationkey, n_name, "
+                              "cast(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+def scan_csv_strings(spark, sf):
+    path = land_csv(spark, T(spark, sf, "nation"), "nation-strings")
+    return readers.read_csv(spark, path)
+
+
+def _land_trains_json(spark, sf) -> str:
+    path = scratch_path(spark, "trains-json")
+    sinks.write_json_documents(inputs.trains_raw(spark, sf), path)
+    return path
+
+
+@register("scan_json_multiline", TRAINS_BRONZE)
+def scan_json_multiline(spark, sf):
+    raw = readers.read_json(spark, _land_trains_json(spark, sf), multiline=True)
+    return trains.bronze_stops(raw)
+
+
+@register("scan_json_lines", "SELECT * FROM events")
+def scan_json_lines(spark, sf):
+    events = T(spark, sf, "events")
+    path = scratch_path(spark, "events-json")
+    events.write.option("timestampNTZFormat", TS_FORMAT).json(path)
+    return cast_like(readers.read_json(spark, path), events)
+
+
+@register("scan_parquet", "SELECT * FROM orders")
+def scan_parquet(spark, sf):
+    return readers.read_source(spark, readers.SourceSpec(f"{sf.rstrip('/')}/orders.parquet"))
+
+
+@register("scan_layer_path", "SELECT * FROM customer")
+def scan_layer_path(spark, sf):
+    spec = LayerLayout(scratch_path(spark, "layers")).spec("bronze", "customer")
+    sinks.write_target(T(spark, sf, "customer"), spec)
+    return readers.read_layer(spark, spec.target)
+
+
+def _scratch_schema(spark: SparkSession) -> str:
+    name = f"strata_scratch_{uuid.uuid4().hex[:10]}"
+    sinks.ensure_schemas(spark, [name], location_root=scratch_path(spark, "catalog"), comment="scratch tables")
+    return name
+
+
+@register("scan_table", "SELECT * FROM customer")
+def scan_table(spark, sf):
+    fqn = f"{_scratch_schema(spark)}.customer"
+    sinks.write_target(T(spark, sf, "customer"), sinks.SinkSpec(fqn, "table"))
+    return readers.read_source(spark, readers.SourceSpec(fqn, "table"))
+
+
+@register("scan_values", f"{DQ_RESULTS_SQL} SELECT * FROM results")
+def scan_values(spark, sf):
+    results = quality.run_rules(inputs.trips_raw(spark, sf), trips.dq_rules())
+    rows = results.collect()  # one row per rule: bounded by the rule list, not by the data
+    return spark.createDataFrame(rows, results.schema)
+
+
+_TRAINS_STACK_SQL = """
+SELECT day_name, SUM(runs) AS train_count, CAST(ROUND(SUM(runs) * 100.0 / COUNT(*), 2) AS DOUBLE) AS pct_of_trains
+FROM (SELECT trainNumber, STACK(7, 'MON', MON, 'TUE', TUE, 'WED', WED, 'THU', THU, 'FRI', FRI, 'SAT', SAT,
+                                'SUN', SUN) AS (day_name, runs)
+      FROM {view})
+GROUP BY day_name
+ORDER BY CASE day_name WHEN 'MON' THEN 1 WHEN 'TUE' THEN 2 WHEN 'WED' THEN 3 WHEN 'THU' THEN 4
+                       WHEN 'FRI' THEN 5 WHEN 'SAT' THEN 6 WHEN 'SUN' THEN 7 END"""
+
+
+@register("sql_view", _RUNNING_DAYS_SQL)
+def sql_view(spark, sf):
+    raw = inputs.trains_raw(spark, sf)
+    silver, _ = trains.split_stops(trains.silver_stops(trains.bronze_stops(raw)))
+    return spark.sql(_TRAINS_STACK_SQL, view=trains.trains_days(silver))
+
+
+@register("file_inventory")
+def file_inventory(spark, sf):
+    path = scratch_path(spark, "inventory")
+    T(spark, sf, "supplier").repartition(3).write.parquet(path)
+    inv = readers.file_inventory(spark, path, glob="*.parquet")
+    return inv.agg(F.count(F.lit(1)).alias("files"), (F.sum("length") > 0).alias("has_bytes"))
+
+
+# ------------------------------------------------------------------ sinks
+
+@register("sink_file", "SELECT * FROM supplier")
+def sink_file(spark, sf):
+    path = scratch_path(spark, "sink-file")
+    sinks.write_file(T(spark, sf, "supplier"), path)
+    return readers.read_file(spark, path, sinks.DEFAULT_OUTPUT["format"])
+
+
+@register("sink_layer", "SELECT * FROM region")
+def sink_layer(spark, sf):
+    spec = LayerLayout(scratch_path(spark, "sink-layer")).spec("gold", "region")
+    sinks.write_target(T(spark, sf, "region"), spec)
+    sinks.write_target(T(spark, sf, "region"), spec)  # overwrite is idempotent
+    return readers.read_layer(spark, spec.target)
+
+
+@register("sink_table", "SELECT * FROM supplier")
+def sink_table(spark, sf):
+    spec = sinks.SinkSpec(f"{_scratch_schema(spark)}.supplier", "table")
+    sinks.write_target(T(spark, sf, "supplier").select("s_suppkey"), spec)
+    sinks.write_target(T(spark, sf, "supplier"), spec)  # overwrite replaces the schema
+    return sinks.read_target(spark, spec)
+
+
+@register("gold_write_all", """SELECT 'status_totals' AS name, count(DISTINCT o_orderstatus) AS row_count FROM orders
+UNION ALL SELECT 'priority_totals', count(DISTINCT o_orderpriority) FROM orders""")
+def gold_write_all(spark, sf):
+    o = T(spark, sf, "orders")
+    layout = LayerLayout(scratch_path(spark, "gold-all"))
+    out = sinks.write_all(spark, {
+        "status_totals": (o.groupBy("o_orderstatus").count(), layout.spec("gold", "status_totals")),
+        "priority_totals": (o.groupBy("o_orderpriority").count(), layout.spec("gold", "priority_totals")),
+        "not_built": (None, layout.spec("gold", "not_built")),
+    })
+    return out.select("name", "row_count")
+
+
+@register("verify_readback", """SELECT 'region' AS name, count(*) AS row_count FROM region
+UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'orders', count(*) FROM orders""")
+def verify_readback(spark, sf):
+    layout = LayerLayout(scratch_path(spark, "readback"))
+    specs = {n: layout.spec("bronze", n) for n in ("region", "nation", "orders")}
+    for n, spec in specs.items():
+        sinks.write_counted(T(spark, sf, n), spec)
+    return sinks.verify_readback(spark, specs).select("name", "row_count")
+
+
+@register("ensure_schemas")
+def ensure_schemas(spark, sf):
+    names = [f"strata_{layer}_{uuid.uuid4().hex[:8]}" for layer in ("bronze", "silver", "gold")]
+    sinks.ensure_schemas(spark, names, location_root=scratch_path(spark, "schemas"), comment="layer schema")
+    sinks.ensure_schemas(spark, names, location_root=scratch_path(spark, "schemas"))  # idempotent
+    listed = {d.name for d in spark.catalog.listDatabases()}
+    return spark.createDataFrame([(n.split("_")[1], n in listed) for n in names], "layer string, exists boolean")
+
+
+@register("describe_schema")
+def describe_schema(spark, sf):
+    return sinks.describe_schema(spark, T(spark, sf, "lineitem"))
+
+
+# ------------------------------------------------------------------ whole flows
+
+
+def _report_sql(cte: str, entries: list[tuple[str, str, str]], baseline: str) -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS row_count, 'OK' AS status FROM ({q})"
+        for layer, table, q in entries)
+    return (f"{cte}, report AS ({parts}) SELECT *, round(cast(row_count AS double) * 100 / "
+            f"(SELECT count(*) FROM ({baseline})), 1) AS retention_pct FROM report")
+
+
+_TRAINS_DAYS = "SELECT DISTINCT trainNumber FROM trains_silver"
+
+
+@register("medallion_trains", _report_sql(TRAINS_CTE, [
+    ("bronze", "stops", "SELECT * FROM trains_bronze"), ("silver", "stops", "SELECT * FROM trains_silver"),
+    ("quarantine", "stops", "SELECT * FROM trains_silver_all EXCEPT ALL SELECT * FROM trains_silver"),
+    ("gold", "route_summary", "SELECT DISTINCT trainNumber, trainName, route, origin, destination FROM trains_silver"),
+    ("gold", "station_frequency", "SELECT DISTINCT station_name, station_code FROM trains_silver"),
+    ("gold", "running_days", "SELECT * FROM (VALUES (1),(2),(3),(4),(5),(6),(7)) WHERE EXISTS (" + _TRAINS_DAYS + ")"),
+], "SELECT * FROM trains_bronze"))
+def medallion_trains(spark, sf):
+    return trains.run(spark, _land_trains_json(spark, sf), LayerLayout(scratch_path(spark, "trains")))
+
+
+@register("medallion_places", _report_sql(PLACES_CTE, [
+    ("bronze", "places", "SELECT * FROM places_raw"), ("silver", "places", "SELECT * FROM places_silver"),
+    ("quarantine", "places", "SELECT * FROM places_silver_all EXCEPT ALL SELECT * FROM places_silver"),
+    ("gold", "country_summary", "SELECT DISTINCT country FROM places_silver"),
+    ("gold", "category_distribution", "SELECT DISTINCT categories FROM places_silver WHERE categories <> ''"),
+    ("gold", "city_density", "SELECT DISTINCT city, state, country FROM places_silver WHERE city <> ''"),
+], "SELECT * FROM places_raw"))
+def medallion_places(spark, sf):
+    return places.run(spark, inputs.places_raw(spark, sf), LayerLayout(scratch_path(spark, "places")))
+
+
+@register("medallion_patients", _report_sql(PATIENTS_B_CTE, [
+    ("bronze", "patients", "SELECT * FROM bronze"), ("silver", "patients", "SELECT * FROM silver"),
+    ("gold", "condition_summary", "SELECT DISTINCT medical_condition FROM silver"),
+    ("gold", "admission_summary", "SELECT DISTINCT admission_type, insurance_provider FROM silver"),
+    ("gold", "hospital_performance", "SELECT DISTINCT hospital FROM silver"),
+], "SELECT * FROM bronze"))
+def medallion_patients(spark, sf):
+    path = land_csv(spark, inputs.patients_raw(spark, sf), "patients-b")
+    return patients.run(spark, path, LayerLayout(scratch_path(spark, "patients")))
+
+
+@register("medallion_patients_roles", _report_sql(PATIENTS_A_CTE, [
+    ("bronze", "patients_raw", "SELECT * FROM raw"), ("silver", "patients_cleaned", "SELECT * FROM silver"),
+    ("gold", "condition_analytics", "SELECT DISTINCT \"Medical Condition\" FROM silver"),
+    ("gold", "hospital_metrics", "SELECT DISTINCT \"Hospital\" FROM silver"),
+    ("gold", "insurer_revenue", "SELECT DISTINCT \"Insurance Provider\" FROM silver"),
+    ("gold", "demographics", "SELECT DISTINCT age_group, \"Gender\" FROM silver"),
+], "SELECT * FROM raw"))
+def medallion_patients_roles(spark, sf):
+    path = land_csv(spark, inputs.patients_raw(spark, sf), "patients-a")
+    return patients_roles.run(spark, path, LayerLayout(scratch_path(spark, "patients-roles")))
+
+
+@register("medallion_trips", _report_sql(TRIPS_CTE, [
+    ("source", "trips", "SELECT * FROM raw"), ("bronze", "trips", "SELECT * FROM raw"),
+    ("quarantine", "trips", "SELECT * FROM raw EXCEPT ALL SELECT * FROM clean"),
+    ("silver", "trips", "SELECT * FROM silver"),
+    ("gold", "daily", "SELECT DISTINCT pickup_date FROM silver"),
+    ("gold", "hourly", "SELECT DISTINCT pickup_hour FROM silver"),
+    ("gold", "top_locations", "SELECT DISTINCT 'p', PULocationID FROM silver UNION ALL "
+                              "SELECT DISTINCT 'd', DOLocationID FROM silver"),
+], "SELECT * FROM raw"))
+def medallion_trips(spark, sf):
+    path = land_csv(spark, inputs.trips_raw(spark, sf), "trips-landing")
+    return trips.run(spark, path, LayerLayout(scratch_path(spark, "trips")))
+
+
+@register("medallion_copy", "SELECT 'parquet' AS name, count(*) AS row_count FROM lineitem")
+def medallion_copy(spark, sf):
+    root = scratch_path(spark, "copy-src")
+    T(spark, sf, "nation").write.option("header", "true").csv(f"{root}/csv")
+    T(spark, sf, "region").write.json(f"{root}/json")
+    T(spark, sf, "lineitem").write.parquet(f"{root}/parquet")
+    paths = {"csv": f"{root}/csv", "json": f"{root}/json", "parquet": f"{root}/parquet"}
+    out = sinks.SinkSpec(scratch_path(spark, "copy-out"))
+    return copy_flow.run(spark, paths, out).select("name", "row_count")

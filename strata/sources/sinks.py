@@ -66,21 +66,40 @@ def read_target(spark: SparkSession, spec: SinkSpec) -> DataFrame:
 
 
 def write_all(spark: SparkSession, outputs: Mapping[str, tuple[DataFrame | None, SinkSpec]]) -> DataFrame:
-    """Write each built output, skip unbuilt (None) ones; return ``target, row_count``."""
-    rows = [(spec.target, write_counted(df, spec)) for name, (df, spec) in outputs.items() if df is not None]
-    return spark.createDataFrame(rows, "target string, row_count bigint")
+    """Write each built output, skip unbuilt (None) ones; return ``name, target, row_count``.
+
+    The counts are observed during the writes (one job per output, none extra).
+    """
+    rows = [(name, spec.target, write_counted(df, spec)) for name, (df, spec) in outputs.items() if df is not None]
+    return spark.createDataFrame(rows, "name string, target string, row_count bigint")
 
 
-def verify_readback(spark: SparkSession, specs: Sequence[SinkSpec]) -> DataFrame:
-    """Count each written target by reading it back; one job for all targets."""
+def verify_readback(spark: SparkSession, specs: Mapping[str, SinkSpec] | Sequence[SinkSpec]) -> DataFrame:
+    """Count each written target by reading it back: ``name, target, row_count``, one job."""
+    named = specs.items() if isinstance(specs, Mapping) else [(s.target, s) for s in specs]
     parts = [read_target(spark, s).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(s.target).alias("target"), "row_count") for s in specs]
+             .select(F.lit(n).alias("name"), F.lit(s.target).alias("target"), "row_count") for n, s in named]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def write_json_documents(df: DataFrame, path: str, records_per_file: int = 1000) -> None:
+    """Write multi-line JSON: files that each hold one JSON array of records.
+
+    Rows are spread round-robin over ``ceil(rows / records_per_file)`` groups,
+    so every document is bounded by ``records_per_file`` whatever the key
+    distribution; each group is written to its own file.
+    """
+    groups = max(1, -(-df.count() // records_per_file))
+    docs = (
+        df.repartition(groups).withColumn("_doc", F.spark_partition_id())
+        .groupBy("_doc").agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    )
+    docs.write.mode("overwrite").partitionBy("_doc").text(path)
+
+
 def ensure_schemas(spark: SparkSession, names: Sequence[str], location_root: str | None = None,
                    comment: str | None = None) -> None:
     """``CREATE SCHEMA IF NOT EXISTS`` for each name (optionally under a shared location)."""
