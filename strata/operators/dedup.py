@@ -20,12 +20,18 @@ def dedup_top1(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def dedup_hash(df: DataFrame, hash_col: str = "_row_hash") -> DataFrame:
+def dedup_hash(df: DataFrame, hash_col: str = "_row_hash", whole_row: bool = False) -> DataFrame:
     """Remove exact duplicates identified by a row hash.
 
-    Planned as an aggregate keyed by the hash with a map-side partial step,
-    so a group of many copies collapses before the shuffle.
+    Both forms aggregate with a map-side partial step, so a group of many
+    copies collapses before the shuffle. ``whole_row=True`` states that the
+    hash covers every other column of ``df`` (copies are equal rows): the
+    dedup is then a keys-only hash aggregate over the row. Otherwise one
+    arbitrary row per hash is kept, which carries the other columns through
+    ``first`` and plans a sort-based aggregate.
     """
+    if whole_row:
+        return df.dropDuplicates()
     return df.dropDuplicates([hash_col])
 
 

@@ -50,16 +50,27 @@ STOP_COLUMNS = {
 }
 
 
+MAX_STOPS_PER_RECORD = 64
+
+
 def trains_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested record per order: weekday struct and the array of its line items as stops.
 
     Orders without line items get a null route (they vanish on explode). An
-    order has at most seven line items, so each collected array is bounded.
+    order with more than ``MAX_STOPS_PER_RECORD`` line items is listed as
+    several records of the same train, spread by a row id, so no collected
+    array grows with the data even when one order holds a large share of all
+    line items (the flow treats repeated trains as one).
     """
+    li = table(spark, sf_dir, "lineitem")
+    sizes = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
+    chunk = F.when(F.col("_n") > MAX_STOPS_PER_RECORD,
+                   F.pmod(F.monotonically_increasing_id(), F.ceil(F.col("_n") / MAX_STOPS_PER_RECORD)))
     stops = (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", F.struct(*[F.expr(e).alias(n) for n, e in STOP_COLUMNS.items()]).alias("stop"))
-        .groupBy("l_orderkey").agg(F.sort_array(F.collect_list("stop")).alias("trainRoute"))
+        li.join(sizes, "l_orderkey")
+        .select("l_orderkey", F.coalesce(chunk, F.lit(0)).alias("_chunk"),
+                F.struct(*[F.expr(e).alias(n) for n, e in STOP_COLUMNS.items()]).alias("stop"))
+        .groupBy("l_orderkey", "_chunk").agg(F.sort_array(F.collect_list("stop")).alias("trainRoute"))
     )
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",

@@ -49,7 +49,14 @@ def _first(df: DataFrame, *must: str) -> str | None:
 
 
 def silver_patients(bronze: DataFrame) -> DataFrame:
-    df = trim_all_strings(dedup_hash(bronze, "_row_hash"))
+    """Hash dedup → trims → role standardisation → stay, age and billing buckets → audit.
+
+    The bronze lineage columns are dropped before the dedup: they are batch
+    constants, and without them the hash covers the whole row, so copies are
+    removed by a keys-only hash aggregate.
+    """
+    deduped = dedup_hash(bronze.drop("_ingested_at", "_source_file"), "_row_hash", whole_row=True)
+    df = trim_all_strings(deduped)
     roles = resolve_roles(df, ROLE_RULES)
     df = role_transform(df, roles, ["proper", "upper", "date", "double", "int"])
     derived = {}
@@ -64,7 +71,7 @@ def silver_patients(bronze: DataFrame) -> DataFrame:
         derived["billing_category"] = bucketize(billing, BILLING_BUCKETS, BILLING_TOP)
     derived["_silver_processed_at"] = F.current_timestamp()
     df = surrogate_id(df.withColumns(derived), "_silver_record_id")
-    return df.drop("_ingested_at", "_source_file", "_row_hash")
+    return df.drop("_row_hash")
 
 
 def _measures(df: DataFrame, count_name: str, with_age: bool, with_min_max: bool,

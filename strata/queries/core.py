@@ -457,7 +457,7 @@ _DUP_COLS = ["o_custkey", "o_orderstatus", "o_orderpriority"]
 @register("dedup_hash", f"SELECT DISTINCT {', '.join(_DUP_COLS)}, {row_hash(_DUP_COLS)} AS _row_hash FROM orders")
 def dedup_hash(spark, sf):
     hashed = bronze.with_row_hash(T(spark, sf, "orders").select(*_DUP_COLS), _DUP_COLS)
-    return dedup.dedup_hash(hashed, "_row_hash")
+    return dedup.dedup_hash(hashed, "_row_hash", whole_row=True)
 
 
 @register("dedup_key", """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
