@@ -328,6 +328,16 @@ def filter_non_negative(spark, sf):
     return keep_non_negative(T(spark, sf, "customer"), "c_acctbal")
 
 
+@register("non_negative_report", """SELECT count(*) AS input_rows, cast(count_if(c_acctbal >= 0) AS BIGINT) AS kept_rows,
+  cast(count_if(c_acctbal < 0) AS BIGINT) AS negative_rows, cast(count_if(c_acctbal IS NULL) AS BIGINT) AS null_rows
+FROM (SELECT CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal, c_custkey FROM customer)""")
+def non_negative_report(spark, sf):
+    from strata.plans.patients import non_negative_report as report
+    c = T(spark, sf, "customer").withColumn(
+        "c_acctbal", F.when(F.col("c_custkey") % 13 != 0, F.col("c_acctbal")))
+    return report(c, "c_acctbal")
+
+
 # ------------------------------------------------------------------ data quality (trips rules)
 
 _RULE_CONDITIONS = [
@@ -408,6 +418,14 @@ def reconcile(spark, sf):
     return quality.reconcile(inputs.trips_raw(spark, sf), [r.bad for r in trips.critical_rules()])
 
 
+@register("reconcile_outputs", f"""SELECT count(*) AS input_rows, cast(count_if(NOT {_TRIPS_BAD}) AS BIGINT) AS clean_rows,
+  cast(count_if({_TRIPS_BAD}) AS BIGINT) AS quarantine_rows, true AS balanced FROM ({TRIPS_RAW})""")
+def reconcile_outputs(spark, sf):
+    raw = inputs.trips_raw(spark, sf)
+    good, bad = trips.split_trips(raw)
+    return quality.reconcile_outputs(raw, good, bad)
+
+
 _LI_NULLS = {
     "l_orderkey": "l_orderkey",
     "l_tax": "CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_tax END",
@@ -485,6 +503,17 @@ def agg_basic(spark, sf):
         gold.Measure("sum_price", "sum", "l_extendedprice", decimal_scale=2)])
 
 
+@register("agg_global", f"""SELECT count(*) AS line_count, {sum_exact('l_extendedprice', 2)} AS total_price,
+  {avg_exact('l_discount', 2, 4)} AS avg_discount, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship,
+  count(DISTINCT l_returnflag) AS flags FROM lineitem""")
+def agg_global(spark, sf):
+    return gold.global_summary(T(spark, sf, "lineitem"), [
+        gold.Measure("line_count", "count"), gold.Measure("total_price", "sum", "l_extendedprice", decimal_scale=2),
+        gold.Measure("avg_discount", "avg", "l_discount", round=4, decimal_scale=2),
+        gold.Measure("first_ship", "min", "l_shipdate"), gold.Measure("last_ship", "max", "l_shipdate"),
+        gold.Measure("flags", "count_distinct", "l_returnflag")])
+
+
 @register("agg_count_distinct", """SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers,
   count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY l_returnflag""")
 def agg_count_distinct(spark, sf):

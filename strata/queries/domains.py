@@ -28,6 +28,16 @@ def flatten_nested(spark, sf):
     return trains.bronze_stops(inputs.trains_raw(spark, sf))
 
 
+_NO_STOPS = ("SELECT " + TRAINS_BRONZE.split("SELECT ", 1)[1].split(", " + inputs.STOP_COLUMNS["sno"])[0]
+             + ", NULL AS stop_number, NULL AS station_name, NULL AS arrives, NULL AS departs, NULL AS day, "
+               "NULL AS distance FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
+
+
+@register("flatten_nested_outer", f"{TRAINS_BRONZE} UNION ALL {_NO_STOPS}")
+def flatten_nested_outer(spark, sf):
+    return trains.bronze_stops(inputs.trains_raw(spark, sf), keep_empty=True)
+
+
 @register("silver_stops", f"{TRAINS_CTE} SELECT * FROM trains_silver")
 def silver_stops(spark, sf):
     return _trains_silver(spark, sf).drop("ingested_at")

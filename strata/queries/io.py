@@ -236,6 +236,16 @@ def ensure_schemas(spark, sf):
     return spark.createDataFrame([(n.split("_")[1], n in listed) for n in names], "layer string, exists boolean")
 
 
+@register("describe_table", """SELECT column_name AS col_name,
+  CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+    WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS data_type
+FROM information_schema.columns WHERE table_name = 'supplier'""")
+def describe_table(spark, sf):
+    spec = sinks.SinkSpec(f"{_scratch_schema(spark)}.supplier", "table")
+    sinks.write_target(T(spark, sf, "supplier"), spec)
+    return sinks.describe_table(spark, spec.target)
+
+
 @register("describe_schema", """SELECT cast(ordinal_position - 1 AS INTEGER) AS position, column_name,
   CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
     WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type,

@@ -116,3 +116,21 @@ def describe_schema(spark: SparkSession, df: DataFrame) -> DataFrame:
     """The schema as rows ``position, column_name, data_type, nullable`` (driver metadata only)."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+
+
+def describe_table(spark: SparkSession, fqn: str) -> DataFrame:
+    """Column rows of ``DESCRIBE TABLE EXTENDED``: ``col_name, data_type`` (the
+    detailed table information after the first blank row is left out)."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {fqn}").collect()  # one row per column + table facts
+    cols = []
+    for r in rows:
+        if not r.col_name or r.col_name.startswith("#"):
+            break
+        cols.append((r.col_name, r.data_type))
+    return spark.createDataFrame(cols, "col_name string, data_type string")
+
+
+def list_schemas(spark: SparkSession) -> DataFrame:
+    """The catalog's schemas as rows ``name, description, location``."""
+    return spark.createDataFrame([(d.name, d.description, d.locationUri) for d in spark.catalog.listDatabases()],
+                                 "name string, description string, location string")
