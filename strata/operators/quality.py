@@ -13,7 +13,7 @@ import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -161,11 +161,12 @@ def layer_report(entries: Sequence[tuple[str, str, DataFrame | None]],
                  baseline: tuple[str, str] | None = None) -> DataFrame:
     """Row counts per (layer, table); a table that is missing reports ``N/A``.
 
-    With ``baseline`` (a ``(layer, table)`` of ``entries``) each row also gets its
-    retention against that table. The report has one row per listed table — a
-    list fixed on the driver — so the window over it is bounded by design.
+    With ``baseline`` (a ``(layer, table)`` of ``entries``) each row also gets
+    its retention against that table; the baseline count is a scalar from a
+    distributed count, folded in as a literal.
     """
     parts = []
+    base_rows = None
     for layer, table, frame in entries:
         if frame is None:
             part = frame_missing(layer, table)
@@ -173,13 +174,13 @@ def layer_report(entries: Sequence[tuple[str, str, DataFrame | None]],
             part = frame.agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
                 F.col("row_count"), F.lit("OK").alias("status"))
+            if baseline == (layer, table):
+                base_rows = frame.count()
         parts.append(part)
     report = functools.reduce(DataFrame.unionByName, parts)
     if baseline is not None:
-        is_base = (F.col("layer") == baseline[0]) & (F.col("table_name") == baseline[1])
-        base = F.max(F.when(is_base, F.col("row_count"))).over(Window.partitionBy())
         report = report.withColumn("retention_pct", F.round(
-            F.try_divide(F.col("row_count").cast("double") * 100, base.cast("double")), 1))
+            F.try_divide(F.col("row_count").cast("double") * 100, F.lit(base_rows).cast("double")), 1))
     return report
 
 
