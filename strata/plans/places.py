@@ -9,10 +9,10 @@ from strata.functions.casts import flag, safe_cast
 from strata.functions.text import digits_and_plus
 from strata.operators.bronze import audit_columns
 from strata.operators.gold import Measure, group_summary, row_count, with_completeness, with_pct_of_total
-from strata.operators.quality import layer_report, quarantine_split
+from strata.operators.quality import flag_rows, layer_report, quarantine_split
 from strata.plans.layout import LayerLayout
 from strata.sources.readers import read_layer
-from strata.sources.sinks import write_all, write_counted
+from strata.sources.sinks import write_all, write_counted, write_flag_split
 
 # The text columns of a place, trimmed in silver.
 TEXT_COLUMNS = ("id", "name", "address", "city", "state", "zip", "country", "url", "phone",
@@ -106,15 +106,28 @@ def gold_city_density(silver: DataFrame, exact: bool = True) -> DataFrame:
     ], order_by=[F.col("poi_count").desc()])
 
 
+SPLIT_FLAG = "_is_quarantined"
+
+
+def split_root(layout: LayerLayout) -> str:
+    """Silver and quarantine are written in one job below this folder."""
+    return layout.spec("silver", "places_split").target
+
+
+def layer_locations(layout: LayerLayout) -> dict[str, str]:
+    """Where ``run`` leaves each layer."""
+    root = split_root(layout)
+    return {"bronze": layout.spec("bronze", "places").target, "silver": f"{root}/{SPLIT_FLAG}=false",
+            "quarantine": f"{root}/{SPLIT_FLAG}=true"}
+
+
 def run(spark: SparkSession, raw: DataFrame, layout: LayerLayout) -> DataFrame:
     bronze_spec = layout.spec("bronze", "places")
     write_counted(bronze_places(raw), bronze_spec)
     bronze = read_layer(spark, bronze_spec.target, layout.format)
-    clean, quarantine = split_places(silver_places(bronze))
-    silver_spec, quarantine_spec = layout.spec("silver", "places"), layout.spec("quarantine", "places")
-    write_counted(clean, silver_spec)
-    write_counted(quarantine, quarantine_spec)
-    silver = read_layer(spark, silver_spec.target, layout.format)
+    flagged = flag_rows(silver_places(bronze), quarantine_conditions(), SPLIT_FLAG)
+    silver_path, quarantine_path = write_flag_split(flagged, SPLIT_FLAG, split_root(layout), layout.format)
+    silver = read_layer(spark, silver_path, layout.format)
     total = row_count(silver)
     gold = {
         "country_summary": (gold_country_summary(silver, total), layout.spec("gold", "country_summary")),
@@ -124,6 +137,6 @@ def run(spark: SparkSession, raw: DataFrame, layout: LayerLayout) -> DataFrame:
     }
     write_all(spark, gold)
     entries = [("bronze", "places", bronze), ("silver", "places", silver),
-               ("quarantine", "places", read_layer(spark, quarantine_spec.target, layout.format))]
+               ("quarantine", "places", read_layer(spark, quarantine_path, layout.format))]
     entries += [("gold", n, read_layer(spark, s.target, layout.format)) for n, (_, s) in gold.items()]
     return layer_report(entries, baseline=("bronze", "places"))

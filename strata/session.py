@@ -55,3 +55,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/strata/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings a cluster job of this package would start from, sized from the input.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` each
+    (so a task's working set fits executor memory and spills stay rare); the
+    initial shuffle partition count is an upper bound that AQE coalesces down
+    from runtime sizes, and AQE splits skewed sort-merge partitions. The
+    broadcast threshold stays Spark's size check on statistics.
+    """
+    shuffle_parts = max(2 * total_cores, min(200_000, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+    }

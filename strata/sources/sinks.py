@@ -134,3 +134,24 @@ def list_schemas(spark: SparkSession) -> DataFrame:
     """The catalog's schemas as rows ``name, description, location``."""
     return spark.createDataFrame([(d.name, d.description, d.locationUri) for d in spark.catalog.listDatabases()],
                                  "name string, description string, location string")
+
+
+def write_flag_split(df: DataFrame, flag_col: str, root: str, file_format: str = "parquet") -> tuple[str, str]:
+    """Write both sides of a split in one job: partitioned by the boolean flag.
+
+    The cleansing plan that produced ``df`` runs once (not once per side);
+    each task writes at most one file per side, with no shuffle. Returns the
+    (clean, flagged) folders, which read back as ordinary tables without the
+    flag column. A side with no rows is written as an empty table.
+    """
+    df.write.mode("overwrite").format(file_format).partitionBy(flag_col).save(root)
+    spark = df.sparkSession
+    sides = []
+    for value in ("false", "true"):
+        path = f"{root.rstrip('/')}/{flag_col}={value}"
+        try:
+            read_file(spark, path, file_format).schema
+        except Exception:  # noqa: BLE001 - the side has no rows, so no folder was written
+            spark.createDataFrame([], df.drop(flag_col).schema).write.mode("overwrite").format(file_format).save(path)
+        sides.append(path)
+    return sides[0], sides[1]

@@ -79,6 +79,6 @@ def test_trains_flow_rerun_is_stable(spark, sf_dir):
     report = {(r.layer, r.table_name): r.row_count for r in first}
     assert report[("silver", "stops")] + report[("quarantine", "stops")] == report[("bronze", "stops")]
     assert report[("gold", "running_days")] == 7
-    by_hand = gold.group_summary(spark.read.parquet(layout.spec("silver", "stops").target), ["trainNumber"],
+    by_hand = gold.group_summary(spark.read.parquet(trains.layer_locations(layout)["silver"]), ["trainNumber"],
                                  [gold.Measure("n", "count")]).count()
     assert report[("gold", "route_summary")] == by_hand

@@ -60,3 +60,14 @@ def test_json_documents_bounded(spark, sf_dir):
     docs = spark.read.text(path).count()            # one line (one array) per file
     assert docs == -(-orders.count() // 200)
     assert pd.Series([1]).sum() == 1
+
+
+def test_flag_split_one_job_and_empty_side(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    root = scratch_path(spark, "test-flag-split")
+    clean, flagged = sinks.write_flag_split(nation.withColumn("_bad", F.col("n_nationkey") < 0), "_bad", root)
+    assert readers.read_layer(spark, clean).count() == 25
+    empty = readers.read_layer(spark, flagged)
+    assert empty.count() == 0 and empty.columns == nation.columns
