@@ -40,10 +40,15 @@ HEADLINE = [
 ]
 
 
-def run_once(spark, fn, sf_dir) -> float:
+def run_once(spark, fn, sf_dir, group: str | None = None) -> float:
+    if group:
+        spark.sparkContext.setJobGroup(group, group)
     t0 = time.perf_counter()
     fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - t0
+    elapsed = time.perf_counter() - t0
+    if group:
+        spark.sparkContext.setJobGroup("", "")
+    return elapsed
 
 
 def main() -> None:
@@ -53,14 +58,17 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="strata-bench")
     qs = queries()
     times: dict[str, float] = {}
+    jobs: dict[str, int] = {}
+    tracker = spark.sparkContext.statusTracker()
     for key in HEADLINE:
         fn = qs[key]
-        run_once(spark, fn, sf_dir)
+        run_once(spark, fn, sf_dir, group=f"bench-{key}")   # warm-up; also counts the Spark jobs of one run
+        jobs[key] = len(tracker.getJobIdsForGroup(f"bench-{key}"))
         times[key] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeats)), 3)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                      "cpus": int(cpus), "repeats": repeats}))
+                      "cpus": int(cpus), "repeats": repeats, "jobs": jobs}))
 
 
 if __name__ == "__main__":

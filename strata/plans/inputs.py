@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import spread_input
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -62,7 +64,7 @@ def trains_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     array grows with the data even when one order holds a large share of all
     line items (the flow treats repeated trains as one).
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_input(table(spark, sf_dir, "lineitem"))
     sizes = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
     chunk = F.when(F.col("_n") > MAX_STOPS_PER_RECORD,
                    F.pmod(F.monotonically_increasing_id(), F.ceil(F.col("_n") / MAX_STOPS_PER_RECORD)))
@@ -143,7 +145,7 @@ PATIENT_COLUMNS = {
 def patients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One admission per order (CSV header names); every 10th order also appears with a
     lower bill (same visit), every 15th as an exact copy."""
-    o = table(spark, sf_dir, "orders")
+    o = spread_input(table(spark, sf_dir, "orders"))
     c = table(spark, sf_dir, "customer")
     joined = o.join(c, o.o_custkey == c.c_custkey)
     copies = joined.withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.expr(PATIENT_COPIES))))

@@ -76,3 +76,18 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
     }
+
+
+def spread_input(df, min_partitions: int | None = None):
+    """Spread a scan with fewer splits than task slots over all slots.
+
+    A large input already has one split per file block and is returned as
+    is; a small input stored as one row group would otherwise run every
+    operator before the first shuffle in a single task. Planning-only check,
+    no job.
+    """
+    spark = df.sparkSession
+    slots = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)
