@@ -162,8 +162,9 @@ def layer_report(entries: Sequence[tuple[str, str, DataFrame | None]],
     """Row counts per (layer, table); a table that is missing reports ``N/A``.
 
     With ``baseline`` (a ``(layer, table)`` of ``entries``) each row also gets
-    its retention against that table; the baseline count is a scalar from a
-    distributed count, folded in as a literal.
+    its retention against that table and the rows it no longer has
+    (``removed_rows``: duplicates and quarantined rows); the baseline count is
+    a scalar from a distributed count, folded in as a literal.
     """
     parts = []
     base_rows = None
@@ -179,8 +180,11 @@ def layer_report(entries: Sequence[tuple[str, str, DataFrame | None]],
         parts.append(part)
     report = functools.reduce(DataFrame.unionByName, parts)
     if baseline is not None:
-        report = report.withColumn("retention_pct", F.round(
-            F.try_divide(F.col("row_count").cast("double") * 100, F.lit(base_rows).cast("double")), 1))
+        report = report.withColumns({
+            "retention_pct": F.round(
+                F.try_divide(F.col("row_count").cast("double") * 100, F.lit(base_rows).cast("double")), 1),
+            "removed_rows": F.lit(base_rows).cast("bigint") - F.col("row_count"),
+        })
     return report
 
 

@@ -636,7 +636,8 @@ def profile_summary(spark, sf):
     return profile.profile_summary(T(spark, sf, "lineitem"), _PROFILE_COLS)
 
 
-@register("layer_report", """SELECT * , round(cast(row_count AS double) * 100 / (SELECT count(*) FROM orders), 1) AS retention_pct
+@register("layer_report", """SELECT * , round(cast(row_count AS double) * 100 / (SELECT count(*) FROM orders), 1) AS retention_pct,
+  (SELECT count(*) FROM orders) - row_count AS removed_rows
 FROM (SELECT 'source' AS layer, 'orders' AS table_name, count(*) AS row_count, 'OK' AS status FROM orders
   UNION ALL SELECT 'source', 'lineitem', count(*), 'OK' FROM lineitem
   UNION ALL SELECT 'derived', 'orders_finished', count(*), 'OK' FROM orders WHERE o_orderstatus = 'F'

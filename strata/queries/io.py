@@ -262,8 +262,9 @@ def _report_sql(cte: str, entries: list[tuple[str, str, str]], baseline: str) ->
     parts = " UNION ALL ".join(
         f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS row_count, 'OK' AS status FROM ({q})"
         for layer, table, q in entries)
-    return (f"{cte}, report AS ({parts}) SELECT *, round(cast(row_count AS double) * 100 / "
-            f"(SELECT count(*) FROM ({baseline})), 1) AS retention_pct FROM report")
+    base = f"(SELECT count(*) FROM ({baseline}))"
+    return (f"{cte}, report AS ({parts}) SELECT *, round(cast(row_count AS double) * 100 / {base}, 1) AS retention_pct, "
+            f"{base} - row_count AS removed_rows FROM report")
 
 
 _TRAINS_DAYS = "SELECT DISTINCT trainNumber FROM trains_silver"

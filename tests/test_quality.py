@@ -74,9 +74,9 @@ def test_null_profiles(spark):
 
 def test_layer_report_missing_table_and_retention(spark):
     df = _frame(spark)
-    rep = {(r.layer, r.table_name): (r.row_count, r.status, r.retention_pct) for r in quality.layer_report(
+    rep = {(r.layer, r.table_name): (r.row_count, r.status, r.retention_pct, r.removed_rows) for r in quality.layer_report(
         [("bronze", "t", df), ("silver", "t", df.filter("fare > 0")), ("gold", "missing", None)],
         baseline=("bronze", "t")).collect()}
-    assert rep[("bronze", "t")] == (5, "OK", 100.0)
-    assert rep[("silver", "t")] == (3, "OK", 60.0)
-    assert rep[("gold", "missing")] == (None, "N/A", None)
+    assert rep[("bronze", "t")] == (5, "OK", 100.0, 0)
+    assert rep[("silver", "t")] == (3, "OK", 60.0, 2)
+    assert rep[("gold", "missing")] == (None, "N/A", None, None)
