@@ -30,6 +30,8 @@ FLAGS = {
 
 def main():
     args = sys.argv[1:]
+    markdown = "--markdown" in args
+    args = [a for a in args if a != "--markdown"]
     sf_dir = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     spark = local_session(8, 8)
     qs = queries()
@@ -43,7 +45,10 @@ def main():
         shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|RoundRobin|SinglePartition)", plan))
         bcast = plan.count("BroadcastExchange")
         flags = [f for f, pat in FLAGS.items() if re.search(pat, plan)]
-        print(f"{k:32s} shuffles={shuffles} broadcasts={bcast} {' '.join(flags)}")
+        if markdown:
+            print(f"| `{k}` | {shuffles} | {bcast} | {', '.join(flags) or '—'} |")
+        else:
+            print(f"{k:32s} shuffles={shuffles} broadcasts={bcast} {' '.join(flags)}")
 
 
 if __name__ == "__main__":
