@@ -16,3 +16,8 @@ def run(spark: SparkSession, file_paths: Mapping[str, str], output: SinkSpec,
     frames = read_registry(spark, file_paths)
     write_counted(frames[write_key], output)
     return verify_readback(spark, {write_key: output})
+
+
+def run_from_config(spark: SparkSession, cfg, write_key: str = "parquet") -> DataFrame:
+    """Read every source of an ``IOConfig`` and write one to its configured output."""
+    return run(spark, cfg.sources(), cfg.output, write_key)

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from strata.sources.sinks import SinkSpec
 
 
 @dataclass(frozen=True)
 class LayerLayout:
-    """Path targets ``<root>/<layer>/<name>`` in one format."""
+    """Path targets ``<root>/<layer>/<name>`` in one format.
+
+    ``overrides`` maps ``"<layer>/<name>"`` to an explicit path (for layer
+    paths given by a config file).
+    """
 
     root: str
     format: str = "parquet"
+    overrides: Mapping[str, str] = field(default_factory=dict)
 
     def spec(self, layer: str, name: str) -> SinkSpec:
-        return SinkSpec(f"{self.root.rstrip('/')}/{layer}/{name}", "path", self.format, "overwrite")
+        path = self.overrides.get(f"{layer}/{name}") or f"{self.root.rstrip('/')}/{layer}/{name}"
+        return SinkSpec(path, "path", self.format, "overwrite")
+
+    def has_override(self, layer: str, name: str) -> bool:
+        return f"{layer}/{name}" in self.overrides
