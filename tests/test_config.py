@@ -10,7 +10,7 @@ from strata.sources import sinks
 from strata.sources.config import IOConfig
 
 TRAINS_CONFIG = {
-    "adls_connection": {"storage_account": "ignored"},
+    "connection": {"account": "ignored by the reader"},
     "file_paths": {"json": "ainput1/trains"},
     "medallion_paths": {"bronze": "medallion/bronze/exp_trains", "quarantine": "medallion/bronze/exp_trains_quarantine",
                         "silver": "medallion/silver/exp_trains", "gold_route_summary": "medallion/gold/route_summary",
@@ -25,7 +25,7 @@ def test_io_config_from_file_and_copy(spark, sf_dir, tmp_path):
     spark.read.parquet(f"{sf_dir}/nation.parquet").write.option("header", "true").csv(f"{base}/in/csv")
     spark.read.parquet(f"{sf_dir}/region.parquet").write.json(f"{base}/in/json")
     spark.read.parquet(f"{sf_dir}/orders.parquet").write.parquet(f"{base}/in/parquet")
-    path = tmp_path / "etl_config.json"
+    path = tmp_path / "io_config.json"
     path.write_text(json.dumps({"file_paths": {"csv": "in/csv", "json": "in/json", "parquet": "in/parquet"},
                                 "output": {"path": "out", "format": "parquet", "mode": "overwrite"}}))
     cfg = IOConfig.from_json(str(path), base)
