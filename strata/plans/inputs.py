@@ -79,8 +79,13 @@ def trains_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.expr(e).alias(n) for n, e in TRAIN_COLUMNS.items()],
         F.struct(*[F.expr(e).alias(d) for d, e in TRAIN_DAYS.items()]).alias("runningDays"),
     )
-    return (orders.join(stops, orders.o_orderkey == stops.l_orderkey, "left")
-            .select(*TRAIN_COLUMNS, "runningDays", "trainRoute"))
+    cols = [*TRAIN_COLUMNS, "runningDays", "trainRoute"]
+    # Orders with stops: an inner join, so AQE can split a hot order on either side.
+    with_stops = orders.join(stops, orders.o_orderkey == stops.l_orderkey).select(*cols)
+    # Orders without stops: anti join against the one-row-per-order counts (no skew possible).
+    no_stops = (orders.join(sizes, orders.o_orderkey == sizes.l_orderkey, "left_anti")
+                .withColumn("trainRoute", F.lit(None).cast(stops.schema["trainRoute"].dataType)).select(*cols))
+    return with_stops.unionByName(no_stops)
 
 
 # ---- places: customer ⋈ nation ⋈ region ----------------------------------------
