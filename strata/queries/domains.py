@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.dedup import distinct_count
 from strata.plans import inputs, patients, patients_roles, places, study, trains, trips
 from strata.queries import register
 from strata.queries.sqlhelp import (
