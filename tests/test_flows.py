@@ -199,3 +199,51 @@ def test_gen_patients_domains(spark):
                  F.max(F.datediff("Discharge Date", "Date of Admission"))).first()
     assert 18 <= agg[0] and agg[1] <= 85 and 1000 <= agg[2] and agg[3] <= 50000 and agg[4] >= 1 and agg[5] <= 30
     assert df.select("Medical Condition").distinct().count() == 6
+
+
+def _same(a, b, cols):
+    return sorted(map(repr, a.select(*cols).collect())) == sorted(map(repr, b.select(*cols).collect()))
+
+
+def test_places_run_end_to_end(spark):
+    from strata.plans.layout import LayerLayout
+    from strata.session import scratch_path
+
+    layout = LayerLayout(scratch_path(spark, "test-places-run"))
+    report = {(r.layer, r.table_name): (r.row_count, r.removed_rows) for r in
+              places.run(spark, _places_raw(spark), layout).collect()}
+    assert report[("bronze", "places")] == (7, 0) and report[("silver", "places")] == (2, 5)
+    assert report[("quarantine", "places")] == (5, 2)
+    gold = spark.read.parquet(layout.spec("gold", "country_summary").target)
+    silver, _ = places.split_places(places.silver_places(places.bronze_places(_places_raw(spark))))
+    assert _same(gold, places.gold_country_summary(silver), ["country", "poi_count", "pct_of_total"])
+
+
+def test_patients_runs_end_to_end(spark):
+    from strata.plans.layout import LayerLayout
+    from strata.session import scratch_path
+
+    csv = scratch_path(spark, "test-patients-run-csv")
+    _patients_raw(spark).write.option("header", "true").csv(csv)
+    layout = LayerLayout(scratch_path(spark, "test-patients-run"))
+    report = {(r.layer, r.table_name): r.row_count for r in patients.run(spark, csv, layout).collect()}
+    assert report[("bronze", "patients")] == 5 and report[("silver", "patients")] == 2
+    roles = {(r.layer, r.table_name): (r.row_count, r.status) for r in
+             patients_roles.run(spark, csv, LayerLayout(scratch_path(spark, "test-roles-run"))).collect()}
+    assert roles[("silver", "patients_cleaned")] == (5, "OK") and roles[("gold", "demographics")][1] == "OK"
+
+
+def test_trips_run_end_to_end(spark):
+    from strata.plans.layout import LayerLayout
+    from strata.session import scratch_path
+
+    csv = scratch_path(spark, "test-trips-run-csv")
+    _trips_raw(spark).write.option("header", "true").csv(csv)
+    layout = LayerLayout(scratch_path(spark, "test-trips-run"))
+    report = {(r.layer, r.table_name): r.row_count for r in trips.run(spark, csv, layout).collect()}
+    assert report[("source", "trips")] == 5 and report[("bronze", "trips")] == 5
+    assert report[("quarantine", "trips")] == 2 and report[("silver", "trips")] == 3
+    q = spark.read.parquet(layout.spec("quarantine", "trips").target)
+    assert set(q.columns) >= {"_quarantine_reason", "_failed_rules", "_ingested_at"}
+    daily = spark.read.parquet(layout.spec("gold", "daily").target).first()
+    assert daily.total_trips == 3
