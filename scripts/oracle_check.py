@@ -39,6 +39,17 @@ def norm(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diff(spark_dtypes, duck_desc):
+    duck = {d[0]: str(d[1]) for d in duck_desc}
+    return [(c, t, duck.get(c)) for c, t in spark_dtypes
+            if SPARK_TO_DUCK.get(t, t.upper()) != (duck.get(c) or "").upper()]
+
+
 def rows_of(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(tuple(norm(r[i]) for i in order) for r in rows), sorted(columns)
@@ -60,6 +71,7 @@ def main():
             sdf = qs[k](spark, sf_dir)
             srows = [tuple(r) for r in sdf.collect()]
             scols = sdf.columns
+            sdtypes = sdf.dtypes
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {k}: spark error {type(e).__name__}: {str(e)[:400]}")
             bad += 1
@@ -71,6 +83,7 @@ def main():
         try:
             cur = con.execute(sqls[k])
             dcols = [d[0] for d in cur.description]
+            tdiff = type_diff(sdtypes, cur.description)
             drows = cur.fetchall()
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {k}: duckdb error {str(e)[:400]}")
@@ -88,6 +101,8 @@ def main():
             diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
             print(f"FAIL {k}: values differ ({sum(x != y for x, y in zip(a, b))} rows) e.g. {diff}")
             bad += 1
+        elif tdiff:
+            print(f"TYPE {k}: values equal, types differ {tdiff[:4]}")
         else:
             print(f"OK   {k}: {len(a)} rows {ts:.1f}s")
     print(f"{len(keys) - bad}/{len(keys)} ok")

@@ -174,7 +174,7 @@ TRIP_COLUMNS = {
     "total_amount": "case when event_type = 'error' then -value else value end + cast(event_id % 20 as double) / 4",
     "payment_type": "cast(1 + event_id % 7 as int)",
     "trip_type": "cast(1 + event_id % 2 as int)",
-    "congestion_surcharge": "case when event_id % 5 = 0 then null else 2.75 end",
+    "congestion_surcharge": "case when event_id % 5 = 0 then null else cast(2.75 as double) end",
     "ehail_fee": "cast(null as double)",
 }
 
