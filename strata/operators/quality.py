@@ -168,9 +168,10 @@ def layer_report(entries: Sequence[tuple[str, str, DataFrame | None]],
     """
     parts = []
     base_rows = None
+    spark = next((f.sparkSession for _, _, f in entries if f is not None), None)
     for layer, table, frame in entries:
         if frame is None:
-            part = frame_missing(layer, table)
+            part = _missing_row(spark, layer, table)
         else:
             part = frame.agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
@@ -188,8 +189,10 @@ def layer_report(entries: Sequence[tuple[str, str, DataFrame | None]],
     return report
 
 
-def frame_missing(layer: str, table: str) -> DataFrame:
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(
-        [(layer, table, None, "N/A")], "layer string, table_name string, row_count bigint, status string")
+def _missing_row(spark, layer: str, table: str) -> DataFrame:
+    """The report row of a table that was not built."""
+    if spark is None:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.getActiveSession()
+    return spark.range(1).select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
+                                 F.lit(None).cast("bigint").alias("row_count"), F.lit("N/A").alias("status"))

@@ -76,12 +76,14 @@ def scan_csv_infer(spark, sf):
     return cast_like(read, raw)
 
 
-_NEWLINE_NAME = "CASE WHEN \"Room Number\" % 97 = 0 THEN concat(\"Name\", chr(10), 'jr') ELSE \"Name\" END"
+def _newline_name(q: str) -> str:
+    """Every 97th room's patient name gets a line break (quoted field in CSV); ``q`` quotes identifiers."""
+    return f"CASE WHEN {q}Room Number{q} % 97 = 0 THEN concat({q}Name{q}, chr(10), 'jr') ELSE {q}Name{q} END"
 
 
-@register("scan_csv_multiline", f"SELECT * REPLACE ({_NEWLINE_NAME} AS \"Name\") FROM ({PATIENTS_RAW})")
+@register("scan_csv_multiline", f'SELECT * REPLACE ({_newline_name(chr(34))} AS "Name") FROM ({PATIENTS_RAW})')
 def scan_csv_multiline(spark, sf):
-    raw = inputs.patients_raw(spark, sf).withColumn("Name", F.expr(_NEWLINE_NAME.replace('"', '`')))
+    raw = inputs.patients_raw(spark, sf).withColumn("Name", F.expr(_newline_name("`")))
     path = land_csv(spark, raw, "patients-csv")
     read = readers.read_csv(spark, path, infer=True, multiline=True)
     return cast_like(read, raw)
