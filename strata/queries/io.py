@@ -340,3 +340,45 @@ def medallion_copy(spark, sf):
     paths = {"csv": f"{root}/csv", "json": f"{root}/json", "parquet": f"{root}/parquet"}
     out = sinks.SinkSpec(scratch_path(spark, "copy-out"))
     return copy_flow.run(spark, paths, out).select("name", "row_count")
+
+
+# ------------------------------------------------------------------ streaming runners
+
+def _land_trip_files(spark, sf) -> tuple[str, DataFrame]:
+    """Trips landed as two parquet drops (morning / afternoon pickups), as files would arrive."""
+    raw = inputs.trips_raw(spark, sf)
+    landing = scratch_path(spark, "stream-landing")
+    early = F.coalesce(F.hour("lpep_dropoff_datetime") < 12, F.lit(True))
+    raw.filter(early).write.parquet(f"{landing}/drop=1")
+    raw.filter(~early).write.parquet(f"{landing}/drop=2")
+    return landing, raw
+
+
+@register("stream_bronze", f"SELECT *, 'trips' AS _source_file FROM ({TRIPS_RAW})")
+def stream_bronze(spark, sf):
+    from strata.operators.bronze import audit_columns
+    from strata.streaming import stream_layer
+
+    landing, raw = _land_trip_files(spark, sf)
+    sink = sinks.SinkSpec(scratch_path(spark, "stream-bronze"))
+    source = readers.SourceSpec(f"{landing}/*", "parquet", schema=raw.schema)
+    stream_layer(spark, source, lambda df: audit_columns(df, literals={"_source_file": "trips"}), sink).awaitTermination()
+    return readers.read_layer(spark, sink.target).drop("_ingested_at")
+
+
+_TRIPS_BAD_SQL = ("coalesce(fare_amount < 0 OR total_amount < 0 OR trip_distance > 200 "
+                  "OR lpep_dropoff_datetime < lpep_pickup_datetime, false)")
+
+
+@register("stream_quarantine_split", f"SELECT *, NOT {_TRIPS_BAD_SQL} AS is_clean FROM ({TRIPS_RAW})")
+def stream_quarantine_split(spark, sf):
+    from strata.streaming import stream_split
+
+    landing, raw = _land_trip_files(spark, sf)
+    clean = sinks.SinkSpec(scratch_path(spark, "stream-clean"))
+    quarantine = sinks.SinkSpec(scratch_path(spark, "stream-quarantine"))
+    source = readers.SourceSpec(f"{landing}/*", "parquet", schema=raw.schema)
+    stream_split(spark, source, [r.bad for r in trips.critical_rules()], clean, quarantine).awaitTermination()
+    good = readers.read_layer(spark, clean.target).drop("batch_id").withColumn("is_clean", F.lit(True))
+    bad = readers.read_layer(spark, quarantine.target).drop("batch_id").withColumn("is_clean", F.lit(False))
+    return good.unionByName(bad)

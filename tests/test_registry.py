@@ -49,7 +49,7 @@ def test_entry(spark):
 def test_every_key_has_callable_and_most_have_oracles():
     qs, sql = queries(), oracle_sql()
     assert set(sql) <= set(qs)
-    assert len(qs) >= 90
+    assert len(qs) >= 118
     assert not any(k.startswith("pipeline") for k in qs)
 
 
