@@ -63,7 +63,7 @@ def bronze_write_step(spark, sf_dir):
     target = scratch_path(spark, "bench-bronze")
 
     def step(spark_, _sf):
-        bronze = trains.bronze_stops(readers.read_json(spark_, landing, multiline=True))
+        bronze = trains.bronze_stops(readers.read_json(spark_, landing, multiline=True, schema=trains.RAW_SCHEMA))
         sinks.write_target(bronze, sinks.SinkSpec(target))
         return readers.read_layer(spark_, target).limit(0)   # the write is the work; nothing more to produce
     return step
