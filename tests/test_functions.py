@@ -75,3 +75,21 @@ def test_duration_speed_ratio_pct(spark):
     assert [r[1] for r in rows] == [10.0, None, None]
     assert all(r[2] is None for r in rows)
     assert rows[0][3] == 33.33
+
+
+def test_roles_by_keyword_and_dtype(spark):
+    from strata.operators.clean import RoleRule, resolve_roles, role_transform
+    from strata.plans.patients_roles import ROLE_RULES
+
+    df = spark.createDataFrame(
+        [(" alice ", "EMERGENCY", "2023-01-05", " o+ ", "12", "1,5")],
+        "`Name` string, `Admission Type` string, `Date of Admission` string, `Blood Type` string, "
+        "`Age` string, `_Name_audit` string")
+    roles = resolve_roles(df, ROLE_RULES)
+    assert roles.all("date") == ("Date of Admission",)            # "Admission Type" is not a date
+    assert roles.one("int") == "Age" and "_Name_audit" not in roles.all("proper")
+    out = role_transform(df.withColumn("Name", F.trim("Name")), roles, ["proper", "upper", "date", "int"]).first()
+    assert out["Name"] == "Alice" and out["Admission Type"] == "EMERGENCY" and str(out["Date of Admission"]) == "2023-01-05"
+    assert out["Age"] == 12
+    clash = resolve_roles(df, [RoleRule("a", ("type",)), RoleRule("b", ("blood",))])
+    assert clash.ambiguous == ("Blood Type",)
