@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,7 +152,10 @@ def write_flag_split(df: DataFrame, flag_col: str, root: str, file_format: str =
         path = f"{root.rstrip('/')}/{flag_col}={value}"
         try:
             read_file(spark, path, file_format).schema
-        except Exception:  # noqa: BLE001 - the side has no rows, so no folder was written
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            # the side has no rows, so no folder was written: give it an empty table of the same schema
             spark.createDataFrame([], df.drop(flag_col).schema).write.mode("overwrite").format(file_format).save(path)
         sides.append(path)
     return sides[0], sides[1]
