@@ -62,6 +62,13 @@ class Measure:
         return out.alias(self.name)
 
 
+def distinct_measure(name: str, col: str | Column, approximate: bool = False) -> Measure:
+    """Exact ``count(DISTINCT col)``, or — when ``approximate`` — HyperLogLog++
+    (``approx_count_distinct``, ~5% relative error by default), which ships a
+    fixed-size sketch per group instead of every distinct value."""
+    return Measure(name, "approx_distinct" if approximate else "count_distinct", col)
+
+
 def measures_for(available: Sequence[str], spec: Mapping[str, Sequence[Measure]]) -> list[Measure]:
     """Measures whose source column exists: ``spec`` maps a column (or ``"*"``
     for always) to its measures; absent columns are skipped, as a dynamic

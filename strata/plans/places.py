@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from strata.functions.casts import flag, safe_cast
 from strata.functions.text import digits_and_plus
 from strata.operators.bronze import audit_columns
-from strata.operators.gold import Measure, group_summary, row_count, with_completeness, with_pct_of_total
+from strata.operators.gold import (
+    Measure, distinct_measure, group_summary, row_count, with_completeness, with_pct_of_total,
+)
 from strata.operators.quality import flag_rows, layer_report, quarantine_split
 from strata.plans.layout import LayerLayout
 from strata.sources.readers import read_layer
@@ -65,14 +67,15 @@ def not_blank(c: str):
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
-def gold_country_summary(silver: DataFrame, total: int | None = None, exact: bool = True) -> DataFrame:
+def gold_country_summary(silver: DataFrame, total: int | None = None, exact: bool = True,
+                         approximate: bool = False) -> DataFrame:
     """Per country: places, cities, categories, mean coordinates, completeness, share of all places."""
     total = row_count(silver) if total is None else total
     scale = 6 if exact else None
     g = group_summary(silver, ["country"], [
         Measure("poi_count", "count"),
-        Measure("unique_cities", "count_distinct", "city"),
-        Measure("unique_categories", "count_distinct", "categories"),
+        distinct_measure("unique_cities", "city", approximate),
+        distinct_measure("unique_categories", "categories", approximate),
         Measure("avg_latitude", "avg", "latitude", round=4, decimal_scale=scale),
         Measure("avg_longitude", "avg", "longitude", round=4, decimal_scale=scale),
         Measure("with_address", "count_if", F.col("has_address")),
@@ -84,23 +87,24 @@ def gold_country_summary(silver: DataFrame, total: int | None = None, exact: boo
     return g.orderBy(F.col("poi_count").desc())
 
 
-def gold_category_distribution(silver: DataFrame, total: int | None = None) -> DataFrame:
+def gold_category_distribution(silver: DataFrame, total: int | None = None,
+                               approximate: bool = False) -> DataFrame:
     """Per non-blank category; the share is of **all** places, blank categories included."""
     total = row_count(silver) if total is None else total
     g = group_summary(silver.filter(not_blank("categories")), ["categories"], [
         Measure("poi_count", "count"),
-        Measure("countries_present", "count_distinct", "country"),
-        Measure("unique_cities", "count_distinct", "city"),
+        distinct_measure("countries_present", "country", approximate),
+        distinct_measure("unique_cities", "city", approximate),
     ])
     return with_pct_of_total(g, "poi_count", total).orderBy(F.col("poi_count").desc())
 
 
-def gold_city_density(silver: DataFrame, exact: bool = True) -> DataFrame:
+def gold_city_density(silver: DataFrame, exact: bool = True, approximate: bool = False) -> DataFrame:
     """Per non-blank (city, state, country): places, categories and centre coordinates."""
     scale = 6 if exact else None
     return group_summary(silver.filter(not_blank("city")), ["city", "state", "country"], [
         Measure("poi_count", "count"),
-        Measure("unique_categories", "count_distinct", "categories"),
+        distinct_measure("unique_categories", "categories", approximate),
         Measure("center_latitude", "avg", "latitude", round=6, decimal_scale=scale),
         Measure("center_longitude", "avg", "longitude", round=6, decimal_scale=scale),
     ], order_by=[F.col("poi_count").desc()])

@@ -78,3 +78,13 @@ def test_flatten_nested_drops_or_keeps_empty(spark):
 def test_rename_map_ignores_absent(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert rename_map(df, {"a": "x", "zz": "y"}).columns == ["x", "b"]
+
+
+def test_approximate_distinct_switch(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    exact = gold.group_summary(li, ["l_returnflag"], [gold.distinct_measure("n", "l_partkey")])
+    approx = gold.group_summary(li, ["l_returnflag"], [gold.distinct_measure("n", "l_partkey", approximate=True)])
+    e = {r.l_returnflag: r.n for r in exact.collect()}
+    a = {r.l_returnflag: r.n for r in approx.collect()}
+    assert e.keys() == a.keys() and all(abs(a[k] - e[k]) <= 0.1 * e[k] + 1 for k in e)
+    assert "Expand" not in approx._jdf.queryExecution().executedPlan().toString()
