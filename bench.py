@@ -76,18 +76,24 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="strata-bench")
     qs = queries()
     qs["bronze_write_trains"] = bronze_write_step(spark, sf_dir)
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
     jobs: dict[str, int] = {}
+    errors: dict[str, str] = {}
     tracker = spark.sparkContext.statusTracker()
     for key in HEADLINE:
         fn = qs[key]
-        run_once(spark, fn, sf_dir, group=f"bench-{key}")   # warm-up; also counts the Spark jobs of one run
-        jobs[key] = len(tracker.getJobIdsForGroup(f"bench-{key}"))
-        times[key] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeats)), 3)
+        try:
+            run_once(spark, fn, sf_dir, group=f"bench-{key}")   # warm-up; also counts the Spark jobs of one run
+            jobs[key] = len(tracker.getJobIdsForGroup(f"bench-{key}"))
+            times[key] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeats)), 3)
+        except Exception as e:  # noqa: BLE001 - report the failure and keep measuring the rest
+            times[key] = None
+            errors[key] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
+    done = [t for t in times.values() if t is not None]
+    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(done), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                      "cpus": int(cpus), "repeats": repeats, "jobs": jobs}))
+                      "cpus": int(cpus), "repeats": repeats, "jobs": jobs, "errors": errors}))
 
 
 if __name__ == "__main__":
