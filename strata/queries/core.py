@@ -28,12 +28,12 @@ def project_select(spark, sf):
     return T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
 
 
-@register("project_alias", "SELECT n_nationkey AS nation_id, n_name AS nation_name, n_regionkey AS region_id "
-                           "FROM nation")
+@register("project_alias", "SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey AS nation_id "
+                           "FROM customer")
 def project_alias(spark, sf):
-    n = T(spark, sf, "nation")
-    return n.select(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("nation_name"),
-                    "n_regionkey").withColumnRenamed("n_regionkey", "region_id")
+    c = T(spark, sf, "customer")
+    return c.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"),
+                    "c_nationkey").withColumnRenamed("c_nationkey", "nation_id")
 
 
 @register("rename_map", "SELECT c_custkey AS customer_id, c_name AS customer_name, c_nationkey, c_acctbal AS balance, "
@@ -60,10 +60,10 @@ def derive_columns(spark, sf):
         .select("l_orderkey", "l_linenumber", "disc_price", "charge", "ship_year", "is_bulk")
 
 
-@register("audit_columns", "SELECT *, 'nation.parquet' AS _source_file, 1 AS _batch_id, true AS has_ingest_time "
-                           "FROM nation")
+@register("audit_columns", "SELECT *, 'supplier.parquet' AS _source_file, 1 AS _batch_id, true AS has_ingest_time "
+                           "FROM supplier")
 def audit_columns(spark, sf):
-    df = bronze.audit_columns(T(spark, sf, "nation"), literals={"_source_file": "nation.parquet", "_batch_id": 1})
+    df = bronze.audit_columns(T(spark, sf, "supplier"), literals={"_source_file": "supplier.parquet", "_batch_id": 1})
     return df.withColumn("has_ingest_time", F.col("_ingested_at").isNotNull()).drop("_ingested_at")
 
 
@@ -581,9 +581,9 @@ def agg_completeness(spark, sf):
 
 # ------------------------------------------------------------------ sorts, limits, reshape
 
-@register("sort_basic", "SELECT * FROM nation")
+@register("sort_basic", "SELECT * FROM customer")
 def sort_basic(spark, sf):
-    return T(spark, sf, "nation").orderBy(F.col("n_name").desc())
+    return T(spark, sf, "customer").orderBy(F.col("c_name").desc())
 
 
 @register("sort_multi", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")

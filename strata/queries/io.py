@@ -45,24 +45,25 @@ def cast_like(df: DataFrame, like: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ scans
 
-@register("scan_generic", "SELECT * FROM nation")
+@register("scan_generic", "SELECT * FROM customer")
 def scan_generic(spark, sf):
-    path = land_csv(spark, T(spark, sf, "nation"), "nation-csv")
-    return readers.read_file(spark, path, "csv", header="true", inferSchema="true")
+    customer = T(spark, sf, "customer")
+    path = land_csv(spark, customer, "customer-csv")
+    return cast_like(readers.read_file(spark, path, "csv", header="true", inferSchema="true"), customer)
 
 
-@register("scan_registry", """SELECT 'csv' AS source_format, count(*) AS row_count, count(DISTINCT r_name) AS names FROM region
-UNION ALL SELECT 'json', count(*), count(DISTINCT r_name) FROM region
-UNION ALL SELECT 'parquet', count(*), count(DISTINCT r_name) FROM region""")
+@register("scan_registry", """SELECT 'csv' AS source_format, count(*) AS row_count, count(DISTINCT c_name) AS names FROM customer
+UNION ALL SELECT 'json', count(*), count(DISTINCT c_name) FROM customer
+UNION ALL SELECT 'parquet', count(*), count(DISTINCT c_name) FROM customer""")
 def scan_registry(spark, sf):
-    region = T(spark, sf, "region")
+    customer = T(spark, sf, "customer")
     root = scratch_path(spark, "registry")
     paths = {fmt: f"{root}/{fmt}" for fmt in ("csv", "json", "parquet")}
-    region.write.option("header", "true").csv(paths["csv"])
-    region.write.json(paths["json"])
-    region.write.parquet(paths["parquet"])
+    customer.write.option("header", "true").csv(paths["csv"])
+    customer.write.json(paths["json"])
+    customer.write.parquet(paths["parquet"])
     frames = readers.read_registry(spark, paths)
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("r_name").alias("names"))
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("c_name").alias("names"))
              .select(F.lit(fmt).alias("source_format"), "row_count", "names") for fmt, df in frames.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -95,10 +96,11 @@ def scan_csv_schema(spark, sf):
     return readers.read_csv(spark, path, schema=study.STUDY_SCHEMA)
 
 
-@register("scan_csv_strings", "SELECT cast(n_nationkey AS VARCHAR) AS n_nationkey, n_name, "
-                              "cast(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+@register("scan_csv_strings", "SELECT cast(o_orderkey AS VARCHAR) AS o_orderkey, cast(o_custkey AS VARCHAR) AS o_custkey, "
+                              "o_orderstatus, o_orderpriority FROM orders")
 def scan_csv_strings(spark, sf):
-    path = land_csv(spark, T(spark, sf, "nation"), "nation-strings")
+    orders = T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    path = land_csv(spark, orders, "orders-strings")
     return readers.read_csv(spark, path)
 
 
@@ -190,11 +192,11 @@ def sink_file(spark, sf):
     return readers.read_file(spark, path, sinks.DEFAULT_OUTPUT["format"])
 
 
-@register("sink_layer", "SELECT * FROM region")
+@register("sink_layer", "SELECT * FROM customer")
 def sink_layer(spark, sf):
-    spec = LayerLayout(scratch_path(spark, "sink-layer")).spec("gold", "region")
-    sinks.write_target(T(spark, sf, "region"), spec)
-    sinks.write_target(T(spark, sf, "region"), spec)  # overwrite is idempotent
+    spec = LayerLayout(scratch_path(spark, "sink-layer")).spec("gold", "customer")
+    sinks.write_target(T(spark, sf, "customer"), spec)
+    sinks.write_target(T(spark, sf, "customer"), spec)  # overwrite is idempotent
     return readers.read_layer(spark, spec.target)
 
 
@@ -229,13 +231,22 @@ def verify_readback(spark, sf):
     return sinks.verify_readback(spark, specs).select("name", "row_count")
 
 
-@register("ensure_schemas")
+@register("ensure_schemas", " UNION ALL ".join(
+    f"SELECT '{layer}' AS layer, true AS schema_exists, count(*) AS row_count FROM supplier"
+    for layer in ("bronze", "silver", "gold")))
 def ensure_schemas(spark, sf):
-    names = [f"strata_{layer}_{uuid.uuid4().hex[:8]}" for layer in ("bronze", "silver", "gold")]
-    sinks.ensure_schemas(spark, names, location_root=scratch_path(spark, "schemas"), comment="layer schema")
-    sinks.ensure_schemas(spark, names, location_root=scratch_path(spark, "schemas"))  # idempotent
+    names = {layer: f"strata_{layer}_{uuid.uuid4().hex[:8]}" for layer in ("bronze", "silver", "gold")}
+    root = scratch_path(spark, "schemas")
+    sinks.ensure_schemas(spark, list(names.values()), location_root=root, comment="layer schema")
+    sinks.ensure_schemas(spark, list(names.values()), location_root=root)  # idempotent
     listed = {d.name for d in spark.catalog.listDatabases()}
-    return spark.createDataFrame([(n.split("_")[1], n in listed) for n in names], "layer string, exists boolean")
+    supplier = T(spark, sf, "supplier")
+    parts = []
+    for layer, schema in names.items():  # each new schema takes a table, read back through the catalog
+        sinks.write_target(supplier, sinks.SinkSpec(f"{schema}.supplier", "table"))
+        parts.append(spark.table(f"{schema}.supplier").agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(layer).alias("layer"), F.lit(schema in listed).alias("schema_exists"), "row_count"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register("describe_table", """SELECT column_name AS col_name,
