@@ -143,8 +143,10 @@ def stacked_group_summary(df: DataFrame, tag_col: str, key_col: str, sources: Ma
     from a single scan and a single shuffle: each row is emitted once per
     source (tag, key) and one aggregate groups by (tag, key)."""
     pairs = F.array(*[F.struct(F.lit(t).alias(tag_col), F.col(c).alias(key_col)) for t, c in sources.items()])
-    return df.withColumn("_pair", F.explode(pairs)).select("*", "_pair.*").drop("_pair") \
+    return (
+        df.withColumn("_pair", F.explode(pairs)).select("*", "_pair.*").drop("_pair")
         .groupBy(tag_col, key_col).agg(*[m.expr() for m in measures])
+    )
 
 
 def top_k(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
