@@ -8,13 +8,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm.common import table
+from strata.llm.impact_search import exact_top_k
 from strata.llm.packing import pack_documents
 from strata.llm.token_files import read_token_files, write_token_files
 from strata.session import scratch_path
 
+SEARCH_SQL = """
+with v as (
+    select vec_id, min(list_transform(embedding, lambda x: cast(floor(cast(x as double) * 256) as bigint))) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
+    group by vec_id
+), scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_dot_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+    from v q join v c on q.vec_id <> c.vec_id
+    where q.vec_id % 50 = 0
+), ranked as (
+    select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op1_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(BYTE_BPE))
@@ -28,10 +50,11 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_impact_search": op1_impact_search,
         "op2_token_files": op2_token_files,
         "op3_pattern_packing": op3_pattern_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_impact_search": SEARCH_SQL}
