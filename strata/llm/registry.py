@@ -7,10 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import table
+from strata.llm.common import fold, table
+from strata.llm.html_main import extract_main_text
 from strata.llm.impact_search import exact_top_k
 from strata.llm.packing import pack_documents
+from strata.llm.quality_model import score_quality
 from strata.llm.token_files import read_token_files, write_token_files
+from strata.llm.toxicity import fit_toxicity, score_toxicity
 from strata.session import scratch_path
 
 SEARCH_SQL = """
@@ -48,11 +51,31 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 3) == 1
+    scored, _ = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 4) == 2
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels"), learn=~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "sentences")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_impact_search": op1_impact_search,
         "op2_token_files": op2_token_files,
         "op3_pattern_packing": op3_pattern_packing,
+        "op6_quality_model": op6_quality_model,
+        "op7_host_paths": op7_host_paths,
+        "op8_toxicity": op8_toxicity,
     }
 
 
