@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from strata.llm.common import fold, table
 from strata.llm.html_main import extract_main_text
 from strata.llm.impact_search import exact_top_k
+from strata.llm.jaccard_join import near_duplicates
 from strata.llm.packing import pack_documents
+from strata.llm.pii import KINDS, find_private, render
 from strata.llm.quality_model import score_quality
+from strata.llm.quality_rules import judge
 from strata.llm.token_files import read_token_files, write_token_files
 from strata.llm.toxicity import fit_toxicity, score_toxicity
 from strata.session import scratch_path
@@ -51,6 +54,20 @@ def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op4_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", *counts)
+
+
+def op5_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_private(table(spark, sf_dir, "documents"))
+    base = render(F.col("spans"))
+    terms = F.transform("terms", lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [F.size(F.array_remove(F.transform(kinds, lambda k: k == kind), False)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), F.concat_ws(",", F.nullif(base, F.lit("")), F.nullif(render(terms), F.lit(""))).alias("spans"))
+
+
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 3) == 1
     scored, _ = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=~held_out)
@@ -68,14 +85,21 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "sentences")
 
 
+def op9_adaptive_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_impact_search": op1_impact_search,
         "op2_token_files": op2_token_files,
         "op3_pattern_packing": op3_pattern_packing,
+        "op4_risk_rules": op4_risk_rules,
+        "op5_disclosure": op5_disclosure,
         "op6_quality_model": op6_quality_model,
         "op7_host_paths": op7_host_paths,
         "op8_toxicity": op8_toxicity,
+        "op9_adaptive_prefixes": op9_adaptive_prefixes,
     }
 
 
