@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.llm.common import staged
-from strata.llm.tokens import CachedEncoder, groups_of
+from strata.llm.tokens import groups_of, worker_encoder
 
 #: Partner lengths tried for each first length in the patterns of three and four; more patterns fit better and take longer.
 PARTNERS = 12
@@ -39,7 +39,7 @@ def tokenise_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0)
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches):
-        encoder, task, seen = CachedEncoder(tokenizer), TaskContext.get().partitionId(), Counter()
+        encoder, task, seen = worker_encoder(tokenizer), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             texts = batch["text"].fillna("").tolist()
             for a, b in groups_of(texts):

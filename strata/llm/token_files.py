@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from strata.llm.common import shuffle_width
-from strata.llm.tokens import CachedEncoder, groups_of
+from strata.llm.tokens import groups_of, worker_encoder
 
 BLOCK = 128
 #: Share of a block's ids that its width must hold without an exception.
@@ -142,7 +142,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches):
-        encoder, part = CachedEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = worker_encoder(tokenizer), TaskContext.get().partitionId()
         keys, ids, size, segment, first = [], [], 0, 0, 0
         for batch in batches:
             texts = batch["text"].fillna("").tolist()

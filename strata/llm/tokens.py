@@ -3,65 +3,125 @@
 from __future__ import annotations
 
 import re
+import sys
+from types import ModuleType
 
 import numpy as np
 
-#: Characters whose pre-token classes Python's ``re`` and the tokenizer see alike.
-_PLAIN = re.compile(r"[\n -~À-ÖØ-öø-ſ]*")
-#: The pre-token pattern of byte-level BPE, restated for those characters.
-_PRETOKEN = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?[0-9]+| ?(?:_|[^\s\w])+|\s+(?!\S)|\s+")
-#: Distinct pre-tokens kept by one task before the cache starts anew (bounds memory, not results).
-CACHE_WORDS = 400_000
+from strata.llm.spans import SpanHasher, ragged
+
+#: Characters of texts whose pre-tokens are runs of one byte class, each with one space before it at
+#: most: no apostrophe (contractions), and no two blanks together or at an end.
+_RUNS = re.compile(r"[\n -&(-~À-ÖØ-öø-ſ]+")
+_BLANKS = ("  ", "\n\n", " \n", "\n ")
+_LETTER, _DIGIT, _OTHER, _SPACE, _FEED = range(5)
+#: Distinct pre-tokens kept by one worker before the cache starts anew (bounds memory, not results).
+CACHE_WORDS = 300_000
+
+
+def _byte_classes() -> np.ndarray:
+    kinds = np.full(256, _OTHER, np.uint8)
+    kinds[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") + list(range(128, 256))] = _LETTER
+    kinds[list(b"0123456789")] = _DIGIT
+    kinds[ord(" ")], kinds[ord("\n")] = _SPACE, _FEED
+    return kinds
+
+
+def _byte_letters() -> dict[int, str]:
+    """Fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others for U+0100 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+def _is_runs(text: str) -> bool:
+    return bool(_RUNS.fullmatch(text)) and not any(b in text for b in _BLANKS) and not text[0].isspace() and not text[-1].isspace()
 
 
 class CachedEncoder:
-    """Encodes texts with a ``tokenizers`` file, special strings as ordinary text.
+    """Encodes texts with a byte-level BPE file of the ``tokenizers`` library, special strings as ordinary text.
 
-    A byte-level BPE never merges across pre-tokens, so a text's ids are the
-    ids of its pre-tokens in order. Pre-tokens not seen before are encoded
-    together, one to a line, and cut at the line feeds' ids. Texts with any
-    character outside ``_PLAIN`` go to the tokenizer whole.
+    Merges never cross pre-tokens, so a text's ids are those of its pre-tokens
+    in order. In most texts these are runs of bytes of one class; they are
+    found and compared as numbers, and the library encodes those not seen
+    before, all at once. Any other text goes to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+
+        self._whole_texts = Tokenizer.from_file(path)
+        self._whole_texts.encode_special_tokens = True
+        self._words = Tokenizer.from_file(path)
+        self._words.encode_special_tokens = True
+        self._words.pre_tokenizer = CharDelimiterSplit("\n")
+        self._letters = _byte_letters()
+        self._feed = self.whole("\n")
+        self._letters[10] = "\n"
+        vocabulary = self._words.get_vocab(with_added_tokens=False)
+        self._length = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self._length[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self._classes, self._hasher = _byte_classes(), SpanHasher()
+        self._known: dict[bytes, bytes] = {b"\n": self._feed}
 
-        self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True
-        feed = self._whole(["a\na"])[0]
-        self._feed = np.frombuffer(feed, "<u4")[1] if len(feed) == 12 else None
-        self._known: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        blank = [w for w in words if w.isspace()]
-        self._known.update(zip(blank, self._whole(blank)))
-        words = [w for w in words if not w.isspace()]
-        if not words:
-            return
-        ids = np.frombuffer(self._whole(["\n".join(words)])[0], "<u4")
-        cuts = np.flatnonzero(ids == self._feed)
-        if self._feed is None or len(cuts) != len(words) - 1:  # a tokenizer of another kind
-            self._known.update(zip(words, self._whole(words)))
-            return
-        raw, starts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-        self._known.update((w, raw[a:b]) for w, a, b in zip(words, starts, ends))
+    def whole(self, text: str) -> bytes:
+        return np.array(self._whole_texts.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        joined = b"\n".join(words).decode("latin-1").translate(self._letters)
+        ids = np.array(self._words.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.searchsorted(np.cumsum(self._length[ids]), np.cumsum(list(map(len, words)))) + 1
+        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        learnt = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        self._known.update(zip(words, learnt))
+        return learnt
+
+    def _encode_runs(self, texts: list[bytes]) -> list[bytes]:
+        joined = b"\n".join([*texts, b""])
+        data = np.frombuffer(joined, np.uint8)
+        kinds = self._classes[data]
+        begins = np.ones(len(data), bool)
+        begins[1:] = (kinds[1:] != kinds[:-1]) & (kinds[:-1] != _SPACE)
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data))
+        _, first, which = np.unique(self._hasher.hashes(data, starts, ends), return_index=True, return_inverse=True)
+        words = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        if len(self._known) > CACHE_WORDS:
+            self._known = {b"\n": self._feed}
+        ids = list(map(self._known.get, words))
+        if new := [k for k, x in enumerate(ids) if x is None]:
+            for k, x in zip(new, self._learn([words[k] for k in new])):
+                ids[k] = x
+        lengths = np.array(list(map(len, ids)), np.int64) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        each = lengths[which]
+        closing = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]) - 1)  # the line feeds put after the texts
+        each[closing] = 0
+        out = flat[ragged((np.cumsum(lengths) - lengths)[which], each)].tobytes()
+        cuts = [0, *(4 * np.cumsum(each)[closing]).tolist()]
+        return [out[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [_PRETOKEN.findall(t) if _PLAIN.fullmatch(t) else None for t in texts]
-        if len(self._known) > CACHE_WORDS:
-            self._known = {}
-        words = set().union(*(s for s in split if s is not None)) - self._known.keys()
-        if words:
-            self._learn(list(words))
-        get = self._known.__getitem__
-        return [self._whole([t])[0] if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
+        runs = [k for k, t in enumerate(texts) if _is_runs(t)]
+        out = dict(zip(runs, self._encode_runs([texts[k].encode() for k in runs]))) if runs else {}
+        return [out[k] if k in out else self.whole(t) for k, t in enumerate(texts)]
+
+
+def worker_kept(key, make):
+    """What ``make`` gives, made once for all tasks that this Python worker runs: functions are shipped by value, so globals aren't kept."""
+    kept = sys.modules.setdefault("_strata_worker", ModuleType("_strata_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+def worker_encoder(path: str) -> CachedEncoder:
+    return worker_kept(("encoder", path), lambda: CachedEncoder(path))
 
 
-def groups_of(texts, max_chars: int = 2_000_000):
+def groups_of(texts, max_chars: int = 4_000_000):
     """Index ranges of consecutive texts of about ``max_chars`` together: bounds a task's memory."""
     start = size = 0
     for i, t in enumerate(texts):
