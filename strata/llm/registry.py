@@ -12,6 +12,7 @@ from strata.llm.html_main import extract_main_text
 from strata.llm.impact_search import exact_top_k
 from strata.llm.jaccard_join import near_duplicates
 from strata.llm.packing import pack_documents
+from strata.llm.piece_sampling import sample_digest
 from strata.llm.pii import KINDS, find_private, render
 from strata.llm.quality_model import score_quality
 from strata.llm.quality_rules import judge
@@ -36,7 +37,7 @@ with v as (
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,6 +90,10 @@ def op9_adaptive_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_impact_search": op1_impact_search,
@@ -100,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_host_paths": op7_host_paths,
         "op8_toxicity": op8_toxicity,
         "op9_adaptive_prefixes": op9_adaptive_prefixes,
+        "op10_piece_sampling": op10_piece_sampling,
     }
 
 
