@@ -28,6 +28,13 @@ def fold(key: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores in front as it takes to differ from all ``taken`` (in any case)."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

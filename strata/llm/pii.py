@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import is_small, staged
+from strata.llm.common import fresh, is_small, staged
 from strata.llm.quality_rules import let
 
 KINDS = ("email", "ip", "card", "phone")
@@ -203,15 +203,17 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUP
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))),
         F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("term").alias("kind"))),
     )
-    private = staged(private.select(F.col("doc_id").alias("p_id"), F.col("text_hash").alias("p_hash"), F.sort_array(tagged).alias("p_spans")).dropDuplicates(["p_id", "p_hash"]), "private")
+    key, text_hash, spans = (fresh(c, docs.columns) for c in ("p_id", "p_hash", "p_spans"))
+    private = private.select(F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash), F.sort_array(tagged).alias(spans))
+    private = staged(private.dropDuplicates([key, text_hash]), "private")
     private = F.broadcast(private) if is_small(private, BROADCAST_ROWS) else private
     text = F.col("text").cast("string")
-    rows = docs.join(private, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("p_hash")), "left")
+    rows = docs.join(private, F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(text_hash)), "left")
 
     def step(acc: Column, s: Column) -> Column:
         inside = s["start"] < acc["at"]
         more = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(more).alias("out"))
 
-    clean = F.aggregate("p_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
-    return rows.select(*(F.when(F.col("p_spans").isNotNull(), clean).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns))
+    clean = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+    return rows.select(*(F.when(F.col(spans).isNotNull(), clean).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns))
