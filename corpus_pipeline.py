@@ -13,7 +13,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import fold, staged, table
+from strata.llm.common import fold, fresh, staged, table
 from strata.llm.jaccard_join import near_duplicates
 from strata.llm.packing import pack_documents
 from strata.llm.pii import sanitise
@@ -23,8 +23,8 @@ from strata.llm.quality_rules import judge
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id (null included) is in ``kept``: (doc_id), one row each."""
-    kept = kept.withColumnRenamed("doc_id", "kept_id")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    key = fresh("kept_id", docs.columns)
+    return docs.join(kept.withColumnRenamed("doc_id", key), F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
