@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import spread_input
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -26,15 +24,16 @@ def _bit(key: str, k: int) -> str:
     return f"cast(floor(cast({key} % 128 as double) / {2 ** k}) as bigint) % 2 = 1"
 
 
-# ---- trains: orders (train) × lineitem (stop) --------------------------------
+# ---- trains: each line item is one record of its order's train --------------
 TRAIN_COLUMNS = {
-    "trainNumber": "concat(' ', cast(o_orderkey as string), ' ')",
-    "trainName": "concat('Express ', cast(o_custkey % 500 as string))",
-    "route": "concat(' ', o_orderpriority, ' to ', case o_orderstatus when 'F' then 'Delhi' "
-             "when 'O' then 'Mumbai' else 'Pune' end, ' ')",
+    "trainNumber": "concat(' ', cast(l_orderkey as string), ' ')",
+    "trainName": "concat('Express ', cast(l_orderkey % 500 as string))",
+    "route": "concat(' ', case l_orderkey % 5 when 0 then 'Agra' when 1 then 'Kochi' when 2 then 'Surat' "
+             "when 3 then 'Patna' else 'Ranchi' end, ' to ', case l_orderkey % 3 when 0 then 'Delhi' "
+             "when 1 then 'Mumbai' else 'Pune' end, ' ')",
 }
-TRAIN_DAYS = {d: _bit("o_custkey", k) for k, d in enumerate(("MON", "TUE", "WED", "THU", "FRI", "SAT"))}
-TRAIN_DAYS["SUN"] = f"case when o_orderkey % 101 = 0 then null else {_bit('o_custkey', 6)} end"
+TRAIN_DAYS = {d: _bit("l_orderkey", k) for k, d in enumerate(("MON", "TUE", "WED", "THU", "FRI", "SAT"))}
+TRAIN_DAYS["SUN"] = f"case when l_orderkey % 101 = 0 then null else {_bit('l_orderkey', 6)} end"
 STOP_COLUMNS = {
     "sno": "case when l_orderkey % 89 = 0 then 'x' else cast(l_linenumber as string) end",
     "stationName": "case when l_partkey % 50 = 0 then concat('HALT ', cast(l_partkey as string)) "
@@ -50,42 +49,29 @@ STOP_COLUMNS = {
                 "when l_tax = 0.08 then concat(cast(l_quantity as string), ' kms') "
                 "else concat(cast(cast(l_quantity * 10 as int) as string), ' kms') end",
 }
-
-
-MAX_STOPS_PER_RECORD = 64
+# The second stop of records that have one.
+SECOND_STOP_COLUMNS = {
+    "sno": "cast(l_linenumber + 10 as string)",
+    "stationName": "concat('STATION ', cast(l_suppkey % 300 as string), ' - S', cast(l_suppkey % 300 as string))",
+    "arrives": "concat(lpad(cast(l_partkey % 24 as string), 2, '0'), ':15')",
+    "departs": "case when l_linestatus = 'F' then 'Destination' else concat(lpad(cast(l_partkey % 24 as string), 2, '0'), ':20') end",
+    "day": "cast(2 + cast(floor(l_linenumber / 3) as int) as string)",
+    "distance": "concat(cast(cast(l_quantity * 10 as int) + 500 as string), ' kms')",
+}
+NO_STOPS, TWO_STOPS = "l_partkey % 97 = 0", "l_partkey % 97 <> 0 and l_partkey % 4 = 1"
 
 
 def trains_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested record per order: weekday struct and the array of its line items as stops.
-
-    Orders without line items get a null route (they vanish on explode). An
-    order with more than ``MAX_STOPS_PER_RECORD`` line items is listed as
-    several records of the same train, spread by a row id, so no collected
-    array grows with the data even when one order holds a large share of all
-    line items (the flow treats repeated trains as one).
-    """
-    li = spread_input(table(spark, sf_dir, "lineitem"))
-    sizes = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
-    chunk = F.when(F.col("_n") > MAX_STOPS_PER_RECORD,
-                   F.pmod(F.monotonically_increasing_id(), F.ceil(F.col("_n") / MAX_STOPS_PER_RECORD)))
-    stops = (
-        li.join(sizes, "l_orderkey")
-        .select("l_orderkey", F.coalesce(chunk, F.lit(0)).alias("_chunk"),
-                F.struct(*[F.expr(e).alias(n) for n, e in STOP_COLUMNS.items()]).alias("stop"))
-        .groupBy("l_orderkey", "_chunk").agg(F.sort_array(F.collect_list("stop")).alias("trainRoute"))
-    )
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey",
+    """One nested record per line item, built from that row alone: weekday struct and an array of
+    one stop, two (``TWO_STOPS``) or a null array (``NO_STOPS``). A train has as many records as
+    its order has line items."""
+    first, second = (F.struct(*[F.expr(e).alias(n) for n, e in c.items()]) for c in (STOP_COLUMNS, SECOND_STOP_COLUMNS))
+    stops = F.when(F.expr(TWO_STOPS), F.array(first, second)).when(~F.expr(NO_STOPS), F.array(first))
+    return table(spark, sf_dir, "lineitem").select(
         *[F.expr(e).alias(n) for n, e in TRAIN_COLUMNS.items()],
         F.struct(*[F.expr(e).alias(d) for d, e in TRAIN_DAYS.items()]).alias("runningDays"),
+        stops.alias("trainRoute"),
     )
-    cols = [*TRAIN_COLUMNS, "runningDays", "trainRoute"]
-    # Orders with stops: an inner join, so AQE can split a hot order on either side.
-    with_stops = orders.join(stops, orders.o_orderkey == stops.l_orderkey).select(*cols)
-    # Orders without stops: anti join against the one-row-per-order counts (no skew possible).
-    no_stops = (orders.join(sizes, orders.o_orderkey == sizes.l_orderkey, "left_anti")
-                .withColumn("trainRoute", F.lit(None).cast(stops.schema["trainRoute"].dataType)).select(*cols))
-    return with_stops.unionByName(no_stops)
 
 
 # ---- places: customer ⋈ nation ⋈ region ----------------------------------------
@@ -150,7 +136,7 @@ PATIENT_COLUMNS = {
 def patients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One admission per order (CSV header names); every 10th order also appears with a
     lower bill (same visit), every 15th as an exact copy."""
-    o = spread_input(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     joined = o.join(c, o.o_custkey == c.c_custkey)
     copies = joined.withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.expr(PATIENT_COPIES))))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.plans import inputs, patients, patients_roles, places, study, trains, trips
 from strata.queries import register
 from strata.queries.sqlhelp import (
-    DAYS, PATIENTS_RAW, PLACES_CTE, STUDY_RAW, TRAINS_BRONZE, TRAINS_CTE, TRIPS_RAW, avg_exact, initcap, pct,
+    DAYS, PATIENTS_RAW, PLACES_CTE, STUDY_RAW, TRAINS_BRONZE, TRAINS_CTE, TRAINS_WITHOUT_STOPS, TRIPS_RAW, avg_exact, initcap, pct,
     sum_exact,
 )
 from strata.sources import generate
@@ -27,12 +27,7 @@ def flatten_nested(spark, sf):
     return trains.bronze_stops(inputs.trains_raw(spark, sf))
 
 
-_NO_STOPS = ("SELECT " + TRAINS_BRONZE.split("SELECT ", 1)[1].split(", " + inputs.STOP_COLUMNS["sno"])[0]
-             + ", NULL AS stop_number, NULL AS station_name, NULL AS arrives, NULL AS departs, NULL AS day, "
-               "NULL AS distance FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
-
-
-@register("flatten_nested_outer", f"{TRAINS_BRONZE} UNION ALL {_NO_STOPS}")
+@register("flatten_nested_outer", f"{TRAINS_BRONZE} UNION ALL {TRAINS_WITHOUT_STOPS}")
 def flatten_nested_outer(spark, sf):
     return trains.bronze_stops(inputs.trains_raw(spark, sf), keep_empty=True)
 

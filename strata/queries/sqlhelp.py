@@ -38,13 +38,19 @@ def cols(mapping: dict[str, str]) -> str:
     return inputs.select_list(mapping)
 
 
-TRAINS_BRONZE = (
-    "SELECT " + cols(inputs.TRAIN_COLUMNS) + ", " + cols(inputs.TRAIN_DAYS) + ", "
-    + ", ".join(f'{inputs.STOP_COLUMNS[src]} AS "{dst}"' for dst, src in [
-        ("stop_number", "sno"), ("station_name", "stationName"), ("arrives", "arrives"),
-        ("departs", "departs"), ("day", "day"), ("distance", "distance")])
-    + " FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
-)
+_STOP_NAMES = [("stop_number", "sno"), ("station_name", "stationName"), ("arrives", "arrives"),
+               ("departs", "departs"), ("day", "day"), ("distance", "distance")]
+
+
+def _train_rows(stop: dict[str, str] | None, condition: str) -> str:
+    fields = ", ".join(f'{stop[src] if stop else "NULL"} AS "{dst}"' for dst, src in _STOP_NAMES)
+    return (f"SELECT {cols(inputs.TRAIN_COLUMNS)}, {cols(inputs.TRAIN_DAYS)}, {fields} "
+            f"FROM lineitem WHERE {condition}")
+
+
+TRAINS_BRONZE = (_train_rows(inputs.STOP_COLUMNS, f"NOT ({inputs.NO_STOPS})") + " UNION ALL "
+                 + _train_rows(inputs.SECOND_STOP_COLUMNS, inputs.TWO_STOPS))
+TRAINS_WITHOUT_STOPS = _train_rows(None, inputs.NO_STOPS)
 DAYS = ["MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN"]
 TRAINS_SILVER = f"""
 SELECT trim(trainNumber) AS trainNumber, trim(trainName) AS trainName, trim(route) AS route,

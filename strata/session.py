@@ -3,7 +3,7 @@ scratch area under ``spark.checkpoint.dir``.
 
 On a cluster the scratch area must be a shared folder (the one the cluster
 names in ``spark.checkpoint.dir``); a machine-local temporary folder is only
-chosen when nothing is configured, which is the test situation.
+chosen in local mode when nothing is configured, which is the test situation.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Reads ``spark.checkpoint.dir`` (or a directory already set on the
-    context); only when neither exists is a local folder created, as in
-    tests.
+    context). When neither exists, local mode gets a temporary folder, as in
+    tests; any other master is an error, as machines don't share such folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -55,39 +57,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/strata/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings a cluster job of this package would start from, sized from the input.
-
-    Scan splits and shuffle partitions aim at ``target_partition_bytes`` each
-    (so a task's working set fits executor memory and spills stay rare); the
-    initial shuffle partition count is an upper bound that AQE coalesces down
-    from runtime sizes, and AQE splits skewed sort-merge partitions. The
-    broadcast threshold stays Spark's size check on statistics.
-    """
-    shuffle_parts = max(2 * total_cores, min(200_000, -(-input_bytes // target_partition_bytes)))
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_parts),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
-    }
-
-
-def spread_input(df, min_partitions: int | None = None):
-    """Spread a scan with fewer splits than task slots over all slots.
-
-    A large input already has one split per file block and is returned as
-    is; a small input stored as one row group would otherwise run every
-    operator before the first shuffle in a single task. Planning-only check,
-    no job.
-    """
-    spark = df.sparkSession
-    slots = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -87,18 +88,21 @@ def verify_readback(spark: SparkSession, specs: Mapping[str, SinkSpec] | Sequenc
 
 
 def write_json_documents(df: DataFrame, path: str, records_per_file: int = 1000) -> None:
-    """Write multi-line JSON: files that each hold one JSON array of records.
+    """Write multi-line JSON in a flat folder: each file holds one JSON array of at most ``records_per_file`` records.
 
-    Rows are spread round-robin over ``ceil(rows / records_per_file)`` groups,
-    so every document is bounded by ``records_per_file`` whatever the key
-    distribution; each group is written to its own file.
+    A task cuts its own rows into documents, one file each, so nothing is
+    shuffled or counted and a document is bounded whatever the keys are.
+    Choose ``records_per_file`` so that a document suits its readers: they
+    parse it whole.
     """
-    groups = max(1, -(-df.count() // records_per_file))
-    docs = (
-        df.repartition(groups).withColumn("_doc", F.spark_partition_id())
-        .groupBy("_doc").agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
-    )
-    docs.write.mode("overwrite").partitionBy("_doc").text(path)
+    def documents(batches):
+        for batch in batches:
+            for at in range(0, len(batch), records_per_file):
+                part = batch["value"].iloc[at:at + records_per_file]
+                yield pd.DataFrame({"value": ["[" + ",".join(part) + "]"]})
+
+    records = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    records.mapInPandas(documents, "value string").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
 def ensure_schemas(spark: SparkSession, names: Sequence[str], location_root: str | None = None,
