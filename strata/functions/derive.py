@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strata.functions.casts import safe_to_date
+
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -34,8 +36,8 @@ def minutes_between(start: str | Column, end: str | Column, scale: int = 2) -> C
 
 
 def stay_days(end: str | Column, start: str | Column) -> Column:
-    """Days from ``start`` to ``end``."""
-    return F.datediff(_c(end), _c(start))
+    """Days from ``start`` to ``end``; null when either is no date."""
+    return F.datediff(safe_to_date(end), safe_to_date(start))
 
 
 def guarded_rate(amount: str | Column, minutes: str | Column, scale: int = 2) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -20,13 +21,18 @@ def trim_all_strings(df: DataFrame, audit_prefix: str = "_") -> DataFrame:
 @dataclass(frozen=True)
 class RoleRule:
     """Columns whose lower-cased name contains any keyword (and, if given, whose
-    type is one of ``dtypes``) play ``role``. ``first_only`` keeps one column."""
+    type is one of ``dtypes``) play ``role``. ``first_only`` keeps one column;
+    ``whole_word`` asks for the keyword as a word of the name ("age" is one of
+    "Age", not of "Language"); ``exclude`` lists keywords that rule a name out.
+    Several rules may give one role."""
 
     role: str
     keywords: tuple[str, ...]
     dtypes: tuple[str, ...] = ()
     first_only: bool = False
     require_all: tuple[str, ...] = ()
+    whole_word: bool = False
+    exclude: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -52,14 +58,15 @@ def resolve_roles(df: DataFrame, rules: Sequence[RoleRule], audit_prefix: str =
     parsed as a date. Columns claimed by more than one role are reported.
     """
     found: dict[str, tuple[str, ...]] = {}
-    claims: dict[str, list[str]] = {}
+    claims: dict[str, set[str]] = {}
     for rule in rules:
         hits = []
         for name, dtype in df.dtypes:
             low = name.lower()
             if name.startswith(audit_prefix):
                 continue
-            if not any(k in low for k in rule.keywords):
+            words = re.findall(r"[a-z0-9]+", low) if rule.whole_word else low
+            if not any(k in words for k in rule.keywords) or any(k in low for k in rule.exclude):
                 continue
             if rule.require_all and not all(k in low for k in rule.require_all):
                 continue
@@ -68,14 +75,20 @@ def resolve_roles(df: DataFrame, rules: Sequence[RoleRule], audit_prefix: str =
             hits.append(name)
         if rule.first_only:
             hits = hits[:1]
-        found[rule.role] = tuple(hits)
+        found[rule.role] = tuple(dict.fromkeys([*found.get(rule.role, ()), *hits]))
         for h in hits:
-            claims.setdefault(h, []).append(rule.role)
+            claims.setdefault(h, set()).add(rule.role)
     ambiguous = tuple(sorted(c for c, roles in claims.items() if len(roles) > 1))
     return ColumnRoles(found, ambiguous)
 
 
-# Transform per role, applied in the order given; later roles see earlier results.
+# Transform per role, applied in the order given; later roles see earlier results. Of the roles
+# that change the type, a column takes the first one only, and only from a type that can hold its values.
+CONVERSIONS = {
+    "date": ("string", "date", "timestamp", "timestamp_ntz"),
+    "double": ("string", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal"),
+    "int": ("string", "tinyint", "smallint", "int", "bigint", "float", "double", "decimal"),
+}
 ROLE_TRANSFORMS = {
     "trim": lambda c: F.trim(c),
     "proper": lambda c: F.initcap(c),
@@ -89,12 +102,19 @@ ROLE_TRANSFORMS = {
 def role_transform(df: DataFrame, roles: ColumnRoles, order: Sequence[str]) -> DataFrame:
     """Apply each role's transform to its columns, as one projection.
 
-    Transforms compose per column (trim, then initcap, …) before the single
-    ``withColumns`` so the analyzer sees one Project, not a long chain.
+    Text transforms compose per column (trim, then initcap, …) before the
+    single ``withColumns`` so the analyzer sees one Project, not a long chain.
+    A column with several conversions among its roles gets the first in
+    ``order``; text transforms leave columns that aren't text alone.
     """
     exprs: dict[str, Column] = {}
+    types, converted = dict(df.dtypes), set()
     for role in order:
-        fn = ROLE_TRANSFORMS[role]
+        fn, accepted = ROLE_TRANSFORMS[role], CONVERSIONS.get(role, ("string",))
         for c in roles.all(role):
+            if c in converted or types[c].split("(")[0] not in accepted:
+                continue
+            if role in CONVERSIONS:
+                converted.add(c)
             exprs[c] = fn(exprs.get(c, F.col(c)))
     return df.withColumns(exprs) if exprs else df

@@ -19,23 +19,34 @@ class Measure:
     ``fn`` is one of ``count`` (rows), ``count_col`` (non-null values),
     ``count_distinct``, ``approx_distinct``, ``sum``, ``avg``, ``min``,
     ``max``, ``count_if`` (``col`` is a predicate) or ``max_int`` (max of a
-    flag cast to int). ``round`` rounds the result. ``decimal_scale`` makes
-    ``sum``/``avg`` exact: the inputs are cast to a decimal with that scale,
-    so the result does not depend on how rows were split across tasks and a
-    rounded average lands on the same side of a .5 tie on every run.
+    flag cast to int). ``round`` rounds the result, half up, after noise
+    beyond the eighth decimal is dropped. ``sum`` and ``avg`` work in doubles;
+    with ``exact`` they add up ``decimal(38,12)`` values, so that the result
+    does not depend on how rows were split across tasks. A group with a value
+    that such a decimal cannot hold (NaN, an infinity, 1e26 or more) gets the
+    double result: NaN and infinities propagate in either form.
     """
 
     name: str
     fn: str
     col: str | Column | None = None
     round: int | None = None
-    decimal_scale: int | None = None
+    exact: bool = False
 
     def _input(self) -> Column:
-        c = F.col(self.col) if isinstance(self.col, str) else self.col
-        if self.decimal_scale is not None and self.fn in ("sum", "avg"):
-            c = c.cast(f"decimal({18 + self.decimal_scale},{self.decimal_scale})")
-        return c
+        return F.col(self.col) if isinstance(self.col, str) else self.col
+
+    def _total(self) -> Column:
+        """``sum`` or ``avg``; exact ones are doubles."""
+        c = self._input()
+        if not self.exact:
+            return getattr(F, self.fn)(c)
+        plain = getattr(F, self.fn)(c.cast("double"))
+        wide = c.try_cast(EXACT_TYPE)
+        total = F.sum(wide).cast("double")
+        if self.fn == "avg":
+            total = F.try_divide(total, F.count(wide))
+        return F.when(F.count_if(c.isNotNull() & wide.isNull()) > 0, plain).otherwise(total)
 
     def expr(self) -> Column:
         fn = self.fn
@@ -51,17 +62,26 @@ class Measure:
             out = F.count_if(self._input())
         elif fn == "max_int":
             out = F.max(self._input().cast("int"))
-        elif fn in ("sum", "avg", "min", "max"):
+        elif fn in ("sum", "avg"):
+            out = self._total()
+        elif fn in ("min", "max"):
             out = getattr(F, fn)(self._input())
         else:
             raise ValueError(f"unknown measure function {fn!r}")
         if self.round is not None:
-            out = F.round(out, self.round)
-        if self.decimal_scale is not None and fn in ("sum", "avg"):
-            out = out.cast("double")
+            out = round_stable(out, self.round)
         return out.alias(self.name)
 
 
+EXACT_TYPE = "decimal(38,12)"
+
+
+def round_stable(c: Column, digits: int) -> Column:
+    """Round a double half up on its value to eight decimals, so sums of doubles that differ in
+    their last bits round alike; NaN, infinities and values too large for that round plainly."""
+    return F.coalesce(F.round(c.try_cast("decimal(38,8)"), digits).cast("double"), F.round(c, digits))
+
+
 def distinct_measure(name: str, col: str | Column, approximate: bool = False) -> Measure:
     """Exact ``count(DISTINCT col)``, or — when ``approximate`` — HyperLogLog++
     (``approx_count_distinct``, ~5% relative error by default), which ships a
@@ -92,20 +112,16 @@ def global_summary(df: DataFrame, measures: Sequence[Measure]) -> DataFrame:
     return df.agg(*[m.expr() for m in measures])
 
 
-def row_count(df: DataFrame) -> int:
-    """Total rows as a driver scalar (a distributed two-phase count)."""
-    return df.count()
-
+def with_pct_of_total(df: DataFrame, count_col: str, name: str = "pct_of_total", scale: int = 2) -> DataFrame:
+    """``count * 100 / total`` where ``total`` is the sum of ``count_col`` over ``df``.
 
-def with_pct_of_total(df: DataFrame, count_col: str, total: int, name: str = "pct_of_total",
-                      scale: int = 2) -> DataFrame:
-    """``count * 100 / total`` where ``total`` counts all input rows, including
-    groups that were filtered out before aggregating.
-
-    The total is a scalar from a distributed count, folded in as a literal:
-    no join, and the aggregated frame keeps its partitioning.
+    ``df`` holds one row per group of **all** rows; groups that the report
+    leaves out are filtered afterwards. The total comes from the grouped
+    frame (whose exchange Spark reuses) as one row, so the input is read once
+    and nothing runs before an action.
     """
-    return df.withColumn(name, pct(F.col(count_col), F.lit(total), scale))
+    total = df.agg(F.sum(count_col).alias("_total"))
+    return df.crossJoin(F.broadcast(total)).withColumn(name, pct(F.col(count_col), F.col("_total"), scale)).drop("_total")
 
 
 def with_completeness(df: DataFrame, pairs: Mapping[str, tuple[str, str]], scale: int = 2) -> DataFrame:
@@ -113,22 +129,19 @@ def with_completeness(df: DataFrame, pairs: Mapping[str, tuple[str, str]], scale
     return df.withColumns({n: pct(F.col(p), F.col(w), scale) for n, (p, w) in pairs.items()})
 
 
-def unpivot_frequency(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str],
-                      name_col: str, count_col: str, pct_col: str, scale: int = 2) -> DataFrame:
-    """Unpivot 0/1 columns and count per column: ``sum(v)``, ``sum(v)*100/rows``.
+def unpivot_frequency(df: DataFrame, value_cols: Sequence[str], name_col: str, count_col: str, pct_col: str,
+                      scale: int = 2) -> DataFrame:
+    """Count 0/1 columns and list them as rows: ``sum(v)``, ``sum(v)*100/rows``; no rows for an empty frame.
 
-    Output is ordered by the position of the column in ``value_cols`` (e.g.
-    weekday order), not alphabetically.
+    One global aggregate and a literal list of its columns: rows are never
+    multiplied. Output is in the order of ``value_cols`` (e.g. weekday order).
     """
-    long = df.unpivot(list(id_cols), list(value_cols), name_col, "_v")
-    order = F.array_position(F.array(*[F.lit(v) for v in value_cols]), F.col(name_col))
-    return (
-        long.groupBy(name_col)
-        .agg(F.sum("_v").alias(count_col), F.count(F.lit(1)).alias("_rows"))
-        .withColumn(pct_col, pct(F.col(count_col), F.col("_rows"), scale))
-        .orderBy(order)
-        .drop("_rows")
-    )
+    sums = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(v).alias(f"_{i}") for i, v in enumerate(value_cols)])
+    entries = F.array(*[
+        F.struct(F.lit(v).alias(name_col), F.col(f"_{i}").alias(count_col), pct(F.col(f"_{i}"), F.col("_rows"), scale).alias(pct_col))
+        for i, v in enumerate(value_cols)
+    ])
+    return sums.where("_rows > 0").select(F.inline(entries))
 
 
 def union_tagged(frames: Mapping[str, DataFrame], tag_col: str) -> DataFrame:

@@ -13,7 +13,7 @@ import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -157,42 +157,43 @@ def null_profile_wide(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
-def layer_report(entries: Sequence[tuple[str, str, DataFrame | None]],
+def layer_report(entries: Sequence[tuple[str, str, DataFrame | int | None]],
                  baseline: tuple[str, str] | None = None) -> DataFrame:
-    """Row counts per (layer, table); a table that is missing reports ``N/A``.
+    """Row counts per (layer, table); a table that is missing reports ``N/A``, a number is a count taken before.
 
     With ``baseline`` (a ``(layer, table)`` of ``entries``) each row also gets
     its retention against that table and the rows it no longer has
-    (``removed_rows``: duplicates and quarantined rows); the baseline count is
-    a scalar from a distributed count, folded in as a literal.
+    (``removed_rows``: duplicates and quarantined rows). The baseline is a row
+    of the report itself (a few rows, one per table), so nothing is counted
+    twice and nothing runs before an action.
     """
     parts = []
-    base_rows = None
-    spark = next((f.sparkSession for _, _, f in entries if f is not None), None)
+    spark = next((f.sparkSession for _, _, f in entries if isinstance(f, DataFrame)), None)
     for layer, table, frame in entries:
         if frame is None:
-            part = _missing_row(spark, layer, table)
+            part = _known_row(spark, layer, table, None, "N/A")
+        elif isinstance(frame, int):
+            part = _known_row(spark, layer, table, frame, "OK")
         else:
             part = frame.agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
                 F.col("row_count"), F.lit("OK").alias("status"))
-            if baseline == (layer, table):
-                base_rows = frame.count()
         parts.append(part)
     report = functools.reduce(DataFrame.unionByName, parts)
     if baseline is not None:
+        is_base = (F.col("layer") == baseline[0]) & (F.col("table_name") == baseline[1])
+        report = report.withColumn("_base", F.max(F.when(is_base, F.col("row_count"))).over(Window.partitionBy()))
         report = report.withColumns({
-            "retention_pct": F.round(
-                F.try_divide(F.col("row_count").cast("double") * 100, F.lit(base_rows).cast("double")), 1),
-            "removed_rows": F.lit(base_rows).cast("bigint") - F.col("row_count"),
-        })
+            "retention_pct": F.round(F.try_divide(F.col("row_count").cast("double") * 100, F.col("_base").cast("double")), 1),
+            "removed_rows": F.col("_base") - F.col("row_count"),
+        }).drop("_base")
     return report
 
 
-def _missing_row(spark, layer: str, table: str) -> DataFrame:
-    """The report row of a table that was not built."""
+def _known_row(spark, layer: str, table: str, row_count: int | None, status: str) -> DataFrame:
+    """The report row of a table that was not built, or whose count is known."""
     if spark is None:
         from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()
     return spark.range(1).select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"),
-                                 F.lit(None).cast("bigint").alias("row_count"), F.lit("N/A").alias("status"))
+                                 F.lit(row_count).cast("bigint").alias("row_count"), F.lit(status).alias("status"))

@@ -124,7 +124,8 @@ PATIENT_COLUMNS = {
     "Hospital": "c_mktsegment",
     "Insurance Provider": "concat('Insurer ', cast(o_orderkey % 5 as string))",
     "Billing Amount": "case when o_orderkey % 53 = 0 then -o_totalprice when o_orderkey % 59 = 0 then null "
-                      "when copy_no = 1 and o_orderkey % 10 = 0 then o_totalprice - 100 else o_totalprice end",
+                      "when copy_no = 1 and o_orderkey % 10 = 0 then o_totalprice - 100 "
+                      "else o_totalprice + cast(o_orderkey % 9 as double) / 1000 end",
     "Room Number": "cast(100 + o_orderkey % 401 as int)",
     "Admission Type": "case o_orderstatus when 'F' then 'Elective' when 'O' then 'Emergency' else 'Urgent' end",
     "Discharge Date": "cast(o_orderdate as date) + cast(1 + o_orderkey % 30 as int)",
@@ -155,7 +156,7 @@ TRIP_COLUMNS = {
     "passenger_count": "cast(case when event_id % 17 = 0 then null else event_id % 8 end as int)",
     "trip_distance": "case when event_id % 401 = 0 then 250.0 else cast(event_id % 300 as double) / 4 end",
     "fare_amount": "case when event_id % 29 = 0 then null when event_type = 'error' then -value "
-                   "when event_id % 113 = 0 then value + 500 else value end",
+                   "when event_id % 113 = 0 then value + 500 else value + cast(event_id % 7 as double) / 1000 end",
     "tip_amount": "case when event_id % 37 = 0 then -1.5 else cast(event_id % 20 as double) / 4 end",
     "total_amount": "case when event_type = 'error' then -value else value end + cast(event_id % 20 as double) / 4",
     "payment_type": "cast(1 + event_id % 7 as int)",

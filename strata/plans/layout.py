@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from strata.sources.sinks import SinkSpec
+from pyspark.sql import SparkSession
+
+from strata.sources.sinks import SinkSpec, ensure_schemas
 
 
 @dataclass(frozen=True)
@@ -26,3 +28,22 @@ class LayerLayout:
 
     def has_override(self, layer: str, name: str) -> bool:
         return f"{layer}/{name}" in self.overrides
+
+
+@dataclass(frozen=True)
+class TableLayout:
+    """Catalog targets: ``schemas`` says which schema (``catalog.schema`` too) holds each layer's tables.
+
+    ``location_root`` puts the schemas that `create` makes into one shared
+    folder; without it they are where the catalog's warehouse is.
+    """
+
+    schemas: Mapping[str, str]
+    format: str = "parquet"
+    location_root: str | None = None
+
+    def spec(self, layer: str, name: str) -> SinkSpec:
+        return SinkSpec(f"{self.schemas[layer]}.{name}", "table", self.format, "overwrite")
+
+    def create(self, spark: SparkSession) -> None:
+        ensure_schemas(spark, list(dict.fromkeys(self.schemas.values())), self.location_root, comment="layer schema")

@@ -18,6 +18,7 @@ from strata.operators.dedup import dedup_hash
 from strata.operators.gold import Measure, group_summary, measures_for
 from strata.operators.quality import layer_report
 from strata.plans.layout import LayerLayout
+from strata.plans.patients import RAW_SCHEMA
 from strata.sources.readers import read_csv, read_layer
 from strata.sources.sinks import write_all, write_counted
 
@@ -26,11 +27,14 @@ STRING = ("string",)
 ROLE_RULES = (
     RoleRule("proper", ("name", "doctor", "hospital"), STRING),
     RoleRule("upper", ("blood", "type", "gender", "result"), STRING),
-    # Only names containing "date": "Admission Type" is text, not a date.
-    RoleRule("date", ("date",)),
+    RoleRule("date", ("date",), whole_word=True),
+    # "Admission Type" is text, not a date.
+    RoleRule("date", ("admission", "discharge"), exclude=("type", "reason", "source")),
     RoleRule("double", ("billing", "amount")),
-    RoleRule("int", ("age", "room")),
+    RoleRule("int", ("age", "room"), whole_word=True),
 )
+# Keywords of the condition column.
+CONDITION_KEYWORDS = ("condition", "medical")
 # Age and billing buckets (upper bounds exclusive).
 AGE_BUCKETS = ((18, "Pediatric"), (40, "Young Adult"), (60, "Middle Aged"))
 AGE_TOP = "Senior"
@@ -77,18 +81,16 @@ def silver_patients(bronze: DataFrame) -> DataFrame:
 def _measures(df: DataFrame, count_name: str, with_age: bool, with_min_max: bool,
               with_stay: bool, exact: bool) -> list[Measure]:
     billing, age = _first(df, "billing"), _first(df, "age")
-    money = 2 if exact else None
     spec: dict[str, list[Measure]] = {"*": [Measure(count_name, "count")]}
     if billing:
-        spec[billing] = [Measure("avg_billing_amount", "avg", billing, 2, money),
-                         Measure("total_revenue", "sum", billing, 2, money)]
+        spec[billing] = [Measure("avg_billing_amount", "avg", billing, 2, exact),
+                         Measure("total_revenue", "sum", billing, 2, exact=True)]
         if with_min_max:
             spec[billing] += [Measure("min_billing", "min", billing, 2), Measure("max_billing", "max", billing, 2)]
     if with_age and age:
-        spec[age] = [Measure("avg_age", "avg", age, 1, 0 if exact else None)]
+        spec[age] = [Measure("avg_age", "avg", age, 1, exact)]
     if with_stay:
-        spec["length_of_stay_days"] = [Measure("avg_length_of_stay", "avg", "length_of_stay_days", 1,
-                                               0 if exact else None)]
+        spec["length_of_stay_days"] = [Measure("avg_length_of_stay", "avg", "length_of_stay_days", 1, exact)]
     return measures_for(df.columns, spec)
 
 
@@ -96,20 +98,20 @@ def _stamp(df: DataFrame) -> DataFrame:
     return df.withColumn("_gold_processed_at", F.current_timestamp())
 
 
-def gold_condition_analytics(silver: DataFrame, exact: bool = True) -> DataFrame | None:
-    cond = next((c for c in business_columns(silver) if "condition" in c.lower() or "medical" in c.lower()), None)
+def gold_condition_analytics(silver: DataFrame, exact: bool = False) -> DataFrame | None:
+    cond = next((c for c in business_columns(silver) if any(k in c.lower() for k in CONDITION_KEYWORDS)), None)
     if cond is None:
         return None
     ms = _measures(silver, "total_admissions", False, False, True, exact)
     age = _first(silver, "age")
     if age:
-        ms += [Measure("avg_age", "avg", age, 1, 0 if exact else None),
+        ms += [Measure("avg_age", "avg", age, 1, exact),
                Measure("min_age", "min", age), Measure("max_age", "max", age)]
     return _stamp(group_summary(silver, [F.col(cond).alias("medical_condition")], ms,
                                 order_by=[F.col("total_admissions").desc()]))
 
 
-def gold_hospital_metrics(silver: DataFrame, exact: bool = True) -> DataFrame | None:
+def gold_hospital_metrics(silver: DataFrame, exact: bool = False) -> DataFrame | None:
     hosp = _first(silver, "hospital")
     if hosp is None:
         return None
@@ -118,7 +120,7 @@ def gold_hospital_metrics(silver: DataFrame, exact: bool = True) -> DataFrame |
                                 order_by=[F.col("total_patients").desc()]))
 
 
-def gold_insurer_revenue(silver: DataFrame, exact: bool = True) -> DataFrame | None:
+def gold_insurer_revenue(silver: DataFrame, exact: bool = False) -> DataFrame | None:
     ins = _first(silver, "insurance")
     if ins is None:
         return None
@@ -127,7 +129,7 @@ def gold_insurer_revenue(silver: DataFrame, exact: bool = True) -> DataFrame | N
                                 order_by=[F.col("total_revenue").desc()]))
 
 
-def gold_demographics(silver: DataFrame, exact: bool = True) -> DataFrame | None:
+def gold_demographics(silver: DataFrame, exact: bool = False) -> DataFrame | None:
     gender = _first(silver, "gender")
     if gender is None or "age_group" not in silver.columns:
         return None
@@ -136,9 +138,12 @@ def gold_demographics(silver: DataFrame, exact: bool = True) -> DataFrame | None
                                 order_by=["age_group", "gender"]))
 
 
-def run(spark: SparkSession, csv_path: str, layout: LayerLayout) -> DataFrame:
-    """Multi-line CSV → bronze → silver → four gold tables; skipped gold tables report N/A."""
-    raw = read_csv(spark, csv_path, infer=True, multiline=True)
+def run(spark: SparkSession, csv_path: str, layout: LayerLayout, schema: str | None = RAW_SCHEMA) -> DataFrame:
+    """Multi-line CSV → bronze → silver → four gold tables; skipped gold tables report N/A.
+
+    ``schema=None`` infers the columns, for files of another shape (one more pass over the file).
+    """
+    raw = read_csv(spark, csv_path, schema=schema, infer=schema is None, multiline=True)
     bronze_spec = layout.spec("bronze", "patients_raw")
     write_counted(bronze_patients(raw, csv_path.rsplit("/", 1)[-1]), bronze_spec)
     bronze = read_layer(spark, bronze_spec.target, layout.format)

@@ -9,7 +9,7 @@ from strata.functions.casts import flag, safe_cast
 from strata.functions.text import digits_and_plus
 from strata.operators.bronze import audit_columns
 from strata.operators.gold import (
-    Measure, distinct_measure, group_summary, row_count, with_completeness, with_pct_of_total,
+    Measure, distinct_measure, group_summary, with_completeness, with_pct_of_total,
 )
 from strata.operators.quality import flag_rows, layer_report, quarantine_split
 from strata.plans.layout import LayerLayout
@@ -28,6 +28,13 @@ def bronze_places(raw: DataFrame) -> DataFrame:
     return audit_columns(raw, timestamp="ingested_at")
 
 
+def has_contact(strict: bool = False):
+    """Whether the trimmed phone or url is there; ``strict``: holds text."""
+    if strict:
+        return flag((F.length("phone") > 0) | (F.length("url") > 0))
+    return flag(F.col("phone").isNotNull() | F.col("url").isNotNull())
+
+
 def silver_places(bronze: DataFrame, strict_contact: bool = False) -> DataFrame:
     """Trim text, upper-case country, double coordinates, phone digits, completeness flags.
 
@@ -39,14 +46,10 @@ def silver_places(bronze: DataFrame, strict_contact: bool = False) -> DataFrame:
     cleaned["latitude"] = safe_cast("latitude", "double")
     cleaned["longitude"] = safe_cast("longitude", "double")
     df = bronze.withColumns(cleaned)
-    if strict_contact:
-        contact = (F.length("phone") > 0) | (F.length("url") > 0)
-    else:
-        contact = F.col("phone").isNotNull() | F.col("url").isNotNull()
     return df.withColumns({
         "phone_clean": digits_and_plus("phone"),
         "has_address": flag(F.col("address").isNotNull() & (F.length("address") > 0)),
-        "has_contact": flag(contact),
+        "has_contact": has_contact(strict_contact),
         "silver_ingested_at": F.current_timestamp(),
     }).select(*SILVER_COLUMNS)
 
@@ -67,46 +70,40 @@ def not_blank(c: str):
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
-def gold_country_summary(silver: DataFrame, total: int | None = None, exact: bool = True,
-                         approximate: bool = False) -> DataFrame:
+def gold_country_summary(silver: DataFrame, exact: bool = False, approximate: bool = False) -> DataFrame:
     """Per country: places, cities, categories, mean coordinates, completeness, share of all places."""
-    total = row_count(silver) if total is None else total
-    scale = 6 if exact else None
     g = group_summary(silver, ["country"], [
         Measure("poi_count", "count"),
         distinct_measure("unique_cities", "city", approximate),
         distinct_measure("unique_categories", "categories", approximate),
-        Measure("avg_latitude", "avg", "latitude", round=4, decimal_scale=scale),
-        Measure("avg_longitude", "avg", "longitude", round=4, decimal_scale=scale),
+        Measure("avg_latitude", "avg", "latitude", round=4, exact=exact),
+        Measure("avg_longitude", "avg", "longitude", round=4, exact=exact),
         Measure("with_address", "count_if", F.col("has_address")),
         Measure("with_contact", "count_if", F.col("has_contact")),
     ])
-    g = with_pct_of_total(g, "poi_count", total)
+    g = with_pct_of_total(g, "poi_count")
     g = with_completeness(g, {"address_completeness_pct": ("with_address", "poi_count"),
                               "contact_completeness_pct": ("with_contact", "poi_count")})
     return g.orderBy(F.col("poi_count").desc())
 
 
-def gold_category_distribution(silver: DataFrame, total: int | None = None,
-                               approximate: bool = False) -> DataFrame:
+def gold_category_distribution(silver: DataFrame, approximate: bool = False) -> DataFrame:
     """Per non-blank category; the share is of **all** places, blank categories included."""
-    total = row_count(silver) if total is None else total
-    g = group_summary(silver.filter(not_blank("categories")), ["categories"], [
+    g = group_summary(silver, ["categories"], [
         Measure("poi_count", "count"),
         distinct_measure("countries_present", "country", approximate),
         distinct_measure("unique_cities", "city", approximate),
     ])
-    return with_pct_of_total(g, "poi_count", total).orderBy(F.col("poi_count").desc())
+    return with_pct_of_total(g, "poi_count").filter(not_blank("categories")).orderBy(F.col("poi_count").desc(), "categories")
 
 
-def gold_city_density(silver: DataFrame, exact: bool = True, approximate: bool = False) -> DataFrame:
+def gold_city_density(silver: DataFrame, exact: bool = False, approximate: bool = False) -> DataFrame:
     """Per non-blank (city, state, country): places, categories and centre coordinates."""
-    scale = 6 if exact else None
     return group_summary(silver.filter(not_blank("city")), ["city", "state", "country"], [
         Measure("poi_count", "count"),
         distinct_measure("unique_categories", "categories", approximate),
-        Measure("center_latitude", "avg", "latitude", round=6, decimal_scale=scale),
-        Measure("center_longitude", "avg", "longitude", round=6, decimal_scale=scale),
+        Measure("center_latitude", "avg", "latitude", round=6, exact=exact),
+        Measure("center_longitude", "avg", "longitude", round=6, exact=exact),
     ], order_by=[F.col("poi_count").desc()])
 
 
@@ -114,8 +111,8 @@ SPLIT_FLAG = "_is_quarantined"
 
 
 def split_root(layout: LayerLayout) -> str:
-    """Silver and quarantine are written in one job below this folder."""
-    return layout.spec("silver", "places_split").target
+    """Both sides of the split are written in one job below this folder, which lies beside the layers."""
+    return layout.spec("split", "places").target
 
 
 def layer_locations(layout: LayerLayout) -> dict[str, str]:
@@ -132,10 +129,9 @@ def run(spark: SparkSession, raw: DataFrame, layout: LayerLayout) -> DataFrame:
     flagged = flag_rows(silver_places(bronze), quarantine_conditions(), SPLIT_FLAG)
     silver_path, quarantine_path = write_flag_split(flagged, SPLIT_FLAG, split_root(layout), layout.format)
     silver = read_layer(spark, silver_path, layout.format)
-    total = row_count(silver)
     gold = {
-        "country_summary": (gold_country_summary(silver, total), layout.spec("gold", "country_summary")),
-        "category_distribution": (gold_category_distribution(silver, total),
+        "country_summary": (gold_country_summary(silver), layout.spec("gold", "country_summary")),
+        "category_distribution": (gold_category_distribution(silver),
                                   layout.spec("gold", "category_distribution")),
         "city_density": (gold_city_density(silver), layout.spec("gold", "city_density")),
     }

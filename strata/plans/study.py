@@ -35,7 +35,7 @@ def high_adoption_salary_drop(df: DataFrame, threshold: float = AI_ADOPTION_THRE
                 F.round("salary_after_usd", 2).alias("salary_after_usd"),
                 F.round("salary_change_percent", 2).alias("salary_change_pct"),
                 "automation_risk_category")
-        .orderBy(F.col("salary_change_percent").asc())
+        .orderBy(F.col("salary_change_percent").asc(), "job_id")
     )
 
 

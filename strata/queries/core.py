@@ -13,7 +13,7 @@ from strata.operators import bronze, clean, dedup, gold, profile, quality
 from strata.plans import inputs, places, trips
 from strata.queries import register
 from strata.queries.sqlhelp import (
-    PLACES_RAW, TRIPS_RAW, avg_exact, cols, initcap, pct, row_hash, sum_exact,
+    PLACES_RAW, TRIPS_RAW, avg_rounded, cols, initcap, pct, row_hash, sum_rounded,
 )
 
 
@@ -209,10 +209,9 @@ def null_sentinel(spark, sf):
 FROM ({PLACES_RAW})""")
 def flag_completeness(spark, sf):
     raw = inputs.places_raw(spark, sf)
-    loose = places.silver_places(places.bronze_places(raw)).select("point_of_interest", "has_address", "has_contact")
-    strict = places.silver_places(places.bronze_places(raw), strict_contact=True).select(
-        "point_of_interest", F.col("has_contact").alias("has_contact_strict"))
-    return loose.join(strict, "point_of_interest")
+    silver = places.silver_places(places.bronze_places(raw))
+    return silver.select("point_of_interest", "has_address", "has_contact",
+                         places.has_contact(strict=True).alias("has_contact_strict"))
 
 
 @register("fill_nulls", f"""SELECT lpep_pickup_datetime, lpep_dropoff_datetime, coalesce(passenger_count, 1) AS passenger_count,
@@ -314,7 +313,7 @@ def filter_range(spark, sf):
 
 @register("filter_domain", f"SELECT * FROM ({TRIPS_RAW}) WHERE VendorID NOT IN (1, 2) AND VendorID IS NOT NULL")
 def filter_domain(spark, sf):
-    return inputs.trips_raw(spark, sf).filter(trips._invalid("VendorID", (1, 2)))
+    return inputs.trips_raw(spark, sf).filter(~F.col("VendorID").isin(1, 2) & F.col("VendorID").isNotNull())
 
 
 @register("filter_temporal", f"SELECT * FROM ({TRIPS_RAW}) WHERE lpep_dropoff_datetime < lpep_pickup_datetime")
@@ -340,31 +339,10 @@ def non_negative_report(spark, sf):
 
 # ------------------------------------------------------------------ data quality (trips rules)
 
-_RULE_CONDITIONS = [
-    ("NULL_vendor_id", "completeness", "VendorID IS NULL"),
-    ("NULL_pickup_datetime", "completeness", "lpep_pickup_datetime IS NULL"),
-    ("NULL_dropoff_datetime", "completeness", "lpep_dropoff_datetime IS NULL"),
-    ("NULL_passenger_count", "completeness", "passenger_count IS NULL"),
-    ("NULL_fare_amount", "completeness", "fare_amount IS NULL"),
-    ("INVALID_vendor_id", "domain", "VendorID NOT IN (1, 2) AND VendorID IS NOT NULL"),
-    ("INVALID_ratecode_id", "domain", "RatecodeID NOT IN (1, 2, 3, 4, 5, 6, 99) AND RatecodeID IS NOT NULL"),
-    ("INVALID_payment_type", "domain", "payment_type NOT IN (1, 2, 3, 4, 5, 6) AND payment_type IS NOT NULL"),
-    ("INVALID_trip_type", "domain", "trip_type NOT IN (1, 2) AND trip_type IS NOT NULL"),
-    ("INVALID_store_fwd", "domain", "store_and_fwd_flag NOT IN ('Y', 'N') AND store_and_fwd_flag IS NOT NULL"),
-    ("NEGATIVE_fare", "range", "fare_amount < 0"),
-    ("NEGATIVE_tip", "range", "tip_amount < 0"),
-    ("NEGATIVE_total", "range", "total_amount < 0"),
-    ("ZERO_trip_distance", "range", "trip_distance = 0"),
-    ("EXTREME_distance", "range", "trip_distance > 200"),
-    ("EXTREME_fare", "range", "fare_amount > 500"),
-    ("EXTREME_passengers", "range", "passenger_count > 6"),
-    ("DROPOFF_before_pickup", "temporal", "lpep_dropoff_datetime < lpep_pickup_datetime"),
-    ("ZERO_duration_trip", "temporal", "lpep_dropoff_datetime = lpep_pickup_datetime"),
-]
 DQ_RESULTS_SQL = f"""WITH raw AS ({TRIPS_RAW}),
 counts AS ({" UNION ALL ".join(
     f"SELECT '{r}' AS rule_name, '{c}' AS category, cast(count_if({cond}) AS BIGINT) AS failed_rows, "
-    f"count(*) AS total FROM raw" for r, c, cond in _RULE_CONDITIONS)}),
+    f"count(*) AS total FROM raw" for r, c, cond in trips.RULES)}),
 results AS (SELECT rule_name, category, failed_rows,
   round(cast(failed_rows AS double) / cast(total AS double) * 100, 2) AS fail_pct,
   CASE WHEN failed_rows = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM counts)"""
@@ -478,6 +456,13 @@ def dedup_hash(spark, sf):
     return dedup.dedup_hash(hashed, "_row_hash", whole_row=True)
 
 
+@register("dedup_hash_only", f"SELECT DISTINCT {', '.join(_DUP_COLS)}, {row_hash(_DUP_COLS)} AS _row_hash FROM orders")
+def dedup_hash_only(spark, sf):
+    """One row per hash while the other columns differ between the copies; the columns the hash covers are compared."""
+    orders = T(spark, sf, "orders")
+    return dedup.dedup_hash(bronze.with_row_hash(orders, _DUP_COLS), "_row_hash").select(*_DUP_COLS, "_row_hash")
+
+
 @register("dedup_key", """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
   ORDER BY o_totalprice DESC NULLS LAST, o_orderkey ASC NULLS FIRST) AS rn FROM orders) WHERE rn = 1""")
 def dedup_key(spark, sf):
@@ -488,8 +473,8 @@ def dedup_key(spark, sf):
 # ------------------------------------------------------------------ aggregates
 
 @register("agg_basic", f"""SELECT l_returnflag, l_linestatus, count(*) AS row_count, count(l_tax) AS tax_values,
-  {sum_exact('l_quantity', 2)} AS sum_qty, {avg_exact('l_extendedprice', 2, 2)} AS avg_price,
-  min(l_discount) AS min_discount, max(l_discount) AS max_discount, {sum_exact('l_extendedprice', 2)} AS sum_price
+  {sum_rounded('l_quantity')} AS sum_qty, {avg_rounded('l_extendedprice', 2)} AS avg_price,
+  min(l_discount) AS min_discount, max(l_discount) AS max_discount, {sum_rounded('l_extendedprice')} AS sum_price
 FROM ({_LI_NULLS_SQL.replace('SELECT ', 'SELECT l_linestatus, l_extendedprice, l_discount, ', 1)})
 GROUP BY l_returnflag, l_linestatus""")
 def agg_basic(spark, sf):
@@ -497,19 +482,19 @@ def agg_basic(spark, sf):
         "l_linestatus", "l_extendedprice", "l_discount", *[f"{e} AS {k}" for k, e in _LI_NULLS.items()])
     return gold.group_summary(df, ["l_returnflag", "l_linestatus"], [
         gold.Measure("row_count", "count"), gold.Measure("tax_values", "count_col", "l_tax"),
-        gold.Measure("sum_qty", "sum", "l_quantity", decimal_scale=2),
-        gold.Measure("avg_price", "avg", "l_extendedprice", round=2, decimal_scale=2),
+        gold.Measure("sum_qty", "sum", "l_quantity", round=2),
+        gold.Measure("avg_price", "avg", "l_extendedprice", round=2),
         gold.Measure("min_discount", "min", "l_discount"), gold.Measure("max_discount", "max", "l_discount"),
-        gold.Measure("sum_price", "sum", "l_extendedprice", decimal_scale=2)])
+        gold.Measure("sum_price", "sum", "l_extendedprice", round=2)])
 
 
-@register("agg_global", f"""SELECT count(*) AS line_count, {sum_exact('l_extendedprice', 2)} AS total_price,
-  {avg_exact('l_discount', 2, 4)} AS avg_discount, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship,
+@register("agg_global", f"""SELECT count(*) AS line_count, {sum_rounded('l_extendedprice')} AS total_price,
+  {avg_rounded('l_discount', 4)} AS avg_discount, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship,
   count(DISTINCT l_returnflag) AS flags FROM lineitem""")
 def agg_global(spark, sf):
     return gold.global_summary(T(spark, sf, "lineitem"), [
-        gold.Measure("line_count", "count"), gold.Measure("total_price", "sum", "l_extendedprice", decimal_scale=2),
-        gold.Measure("avg_discount", "avg", "l_discount", round=4, decimal_scale=2),
+        gold.Measure("line_count", "count"), gold.Measure("total_price", "sum", "l_extendedprice", round=2),
+        gold.Measure("avg_discount", "avg", "l_discount", round=4),
         gold.Measure("first_ship", "min", "l_shipdate"), gold.Measure("last_ship", "max", "l_shipdate"),
         gold.Measure("flags", "count_distinct", "l_returnflag")])
 
@@ -531,22 +516,22 @@ def agg_conditional(spark, sf):
 
 
 @register("agg_multi_key", f"""SELECT o_orderstatus AS status, cast(year(o_orderdate) AS INTEGER) AS order_year,
-  count(*) AS orders, {sum_exact('o_totalprice', 2)} AS revenue FROM orders GROUP BY o_orderstatus, year(o_orderdate)""")
+  count(*) AS orders, {sum_rounded('o_totalprice')} AS revenue FROM orders GROUP BY o_orderstatus, year(o_orderdate)""")
 def agg_multi_key(spark, sf):
     return gold.group_summary(T(spark, sf, "orders"),
                               [F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("order_year")],
                               [gold.Measure("orders", "count"),
-                               gold.Measure("revenue", "sum", "o_totalprice", decimal_scale=2)])
+                               gold.Measure("revenue", "sum", "o_totalprice", round=2)])
 
 
-@register("agg_dynamic", f"""SELECT c_mktsegment, count(*) AS customers, {avg_exact('c_acctbal', 2, 2)} AS avg_balance,
-  {sum_exact('c_acctbal', 2)} AS total_balance FROM customer GROUP BY c_mktsegment""")
+@register("agg_dynamic", f"""SELECT c_mktsegment, count(*) AS customers, {avg_rounded('c_acctbal', 2)} AS avg_balance,
+  {sum_rounded('c_acctbal')} AS total_balance FROM customer GROUP BY c_mktsegment""")
 def agg_dynamic(spark, sf):
     c = T(spark, sf, "customer")
     ms = gold.measures_for(c.columns, {
         "*": [gold.Measure("customers", "count")],
-        "c_acctbal": [gold.Measure("avg_balance", "avg", "c_acctbal", 2, 2),
-                      gold.Measure("total_balance", "sum", "c_acctbal", None, 2)],
+        "c_acctbal": [gold.Measure("avg_balance", "avg", "c_acctbal", 2),
+                      gold.Measure("total_balance", "sum", "c_acctbal", 2)],
         "c_age": [gold.Measure("avg_age", "avg", "c_age", 1)],
     })
     return gold.group_summary(c, ["c_mktsegment"], ms)
@@ -565,9 +550,8 @@ def agg_ratio(spark, sf):
 WHERE o_orderpriority <> '5-LOW' GROUP BY o_orderpriority""")
 def pct_of_total(spark, sf):
     o = T(spark, sf, "orders")
-    g = gold.group_summary(o.filter(F.col("o_orderpriority") != "5-LOW"), ["o_orderpriority"],
-                           [gold.Measure("orders", "count")])
-    return gold.with_pct_of_total(g, "orders", gold.row_count(o))
+    g = gold.group_summary(o, ["o_orderpriority"], [gold.Measure("orders", "count")])
+    return gold.with_pct_of_total(g, "orders").filter(F.col("o_orderpriority") != "5-LOW")
 
 
 @register("agg_completeness", f"""SELECT *, {pct('positive', 'customers')} AS positive_pct FROM (
@@ -622,18 +606,37 @@ def unpivot_days(spark, sf):
 # ------------------------------------------------------------------ profiles and reports
 
 _PROFILE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_PROFILE_TEXTS = ["l_returnflag", "l_linestatus"]
+_PROFILE_SQL = [
+    f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, "
+    f"min({c}) AS min, max({c}) AS max, cast(NULL AS VARCHAR) AS min_text, cast(NULL AS VARCHAR) AS max_text FROM lineitem"
+    for c in _PROFILE_COLS] + [
+    f"SELECT '{c}', count({c}), NULL, NULL, NULL, NULL, min({c}), max({c}) FROM lineitem" for c in _PROFILE_TEXTS]
 
 
-@register("profile_describe", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev, "
-    f"min({c}) AS min, max({c}) AS max FROM lineitem" for c in _PROFILE_COLS))
+@register("profile_describe", " UNION ALL ".join(_PROFILE_SQL))
 def profile_describe(spark, sf):
-    return profile.profile_describe(T(spark, sf, "lineitem"), _PROFILE_COLS)
+    return profile.profile_describe(T(spark, sf, "lineitem"), _PROFILE_COLS + _PROFILE_TEXTS)
 
 
-@register("profile_summary")
+# Largest distance of a quartile's rank from the true one that the check accepts.
+_RANK_ERROR = 0.02
+
+
+@register("profile_summary", f"SELECT *, true AS p25_in_bounds, true AS p50_in_bounds, true AS p75_in_bounds "
+                             f"FROM ({' UNION ALL '.join(_PROFILE_SQL[:len(_PROFILE_COLS)])})")
 def profile_summary(spark, sf):
-    return profile.profile_summary(T(spark, sf, "lineitem"), _PROFILE_COLS)
+    """The profile, with each quartile replaced by whether its rank is right, counted over all rows."""
+    li = T(spark, sf, "lineitem")
+    summary = profile.profile_summary(li, _PROFILE_COLS)
+    long = li.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x"))
+                                         for c in _PROFILE_COLS])).alias("v")).select("v.*")
+    marks = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    ranks = long.join(F.broadcast(summary.select("column_name", *marks)), "column_name").groupBy("column_name").agg(*[
+        ((F.count_if(F.col("x") < F.col(p)) <= F.count("x") * (rank + _RANK_ERROR))
+         & (F.count_if(F.col("x") <= F.col(p)) >= F.count("x") * (rank - _RANK_ERROR))).alias(f"{p}_in_bounds")
+        for p, rank in marks.items()])
+    return summary.drop(*marks).join(ranks, "column_name")
 
 
 @register("layer_report", """SELECT * , round(cast(row_count AS double) * 100 / (SELECT count(*) FROM orders), 1) AS retention_pct,

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from strata.plans import inputs, patients, patients_roles, places, study, trains, trips
 from strata.queries import register
 from strata.queries.sqlhelp import (
-    DAYS, PATIENTS_RAW, PLACES_CTE, STUDY_RAW, TRAINS_BRONZE, TRAINS_CTE, TRAINS_WITHOUT_STOPS, TRIPS_RAW, avg_exact, initcap, pct,
-    sum_exact,
+    DAYS, PATIENTS_RAW, PLACES_CTE, STUDY_RAW, TRAINS_BRONZE, TRAINS_CTE, TRAINS_WITHOUT_STOPS, TRIPS_RAW, avg_rounded, initcap, pct,
+    rounded, sum_exact, sum_rounded,
 )
 from strata.sources import generate
 
@@ -90,7 +90,7 @@ SELECT *, {pct('poi_count', '(SELECT count(*) FROM places_silver)')} AS pct_of_t
   {pct('with_contact', 'poi_count')} AS contact_completeness_pct FROM (
   SELECT country, count(*) AS poi_count, count(DISTINCT city) AS unique_cities,
     count(DISTINCT categories) AS unique_categories,
-    {avg_exact('latitude', 6, 4)} AS avg_latitude, {avg_exact('longitude', 6, 4)} AS avg_longitude,
+    {avg_rounded('latitude', 4)} AS avg_latitude, {avg_rounded('longitude', 4)} AS avg_longitude,
     cast(count_if(has_address) AS BIGINT) AS with_address, cast(count_if(has_contact) AS BIGINT) AS with_contact
   FROM places_silver GROUP BY country)""")
 def gold_country_summary(spark, sf):
@@ -107,7 +107,7 @@ def gold_category_distribution(spark, sf):
 
 @register("gold_city_density", f"""{PLACES_CTE}
 SELECT city, state, country, count(*) AS poi_count, count(DISTINCT categories) AS unique_categories,
-  {avg_exact('latitude', 6, 6)} AS center_latitude, {avg_exact('longitude', 6, 6)} AS center_longitude
+  {avg_rounded('latitude', 6)} AS center_latitude, {avg_rounded('longitude', 6)} AS center_longitude
 FROM places_silver WHERE city IS NOT NULL AND city <> '' GROUP BY city, state, country""")
 def gold_city_density(spark, sf):
     return places.gold_city_density(_places_silver(spark, sf))
@@ -138,17 +138,17 @@ def silver_patients(spark, sf):
 
 def _b_money(name: str, fn: str) -> str:
     if fn == "avg":
-        return f"{avg_exact('billing_amount', 2, 2)} AS {name}"
+        return f"{avg_rounded('billing_amount', 2)} AS {name}"
     if fn == "sum":
-        return f"{sum_exact('billing_amount', 2)} AS {name}"
-    return f"round({fn}(billing_amount), 2) AS {name}"
+        return f"{sum_rounded('billing_amount')} AS {name}"
+    return f"{rounded(f'{fn}(billing_amount)', 2)} AS {name}"
 
 
-_AVG_LOS = f"{avg_exact('length_of_stay', 0, 1)} AS avg_length_of_stay"
+_AVG_LOS = f"{avg_rounded('length_of_stay', 1)} AS avg_length_of_stay"
 
 
 @register("gold_condition_summary", f"""{PATIENTS_B_CTE}
-SELECT medical_condition, count(*) AS patient_count, {avg_exact('age', 0, 1)} AS avg_age,
+SELECT medical_condition, count(*) AS patient_count, {avg_rounded('age', 1)} AS avg_age,
   {_b_money('avg_billing', 'avg')}, {_b_money('min_billing', 'min')}, {_b_money('max_billing', 'max')},
   {_AVG_LOS}, {_b_money('total_billing', 'sum')}
 FROM silver GROUP BY medical_condition""")
@@ -211,14 +211,14 @@ def silver_patients_roles(spark, sf):
     return _roles_silver(spark, sf).drop("_silver_processed_at", "_silver_record_id")
 
 
-_A_BILL = (f"{avg_exact('\"Billing Amount\"', 2, 2)} AS avg_billing_amount, "
-           f"{sum_exact('\"Billing Amount\"', 2)} AS total_revenue")
-_A_LOS = f"{avg_exact('length_of_stay_days', 0, 1)} AS avg_length_of_stay"
+_A_BILL = (f"{avg_rounded('\"Billing Amount\"', 2)} AS avg_billing_amount, "
+           f"{sum_rounded('\"Billing Amount\"')} AS total_revenue")
+_A_LOS = f"{avg_rounded('length_of_stay_days', 1)} AS avg_length_of_stay"
 
 
 @register("gold_condition_analytics", f"""{PATIENTS_A_CTE}
 SELECT "Medical Condition" AS medical_condition, count(*) AS total_admissions, {_A_BILL}, {_A_LOS},
-  {avg_exact('"Age"', 0, 1)} AS avg_age, min("Age") AS min_age, max("Age") AS max_age
+  {avg_rounded('"Age"', 1)} AS avg_age, min("Age") AS min_age, max("Age") AS max_age
 FROM silver GROUP BY "Medical Condition" """)
 def gold_condition_analytics(spark, sf):
     return patients_roles.gold_condition_analytics(_roles_silver(spark, sf)).drop("_gold_processed_at")
@@ -232,14 +232,14 @@ def gold_hospital_metrics(spark, sf):
 
 @register("gold_insurer_revenue", f"""{PATIENTS_A_CTE}
 SELECT "Insurance Provider" AS insurance_provider, count(*) AS total_patients, {_A_BILL},
-  round(min("Billing Amount"), 2) AS min_billing, round(max("Billing Amount"), 2) AS max_billing
+  {rounded('min("Billing Amount")', 2)} AS min_billing, {rounded('max("Billing Amount")', 2)} AS max_billing
 FROM silver GROUP BY "Insurance Provider" """)
 def gold_insurer_revenue(spark, sf):
     return patients_roles.gold_insurer_revenue(_roles_silver(spark, sf)).drop("_gold_processed_at")
 
 
 @register("gold_demographics", f"""{PATIENTS_A_CTE}
-SELECT age_group, "Gender" AS gender, count(*) AS patient_count, {_A_BILL}, {avg_exact('"Age"', 0, 1)} AS avg_age,
+SELECT age_group, "Gender" AS gender, count(*) AS patient_count, {_A_BILL}, {avg_rounded('"Age"', 1)} AS avg_age,
   {_A_LOS} FROM silver GROUP BY age_group, "Gender" """)
 def gold_demographics(spark, sf):
     return patients_roles.gold_demographics(_roles_silver(spark, sf)).drop("_gold_processed_at")
@@ -272,7 +272,7 @@ def silver_trips(spark, sf):
 
 
 def _avg2(c: str, name: str) -> str:
-    return f"{avg_exact(c, 2, 2)} AS {name}"
+    return f"{avg_rounded(c, 2)} AS {name}"
 
 
 _HOURLY = ", ".join([_avg2("fare_amount", "avg_fare"), _avg2("trip_distance", "avg_distance"),
@@ -280,7 +280,7 @@ _HOURLY = ", ".join([_avg2("fare_amount", "avg_fare"), _avg2("trip_distance", "a
 
 
 @register("gold_daily", f"""{TRIPS_CTE}
-SELECT pickup_date, count(*) AS total_trips, {sum_exact('total_amount', 2)} AS total_revenue, {_HOURLY},
+SELECT pickup_date, count(*) AS total_trips, {sum_exact('total_amount')} AS total_revenue, {_HOURLY},
   cast(count_if(is_long_trip) AS BIGINT) AS long_trips, {_avg2('speed_mph', 'avg_speed_mph')},
   {_avg2('passenger_count', 'avg_passengers')}
 FROM silver GROUP BY pickup_date""")
@@ -297,7 +297,7 @@ def gold_hourly(spark, sf):
 _LOCATIONS_SQL = f"""{TRIPS_CTE}, located AS (
   SELECT 'pickup' AS location_type, PULocationID AS location_id, total_amount, fare_amount FROM silver
   UNION ALL SELECT 'dropoff', DOLocationID, total_amount, fare_amount FROM silver)
-SELECT location_type, location_id, count(*) AS trip_count, {sum_exact('total_amount', 2)} AS total_revenue,
+SELECT location_type, location_id, count(*) AS trip_count, {sum_rounded('total_amount')} AS total_revenue,
   {_avg2('fare_amount', 'avg_fare')} FROM located GROUP BY location_type, location_id"""
 
 
@@ -335,7 +335,8 @@ def distinct_count_key(spark, sf):
 
 
 def _sql_mix(salt: int) -> str:
-    return (f"((id * {generate.MIX_MULTIPLIER} + {salt * generate.MIX_SALT_STEP}) % {generate.MIX_MODULUS})")
+    digest = f"sha256(concat(cast(id AS VARCHAR), ':{salt}'))"
+    return f"cast(concat('0x', substr({digest}, 1, {generate.HASH_DIGITS})) AS BIGINT)"
 
 
 def _sql_pick(values: list[str], salt: int) -> str:
@@ -350,7 +351,7 @@ def _sql_between(lo: int, hi: int, salt: int) -> str:
 _G = generate
 _GEN_SQL = f"""WITH ids AS (SELECT o_orderkey AS id FROM orders),
 g AS (SELECT *, DATE '{_G.START_DATE}' + {_sql_between(0, _G.ADMISSION_SPAN_DAYS - 1, 6)} AS adm,
-  {_G.BILLING_RANGE[0] * 100} + ({_sql_mix(10)} * 97 + {_sql_mix(11)})
+  {_G.BILLING_RANGE[0] * 100} + {_sql_mix(10)}
     % {(_G.BILLING_RANGE[1] - _G.BILLING_RANGE[0]) * 100 + 1} AS cents FROM ids)
 SELECT concat_ws(' ', {_sql_pick(_G.FIRST_NAMES, 1)}, {_sql_pick(_G.LAST_NAMES, 2)}) AS "Name",
   {_sql_between(*_G.AGE_RANGE, 3)} AS "Age", {_sql_pick(_G.GENDERS, 4)} AS "Gender",

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.gold import Measure, group_summary, row_count, with_pct_of_total
-from strata.operators.quality import quarantine_split
+from strata.operators.gold import Measure, group_summary, with_pct_of_total
 from strata.plans import inputs
 from strata.queries import register
-from strata.queries.sqlhelp import avg_exact, pct, sum_exact
+from strata.queries.sqlhelp import avg_rounded, pct, sum_rounded
 
 
 def order_gate(orders: DataFrame):
@@ -21,19 +22,19 @@ def order_gate(orders: DataFrame):
 def orders_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality-gated orders per status: orders, revenue, average order, share of all orders."""
     orders = inputs.table(spark, sf_dir, "orders")
-    clean, _ = quarantine_split(orders, order_gate(orders))
-    g = group_summary(clean, ["o_orderstatus"], [
+    failed = F.coalesce(functools.reduce(lambda a, b: a | b, order_gate(orders)), F.lit(False))
+    g = group_summary(orders.withColumn("_failed", failed), ["_failed", "o_orderstatus"], [
         Measure("order_count", "count"),
-        Measure("revenue", "sum", "o_totalprice", round=2, decimal_scale=2),
-        Measure("avg_order_value", "avg", "o_totalprice", round=2, decimal_scale=2),
+        Measure("revenue", "sum", "o_totalprice", round=2),
+        Measure("avg_order_value", "avg", "o_totalprice", round=2),
         Measure("customers", "count_distinct", "o_custkey"),
     ])
-    return with_pct_of_total(g, "order_count", row_count(orders)).orderBy(F.col("revenue").desc())
+    return with_pct_of_total(g, "order_count").filter(~F.col("_failed")).drop("_failed").orderBy(F.col("revenue").desc())
 
 
 register("orders_by_status", f"""
-SELECT o_orderstatus, count(*) AS order_count, {sum_exact('o_totalprice', 2)} AS revenue,
-  {avg_exact('o_totalprice', 2, 2)} AS avg_order_value, count(DISTINCT o_custkey) AS customers,
+SELECT o_orderstatus, count(*) AS order_count, {sum_rounded('o_totalprice')} AS revenue,
+  {avg_rounded('o_totalprice', 2)} AS avg_order_value, count(DISTINCT o_custkey) AS customers,
   {pct('count(*)', '(SELECT count(*) FROM orders)')} AS pct_of_total
 FROM orders WHERE NOT coalesce(o_orderkey IS NULL OR o_orderstatus IS NULL OR o_totalprice <= 0
   OR o_orderstatus NOT IN ('F', 'O', 'P'), false)

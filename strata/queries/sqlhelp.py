@@ -5,15 +5,23 @@ from __future__ import annotations
 from strata.plans import inputs
 
 
-def avg_exact(c: str, scale: int, digits: int) -> str:
-    """Oracle of ``Measure(avg, round=digits, decimal_scale=scale)``: exact sum, double quotient
-    rounded first to Spark's average scale (scale + 4), then to ``digits``."""
-    return (f"cast(round(cast(cast(sum(cast({c} as decimal({18 + scale},{scale}))) as double) / count({c}) "
-            f"as decimal(38,{scale + 4})), {digits}) as double)")
+def rounded(expr: str, digits: int) -> str:
+    """A double rounded half up on its value to eight decimals, as ``gold.round_stable``."""
+    return f"cast(round(cast({expr} as decimal(38,8)), {digits}) as double)"
 
 
-def sum_exact(c: str, scale: int) -> str:
-    return f"cast(sum(cast({c} as decimal({18 + scale},{scale}))) as double)"
+def avg_rounded(c: str, digits: int) -> str:
+    return rounded(f"avg(cast({c} as double))", digits)
+
+
+def sum_rounded(c: str, digits: int = 2) -> str:
+    """The exact sum of values of up to six decimals, rounded half up."""
+    return f"cast(round(sum(cast({c} as decimal(38,6))), {digits}) as double)"
+
+
+def sum_exact(c: str) -> str:
+    """Oracle of an exact, unrounded sum."""
+    return f"cast(sum(cast({c} as decimal(38,12))) as double)"
 
 
 def pct(part: str, whole: str, digits: int = 2) -> str:

@@ -1,8 +1,8 @@
 """Synthetic patient admissions, generated on the executors.
 
 Rows come from a frame of integer ids (``spark.range(n)`` or the keys of a
-given table), and every value is a deterministic arithmetic pick from the
-id — no driver-side loop, no random state, so the result is the same however
+given table), and every value is a pick by a hash of the id and the column's
+salt — no driver-side loop, no random state, so the result is the same however
 the ids are partitioned and it scales past what a driver could hold.
 """
 
@@ -37,15 +37,14 @@ AGE_RANGE = (18, 85)
 BILLING_RANGE = (1000, 50000)  # two decimals
 ROOM_RANGE = (100, 500)
 
-# Mixing constants of the arithmetic picks (ours, not part of the dataset).
-MIX_MULTIPLIER = 7919
-MIX_SALT_STEP = 104729
-MIX_MODULUS = 1000003
+# Hex digits of a hash that make one pick: 48 bits, so a pick of up to 10**7 values is even to 1 in 10**7.
+HASH_DIGITS = 12
 
 
 def mix(id_col: Column, salt: int) -> Column:
-    """Deterministic pseudo-random non-negative integer from an id and a salt."""
-    return F.pmod(id_col * MIX_MULTIPLIER + F.lit(salt * MIX_SALT_STEP), F.lit(MIX_MODULUS))
+    """A number from a hash of the id and a salt: independent between salts, with no period over the ids."""
+    digest = F.sha2(F.concat(id_col.cast("string"), F.lit(f":{salt}")), 256)
+    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("bigint")
 
 
 def pick(values: list[str], id_col: Column, salt: int) -> Column:
@@ -61,7 +60,7 @@ def gen_patients(ids: DataFrame, id_col: str = "id") -> DataFrame:
     i = F.col(id_col).cast("bigint")
     admission = F.date_add(F.lit(START_DATE).cast("date"), between(0, ADMISSION_SPAN_DAYS - 1, i, 6))
     billing_cents = F.lit(BILLING_RANGE[0] * 100) + F.pmod(
-        mix(i, 10) * F.lit(97) + mix(i, 11), F.lit((BILLING_RANGE[1] - BILLING_RANGE[0]) * 100 + 1))
+        mix(i, 10), F.lit((BILLING_RANGE[1] - BILLING_RANGE[0]) * 100 + 1))
     return ids.select(
         F.concat_ws(" ", pick(FIRST_NAMES, i, 1), pick(LAST_NAMES, i, 2)).alias("Name"),
         between(*AGE_RANGE, i, 3).alias("Age"),

@@ -23,6 +23,7 @@ class SinkSpec:
     mode: str = "overwrite"
     options: Mapping[str, object] = field(default_factory=dict)
     partition_by: Sequence[str] = ()
+    keep_schema: bool = False
 
 
 # The default output section of the generic copy flow.
@@ -33,8 +34,14 @@ def write_target(df: DataFrame, spec: SinkSpec) -> None:
     """Write to a path (``save``) or a catalog table (``saveAsTable``).
 
     An overwrite of a table replaces its schema as well (the parquet
-    equivalent of ``overwriteSchema``).
+    equivalent of ``overwriteSchema``), unless ``keep_schema`` is set: then a
+    frame whose column names or types differ from the existing table's is
+    refused before anything is written.
     """
+    if spec.keep_schema and spec.kind == "table" and df.sparkSession.catalog.tableExists(spec.target):
+        there = df.sparkSession.table(spec.target).dtypes
+        if there != df.dtypes:
+            raise ValueError(f"{spec.target} has the columns {there}, the frame has {df.dtypes}")
     w = df.write.format(spec.format).mode(spec.mode)
     for k, v in spec.options.items():
         w = w.option(k, v)
@@ -149,7 +156,8 @@ def write_flag_split(df: DataFrame, flag_col: str, root: str, file_format: str =
     (clean, flagged) folders, which read back as ordinary tables without the
     flag column. A side with no rows is written as an empty table.
     """
-    df.write.mode("overwrite").format(file_format).partitionBy(flag_col).save(root)
+    # static, whatever the cluster's setting: a side that has no rows this time must not keep those of the run before
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(file_format).partitionBy(flag_col).save(root)
     spark = df.sparkSession
     sides = []
     for value in ("false", "true"):

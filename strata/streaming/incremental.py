@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.quality import quarantine_split
-from strata.session import scratch_path
 from strata.sources.readers import SourceSpec
 from strata.sources.sinks import SinkSpec, write_target
 
@@ -23,23 +22,28 @@ def _read_stream(spark: SparkSession, source: SourceSpec) -> DataFrame:
 
 
 def stream_layer(spark: SparkSession, source: SourceSpec, transform: Callable[[DataFrame], DataFrame],
-                 sink: SinkSpec, checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Append ``transform(new rows)`` to a path sink; progress lives in ``checkpoint``
-    (a fresh folder under ``spark.checkpoint.dir`` when not given)."""
+                 sink: SinkSpec, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Append ``transform(new rows)`` to a path sink; progress lives in ``checkpoint``.
+
+    Every run of one sink must get the same folder: with another one, files
+    already taken would be read again while the sink skips batches it knows.
+    """
     out = transform(_read_stream(spark, source))
     writer = (out.writeStream.format(sink.format).outputMode("append")
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(sink.target)
 
 
 def stream_split(spark: SparkSession, source: SourceSpec, conditions: Sequence[Column],
-                 clean: SinkSpec, quarantine: SinkSpec, transform: Callable[[DataFrame], DataFrame] | None = None,
-                 checkpoint: str | None = None) -> StreamingQuery:
+                 clean: SinkSpec, quarantine: SinkSpec, checkpoint: str,
+                 transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Split each micro-batch into clean and quarantined rows and write both.
 
     Each batch is written below ``batch_id=<n>`` with overwrite, so a batch
     replayed after a failure replaces its own output instead of adding to it.
+    ``checkpoint`` must stay the same for all runs of the two sinks: it numbers
+    the batches.
     """
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         frame = transform(batch) if transform else batch
@@ -49,5 +53,5 @@ def stream_split(spark: SparkSession, source: SourceSpec, conditions: Sequence[C
                                       spec.format, "overwrite", spec.options))
 
     return (_read_stream(spark, source).writeStream.foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-split-ckpt"))
+            .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -3,6 +3,7 @@
 import json
 import uuid
 
+from strata.plans.layout import TableLayout
 from strata.plans import copy as copy_flow
 from strata.plans import inputs, patients, trains
 from strata.session import scratch_path
@@ -30,8 +31,8 @@ def test_io_config_from_file_and_copy(spark, sf_dir, tmp_path):
                                 "output": {"path": "out", "format": "parquet", "mode": "overwrite"}}))
     cfg = IOConfig.from_json(str(path), base)
     assert cfg.output.target == f"{base}/out" and cfg.sources()["csv"] == f"{base}/in/csv"
-    rep = copy_flow.run_from_config(spark, cfg).first()
-    assert rep.name == "parquet" and rep.row_count == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    rep = {r.name: r.row_count for r in copy_flow.run_from_config(spark, cfg).collect()}
+    assert rep["copied"] == rep["parquet"] == spark.read.parquet(f"{sf_dir}/orders.parquet").count() and set(rep) == {*cfg.sources(), "copied"}
 
 
 def test_trains_run_from_config_uses_configured_paths(spark, sf_dir):
@@ -50,10 +51,9 @@ def test_patients_catalog_tables(spark, sf_dir):
     csv = scratch_path(spark, "test-patients-csv")
     inputs.patients_raw(spark, sf_dir).write.option("header", "true").csv(csv)
     tag = uuid.uuid4().hex[:8]
-    cfg = patients.PatientsConfig(csv, bronze_schema=f"b_{tag}", silver_schema=f"s_{tag}", gold_schema=f"g_{tag}",
-                                  schema_location=scratch_path(spark, "test-patients-schemas"))
-    report = {r.table_name: r.row_count for r in patients.run_catalog(spark, cfg).collect()}
-    assert report[cfg.fqn(cfg.bronze_schema, cfg.bronze_table)] == spark.read.option("header", "true").csv(csv).count()
-    assert report[cfg.fqn(cfg.gold_schema, cfg.gold_condition_table)] == 5
-    silver = spark.table(cfg.fqn(cfg.silver_schema, cfg.silver_table))
-    assert silver.select(*patients.DEDUP_KEYS).distinct().count() == silver.count()
+    layout = TableLayout({"bronze": f"b_{tag}", "silver": f"s_{tag}", "gold": f"g_{tag}"}, location_root=scratch_path(spark, "test-patients-schemas"))
+    report = {(r.layer, r.table_name): r.row_count for r in patients.run(spark, csv, layout).collect()}
+    assert report["bronze", "patients"] == spark.read.option("header", "true").csv(csv).count()
+    assert report["gold", "condition_summary"] == 5
+    silver = spark.table(f"s_{tag}.patients")
+    assert silver.select(*patients.DEDUP_KEYS).distinct().count() == silver.count()
\ No newline at end of file

@@ -1,5 +1,7 @@
 """Deduplication and gold aggregates."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from strata.operators import dedup, gold
@@ -35,26 +37,36 @@ def test_dedup_hash_and_key(spark):
 
 def test_measure_exact_average_rounds_ties_up(spark):
     df = spark.createDataFrame([("g", 1.00), ("g", 1.01)], "k string, x double")
-    exact = gold.group_summary(df, ["k"], [gold.Measure("m", "avg", "x", round=2, decimal_scale=2)]).first().m
-    assert exact == 1.01
+    for exact in (True, False):
+        assert gold.group_summary(df, ["k"], [gold.Measure("m", "avg", "x", round=2, exact=exact)]).first().m == 1.01
+
+
+def test_measures_keep_fine_digits_nan_and_infinities(spark):
+    rows = [("fine", 10.004)] * 1000 + [("half", 30.5), ("nan", 1.0), ("nan", float("nan")), ("inf", float("inf")), ("inf", None), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    for exact in (True, False):
+        ms = [gold.Measure("s", "sum", "x", round=2, exact=exact), gold.Measure("m", "avg", "x", round=1, exact=exact)]
+        got = {r.k: (r.s, r.m) for r in gold.group_summary(df, ["k"], ms).collect()}
+        assert got["fine"] == (10004.0, 10.0) and got["half"] == (30.5, 30.5) and got["none"] == (None, None)
+        assert all(math.isnan(x) for x in got["nan"]) and got["inf"] == (math.inf, math.inf)
 
 
 def test_pct_of_total_uses_all_rows(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), ("",)], "c string")
-    g = gold.group_summary(df.filter(F.col("c") != ""), ["c"], [gold.Measure("n", "count")])
-    out = {r.c: r.pct_of_total for r in gold.with_pct_of_total(g, "n", gold.row_count(df)).collect()}
+    g = gold.group_summary(df, ["c"], [gold.Measure("n", "count")])
+    out = {r.c: r.pct_of_total for r in gold.with_pct_of_total(g, "n").filter(F.col("c") != "").collect()}
     assert out == {"a": 50.0, "b": 25.0}
 
 
 def test_unpivot_frequency_weekday_order(spark):
     df = spark.createDataFrame([("t1", 1, 0, None), ("t2", 1, 1, 1)], "id string, MON int, TUE int, SUN int")
-    rows = gold.unpivot_frequency(df, ["id"], ["MON", "TUE", "SUN"], "day", "n", "pct").collect()
+    rows = gold.unpivot_frequency(df, ["MON", "TUE", "SUN"], "day", "n", "pct").collect()
     assert [(r.day, r.n, r.pct) for r in rows] == [("MON", 2, 100.0), ("TUE", 1, 50.0), ("SUN", 1, 50.0)]
 
 
 def test_stacked_summary_equals_tagged_union(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    ms = [gold.Measure("n", "count"), gold.Measure("q", "sum", "l_quantity", decimal_scale=2)]
+    ms = [gold.Measure("n", "count"), gold.Measure("q", "sum", "l_quantity", exact=True)]
     stacked = gold.stacked_group_summary(li, "side", "key", {"part": "l_partkey", "supp": "l_suppkey"}, ms)
     union = gold.union_tagged({
         "part": gold.group_summary(li, [F.col("l_partkey").alias("key")], ms),

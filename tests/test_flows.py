@@ -89,8 +89,8 @@ def test_places(spark):
     assert not {r.point_of_interest: r for r in strict.collect()}["P2"].has_contact
     country = {r.country: r for r in places.gold_country_summary(clean).collect()}
     assert country["FR"].pct_of_total == 50.0 and country["IT"].address_completeness_pct == 100.0
-    cats = places.gold_category_distribution(clean, total=10).collect()
-    assert [(r.categories, r.pct_of_total) for r in cats] == [("Food", 10.0)]   # blank category dropped
+    cats = places.gold_category_distribution(clean).collect()
+    assert [(r.categories, r.pct_of_total) for r in cats] == [("Food", 50.0)]   # blank category dropped
     assert places.gold_city_density(clean).count() == 2
 
 

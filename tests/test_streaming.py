@@ -1,5 +1,6 @@
 """The layer operators on a file stream: incremental files, idempotent batches."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.bronze import audit_columns
@@ -26,9 +27,12 @@ def test_stream_bronze_and_split(spark, sf_dir):
         .awaitTermination()
     bronze = read_layer(spark, bronze_sink.target)
     assert bronze.count() == raw.count()                     # only the new file was added
+    with pytest.raises(TypeError):
+        stream_layer(spark, src, lambda df: df, bronze_sink)  # a run must name its progress folder
 
     clean_sink, bad_sink = SinkSpec(scratch_path(spark, "stream-clean")), SinkSpec(scratch_path(spark, "stream-bad"))
-    stream_split(spark, src, [r.bad for r in trips.critical_rules()], clean_sink, bad_sink).awaitTermination()
+    stream_split(spark, src, [r.bad for r in trips.critical_rules()], clean_sink, bad_sink,
+                 scratch_path(spark, "stream-split-ckpt")).awaitTermination()
     good, bad = trips.split_trips(raw)
     assert read_layer(spark, clean_sink.target).count() == good.count()
     assert read_layer(spark, bad_sink.target).count() == bad.count()
