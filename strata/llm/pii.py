@@ -157,11 +157,11 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISC
     if is_small(terms, BROADCAST_ROWS):  # else the words are counted first: counts are what meets the terms
         words = words.join(F.broadcast(terms), "term", "left_semi")
     known = words.groupBy("term").agg(F.count("*").alias("seen")).join(terms, "term", "left_semi")
-    size = contexts.agg(F.avg(F.size("terms")).alias("width")).crossJoin(found.agg(F.sum("n_terms").alias("total")))  # one row by one row
-    size = size.select(F.greatest("width", F.lit(1.0)).alias("width"), "total")
-    scored = pairs.join(known, "term").join(entities, "entity").join(F.broadcast(size))
-    pmi = F.log((F.col("k") / F.col("n")) / F.least(F.lit(1.0), F.col("width") * F.col("seen") / F.col("total")))
-    information = F.log(F.col("total") / F.col("width") / F.col("n"))
+    width = max(1.0, contexts.agg(F.avg(F.size("terms"))).first()[0] or 0.0)  # terms of a context
+    total = found.agg(F.sum("n_terms")).first()[0] or 0
+    scored = pairs.join(known, "term").join(entities, "entity")
+    pmi = F.log((F.col("k") / F.col("n")) / F.least(F.lit(1.0), width * F.col("seen") / F.lit(total)))
+    information = F.log(F.lit(total / width) / F.col("n"))
     return staged(scored.where((information > 0) & (pmi >= disclosure * information)).select("entity", "term"), "disclosed")
 
 
