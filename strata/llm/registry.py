@@ -11,6 +11,7 @@ from strata.llm.common import fold, table
 from strata.llm.html_main import extract_main_text
 from strata.llm.impact_search import exact_top_k
 from strata.llm.jaccard_join import near_duplicates
+from strata.llm.oracles import oracle_sql  # noqa: F401
 from strata.llm.packing import pack_documents
 from strata.llm.piece_sampling import sample_digest
 from strata.llm.pii import KINDS, find_private, render
@@ -20,23 +21,6 @@ from strata.llm.token_files import read_token_files, write_token_files
 from strata.llm.toxicity import fit_toxicity, score_toxicity
 from strata.session import scratch_path
 
-SEARCH_SQL = """
-with v as (
-    select vec_id, min(list_transform(embedding, lambda x: cast(floor(cast(x as double) * 256) as bigint))) as v
-    from embeddings
-    where vec_id is not null and embedding is not null
-      and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
-    group by vec_id
-), scored as (
-    select q.vec_id as query_id, c.vec_id, cast(list_dot_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
-    from v q join v c on q.vec_id <> c.vec_id
-    where q.vec_id % 50 = 0
-), ranked as (
-    select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
-)
-select query_id, rank, vec_id, score from ranked where rank <= 5
-"""
-
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
@@ -107,7 +91,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_adaptive_prefixes": op9_adaptive_prefixes,
         "op10_piece_sampling": op10_piece_sampling,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {"op1_impact_search": SEARCH_SQL}
