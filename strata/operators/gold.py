@@ -6,7 +6,7 @@ import functools
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.derive import pct
@@ -116,12 +116,12 @@ def with_pct_of_total(df: DataFrame, count_col: str, name: str = "pct_of_total",
     """``count * 100 / total`` where ``total`` is the sum of ``count_col`` over ``df``.
 
     ``df`` holds one row per group of **all** rows; groups that the report
-    leaves out are filtered afterwards. The total comes from the grouped
-    frame (whose exchange Spark reuses) as one row, so the input is read once
-    and nothing runs before an action.
+    leaves out are filtered afterwards. The total is a window over the grouped
+    frame, so the input is read once and nothing runs before an action; one
+    task sees one row per group, which suits report-sized groupings.
     """
-    total = df.agg(F.sum(count_col).alias("_total"))
-    return df.crossJoin(F.broadcast(total)).withColumn(name, pct(F.col(count_col), F.col("_total"), scale)).drop("_total")
+    total = F.sum(count_col).over(Window.partitionBy())
+    return df.withColumn(name, pct(F.col(count_col), total, scale))
 
 
 def with_completeness(df: DataFrame, pairs: Mapping[str, tuple[str, str]], scale: int = 2) -> DataFrame:
