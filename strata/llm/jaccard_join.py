@@ -3,17 +3,21 @@
 Documents link when the Jaccard similarity of their sets of distinct word
 shingles reaches a threshold. Shingles are 64-bit hashes, put in one order for
 all documents: from rare to frequent, as far as a bounded list of the most
-frequent ones tells, then by hash. With t = ceil(threshold * size), two linked
-documents share at least m shingles among the first size - t + m of each. A
+frequent ones tells, then by hash. Two linked documents share at least
+o = threshold / (1 + threshold) * (sum of sizes) shingles, so their first m
+common ones are among the first size - o + m of each. As o >= threshold * size,
+a prefix of size - ceil(threshold * size) + m shingles serves every partner. A
 document whose prefix promises many candidates takes a larger m (its prefix
 grows by one shingle for each); a pair is verified when it shares the smaller m
-of the two in its prefixes, and verification compares whole texts.
+of the two among the first size - o + m, and verification compares whole texts.
 
 Groups of copies are never expanded into pairs. Documents with the same set
-are one class. Then every class is compared with one leader: of the smallest
-classes of its prefix shingles, the one it shares most of them with. Classes
-that hang together by then need no more comparing among themselves, so the
-second, complete round only meets pairs from different components.
+are one class. Then every class is compared with one leader: each prefix
+shingle proposes its class with the most frequent shingles (the text that the
+others were made from has no rare ones), and a class takes the proposal it
+meets most often. Classes that hang together by then need no more comparing
+among themselves, so the second, complete round only meets pairs from
+different components.
 """
 
 from __future__ import annotations
@@ -32,7 +36,9 @@ WORDS, PERCENT = 5, 80
 #: Frequent shingles known to the order; a longer list saves candidates and costs memory in each task.
 FREQUENT = 1 << 18
 #: Estimated candidates that a prefix may promise at m = 1, and the largest m.
-COST, MOST_MATCHES = 16, 6
+COST, MOST_MATCHES = 16, 12
+#: Characters hashed at a time: bounds a task's memory.
+GROUP_CHARS = 1_000_000
 #: Pairs up to which their ids are sent to all executors for the scan of the texts; beyond, a shuffle.
 BROADCAST_PAIRS = 500_000
 
@@ -65,25 +71,35 @@ def least_overlap(size: int, percent: int = PERCENT) -> int:
     return -(-percent * size // 100)
 
 
+def pair_overlap(x: int, y: int, percent: int = PERCENT) -> int:
+    """Shingles that linked sets of these sizes share at least."""
+    return -(-percent * (x + y) // (100 + percent))
+
+
 def linked(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def prefix_of(shingles: np.ndarray, frequent: np.ndarray, level: np.ndarray, percent: int = PERCENT) -> tuple[int, np.ndarray]:
-    """m and the prefix of a set; ``frequent``: sorted hashes, ``level``: log2 of how often each was seen."""
+def prefix_of(shingles: np.ndarray, frequent: np.ndarray, level: np.ndarray, percent: int = PERCENT) -> tuple[int, np.ndarray, float]:
+    """m, the prefix and the mean level of a set; ``frequent``: sorted hashes, ``level``: log2 of how often each was seen.
+
+    m grows with the candidates that the part of the prefix promises which
+    partners of the same size can meet.
+    """
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        seen = np.where(frequent[at] == shingles, level[at], 0)
+        seen = np.where(frequent[at] == shingles, level[at], 0.0)
         order = np.argsort(seen, kind="stable")
         shingles, seen = shingles[order], seen[order]
     else:
-        seen = np.zeros(len(shingles), np.int64)
-    t = least_overlap(len(shingles), percent)
-    base = len(shingles) - t
-    cost = float(np.where(seen[: base + 1] > 0, np.exp2(seen[: base + 1]), 0).sum())
+        seen = np.zeros(len(shingles))
+    n = len(shingles)
+    t = least_overlap(n, percent)
+    near = seen[: n - pair_overlap(n, n, percent) + 1]
+    cost = float(np.where(near > 0, np.exp2(near), 0).sum())
     m = int(min(t, MOST_MATCHES, 1 + np.log2(max(1.0, cost / COST))))
-    return m, shingles[: base + m]
+    return m, shingles[: n - t + m], float(seen.mean())
 
 
 def frequent_shingles(rows: DataFrame, words: int, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -97,22 +113,23 @@ def frequent_shingles(rows: DataFrame, words: int, most: int = FREQUENT) -> tupl
         shingler = Shingler(words)
         for batch in batches:
             texts = batch["text"].tolist()
-            for a, b in groups_of(texts, 16_000_000):
-                sets = [s for c, d in groups_of(texts[a:b]) for s in shingler.sets(texts[a:b][c:d])]
+            for a, b in groups_of(texts, 6_000_000):
+                sets = [s for c, d in groups_of(texts[a:b], GROUP_CHARS) for s in shingler.sets(texts[a:b][c:d])]
                 shingle, n = np.unique(np.concatenate(sets), return_counts=True)
                 yield pd.DataFrame({"shingle": shingle[n > 1].view(np.int64), "n": n[n > 1].astype(np.int64)})
 
     counts = rows.select("text").mapInPandas(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    counts = staged(counts.select("shingle", F.floor(F.log2("n")).cast("int").alias("level")), "frequent")
-    kept, cut = 0, 64
-    for row in counts.groupBy("level").count().orderBy(F.desc("level")).collect():  # at most 64 rows
+    counts = staged(counts.select("shingle", F.log2("n").alias("level")), "frequent")
+    kept, cut = 0, 64.0
+    steps = counts.groupBy(F.floor(F.col("level") * 4).alias("step")).count().orderBy(F.desc("step"))
+    for row in steps.collect():  # at most 256 rows
         if kept + row["count"] > most:
             break
-        kept, cut = kept + row["count"], row["level"]
+        kept, cut = kept + row["count"], row["step"] / 4
     found = counts.where(F.col("level") >= cut).toPandas()  # at most `most` rows
     shingle = found["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(shingle)
-    return shingle[order], found["level"].to_numpy(np.int64)[order]
+    return shingle[order], found["level"].to_numpy(np.float64)[order]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -142,7 +159,7 @@ def verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataF
         shingler = Shingler(words)
         for batch in batches:
             keep = []
-            for a, b in groups_of(batch["ta"].tolist(), 1_000_000):
+            for a, b in groups_of(batch["ta"].tolist(), GROUP_CHARS // 2):
                 part = batch.iloc[a:b]
                 for x, y in zip(shingler.sets(part["ta"].tolist()), shingler.sets(part["tb"].tolist())):
                     keep.append(linked(x, y, percent))
@@ -171,35 +188,39 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         shingler = Shingler(words)
         for batch in batches:
             texts = batch["text"].tolist()
-            for a, b in groups_of(texts):
+            for a, b in groups_of(texts, GROUP_CHARS):
                 out = []
                 for s in shingler.sets(texts[a:b]):
-                    m, prefix = prefix_of(s, frequent, level, percent) if len(s) else (0, s)
-                    out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), m, prefix.view(np.int64)))
-                out = pd.DataFrame(out, columns=["n", "class", "m", "prefix"])
+                    m, prefix, mean = prefix_of(s, frequent, level, percent) if len(s) else (0, s, 0.0)
+                    out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), m, prefix.view(np.int64), mean))
+                out = pd.DataFrame(out, columns=["n", "class", "m", "prefix", "mean"])
                 yield out.assign(doc_id=batch["doc_id"].iloc[a:b].astype("Int64").to_numpy())
 
-    signed = staged(rows.mapInPandas(sign, "doc_id long, n long, class binary, m int, prefix array<long>"), "signatures")
-    classes = signed.where("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("m").alias("m"), F.first("prefix").alias("prefix"))
-    postings = classes.select(F.explode("prefix").alias("token"), "node", "n", "m")
-    shared = postings.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct("node", "n")).alias("lead")).where("df > 1").select("token", "lead")
-    postings = staged(postings.join(shared, "token"), "postings")
+    signed = staged(rows.mapInPandas(sign, "doc_id long, n long, class binary, m int, prefix array<long>, mean double"), "signatures")
+    classes = signed.where("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("mean").alias("mean"))
+    postings = classes.select("node", "n", "m", "mean", F.posexplode("prefix").alias("pos", "token"))
+    leader = F.struct("mean", (-F.col("node")).alias("node"), "n")
+    shared = postings.groupBy("token").agg(F.count("*").alias("df"), F.max(leader).alias("lead")).where("df > 1")
+    shared = shared.select("token", (-F.col("lead.node")).alias("lead"), F.col("lead.n").alias("lead_n"))
+    postings = staged(postings.drop("mean").join(shared, "token"), "postings")
 
     def near_sizes(x: str, y: str):
         return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
-    first = postings.where("node <> lead.node").where(near_sizes("n", "lead.n")).groupBy("node", F.col("lead.node").alias("lead")).count()
+    first = postings.where("node <> lead").where(near_sizes("n", "lead_n")).groupBy("node", "lead").count()
     first = first.groupBy("node").agg(F.max(F.struct("count", -F.col("lead")))["col2"].alias("lead"))
     edges = staged(verify(staged(first.select(F.col("node").alias("a"), (-F.col("lead")).alias("b")), "leaders"), rows, words, percent), "leader-links")
     labels = components(edges)
 
-    placed = postings.join(labels, "node", "left").select("token", "node", "n", "m", F.coalesce("component", "node").alias("component"))
+    placed = postings.join(labels, "node", "left").select("token", "node", "n", "m", "pos", F.coalesce("component", "node").alias("component"))
     placed = staged(placed, "placed")
     main = placed.groupBy("token", "component").count().groupBy("token").agg(F.count("*").alias("k"), F.max(F.struct("count", "component"))["component"].alias("main")).where("k > 1").select("token", "main")
     mixed = staged(placed.join(main, "token"), "mixed")
-    x = mixed.where("component <> main").select("token", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "m", "component")))
-    y = mixed.select("token", "main", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "m", "component")))
+    x = mixed.where("component <> main").select("token", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "m", "pos", "component")))
+    y = mixed.select("token", "main", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "m", "pos", "component")))
     met = x.join(y, "token").where("x_component <> y_component and (y_component = main or x_node < y_node)").where(near_sizes("x_n", "y_n"))
+    reach = F.least("x_m", "y_m") - F.ceil(percent * (F.col("x_n") + F.col("y_n")) / (100 + percent))  # m - o
+    met = met.where((F.col("x_pos") < F.col("x_n") + reach) & (F.col("y_pos") < F.col("y_n") + reach))
     met = met.groupBy(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("x_m", "y_m")).alias("m"))
     edges = edges.union(verify(staged(met.where("shared >= m").select("a", "b"), "candidates"), rows, words, percent))
     labels = components(edges)

@@ -4,7 +4,7 @@ import re
 import numpy as np
 from hypothesis import given, settings, strategies as st
 
-from strata.llm.jaccard_join import Shingler, components, least_overlap, near_duplicates, prefix_of
+from strata.llm.jaccard_join import Shingler, components, least_overlap, near_duplicates, pair_overlap, prefix_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -73,11 +73,27 @@ def test_linked_sets_share_the_smaller_m_in_their_prefixes(n, change, seed):
     level = pick.integers(1, 12, len(frequent))
     both = len(np.intersect1d(x, y))
     if 100 * both >= 80 * (len(x) + len(y) - both):
-        (mx, px), (my, py) = prefix_of(x, frequent, level), prefix_of(y, frequent, level)
-        assert len(np.intersect1d(px, py)) >= min(mx, my)
+        (mx, px, _), (my, py, _) = prefix_of(x, frequent, level), prefix_of(y, frequent, level)
+        m = min(mx, my)
+        reach = m - pair_overlap(len(x), len(y))
+        assert len(np.intersect1d(px[: len(x) + reach], py[: len(y) + reach])) >= m
         assert len(px) == len(x) - least_overlap(len(x)) + mx
 
 
+def test_a_large_group_of_copies_and_lookalikes_meets_few_pairs(spark):
+    """Copies of one text that link through it, and texts that share much of it but link with nothing."""
+    pick, rows = random.Random(8), []
+    words = [f"w{i}" for i in range(9000)]
+    base = pick.choices(words, k=150)
+    for i in range(240):
+        text = list(base)
+        if i:
+            for at in pick.sample(range(150), 2 if i % 2 else pick.choice([5, 6, 8])):
+                text[at] = f"own{i}x{at}"
+        rows.append((1000 - i, " ".join(text)))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (102, 101)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
