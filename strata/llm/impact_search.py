@@ -54,9 +54,9 @@ def build_index(vectors: DataFrame, copies: int, block_rows: int = BLOCK_ROWS) -
     """
     n_blocks = max(1, -(-vectors.count() // block_rows))
 
-    def build(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def build(key, rows):
         rows = rows.sort_values("vec_id")
-        dims = max(map(len, rows["v"]))
+        dims = max(1, *map(len, rows["v"]))
         matrix, ids = _matrix(rows["v"], dims), rows["vec_id"].to_numpy(np.int64)
         _, first, member = np.unique(matrix, axis=0, return_index=True, return_inverse=True)
         member = member.reshape(-1)
@@ -133,7 +133,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5, group_rows: int = G
     def match(batches):
         for batch in batches:
             for entry in batch.to_dict("records"):
-                wanted = _matrix(entry["vs"], max(map(len, entry["vs"])))
+                wanted = _matrix(entry["vs"], max(1, *map(len, entry["vs"])))
                 members, vectors, _ = search_block(entry, wanted, k)
                 ids, ends = np.frombuffer(entry["ids"], np.int64), np.cumsum(np.frombuffer(entry["copies"], np.int64))
                 padded = np.zeros((len(wanted), vectors.shape[1]), np.int64)

@@ -47,6 +47,8 @@ def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert as_set(exact_top_k(df, F.col("vec_id") == 0)) == {(0, 1, 1, 256 * 512)}
     assert exact_top_k(df.where("vec_id < 0"), F.lit(True)).count() == 0
+    empty = spark.createDataFrame([(0, []), (1, [])], "vec_id long, embedding array<float>")
+    assert as_set(exact_top_k(empty, F.lit(True))) == {(0, 1, 1, 0), (1, 1, 0, 0)}
 
 
 def test_a_search_stops_before_the_last_segment_when_members_are_proven(spark):
