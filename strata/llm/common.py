@@ -35,6 +35,20 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def plain_key(df: DataFrame, key: str, *columns: Column) -> DataFrame:
+    """``key`` as a long that is never null, ``no_key`` where it was, and further columns.
+
+    Pandas turns longs next to nulls into floats, which lose the last digits;
+    `restore_key` undoes this after the Python step.
+    """
+    value = F.col(key).cast("long")
+    return df.select(F.coalesce(value, F.lit(0)).alias(key), value.isNull().alias("no_key"), *columns)
+
+
+def restore_key(df: DataFrame, key: str) -> DataFrame:
+    return df.withColumn(key, F.when(~F.col("no_key"), F.col(key))).drop("no_key")
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -17,7 +17,7 @@ from html import unescape
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.common import is_small, staged
+from strata.llm.common import is_small, plain_key, restore_key, staged
 
 #: Hosts up to which the winning paths are sent to every executor; beyond, they are joined by a shuffle.
 BROADCAST_HOSTS = 50_000
@@ -206,7 +206,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
                 root, pieces = parse(html or "")
                 found = (at_path(root, path) if path else []) or [best_container(root)]
                 texts.append(" ".join(filter(None, (text_of(x, pieces) for x in found))))
-            yield pd.DataFrame({"page_id": batch["page_id"].astype("Int64"), "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+            yield batch[["page_id", "no_key", "url"]].assign(text=texts, n_chars=[len(t) for t in texts])
 
     host = F.coalesce(F.lower(F.regexp_extract(F.regexp_replace("url", r"^\s*([a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#\s]*@)?", "//"), r"^//([^/?#:\s]*)", 1)), F.lit(""))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
@@ -214,4 +214,5 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     paths = staged(votes.groupBy("host").agg(F.max(F.struct("votes", "path"))["path"].alias("path")), "host-paths")
     pages = pages.withColumn("host", host)
     paths = F.broadcast(paths) if is_small(paths, BROADCAST_HOSTS) else paths
-    return pages.join(paths, "host", "left").select("page_id", "url", "html", "path").mapInPandas(extract, "page_id long, url string, text string, n_chars long")
+    pages = plain_key(pages.join(paths, "host", "left"), "page_id", "url", "html", "path")
+    return restore_key(pages.mapInPandas(extract, "page_id long, no_key boolean, url string, text string, n_chars long"), "page_id")

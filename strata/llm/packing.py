@@ -18,14 +18,14 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import plain_key, restore_key, staged
 from strata.llm.tokens import groups_of, worker_encoder
 
 #: Partner lengths tried for each first length in the patterns of three and four; more patterns fit better and take longer.
 PARTNERS = 12
 SWEEPS = 40
 
-PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids binary, task int, nth long"
+PIECE_SCHEMA = "doc_id long, no_key boolean, piece int, start long, length long, ids binary, task int, nth long"
 
 
 def cut_pieces(n_ids: int, size: int) -> list[tuple[int, int]]:
@@ -44,16 +44,15 @@ def tokenise_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0)
             texts = batch["text"].fillna("").tolist()
             for a, b in groups_of(texts):
                 rows = []
-                for key, raw in zip(batch["doc_id"].iloc[a:b], encoder.encode(texts[a:b])):
+                for key, none, raw in zip(batch["doc_id"].iloc[a:b], batch["no_key"].iloc[a:b], encoder.encode(texts[a:b])):
                     raw += end
                     for piece, (start, length) in enumerate(cut_pieces(len(raw) // 4, size)):
-                        rows.append((key, piece, start, length, raw[4 * start : 4 * (start + length)], task, seen[length]))
+                        rows.append((key, none, piece, start, length, raw[4 * start : 4 * (start + length)], task, seen[length]))
                         seen[length] += 1
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", "task", "nth"])
-                yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+                yield pd.DataFrame(rows, columns=["doc_id", "no_key", "piece", "start", "length", "ids", "task", "nth"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return staged(rows.mapInPandas(encode, PIECE_SCHEMA), "pieces", compression="zstd")
+    rows = plain_key(docs, "doc_id", F.col("text").cast("string").alias("text"))
+    return staged(restore_key(rows.mapInPandas(encode, PIECE_SCHEMA), "doc_id"), "pieces", compression="zstd")
 
 
 def enumerate_patterns(lengths: list[int], size: int, partners: int = PARTNERS) -> list[tuple[int, ...]]:
@@ -192,5 +191,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: in
 
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
     bases = tasks.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = pieces.join(bases, ["task", "length"]).select("doc_id", "piece", "start", "length", "ids", (F.col("base") + F.col("nth")).alias("rank"))
-    return ranked.mapInPandas(place, "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long")
+    ranked = pieces.join(bases, ["task", "length"])
+    ranked = plain_key(ranked, "doc_id", "piece", "start", "length", "ids", (F.col("base") + F.col("nth")).alias("rank"))
+    placed = ranked.mapInPandas(place, "doc_id long, no_key boolean, piece int, start long, length long, ids binary, sequence_id long, offset long")
+    return restore_key(placed, "doc_id")

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import plain_key, restore_key, staged
 
 #: Rows of each kind that the model is fitted on, in expectation: chosen by a hash of the key.
 FIT_ROWS = 12_000
@@ -104,10 +104,10 @@ def stage_features(docs: DataFrame) -> DataFrame:
     def extract(batches):
         classes = _class_table()
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "x": [style(t, classes).tobytes() for t in batch["text"].fillna("")]})
+            yield batch[["doc_id", "no_key"]].assign(x=[style(t, classes).tobytes() for t in batch["text"].fillna("")])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return staged(rows.mapInPandas(extract, "doc_id long, x binary"), "style")
+    rows = plain_key(docs, "doc_id", F.col("text").cast("string").alias("text"))
+    return staged(restore_key(rows.mapInPandas(extract, "doc_id long, no_key boolean, x binary"), "doc_id"), "style")
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_ROWS, prior: float | None = None) -> tuple[DataFrame, dict]:
@@ -139,6 +139,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: i
             if len(batch):
                 x = np.frombuffer(b"".join(batch["x"]), np.float32).reshape(len(batch), FEATURES)
                 z = np.clip((x - model["mean"]) / model["scale"], -8, 8) @ model["w"][:-1] + model["w"][-1]
-                yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": 1 / (1 + np.exp(-np.clip(z, -30, 30)))})
+                yield batch[["doc_id", "no_key"]].assign(score=1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    return features.mapInPandas(score, "doc_id long, score double"), model
+    scored = plain_key(features, "doc_id", "x").mapInPandas(score, "doc_id long, no_key boolean, score double")
+    return restore_key(scored, "doc_id"), model

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from strata.llm.common import shuffle_width
+from strata.llm.common import plain_key, shuffle_width
 from strata.llm.tokens import groups_of, worker_encoder
 
 BLOCK = 128
@@ -146,7 +146,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         keys, ids, size, segment, first = [], [], 0, 0, 0
         for batch in batches:
             texts = batch["text"].fillna("").tolist()
-            all_keys = [None if pd.isna(k) else int(k) for k in batch["doc_id"]]
+            all_keys = [None if none else k for k, none in zip(batch["doc_id"].tolist(), batch["no_key"])]
             for a, b in groups_of(texts):
                 for key, raw in zip(all_keys[a:b], encoder.encode(texts[a:b])):
                     keys.append(key)
@@ -161,7 +161,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.repartitionByRange(shuffle_width(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInPandas(encode, SEGMENT_SCHEMA).write.option("compression", "none").parquet(path)
+    plain_key(rows, "doc_id", "text").mapInPandas(encode, SEGMENT_SCHEMA).write.option("compression", "none").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import plain_key, restore_key, staged
 
 #: Labelled texts the model is fitted on, in expectation: chosen by a hash of the key.
 FIT_ROWS = 16_000
@@ -155,7 +155,8 @@ def score_toxicity(docs: DataFrame, model: dict, located: float = 0.5) -> DataFr
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
                 scores.append(float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum() + (n - len(found)) * base)))
                 where.append([(a, b, float(x)) for (a, b, _), x in zip(found, p) if x >= located])
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": scores, "sentences": where})
+            yield batch[["doc_id", "no_key"]].assign(score=scores, sentences=where)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(score, "doc_id long, score double, sentences array<struct<start: int, end: int, score: double>>")
+    rows = plain_key(docs, "doc_id", F.col("text").cast("string").alias("text"))
+    scored = rows.mapInPandas(score, "doc_id long, no_key boolean, score double, sentences array<struct<start: int, end: int, score: double>>")
+    return restore_key(scored, "doc_id")

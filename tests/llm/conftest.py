@@ -24,6 +24,7 @@ def edge_rows():
         (10, base + " tail"), (None, base), (None, None), (11, "solo é ß 日本語   x"), (12, prose(3, 80)), (12, prose(4, 80)), (13, prose(5, 40)), (13, prose(5, 40)),
         (14, "mail me: a.b@c.example.org_x@d.e, ip 1.2.3.4.5.6.7.8 or 300.1.1.1; card 4111-1111 1111 1111, +1 (555) 010-9999."), (15, "x" * 50_000 + "@" + "1." * 40_000 + "9 " * 30_000),
     ]
+    texts += [((1 << 60) + 1, prose(6, 30)), ((1 << 60) + 2, prose(7, 30))]  # next to null keys
     return [(k, t, None if k == 4 else "en", None, None, 1, "a", None, "b", None, "c", None, "d") for k, t in texts]
 
 

@@ -57,7 +57,7 @@ def test_draws_follow_the_paths_probabilities(sampler):
 
 def test_rows_draw_the_same_in_any_batch_and_differ_by_key(sampler):
     text = "some words that can be cut in many ways " * 4
-    seeds = row_seeds(pd.Series([1, 2, None, 1], dtype="Int64"), 7)
+    seeds = row_seeds(pd.Series([1, 2, 0, 1]), pd.Series([False, False, True, False]), 7)
     a, b, _, d = sampler.encode([text] * 4, seeds)
     assert (a == d).all() and (len(a) != len(b) or (a != b).any())
     assert (sampler.encode(["other", text], np.array([5, seeds[0]], np.uint64))[1] == a).all()
