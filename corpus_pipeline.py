@@ -13,7 +13,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm.common import fold, fresh, staged, table
+from strata.llm.common import fold, fresh, is_small, staged, table
 from strata.llm.jaccard_join import near_duplicates
 from strata.llm.packing import pack_documents
 from strata.llm.pii import sanitise
@@ -21,29 +21,34 @@ from strata.llm.quality_model import score_quality
 from strata.llm.quality_rules import judge
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id (null included) is in ``kept``: (doc_id), one row each."""
-    key = fresh("kept_id", docs.columns)
-    return docs.join(kept.withColumnRenamed("doc_id", key), F.col("doc_id").eqNullSafe(F.col(key)), "left_semi")
+#: Rejected keys up to which they are sent to all executors; beyond, documents and keys meet by a shuffle.
+BROADCAST_KEYS = 500_000
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id (null included) is not in ``rejected``: (doc_id)."""
+    key = fresh("rejected_id", docs.columns)
+    rejected = staged(rejected.select(F.col("doc_id").alias(key)).distinct(), "rejected")
+    rejected = F.broadcast(rejected) if is_small(rejected, BROADCAST_KEYS) else rejected
+    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col(key)), "left_anti")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the quality classifier scores below one half; a repeated doc_id goes if any of its texts does."""
     learn = fold(F.col("doc_id"), 3) != 1
     scored, _ = score_quality(docs, table(spark, sf_dir, "labels"), learn)
-    return _only(docs, scored.groupBy("doc_id").agg(F.min("score").alias("score")).where("score >= 0.5").select("doc_id"))
+    return _without(docs, scored.where("score < 0.5"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the base rules or the certified cutoffs reject; a repeated doc_id goes if any of its texts does."""
     judged = judge(docs, table(spark, sf_dir, "labels"))
-    return _only(docs, judged.groupBy("doc_id").agg(F.min("kept").alias("kept")).where("kept").select("doc_id"))
+    return _without(docs, judged.where("not kept"))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of every group of near duplicates, and rows without a doc_id."""
-    found = near_duplicates(docs)
-    return _only(docs, found.where("doc_id is null or component_id = doc_id").select("doc_id").distinct())
+    return _without(docs, near_duplicates(docs).where("component_id <> doc_id"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
