@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from strata.session import scratch_path
 
 
+#: Rows that a Python step of a staged table is handed at a time: texts are long, and each batch is held several times over.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Python steps of what is run inside get at most ``BATCH_ROWS`` rows at a time; the session's own setting comes back."""
+    own = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(int(own), BATCH_ROWS) if int(own) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, own)
+
+
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
@@ -15,7 +33,8 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.options(**options).parquet(path)
+    with small_batches(spark):
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -28,9 +28,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.common import is_small, staged
+from strata.llm.common import is_small, plain_key, restore_key, staged
 from strata.llm.spans import SpanHasher
-from strata.llm.tokens import groups_of
+from strata.llm.tokens import groups_of, worker_kept
 
 WORDS, PERCENT = 5, 80
 #: Frequent shingles known to the order; a longer list saves candidates and costs memory in each task.
@@ -110,7 +110,7 @@ def frequent_shingles(rows: DataFrame, words: int, most: int = FREQUENT) -> tupl
     """
 
     def count(batches):
-        shingler = Shingler(words)
+        shingler = worker_kept(("shingles", words), lambda: Shingler(words))
         for batch in batches:
             texts = batch["text"].tolist()
             for a, b in groups_of(texts, 6_000_000):
@@ -156,7 +156,7 @@ def verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataF
     """The (a, b) of ``pairs`` (staged) whose whole texts link."""
 
     def check(batches):
-        shingler = Shingler(words)
+        shingler = worker_kept(("shingles", words), lambda: Shingler(words))
         for batch in batches:
             keep = []
             for a, b in groups_of(batch["ta"].tolist(), GROUP_CHARS // 2):
@@ -185,7 +185,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     frequent, level = frequent_shingles(rows, words)
 
     def sign(batches):
-        shingler = Shingler(words)
+        shingler = worker_kept(("shingles", words), lambda: Shingler(words))
         for batch in batches:
             texts = batch["text"].tolist()
             for a, b in groups_of(texts, GROUP_CHARS):
@@ -194,9 +194,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
                     m, prefix, mean = prefix_of(s, frequent, level, percent) if len(s) else (0, s, 0.0)
                     out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), m, prefix.view(np.int64), mean))
                 out = pd.DataFrame(out, columns=["n", "class", "m", "prefix", "mean"])
-                yield out.assign(doc_id=batch["doc_id"].iloc[a:b].astype("Int64").to_numpy())
+                yield out.assign(doc_id=batch["doc_id"].iloc[a:b].to_numpy(), no_key=batch["no_key"].iloc[a:b].to_numpy())
 
-    signed = staged(rows.mapInPandas(sign, "doc_id long, n long, class binary, m int, prefix array<long>, mean double"), "signatures")
+    schema = "doc_id long, no_key boolean, n long, class binary, m int, prefix array<long>, mean double"
+    signed = staged(restore_key(plain_key(rows, "doc_id", "text").mapInPandas(sign, schema), "doc_id"), "signatures")
     classes = signed.where("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("mean").alias("mean"))
     postings = classes.select("node", "n", "m", "mean", F.posexplode("prefix").alias("pos", "token"))
     leader = F.struct("mean", (-F.col("node")).alias("node"), "n")

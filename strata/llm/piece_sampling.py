@@ -26,10 +26,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from strata.llm.common import plain_key, restore_key
 from strata.llm.spans import SpanHasher, mixed, ragged
 from strata.llm.tokens import groups_of, worker_kept
 
 
+#: Characters of a lattice: chunks that repeat within it are filtered once, and it bounds a task's memory.
+GROUP_CHARS = 4_000_000
+
+
 class PieceSampler:
     """Encoder and decoder of one vocabulary file (a ``sentencepiece`` model with byte pieces)."""
 
@@ -180,10 +185,9 @@ class PieceSampler:
         return self._flat[ragged(self._at[ids], self._size[ids])].tobytes()[1:].decode()
 
 
-def row_seeds(keys: pd.Series, seed: int) -> np.ndarray:
-    """A 64-bit seed for each key; null keys share one."""
-    keys = keys.astype("Int64")
-    return mixed(mixed(keys.fillna(0).to_numpy(np.int64).view(np.uint64)) + np.uint64(seed) + keys.isna().to_numpy(np.uint64) * np.uint64(0xA5A5A5A5))
+def row_seeds(keys: pd.Series, none: pd.Series, seed: int) -> np.ndarray:
+    """A 64-bit seed for each key; those where ``none`` holds share one."""
+    return mixed(mixed(keys.to_numpy(np.int64).view(np.uint64)) + np.uint64(seed) + none.to_numpy(np.uint64) * np.uint64(0xA5A5A5A5))
 
 
 def sample_pieces(docs: DataFrame, vocabulary: str, seed: int = 0, sharpness: float = 1.0) -> DataFrame:
@@ -197,16 +201,16 @@ def sample_pieces(docs: DataFrame, vocabulary: str, seed: int = 0, sharpness: fl
     def encode(batches):
         sampler = worker_kept(("pieces", vocabulary, sharpness), lambda: PieceSampler(vocabulary, sharpness))
         for batch in batches:
-            texts, seeds = batch["text"].fillna("").tolist(), row_seeds(batch["doc_id"], seed)
-            for a, b in groups_of(texts):
+            texts, seeds = batch["text"].fillna("").tolist(), row_seeds(batch["doc_id"], batch["no_key"], seed)
+            for a, b in groups_of(texts, GROUP_CHARS):
                 ids = sampler.encode(texts[a:b], seeds[a:b])
                 yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].iloc[a:b].astype("Int64"),
+                    "doc_id": batch["doc_id"].iloc[a:b], "no_key": batch["no_key"].iloc[a:b],
                     "ids": [x.astype("<u4").tobytes() for x in ids], "decoded": [sampler.decode(x) for x in ids],
                 })
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(encode, "doc_id long, ids binary, decoded string")
+    rows = plain_key(docs, "doc_id", F.col("text").cast("string").alias("text"))
+    return restore_key(rows.mapInPandas(encode, "doc_id long, no_key boolean, ids binary, decoded string"), "doc_id")
 
 
 def sample_digest(docs: DataFrame, vocabulary: str, seed: int = 0, sharpness: float = 1.0) -> DataFrame:
@@ -215,14 +219,14 @@ def sample_digest(docs: DataFrame, vocabulary: str, seed: int = 0, sharpness: fl
     def encode(batches):
         sampler = worker_kept(("pieces", vocabulary, sharpness), lambda: PieceSampler(vocabulary, sharpness))
         for batch in batches:
-            texts, seeds = batch["text"].fillna("").tolist(), row_seeds(batch["doc_id"], seed)
-            for a, b in groups_of(texts):
+            texts, seeds = batch["text"].fillna("").tolist(), row_seeds(batch["doc_id"], batch["no_key"], seed)
+            for a, b in groups_of(texts, GROUP_CHARS):
                 ids = sampler.encode(texts[a:b], seeds[a:b])
                 yield pd.DataFrame({
-                    "doc_id": batch["doc_id"].iloc[a:b].astype("Int64"), "n_pieces": [len(x) for x in ids],
+                    "doc_id": batch["doc_id"].iloc[a:b], "no_key": batch["no_key"].iloc[a:b], "n_pieces": [len(x) for x in ids],
                     "ids_crc32": [zlib.crc32(x.astype("<u4").tobytes()) for x in ids],
                     "lossless": [sampler.decode(x) == t for x, t in zip(ids, texts[a:b])],
                 })
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(encode, "doc_id long, n_pieces long, ids_crc32 long, lossless boolean")
+    rows = plain_key(docs, "doc_id", F.col("text").cast("string").alias("text"))
+    return restore_key(rows.mapInPandas(encode, "doc_id long, no_key boolean, n_pieces long, ids_crc32 long, lossless boolean"), "doc_id")

@@ -16,7 +16,7 @@ class SpanHasher:
 
     def _grow(self, n: int) -> None:
         if len(self._power) < n:
-            n = 1 << (n - 1).bit_length()
+            n += 1 << 18
             self._power, self._inverse = (
                 np.cumprod(np.append(np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)), dtype=np.uint64) for x in (_BASE, pow(_BASE, -1, 1 << 64))
             )

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from strata.llm.common import plain_key, shuffle_width
+from strata.llm.common import plain_key, shuffle_width, small_batches
 from strata.llm.tokens import groups_of, worker_encoder
 
 BLOCK = 128
@@ -161,7 +161,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.repartitionByRange(shuffle_width(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    plain_key(rows, "doc_id", "text").mapInPandas(encode, SEGMENT_SCHEMA).write.option("compression", "none").parquet(path)
+    with small_batches(docs.sparkSession):
+        plain_key(rows, "doc_id", "text").mapInPandas(encode, SEGMENT_SCHEMA).write.option("compression", "none").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -16,7 +16,7 @@ _RUNS = re.compile(r"[\n -&(-~À-ÖØ-öø-ſ]+")
 _BLANKS = ("  ", "\n\n", " \n", "\n ")
 _LETTER, _DIGIT, _OTHER, _SPACE, _FEED = range(5)
 #: Distinct pre-tokens kept by one worker before the cache starts anew (bounds memory, not results).
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 
 def _byte_classes() -> np.ndarray:
@@ -51,26 +51,26 @@ class CachedEncoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import CharDelimiterSplit
 
-        self._whole_texts = Tokenizer.from_file(path)
-        self._whole_texts.encode_special_tokens = True
-        self._words = Tokenizer.from_file(path)
-        self._words.encode_special_tokens = True
-        self._words.pre_tokenizer = CharDelimiterSplit("\n")
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = True
+        self._split, self._lines = self._tokenizer.pre_tokenizer, CharDelimiterSplit("\n")
         self._letters = _byte_letters()
         self._feed = self.whole("\n")
         self._letters[10] = "\n"
-        vocabulary = self._words.get_vocab(with_added_tokens=False)
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
         self._length = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self._length[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self._classes, self._hasher = _byte_classes(), SpanHasher()
         self._known: dict[bytes, bytes] = {b"\n": self._feed}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self._whole_texts.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self._tokenizer.pre_tokenizer = self._split
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: list[bytes]) -> list[bytes]:
         joined = b"\n".join(words).decode("latin-1").translate(self._letters)
-        ids = np.array(self._words.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        self._tokenizer.pre_tokenizer = self._lines
+        ids = np.array(self._tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
         ends = np.searchsorted(np.cumsum(self._length[ids]), np.cumsum(list(map(len, words)))) + 1
         raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
         learnt = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
@@ -110,18 +110,24 @@ class CachedEncoder:
 
 
 def worker_kept(key, make):
-    """What ``make`` gives, made once for all tasks that this Python worker runs: functions are shipped by value, so globals aren't kept."""
-    kept = sys.modules.setdefault("_strata_worker", ModuleType("_strata_worker")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    """What ``make`` gives, made once for all tasks in a row that this Python worker runs with ``key``.
+
+    Functions are shipped by value, so their globals aren't kept. There is one
+    slot: work of another kind frees what the work before has kept.
+    """
+    slot = sys.modules.setdefault("_strata_worker", ModuleType("_strata_worker")).__dict__
+    if slot.get("key") != key:
+        slot["key"] = slot["value"] = None
+        slot["value"] = make()
+        slot["key"] = key
+    return slot["value"]
 
 
 def worker_encoder(path: str) -> CachedEncoder:
     return worker_kept(("encoder", path), lambda: CachedEncoder(path))
 
 
-def groups_of(texts, max_chars: int = 4_000_000):
+def groups_of(texts, max_chars: int = 2_000_000):
     """Index ranges of consecutive texts of about ``max_chars`` together: bounds a task's memory."""
     start = size = 0
     for i, t in enumerate(texts):
