@@ -9,9 +9,11 @@ and k of those with the term,
     PMI = ln((k / n) / share of all contexts that hold the term),  IC = ln(N / n).
 
 A term with PMI >= DISCLOSURE * IC in at least SUPPORT different contexts is
-generalised in the entity's contexts, like the entity itself. Equal contexts
+generalised like the entity itself. Equal contexts
 (copies of a passage) count once.
 
+A disclosing term goes wherever it stands, in texts without any entity too.
+
 DataFrame expressions only.
 """
 
@@ -108,6 +110,24 @@ def base_spans(text: Column) -> Column:
     return F.concat(*map(of, KINDS))
 
 
+def replaced(text: Column, spans: Column, mark) -> Column:
+    """``text`` with each of the sorted ``spans`` replaced by ``mark(span, first code point not yet replaced)``; ``mark`` also sees spans that start inside an earlier one."""
+
+    def step(acc: Column, s: Column) -> Column:
+        out = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), mark(s, acc["at"]))
+        inside = s["start"] < acc["at"]
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, F.concat(acc["out"], mark(s, acc["at"]))).otherwise(out).alias("out"))
+
+    return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+
+
+def visible(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of the base spans: as long as before, so positions hold."""
+    places = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    blank = replaced(text, places, lambda s, at: F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], at), F.lit(0))))
+    return F.when(F.size(spans) == 0, text).otherwise(blank)
+
+
 def _contexts(text: Column, spans: Column) -> Column:
     """For each base span: its entity, a hash of its context, and the terms (word, start, end) of the context."""
 
@@ -131,7 +151,7 @@ def _contexts(text: Column, spans: Column) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, a hash of the text, base spans, their contexts and the number of terms of every text; staged.
+    """doc_id, a hash of the text, base spans, their contexts, the number of terms and the distinct terms outside base spans of every text; staged.
 
     Null texts count as empty.
     """
@@ -140,9 +160,10 @@ def find(docs: DataFrame) -> DataFrame:
     found = rows.select(
         "doc_id", F.xxhash64("text").alias("text_hash"),
         let(base_spans(F.col("text")), lambda s: F.struct(s.alias("spans"), _contexts(F.col("text"), s).alias("contexts"))).alias("f"),
-        F.size(F.regexp_extract_all("text", F.lit(_TERM), F.lit(0))).cast("long").alias("n_terms"),
+        F.size(F.regexp_extract_all("text", F.lit(_TERM), F.lit(0))).cast("long").alias("n_terms"), "text",
     )
-    return staged(found.select("doc_id", "text_hash", "f.spans", "f.contexts", "n_terms"), "base-spans")
+    terms = F.array_distinct(F.transform(F.regexp_extract_all(visible(F.col("text"), F.col("f.spans")), F.lit(_TERM), F.lit(0)), F.lower))
+    return staged(found.select("doc_id", "text_hash", "f.spans", "f.contexts", "n_terms", terms.alias("terms")), "base-spans")
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
@@ -165,13 +186,22 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISC
     return staged(scored.where((information > 0) & (pmi >= disclosure * information)).select("entity", "term"), "disclosed")
 
 
-def term_spans(found: DataFrame, disclosed: DataFrame) -> DataFrame:
-    """doc_id, text_hash and the spans (start, end) of the disclosing terms in the contexts of their entities; staged."""
-    places = found.select("doc_id", "text_hash", F.explode("contexts").alias("c")).select("doc_id", "text_hash", "c.entity", F.explode("c.terms").alias("t"))
-    places = places.select("doc_id", "text_hash", "entity", "t.*")
-    hits = places.join(F.broadcast(disclosed) if is_small(disclosed, BROADCAST_ROWS) else disclosed, ["entity", "term"], "left_semi")
-    spans = hits.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("terms"))
-    return staged(spans, "term-spans")
+def term_spans(docs: DataFrame, found: DataFrame, disclosed: DataFrame) -> DataFrame:
+    """text_hash and the spans (start, end) of all disclosing terms outside base spans, for every text that holds any; staged."""
+    telling = staged(disclosed.select("term").distinct(), "telling")
+    places = found.select("text_hash", F.explode("terms").alias("term"))
+    hits = places.join(F.broadcast(telling) if is_small(telling, BROADCAST_ROWS) else telling, "term", "left_semi")
+    hits = staged(hits.groupBy("text_hash").agg(F.collect_set("term").alias("own")), "term-texts")
+    hits = F.broadcast(hits) if is_small(hits, BROADCAST_ROWS) else hits
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text")).join(hits, "text_hash")
+
+    def own(p: Column) -> Column:
+        spans = F.zip_with(p["m"], p["s"], lambda m, s: F.when(F.array_contains("own", F.lower(m)), s))
+        return F.filter(spans, lambda s: s.isNotNull())
+
+    spans = let(base_spans(F.col("text")), lambda s: let(positions(visible(F.col("text"), s), _TERM), own))
+    return staged(texts.select("text_hash", spans.alias("terms")).dropDuplicates(["text_hash"]), "term-spans")
 
 
 def find_private(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
@@ -181,9 +211,9 @@ def find_private(docs: DataFrame, disclosure: float = DISCLOSURE, support: int =
     own text's spans; other columns are ignored; an empty table gives none.
     """
     found = find(docs)
-    terms = term_spans(found, disclosing_terms(docs, found, disclosure, support)).withColumnsRenamed({"doc_id": "t_id", "text_hash": "t_hash"})
+    terms = term_spans(docs, found, disclosing_terms(docs, found, disclosure, support))
     terms = F.broadcast(terms) if is_small(terms, BROADCAST_ROWS) else terms
-    rows = found.select("doc_id", "text_hash", "spans").join(terms, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_hash") == F.col("t_hash")), "left")
+    rows = found.select("doc_id", "text_hash", "spans").join(terms, "text_hash", "left")
     return rows.select("doc_id", "text_hash", "spans", F.coalesce("terms", F.array().cast(_SPANS)).alias("terms"))
 
 
@@ -210,10 +240,5 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUP
     text = F.col("text").cast("string")
     rows = docs.join(private, F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(text_hash)), "left")
 
-    def step(acc: Column, s: Column) -> Column:
-        inside = s["start"] < acc["at"]
-        more = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(inside, acc["out"]).otherwise(more).alias("out"))
-
-    clean = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+    clean = replaced(text, F.col(spans), lambda s, at: F.when(s["start"] < at, F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
     return rows.select(*(F.when(F.col(spans).isNotNull(), clean).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns))

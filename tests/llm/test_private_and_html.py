@@ -73,6 +73,17 @@ def test_a_term_that_gives_an_entity_away_is_generalised(spark):
     assert clean[3] == filler[3][1] and clean[300] == "Unusual phrase near [EMAIL] in a copied passage"
 
 
+def test_a_disclosing_term_goes_wherever_it_stands(spark):
+    filler = [(i, " ".join(f"common{(i * 7 + j) % 40} thing{(i + j) % 23}" for j in range(30))) for i in range(60)]
+    telling = [(100 + i, f"from Kowalczyk writes common{i} bob@corp.example says thing{i}") for i in range(5)]
+    far = [(200, "common thing " * 20 + "KOWALCZYK, thing"), (201, "Kowalczyk says " + "common thing " * 20 + "bob@corp.example"), (202, None), (None, "kowalczyk common"), (None, "kowalczyk common")]
+    clean = [(r.doc_id, r.text) for r in sanitise(spark.createDataFrame(filler + telling + far, "doc_id long, text string")).collect()]
+    texts = dict(clean)
+    assert len(clean) == 70 and not any("kowalczyk" in (t or "").lower() for _, t in clean)
+    assert texts[200] == "common thing " * 20 + "[TERM], thing" and texts[201].startswith("[TERM] ") and texts[201].endswith("[EMAIL]")
+    assert texts[None] == "[TERM] common" and texts[202] is None and texts[3] == filler[3][1]
+
+
 def test_sanitise_keeps_columns_rows_and_clean_texts(edge_docs, edge_rows):
     rows = sanitise(edge_docs)
     assert rows.columns == edge_docs.columns
