@@ -1,18 +1,18 @@
 """Personal data: fixed patterns, and terms that give protected entities away.
 
 Patterns find emails, ip addresses, card and phone numbers. Each value found is
-a protected entity; the words around its occurrences are its contexts. A term
-discloses an entity as far as their pointwise mutual information reaches the
-entity's own information: with N contexts in the whole corpus, n of the entity
-and k of those with the term,
+a protected entity; the terms of the texts that hold it (runs of letters and
+digits outside base spans) may give it away. A term discloses an entity as far
+as their pointwise mutual information reaches the entity's own information:
+with N texts, n of them with the entity, s with the term and k with both,
 
-    PMI = ln((k / n) / share of all contexts that hold the term),  IC = ln(N / n).
+    PMI = ln((k / s) / (n / N)),  IC = ln(N / n).
 
-A term with PMI >= DISCLOSURE * IC in at least SUPPORT different contexts is
-generalised like the entity itself. Equal contexts
-(copies of a passage) count once.
-
-A disclosing term goes wherever it stands, in texts without any entity too.
+For k / s, the chance that a text with the term holds the entity, the lower
+confidence bound (Wilson, CONFIDENCE) is taken, so that few texts count as
+little evidence, and entities of one or two texts are judged like any other. A
+term with PMI >= DISCLOSURE * IC is generalised like the entity itself,
+wherever it stands, in texts without any entity too. Equal texts count once.
 
 DataFrame expressions only.
 """
@@ -25,10 +25,10 @@ from strata.llm.common import fresh, is_small, staged
 from strata.llm.quality_rules import let
 
 KINDS = ("email", "ip", "card", "phone")
-#: Code points of a context on either side of an entity.
-REACH = 64
-#: Least share of an entity's information that a term must give away, and least number of different contexts.
-DISCLOSURE, SUPPORT = 0.8, 3
+#: Least share of an entity's information that a term must give away.
+DISCLOSURE = 0.8
+#: Normal quantile of the one-sided confidence (95 %) that it does.
+CONFIDENCE = 1.645
 #: Rows up to which a table of terms or spans is sent to all executors; beyond, a shuffle.
 BROADCAST_ROWS = 500_000
 #: Spans whose positions are added up in one go; longer lists are added up in blocks of this size.
@@ -44,7 +44,7 @@ _PATTERNS = {
 }
 #: What a text must hold for a pattern to be tried.
 _NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-_TERM = r"\p{L}{3,}+"
+_TERM = r"[\p{L}\p{M}\p{N}]++"
 _SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -128,62 +128,40 @@ def visible(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(blank)
 
 
-def _contexts(text: Column, spans: Column) -> Column:
-    """For each base span: its entity, a hash of its context, and the terms (word, start, end) of the context."""
-
-    def side(first: Column, last: Column) -> Column:  # terms in code points [first, last), whole words only
-        def cut(p: Column) -> Column:
-            terms = F.zip_with(p["m"], p["s"], lambda m, s: F.struct(F.lower(m).alias("term"), (s["start"] + first).alias("start"), (s["end"] + first).alias("end")))
-            return F.filter(terms, lambda t: ((t["start"] > first) | (first == 0)) & ((t["end"] < last) | (last == F.length(text))))
-
-        return let(positions(F.substr(text, first + 1, last - first), _TERM), cut)
-
-    def one(s: Column) -> Column:
-        before, after = F.greatest(s["start"] - REACH, F.lit(0)), F.least(s["end"] + REACH, F.length(text))
-        terms = F.filter(F.concat(side(before, s["start"]), side(s["end"], after)), lambda t: ~F.exists(spans, lambda x: (x["start"] < t["end"]) & (t["start"] < x["end"])))
-        return F.struct(
-            F.concat(s["kind"], F.lit(":"), F.lower(s["value"])).alias("entity"),
-            F.xxhash64(F.substr(text, before + 1, after - before)).alias("context"),
-            terms.alias("terms"),
-        )
-
-    return F.transform(spans, one)
-
-
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, a hash of the text, base spans, their contexts, the number of terms and the distinct terms outside base spans of every text; staged.
+    """doc_id, row (unique), a hash of the text, base spans, distinct entities, and distinct terms outside base spans of every text; staged.
 
     Null texts count as empty.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id"), text.alias("text"))
-    found = rows.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"),
-        let(base_spans(F.col("text")), lambda s: F.struct(s.alias("spans"), _contexts(F.col("text"), s).alias("contexts"))).alias("f"),
-        F.size(F.regexp_extract_all("text", F.lit(_TERM), F.lit(0))).cast("long").alias("n_terms"), "text",
-    )
+    found = docs.select("doc_id", text.alias("text")).select("doc_id", "text", F.xxhash64("text").alias("text_hash"), let(base_spans(F.col("text")), lambda s: F.struct(s.alias("spans"))).alias("f"))
+    entities = F.array_distinct(F.transform("f.spans", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
     terms = F.array_distinct(F.transform(F.regexp_extract_all(visible(F.col("text"), F.col("f.spans")), F.lit(_TERM), F.lit(0)), F.lower))
-    return staged(found.select("doc_id", "text_hash", "f.spans", "f.contexts", "n_terms", terms.alias("terms")), "base-spans")
+    return staged(found.select("doc_id", F.monotonically_increasing_id().alias("row"), "text_hash", "f.spans", entities.alias("entities"), terms.alias("terms")), "base-spans")
+
+
+def _lower_bound(k: Column, s: Column) -> Column:
+    """Least share that ``k`` of ``s`` speaks for, at the confidence (Wilson)."""
+    z2 = CONFIDENCE**2
+    return (k + z2 / 2 - CONFIDENCE * F.sqrt(k * (s - k) / s + z2 / 4)) / (s + z2)
+
 
+def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
+    """(entity, term) for the terms that exceed the disclosure threshold; counts over all different texts; staged."""
+    firsts = staged(found.groupBy("text_hash").agg(F.min("row").alias("row")).select("row"), "first-rows")
+    total = firsts.count()
+    texts = found.join(F.broadcast(firsts) if is_small(firsts, BROADCAST_ROWS) else firsts, "row", "left_semi")
+    places = texts.select("row", F.explode("entities").alias("entity"))
+    places = places.join(places.groupBy("entity").agg(F.count("*").alias("n")), "entity")
+    seen = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("s"))
+    words = texts.where(F.size("entities") > 0).select("row", F.explode("terms").alias("term")).join(seen, "term")
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """(entity, term) for the terms that exceed the disclosure threshold; counts over all texts; staged."""
-    contexts = found.select(F.explode("contexts").alias("c")).select("c.*")
-    entities = contexts.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n"))
-    pairs = contexts.select("entity", "context", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term")).distinct()
-    pairs = staged(pairs.groupBy("entity", "term").agg(F.count("*").alias("k")).where(F.col("k") >= support), "disclosing")
-    terms = staged(pairs.select("term").distinct(), "terms")
+    def exceeds(k: Column) -> Column:  # PMI >= disclosure * IC, without logarithms
+        return (F.col("n") < total) & (_lower_bound(k, F.col("s")) >= F.pow(F.col("n") / total, F.lit(1 - disclosure)))
 
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(_TERM), F.lit(0))).alias("term"))
-    if is_small(terms, BROADCAST_ROWS):  # else the words are counted first: counts are what meets the terms
-        words = words.join(F.broadcast(terms), "term", "left_semi")
-    known = words.groupBy("term").agg(F.count("*").alias("seen")).join(terms, "term", "left_semi")
-    width = max(1.0, contexts.agg(F.avg(F.size("terms"))).first()[0] or 0.0)  # terms of a context
-    total = found.agg(F.sum("n_terms")).first()[0] or 0
-    scored = pairs.join(known, "term").join(entities, "entity")
-    pmi = F.log((F.col("k") / F.col("n")) / F.least(F.lit(1.0), width * F.col("seen") / F.lit(total)))
-    information = F.log(F.lit(total / width) / F.col("n"))
-    return staged(scored.where((information > 0) & (pmi >= disclosure * information)).select("entity", "term"), "disclosed")
+    pairs = places.join(words, "row").where(exceeds(F.least("n", "s")))  # k is at most either; what fails with that is never counted
+    scored = pairs.groupBy("entity", "term", "n", "s").agg(F.count("*").alias("k"))
+    return staged(scored.where(exceeds(F.col("k"))).select("entity", "term"), "disclosed")
 
 
 def term_spans(docs: DataFrame, found: DataFrame, disclosed: DataFrame) -> DataFrame:
@@ -204,14 +182,14 @@ def term_spans(docs: DataFrame, found: DataFrame, disclosed: DataFrame) -> DataF
     return staged(texts.select("text_hash", spans.alias("terms")).dropDuplicates(["text_hash"]), "term-spans")
 
 
-def find_private(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def find_private(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """doc_id, base spans (kind, start, end, value) and spans of disclosing terms of every text.
 
     Null texts count as empty; null and repeated keys are kept, each with its
     own text's spans; other columns are ignored; an empty table gives none.
     """
     found = find(docs)
-    terms = term_spans(docs, found, disclosing_terms(docs, found, disclosure, support))
+    terms = term_spans(docs, found, disclosing_terms(docs, found, disclosure))
     terms = F.broadcast(terms) if is_small(terms, BROADCAST_ROWS) else terms
     rows = found.select("doc_id", "text_hash", "spans").join(terms, "text_hash", "left")
     return rows.select("doc_id", "text_hash", "spans", F.coalesce("terms", F.array().cast(_SPANS)).alias("terms"))
@@ -222,13 +200,13 @@ def render(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by its kind in brackets; overlapping spans become one.
 
     Null texts stay null, all columns are kept; rows with nothing private keep
     their text unchanged.
     """
-    private = find_private(docs, disclosure, support).where((F.size("spans") > 0) | (F.size("terms") > 0))
+    private = find_private(docs, disclosure).where((F.size("spans") > 0) | (F.size("terms") > 0))
     tagged = F.concat(
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))),
         F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("term").alias("kind"))),

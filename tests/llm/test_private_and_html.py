@@ -74,14 +74,27 @@ def test_a_term_that_gives_an_entity_away_is_generalised(spark):
 
 
 def test_a_disclosing_term_goes_wherever_it_stands(spark):
-    filler = [(i, " ".join(f"common{(i * 7 + j) % 40} thing{(i + j) % 23}" for j in range(30))) for i in range(60)]
-    telling = [(100 + i, f"from Kowalczyk writes common{i} bob@corp.example says thing{i}") for i in range(5)]
-    far = [(200, "common thing " * 20 + "KOWALCZYK, thing"), (201, "Kowalczyk says " + "common thing " * 20 + "bob@corp.example"), (202, None), (None, "kowalczyk common"), (None, "kowalczyk common")]
+    filler = [(i, " ".join(f"common{(i * 7 + j) % 40} thing{(i + j) % 23}" for j in range(30))) for i in range(400)]
+    telling = [(1000 + i, f"from Kowalczyk writes common{i} bob@corp.example says thing{i}") for i in range(12)]
+    far = [(2000, "common thing " * 20 + "KOWALCZYK, thing"), (2001, "Kowalczyk says " + "common thing " * 20 + "bob@corp.example"), (2002, None), (None, "kowalczyk common"), (None, "kowalczyk common")]
     clean = [(r.doc_id, r.text) for r in sanitise(spark.createDataFrame(filler + telling + far, "doc_id long, text string")).collect()]
     texts = dict(clean)
-    assert len(clean) == 70 and not any("kowalczyk" in (t or "").lower() for _, t in clean)
-    assert texts[200] == "common thing " * 20 + "[TERM], thing" and texts[201].startswith("[TERM] ") and texts[201].endswith("[EMAIL]")
-    assert texts[None] == "[TERM] common" and texts[202] is None and texts[3] == filler[3][1]
+    assert len(clean) == len(filler + telling + far) and not any("kowalczyk" in (t or "").lower() for _, t in clean)
+    assert texts[2000] == "common thing " * 20 + "[TERM], thing" and texts[2001].startswith("[TERM] ") and texts[2001].endswith("[EMAIL]")
+    assert texts[None] == "[TERM] common" and texts[2002] is None and texts[3] == filler[3][1]
+
+
+def test_rare_entities_far_terms_and_identifiers_are_judged(spark):
+    filler = [(i, " ".join(f"common{(i * 7 + j) % 40} thing{(i + j) % 23}" for j in range(30))) for i in range(1500)]
+    once = [(2000, "common1 Li has badge 4711 and key ab12cd " + "thing1 common2 " * 30 + "once@corp.example")]
+    twice = [(2001 + i, f"Zork common{i} " + "thing2 common3 " * 30 + "1.2.3.4") for i in range(2)]
+    df = spark.createDataFrame(filler + once * 3 + twice + [(3000, "badge 4711 of Li and thing1")], "doc_id long, text string")
+    terms = {(r.entity, r.term) for r in disclosing_terms(df, find(df)).collect()}
+    assert {("email:once@corp.example", "ab12cd"), ("email:once@corp.example", "key"), ("ip:1.2.3.4", "zork")} <= terms
+    assert not any(t.startswith(("common", "thing")) or t in ("li", "4711", "once", "example", "1") for _, t in terms)  # li and 4711: also in a text without it
+    df = df.where("doc_id <> 3000")
+    terms = {(r.entity, r.term) for r in disclosing_terms(df, find(df)).collect()}
+    assert {("email:once@corp.example", "li"), ("email:once@corp.example", "4711")} <= terms
 
 
 def test_sanitise_keeps_columns_rows_and_clean_texts(edge_docs, edge_rows):
