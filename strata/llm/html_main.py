@@ -38,40 +38,82 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt rtc s samp small span strike strong sub sup time tt u var wbr".split())
 _CONTAINER = frozenset("html body main article section div center table tbody tr td dl ul ol blockquote".split())
 _CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
-_NOT_MAIN = frozenset("head nav header footer aside form menu button select option dialog figcaption object canvas audio video map".split())
+_NOT_MAIN = frozenset("head nav header footer aside form menu button select option dialog object canvas audio video map".split())
 _NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert".split())
 _NOT_MAIN_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|banners?|menus?|nav|navbar|navigation|breadcrumbs?|sidebars?|aside|widgets?|"
+    r"(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|banners?|menus?|nav|navbar|navigation|breadcrumbs?|sidebars?|aside|widgets?|"
     r"footers?|headers?|masthead|cookies?|consent|gdpr|notices?|popups?|modals?|overlay|newsletters?|subscribe|signup|login|share|sharing|social|related|recommended|"
-    r"comments?|commentlist|disqus|replies|respond|pagination|pager|toolbar|skip)(?:$|[\s_\d-])",
+    r"comments?|commentlist|disqus|replies|respond|pagination|pager|toolbar|skip)[\d_-]*",
     re.I,
 )
+_REPLIES = re.compile(r"(?:comments?|commentlist|disqus|replies|respond)[\d_-]*", re.I)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _DIGITS = re.compile(r"\d+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "main", "text", "link", "children", "begin", "end")
+    __slots__ = ("tag", "path", "main", "text", "link", "children", "begin", "end", "at", "order", "last", "named", "replies", "marked")
 
-    def __init__(self, tag: str, path: str, main: bool, begin: int):
+    def __init__(self, tag: str, path: str, main: bool, begin: int, at: int = 0, order: int = 0):
         self.tag, self.path, self.main, self.begin, self.end = tag, path, main, begin, -1
+        self.at, self.order, self.last = at, order, -1
         self.text = self.link = 0
         self.children: list[_Element] = []
+        #: The element that is left out for its name and holds this one; of such an element: named like replies, holds an article or main.
+        self.named: _Element | None = None
+        self.replies = self.marked = False
+
+    @property
+    def plain(self) -> int:
+        """Characters of text outside links."""
+        return self.text - self.link
+
+    def holds(self, other: _Element) -> bool:
+        return self.order <= other.order < self.last
 
 
 def parse(html: str) -> tuple[_Element, list[tuple[int, str]]]:
     """The tree of containers, and the main-text pieces (piece number, text) with "" where a block ends.
 
     An element's pieces are those from its ``begin`` to before its ``end``.
+    Elements named like what is not the article are left out, unless they hold
+    the page's largest article or main, or most of its text where no article or
+    main stands outside them (replies: only if there is no other text).
+    """
+    root, pieces, named, _ = _parse(html, frozenset())
+    total = root.plain + sum(x.plain for x in named)
+    if not any(x.marked or 2 * x.plain > total for x in named):
+        return root, pieces
+    root, pieces, named, articles = _parse(html, None)
+    spared = set()
+    for x in named:
+        inside = max((y.plain for y in articles if x.holds(y)), default=0)
+        outside = max((y.plain - (x.plain if y.holds(x) else 0) for y in articles if not x.holds(y)), default=0)
+        rest = root.plain - x.plain
+        if inside > outside or outside <= 0 and (x.plain > 0 >= rest if x.replies else x.plain > rest):
+            spared.add(x.at)
+    return _parse(html, frozenset(spared))[:2]
+
+
+def _parse(html: str, spared: frozenset[int] | None) -> tuple[_Element, list[tuple[int, str]], list[_Element], list[_Element]]:
+    """Tree and pieces, the elements named like what is not the article, and the article and main elements.
+
+    ``spared``: where in the page such elements begin that are not left out; None: all.
     """
     root = _Element("", "", True, 0)
-    stack, pieces, links, at = [root], [], 0, 0
+    stack, pieces, links, at, order = [root], [], 0, 0, 0
+    by_name: list[_Element] = []
+    articles: list[_Element] = []
 
     def add(raw: str) -> None:
         top = stack[-1]
-        if top.main and raw:
+        if raw and (top.main or top.named):
             text = unescape(raw) if "&" in raw else raw
-            pieces.append(text)
             n = len(text) - text.count(" ")
+            if top.main:
+                pieces.append(text)
+            else:
+                top = top.named
             top.text += n
             top.link += n if links else 0
 
@@ -79,10 +121,11 @@ def parse(html: str) -> tuple[_Element, list[tuple[int, str]]]:
         nonlocal links
         while len(stack) > k:
             done = stack.pop()
-            done.end = len(pieces)
+            done.end, done.last = len(pieces), order + 1
             links -= done.tag == "a"
-            stack[-1].text += done.text
-            stack[-1].link += done.link
+            if done.main:
+                stack[-1].text += done.text
+                stack[-1].link += done.link
 
     def brk() -> None:
         if pieces and pieces[-1] != "":
@@ -116,21 +159,36 @@ def parse(html: str) -> tuple[_Element, list[tuple[int, str]]]:
                 if own not in _INLINE and own != "p" and not (own in ("td", "th") and tag == "tr"):
                     break
         rest, names = token["rest"], ""
-        hidden = False
+        hidden = by_class = replies = False
         if rest:
             for name, a, b, c in _ATTRIBUTE.findall(rest):
                 value, name = a or b or c, name.lower()
                 if name == "role":
                     hidden |= value.strip().lower() in _NOT_MAIN_ROLES
                 elif name != "hidden":
-                    hidden |= tag not in ("html", "body") and bool(_NOT_MAIN_NAMES.search(value))
+                    own = value.split() if name == "class" else [] if tag in _INLINE or tag == "p" else [value.strip()]
+                    if tag not in ("html", "body") and tag not in _HEADINGS:  # whole names only: has-sidebar is none
+                        by_class |= any(_NOT_MAIN_NAMES.fullmatch(x) for x in own)
+                        replies |= any(_REPLIES.fullmatch(x) for x in own)
                     if name == "class":
                         names = ".".join(sorted(_DIGITS.sub("", value).lower().split()))
         parent = stack[-1]
-        main = parent.main and tag not in _NOT_MAIN and not hidden
+        kept = tag not in _NOT_MAIN and not hidden
+        out = by_class and kept and spared is not None and token.start() not in spared
+        main = parent.main and kept and not out
         if rest.endswith("/") and tag not in _CONTAINER:
             continue
-        element = _Element(tag, f"{parent.path}>{tag}{'.' + names if names else ''}" if tag in _CONTAINER else parent.path, main, len(pieces))
+        element = _Element(tag, f"{parent.path}>{tag}{'.' + names if names else ''}" if tag in _CONTAINER else parent.path, main, len(pieces), token.start(), order := order + 1)
+        if parent.main and kept and by_class:
+            element.replies = replies
+            by_name.append(element)
+        if kept and not main:
+            element.named = element if parent.main else parent.named
+        if tag in ("article", "main"):
+            if main:
+                articles.append(element)
+            elif element.named:
+                element.named.marked = True
         if main and tag in _CONTAINER:
             for near in reversed(stack):
                 if near.tag in _CONTAINER or near is root:
@@ -142,8 +200,8 @@ def parse(html: str) -> tuple[_Element, list[tuple[int, str]]]:
     cut = re.search(r"<(?:[a-zA-Z/!?].*)?\Z", rest, re.S)  # a tag that the page's end cuts off
     add(rest[: cut.start()] if cut else rest)
     close(1)
-    root.end = len(pieces)
-    return root, pieces
+    root.end, root.last = len(pieces), order + 1
+    return root, pieces, by_name, articles
 
 
 def best_container(root: _Element) -> _Element:

@@ -142,3 +142,17 @@ def test_parser_survives_broken_markup():
     assert main("<article>t<div class='comments'>bad</div><aside>bad</aside><form>bad</form></article>") == "t"
     assert main('<p "unclosed>text') in ("text", "") and main("<" * 3000 + "a'" * 3000) is not None
     assert host_of("//u:p@A.b:8/x") == "a.b" and host_of(None) == ""
+
+
+def test_names_only_drop_what_is_wholly_named_so():
+    def main(html):
+        root, pieces = parse(html)
+        return text_of(best_container(root), pieces)
+
+    assert main("<body><div id='page' class='has-sidebar'><h1 class='post-header'>T</h1><p class='notice-period'>one</p><h2 id='related'>R</h2><section id='social-effects'>two</section></div></body>") == "T one R two"
+    assert main("<main class='no-sidebar'><p id='notice'>text</p><figure><figcaption>cap</figcaption></figure></main>") == "text cap"
+    assert main("<body><div class='content sidebar'><p>all of the text</p></div><div class='ad x'>buy</div></body>") == "all of the text"
+    assert main("<div class='widget'><article>the article</article><div class='ads'>buy now</div></div><p>x</p>") in ("the article", "the article x")
+    assert main("<article>body of it<div class='related'><article>teaser</article></div></article>") == "body of it"
+    assert main("<div>short post</div><div class='comments'>a very much longer thread of comments</div>") == "short post"
+    assert main("<div class='ad'>" * 300 + "deep" + "</div>" * 300) == "deep"
