@@ -1,11 +1,12 @@
 """Main text of web pages by consensus of a host's pages on where it stands.
 
-Every page proposes its best container: from the body down, the child that
-holds most of the text outside menus, adverts and the like is entered while it
-holds enough of it. The container's path is generalised to tags and classes
+Every page proposes its best container: the lowest one that holds nearly all
+text outside menus, adverts and the like; lists and quotes are none, and an
+article is not divided. The container's path is generalised to tags and classes
 without digits. Spark adds up the proposals by host; pages are then extracted
-again from the elements at their host's winning path, or from their own
-proposal where a page has no such element.
+again from the elements at their host's winning path if these hold a comparable
+share of the page's text or about as much as on the pages that voted for them,
+else from their own proposal.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from strata.llm.common import is_small, plain_key, restore_key, staged
 
 #: Hosts up to which the winning paths are sent to every executor; beyond, they are joined by a shuffle.
 BROADCAST_HOSTS = 50_000
-#: Share of its text that a container's child must hold to be entered, and the weight of telling tags.
-ENTER, WEIGHT = 0.6, {"article": 3.0, "main": 2.0}
+#: Share of the page's text outside links that a container must hold to be entered.
+ENTER = 0.85
+#: Least text at the host's path, as a share of the page's own proposal or of the mean on the pages that voted for it.
+COMPARABLE = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -37,6 +40,9 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt rtc s samp small span strike strong sub sup time tt u var wbr".split())
 _CONTAINER = frozenset("html body main article section div center table tbody tr td dl ul ol blockquote".split())
+#: Containers that may be entered, and those that may be entered from a main or inside it; nothing is from an article.
+_ENTERED = frozenset("html body main article section div center table tbody tr td".split())
+_ENTERED_IN_MAIN = frozenset("main article div center".split())
 _CLOSES_P = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _NOT_MAIN = frozenset("head nav header footer aside form menu button select option dialog object canvas audio video map".split())
 _NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert".split())
@@ -205,11 +211,13 @@ def _parse(html: str, spared: frozenset[int] | None) -> tuple[_Element, list[tup
 
 
 def best_container(root: _Element) -> _Element:
-    """From the root down: the child with most text outside links, while it holds enough of it."""
-    here = root
-    while here.children:
-        child = max(here.children, key=lambda x: (x.text - 2 * x.link) * WEIGHT.get(x.tag, 1.0))
-        if (child.text - 2 * child.link) * WEIGHT.get(child.tag, 1.0) < max(1.0, ENTER * (here.text - 2 * here.link)):
+    """From the root down: the lowest container that holds nearly all text outside links."""
+    here, allowed, least = root, _ENTERED, max(1.0, ENTER * root.plain)
+    while here.tag != "article":
+        if here.tag == "main":
+            allowed = _ENTERED_IN_MAIN
+        child = max((x for x in here.children if x.tag in allowed), key=lambda x: x.plain, default=None)
+        if child is None or child.plain < least:
             break
         here = child
     return here
@@ -249,28 +257,33 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
     def vote(batches):
         for batch in batches:
-            votes: Counter = Counter()
+            votes, chars = Counter(), Counter()
             for url, html in zip(batch["url"], batch["html"]):
                 if html:
                     best = best_container(parse(html)[0])
                     if best.path and best.text:
                         votes[host_of(url), best.path] += 1
-            yield pd.DataFrame([(h, p, n) for (h, p), n in votes.items()], columns=["host", "path", "votes"])
+                        chars[host_of(url), best.path] += best.plain
+            yield pd.DataFrame([(*k, n, chars[k]) for k, n in votes.items()], columns=["host", "path", "votes", "chars"])
 
     def extract(batches):
         for batch in batches:
             texts = []
-            for html, path in zip(batch["html"], batch["path"]):
+            for html, path, mean in zip(batch["html"], batch["path"], batch["mean"]):
                 root, pieces = parse(html or "")
-                found = (at_path(root, path) if path else []) or [best_container(root)]
+                found, own = at_path(root, path) if path else [], best_container(root)
+                held = sum(x.plain for x in found)
+                if not found or held < COMPARABLE * own.plain and held < COMPARABLE * mean:
+                    found = [own]
                 texts.append(" ".join(filter(None, (text_of(x, pieces) for x in found))))
             yield batch[["page_id", "no_key", "url"]].assign(text=texts, n_chars=[len(t) for t in texts])
 
     host = F.coalesce(F.lower(F.regexp_extract(F.regexp_replace("url", r"^\s*([a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#\s]*@)?", "//"), r"^//([^/?#:\s]*)", 1)), F.lit(""))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    votes = pages.select("url", "html").mapInPandas(vote, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    paths = staged(votes.groupBy("host").agg(F.max(F.struct("votes", "path"))["path"].alias("path")), "host-paths")
+    votes = pages.select("url", "html").mapInPandas(vote, "host string, path string, votes long, chars long").groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("chars").alias("chars"))
+    best = votes.groupBy("host").agg(F.max(F.struct("votes", "path", (F.col("chars") / F.col("votes")).alias("mean"))).alias("b"))
+    paths = staged(best.select("host", "b.path", "b.mean"), "host-paths")
     pages = pages.withColumn("host", host)
     paths = F.broadcast(paths) if is_small(paths, BROADCAST_HOSTS) else paths
-    pages = plain_key(pages.join(paths, "host", "left"), "page_id", "url", "html", "path")
+    pages = plain_key(pages.join(paths, "host", "left"), "page_id", "url", "html", "path", "mean")
     return restore_key(pages.mapInPandas(extract, "page_id long, no_key boolean, url string, text string, n_chars long"), "page_id")

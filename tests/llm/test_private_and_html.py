@@ -156,3 +156,17 @@ def test_names_only_drop_what_is_wholly_named_so():
     assert main("<article>body of it<div class='related'><article>teaser</article></div></article>") == "body of it"
     assert main("<div>short post</div><div class='comments'>a very much longer thread of comments</div>") == "short post"
     assert main("<div class='ad'>" * 300 + "deep" + "</div>" * 300) == "deep"
+
+
+def test_whole_articles_stay_and_other_templates_keep_their_own(spark):
+    long = "many words of a list " * 10
+    rows = [(0, "http://a/0", f"<body><div class='nav'>n</div><article><h1>Title</h1><p>Intro.</p><ul><li>{long}</ul><section><p>{long}{long}</p></section><p>End.</article></body>")]
+    rows.append((1, "http://b/0", f"<body><main><h1>Title</h1><table><tr><td>{long}{long}</table><p>Rest.</p></main></body>"))
+    rows.append((2, "http://c/0", f"<body><h1>Title</h1><p>Intro of some length here.</p><article>{long[:60]}</article><div><p>{long}</p></div></body>"))
+    rows += [(10 + i, f"http://d/{i}", f"<body><div class='story'><p>{long}{i}</p></div></body>") for i in range(5)]
+    rows += [(20 + i, f"http://d/x{i}", f"<body><div class='story'>By me</div><div class='text'><p>other {long}</p></div></body>") for i in range(2)]
+    text = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert text[0].startswith("Title Intro. many words") and text[0].endswith("End.")
+    assert text[1].startswith("Title many") and text[1].endswith("Rest.")
+    assert text[2].startswith("Title Intro") and text[2].endswith("of a list")
+    assert text[10] == f"{long}0" and "other many words" in text[20] and "other many words" in text[21]
