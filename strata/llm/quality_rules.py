@@ -8,17 +8,17 @@ no correction inside it. Over rules and strata the level is divided (Bonferroni)
 so with the stated confidence all strata hold at once. Of the certified cutoffs
 the most lenient one that still rejects nearly as many bad texts is used.
 
-DataFrame expressions only; the driver sees counts by stratum, rule and cutoff.
+DataFrame expressions only; the driver sees the counts of one stratum and rule
+at a time, for all strata that have enough good labels for any certificate.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from math import exp, lgamma, log, log1p
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import is_small, staged
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -26,8 +26,10 @@ WINDOW = 5
 CUTOFFS = tuple(range(900, 0, -25))
 #: Risk: share of a stratum's good texts that all rules together may reject; LEVEL: chance that any guarantee fails.
 RISK, LEVEL = 0.05, 0.05
-#: Strata told apart, largest first; texts of any other one pass unless a base rule rejects them.
+#: Strata that the SQL form judges, largest first; `choose_cutoffs` judges all.
 STRATA = 100
+#: Strata with cutoffs up to which these are sent to all executors; beyond, they are joined by a shuffle.
+BROADCAST_STRATA = 500_000
 #: Share of the bad texts rejected by the strictest certified cutoff that the chosen one must reject too.
 CATCH = 0.995
 #: Rules: name -> (part, whole), columns of `measure`.
@@ -140,18 +142,23 @@ def choose_cutoff(good: list[int], bad: list[int], risk: float, level: float) ->
 
 def choose_cutoffs(measured: DataFrame, risk: float = RISK, level: float = LEVEL) -> dict[tuple[str, str], int]:
     """(stratum, rule) -> cutoff from ``measured``: stratum, quality and the counts of labelled texts."""
-    largest = [r["stratum"] for r in measured.groupBy("stratum").count().orderBy(F.desc("count"), "stratum").limit(STRATA).collect()]
+    sizes = staged(measured.groupBy("stratum").agg(F.count(F.when(F.col("quality") == 1, 1)).alias("n_good")), "strata")
+    part, level = risk / len(RULES), level / max(1, sizes.count() * len(RULES))
+    enough = sizes.where(F.col("n_good") * -log1p(-part) >= -log(level) - 1e-9).select("stratum")  # with fewer, not even no rejected text certifies
     cutoffs = F.array(*map(F.lit, CUTOFFS))
     levels = [
-        F.struct(F.lit(rule).alias("rule"), let(F.struct(F.col(part).alias("p"), F.col(whole).alias("w")), lambda x: F.size(F.filter(cutoffs, lambda c: 1000 * x["p"] > c * x["w"]))).alias("over"))
-        for rule, (part, whole) in RULES.items()
+        F.struct(F.lit(rule).alias("rule"), let(F.struct(F.col(n).alias("p"), F.col(whole).alias("w")), lambda x: F.size(F.filter(cutoffs, lambda c: 1000 * x["p"] > c * x["w"]))).alias("over"))
+        for rule, (n, whole) in RULES.items()
     ]
-    rows = measured.where(F.col("stratum").isin(largest)).select("stratum", "quality", F.explode(F.array(*levels)).alias("x"))
-    counts: dict = defaultdict(lambda: [[0] * (len(CUTOFFS) + 1), [0] * (len(CUTOFFS) + 1)])
-    for r in rows.groupBy("stratum", "quality", "x.rule", "x.over").count().collect():  # bounded: strata x rules x cutoffs
-        counts[r["stratum"], r["rule"]][0 if r["quality"] == 1 else 1][r["over"]] += r["count"]
-    tests = max(1, len(largest) * len(RULES))
-    chosen = {key: choose_cutoff(good, bad, risk / len(RULES), level / tests) for key, (good, bad) in counts.items()}
+    rows = measured.join(F.broadcast(enough) if is_small(enough, BROADCAST_STRATA) else enough, "stratum", "left_semi").select("stratum", "quality", F.explode(F.array(*levels)).alias("x"))
+    counts = rows.groupBy("stratum", "quality", "x.rule", "x.over").count()
+    counts = staged(counts.groupBy("stratum", "rule").agg(F.collect_list(F.struct("quality", "over", "count")).alias("counts")), "rule-counts")
+    chosen = {}
+    for r in counts.toLocalIterator():  # a few hundred good labels stand behind every row
+        good, bad = [0] * (len(CUTOFFS) + 1), [0] * (len(CUTOFFS) + 1)
+        for x in r["counts"]:
+            (good if x["quality"] == 1 else bad)[x["over"]] += x["count"]
+        chosen[r["stratum"], r["rule"]] = choose_cutoff(good, bad, part, level)
     return {k: c for k, c in chosen.items() if c is not None}
 
 
@@ -168,9 +175,11 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     measured = staged(rows.select("doc_id", "stratum", "m.*"), "measured")
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     cutoffs = choose_cutoffs(measured.join(known, "doc_id"), risk, level)
+    strata = sorted({s for s, _ in cutoffs})
+    limits = docs.sparkSession.createDataFrame([(s, *(cutoffs.get((s, r)) for r in RULES)) for s in strata], ", ".join(["stratum string", *(f"limit_{r} int" for r in RULES)]))
+    rows = measured.join(F.broadcast(limits) if len(strata) <= BROADCAST_STRATA else limits, "stratum", "left")
     rejected = F.lit(False)
     for rule, (part, whole) in RULES.items():
-        for stratum in sorted({s for s, r in cutoffs if r == rule}):
-            rejected |= (F.col("stratum") == stratum) & (1000 * F.col(part) > cutoffs[stratum, rule] * F.col(whole))
+        rejected |= F.coalesce(1000 * F.col(part) > F.col(f"limit_{rule}") * F.col(whole), F.lit(False))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return measured.select("*", failed.alias("base_failed"), (~failed & ~rejected).alias("kept"))
+    return rows.select(*measured.columns, failed.alias("base_failed"), (~failed & ~rejected).alias("kept"))

@@ -86,6 +86,18 @@ def test_cutoffs_reject_bad_texts_and_spare_good_ones(spark):
     assert kept == {i for i, *_ in clean}
 
 
+def test_more_than_a_hundred_strata_are_all_judged(spark):
+    texts = [(f"l{k:03}", f"plain words number{i} say this and that about some other thing here today") for k in range(104) for i in range(100)]
+    texts += [("zz", f"plain words number{i} say this and that about some other thing here today") for i in range(96)]
+    junk = [("zz", " ".join(f"w{i}x{k}###" for k in range(14))) for i in range(2)]
+    few = [("few", t) for _, t in texts[:5] + junk]
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(texts + junk + few)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (~F.col("text").contains("###")).cast("int").alias("quality"))
+    judged = judge(docs, labels, risk=0.5).collect()
+    assert len(judged) == len(rows) and {rows[r.doc_id][1:] for r in judged if not r.kept} == {(t, lang) for lang, t in junk}
+
+
 def test_nnpu_recovers_the_boundary_and_the_prior():
     pick = np.random.default_rng(1)
     good, mixed = pick.normal(2, 1, (3000, 2)), np.vstack([pick.normal(2, 1, (2100, 2)), pick.normal(-2, 1, (900, 2))])
