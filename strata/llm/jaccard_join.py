@@ -12,7 +12,8 @@ grows by one shingle for each); a pair is verified when it shares the smaller m
 of the two among the first size - o + m, and verification compares whole texts.
 
 Groups of copies are never expanded into pairs. Documents with the same set
-are one class. Then every class is compared with one leader: each prefix
+are one class, whose node is the least 64-bit hash of its texts; keys play no
+part until the groups are known. Then every class is compared with one leader: each prefix
 shingle proposes its class with the most frequent shingles (the text that the
 others were made from has no rare ones), and a class takes the proposal it
 meets most often. Classes that hang together by then need no more comparing
@@ -153,7 +154,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` (staged) whose whole texts link."""
+    """The (a, b) of ``pairs`` (staged) whose whole texts link; ``rows``: text_hash, text."""
 
     def check(batches):
         shingler = worker_kept(("shingles", words), lambda: Shingler(words))
@@ -165,10 +166,10 @@ def verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataF
                     keep.append(linked(x, y, percent))
             yield batch.loc[keep, ["a", "b"]]
 
-    ids = staged(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair-ids")
-    wanted = rows.join(F.broadcast(ids) if is_small(ids, BROADCAST_PAIRS) else ids, "doc_id", "left_semi")
-    texts = wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    other = wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+    ids = staged(pairs.select(F.col("a").alias("text_hash")).union(pairs.select("b")).distinct(), "pair-ids")
+    wanted = rows.join(F.broadcast(ids) if is_small(ids, BROADCAST_PAIRS) else ids, "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    texts = wanted.select(F.col("text_hash").alias("a"), F.col("text").alias("ta"))
+    other = wanted.select(F.col("text_hash").alias("b"), F.col("text").alias("tb"))
     return pairs.select("a", "b").join(texts, "a").join(other, "b").select("a", "b", "ta", "tb").mapInPandas(check, "a long, b long").distinct()
 
 
@@ -181,7 +182,28 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     a null doc_id is in a component of the others it links with, else null.
     Other columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    grouped = text_groups(docs, words, percent)
+    keyed = grouped.where("component is not null and doc_id is not null")
+    several = staged(keyed.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("doc_id", "a"), "several-texts")
+    if not several.isEmpty():  # the texts of one doc_id belong together
+        shared = keyed.join(F.broadcast(several) if is_small(several, BROADCAST_PAIRS) else several, "doc_id").where("a <> component")
+        merged = components(shared.select("a", F.col("component").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+        merged = F.broadcast(merged) if is_small(merged, BROADCAST_PAIRS) else merged
+        grouped = grouped.join(merged, "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole")
+    names = grouped.where("component is not null and doc_id is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    out = grouped.join(names, "component", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def text_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component; staged.
+
+    ``component`` is the least node reachable by links between texts, whatever
+    their keys; null for texts without shingles. ``text_hash`` takes a null
+    text as empty.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     frequent, level = frequent_shingles(rows, words)
 
     def sign(batches):
@@ -194,11 +216,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
                     m, prefix, mean = prefix_of(s, frequent, level, percent) if len(s) else (0, s, 0.0)
                     out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), m, prefix.view(np.int64), mean))
                 out = pd.DataFrame(out, columns=["n", "class", "m", "prefix", "mean"])
-                yield out.assign(doc_id=batch["doc_id"].iloc[a:b].to_numpy(), no_key=batch["no_key"].iloc[a:b].to_numpy())
+                yield out.assign(doc_id=batch["doc_id"].iloc[a:b].to_numpy(), text_hash=batch["text_hash"].iloc[a:b].to_numpy(), no_key=batch["no_key"].iloc[a:b].to_numpy())
 
-    schema = "doc_id long, no_key boolean, n long, class binary, m int, prefix array<long>, mean double"
-    signed = staged(restore_key(plain_key(rows, "doc_id", "text").mapInPandas(sign, schema), "doc_id"), "signatures")
-    classes = signed.where("n > 0 and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("mean").alias("mean"))
+    schema = "doc_id long, no_key boolean, text_hash long, n long, class binary, m int, prefix array<long>, mean double"
+    signed = staged(restore_key(plain_key(rows, "doc_id", "text_hash", "text").mapInPandas(sign, schema), "doc_id"), "signatures")
+    classes = signed.where("n > 0").groupBy("class").agg(F.min("text_hash").alias("node"), F.first("n").alias("n"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("mean").alias("mean"))
     postings = classes.select("node", "n", "m", "mean", F.posexplode("prefix").alias("pos", "token"))
     leader = F.struct("mean", (-F.col("node")).alias("node"), "n")
     shared = postings.groupBy("token").agg(F.count("*").alias("df"), F.max(leader).alias("lead")).where("df > 1")
@@ -227,5 +249,5 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     labels = components(edges)
 
     of_class = classes.select("class", "node").join(labels, "node", "left").select("class", F.coalesce("component", "node").alias("component"))
-    out = signed.select("doc_id", F.col("n").alias("n_shingles"), "class").join(of_class, "class", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    out = signed.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "class").join(of_class, "class", "left")
+    return staged(out.select("doc_id", "text_hash", "n_shingles", "component"), "text-groups")

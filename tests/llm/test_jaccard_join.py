@@ -98,3 +98,14 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (102, 101)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_null_and_repeated_keys_link_through_all_their_texts(spark):
+    pick = random.Random(9)
+    base, other, third = ([f"{c}{pick.randrange(10**6)}" for _ in range(100)] for c in "abc")
+    near = [list(base) for _ in range(5)]
+    for i, text in enumerate(near):  # neighbours in the list link, others need not
+        text[: 7 * i] = [f"own{k}" for k in range(7 * i)]
+    rows = [(9, " ".join(near[0])), (None, " ".join(near[1])), (8, " ".join(near[2])), (None, " ".join(near[3])), (None, " ".join(near[4]))]
+    rows += [(3, " ".join(other)), (5, " ".join(other)), (5, " ".join(third)), (None, " ".join(third[:-1])), (None, "alone with no key at all")]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
