@@ -11,44 +11,64 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from strata.llm.common import fold, fresh, is_small, staged, table
-from strata.llm.jaccard_join import near_duplicates
+from strata.llm.jaccard_join import text_groups
 from strata.llm.packing import pack_documents
 from strata.llm.pii import sanitise
 from strata.llm.quality_model import score_quality
 from strata.llm.quality_rules import judge
 
 
-#: Rejected keys up to which they are sent to all executors; beyond, documents and keys meet by a shuffle.
+#: Named rows up to which they are sent to all executors; beyond, documents and these meet by a shuffle.
 BROADCAST_KEYS = 500_000
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id (null included) is not in ``rejected``: (doc_id)."""
-    key = fresh("rejected_id", docs.columns)
-    rejected = staged(rejected.select(F.col("doc_id").alias(key)).distinct(), "rejected")
-    rejected = F.broadcast(rejected) if is_small(rejected, BROADCAST_KEYS) else rejected
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col(key)), "left_anti")
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def _meet(docs: DataFrame, rows: DataFrame, how: str, *parts: Column) -> DataFrame:
+    """The rows of ``docs`` that ``rows`` names ("left_semi") or does not ("left_anti") by doc_id (null included), text_hash and further columns, which are ``parts`` in ``docs``."""
+    names = [fresh(f"{c}_of_row", docs.columns) for c in rows.columns]
+    rows = staged(rows.distinct().toDF(*names), "rows")
+    rows = F.broadcast(rows) if is_small(rows, BROADCAST_KEYS) else rows
+    on = F.col("doc_id").eqNullSafe(F.col(names[0]))
+    for part, name in zip((_text_hash(), *parts), names[1:]):
+        on &= part == F.col(name)
+    return docs.join(rows, on, how)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the quality classifier scores below one half; a repeated doc_id goes if any of its texts does."""
+    """Drops what the quality classifier scores below one half, each row by its own text."""
     learn = fold(F.col("doc_id"), 3) != 1
     scored, _ = score_quality(docs, table(spark, sf_dir, "labels"), learn)
-    return _without(docs, scored.where("score < 0.5"))
+    return _meet(docs, scored.where("score < 0.5").select("doc_id", "text_hash"), "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the base rules or the certified cutoffs reject; a repeated doc_id goes if any of its texts does."""
+    """Drops what the base rules or the certified cutoffs reject, each row by its own text and language."""
     judged = judge(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, judged.where("not kept"))
+    return _meet(docs, judged.where("not kept").select("doc_id", "text_hash", "stratum"), "left_anti", F.coalesce(F.col("lang").cast("string"), F.lit("")))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of every group of near duplicates, and rows without a doc_id."""
-    return _without(docs, near_duplicates(docs).where("component_id <> doc_id"))
+    """Keeps one row of every group of near duplicates: the smallest doc_id, one with a null only where all are null.
+
+    Groups are of texts: different texts of one doc_id stay, equal ones don't.
+    Texts without words are in no group and stay.
+    """
+    groups = text_groups(docs).where("component is not null")
+    best = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("best"))
+    best = staged(best.select("component", "best.id", "best.hash"), "kept-rows")
+    placed = groups.join(F.broadcast(best) if is_small(best, BROADCAST_KEYS) else best, "component")
+    kept = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
+    docs = _meet(docs, placed.where(~kept).select("doc_id", "text_hash"), "left_anti")
+    again = placed.where(kept).groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
+    hashed = fresh("text_hash", docs.columns)
+    copies = _meet(docs, again, "left_semi").withColumn(hashed, _text_hash()).dropDuplicates(["doc_id", hashed]).drop(hashed)
+    return _meet(docs, again, "left_anti").unionByName(copies)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

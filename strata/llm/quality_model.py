@@ -99,19 +99,20 @@ def fit(good: np.ndarray, unlabelled: np.ndarray, prior: float | None = None) ->
 
 
 def stage_features(docs: DataFrame) -> DataFrame:
-    """doc_id and style features of every whole text (null: empty), staged."""
+    """doc_id, a hash of the text and style features of every whole text (null: empty), staged."""
 
     def extract(batches):
         classes = _class_table()
         for batch in batches:
-            yield batch[["doc_id", "no_key"]].assign(x=[style(t, classes).tobytes() for t in batch["text"].fillna("")])
+            yield batch[["doc_id", "no_key", "text_hash"]].assign(x=[style(t, classes).tobytes() for t in batch["text"].fillna("")])
 
-    rows = plain_key(docs, "doc_id", F.col("text").cast("string").alias("text"))
-    return staged(restore_key(rows.mapInPandas(extract, "doc_id long, no_key boolean, x binary"), "doc_id"), "style")
+    text = F.col("text").cast("string")
+    rows = plain_key(docs, "doc_id", F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), text.alias("text"))
+    return staged(restore_key(rows.mapInPandas(extract, "doc_id long, no_key boolean, text_hash long, x binary"), "doc_id"), "style")
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_ROWS, prior: float | None = None) -> tuple[DataFrame, dict]:
-    """(doc_id, score) of every row of ``docs``, and the model.
+    """(doc_id, text_hash, score) of every row of ``docs``, and the model.
 
     ``labels``: doc_id and quality; ``learn``: which keys may be learnt from.
     The fit uses about ``fit_rows`` trusted and as many unlabelled rows, all
@@ -139,7 +140,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: i
             if len(batch):
                 x = np.frombuffer(b"".join(batch["x"]), np.float32).reshape(len(batch), FEATURES)
                 z = np.clip((x - model["mean"]) / model["scale"], -8, 8) @ model["w"][:-1] + model["w"][-1]
-                yield batch[["doc_id", "no_key"]].assign(score=1 / (1 + np.exp(-np.clip(z, -30, 30))))
+                yield batch[["doc_id", "no_key", "text_hash"]].assign(score=1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
-    scored = plain_key(features, "doc_id", "x").mapInPandas(score, "doc_id long, no_key boolean, score double")
+    scored = plain_key(features, "doc_id", "text_hash", "x").mapInPandas(score, "doc_id long, no_key boolean, text_hash long, score double")
     return restore_key(scored, "doc_id"), model

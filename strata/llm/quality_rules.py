@@ -163,7 +163,7 @@ def choose_cutoffs(measured: DataFrame, risk: float = RISK, level: float = LEVEL
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """Every column of ``docs`` (doc_id, text, lang) but the text, its counts, ``base_failed`` and ``kept``, staged.
+    """Every column of ``docs`` (doc_id, text, lang) but the text, a hash of it, its counts, ``base_failed`` and ``kept``, staged.
 
     Strata are the values of ``lang`` (null is one of them). Null texts have
     no words and fail the base rules; null keys are judged and never labelled;
@@ -171,8 +171,9 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     count as bad; without labels only the base rules reject. Columns of
     ``docs`` must not be named like the counts; further ones are dropped.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"), measure(F.col("text").cast("string")).alias("m"))
-    measured = staged(rows.select("doc_id", "stratum", "m.*"), "measured")
+    text = F.col("text").cast("string")
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("stratum"), measure(text).alias("m"))
+    measured = staged(rows.select("doc_id", "text_hash", "stratum", "m.*"), "measured")
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     cutoffs = choose_cutoffs(measured.join(known, "doc_id"), risk, level)
     strata = sorted({s for s, _ in cutoffs})

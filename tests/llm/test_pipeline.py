@@ -82,3 +82,17 @@ def test_run_equals_the_stages(spark, steps):
     got = corpus_pipeline.run(spark, SF)
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(got.select(key).collect()) == sorted(steps[5].select(key).collect())
+
+
+def test_filters_decide_by_row_and_copies_go_whatever_their_key(spark):
+    def prose(c):
+        return " ".join(f"{c}{i}" for i in range(40))
+
+    texts = [(None, prose("a")), (None, prose("b")), (None, "x"), (7, prose("c")), (7, "y y"), (7, prose("d")), (None, None)]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.quality_rules(spark, docs, SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(k), t) for k, t in texts if t and len(t) > 3)
+    texts = [(None, prose("a"))] * 3 + [(5, prose("b")), (None, prose("b")), (None, prose("b") + " tail")] + [(7, prose("c"))] * 2 + [(7, prose("d")), (7, prose("e"))]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicate(spark, docs, SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("None", prose("a")), ("5", prose("b"))] + [("7", prose(c)) for c in "cde"])
