@@ -111,12 +111,19 @@ def stage_features(docs: DataFrame) -> DataFrame:
     return staged(restore_key(rows.mapInPandas(extract, "doc_id long, no_key boolean, text_hash long, x binary"), "doc_id"), "style")
 
 
+def _some(rows: DataFrame, wanted: int) -> DataFrame:
+    """About ``wanted`` of the different (doc_id, text) of ``rows``, by a hash of both; null keys never. Bounded also under a repeated key."""
+    keys = rows.where("doc_id is not null").select("doc_id", "text_hash").distinct()
+    chosen = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1_000_000)) < int(min(1.0, wanted / max(1, keys.count())) * 1_000_000)
+    return rows.where("doc_id is not null").where(chosen).dropDuplicates(["doc_id", "text_hash"])
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_ROWS, prior: float | None = None) -> tuple[DataFrame, dict]:
     """(doc_id, text_hash, score) of every row of ``docs``, and the model.
 
     ``labels``: doc_id and quality; ``learn``: which keys may be learnt from.
     The fit uses about ``fit_rows`` trusted and as many unlabelled rows, all
-    when there are fewer. Null texts count as empty; null keys are scored and
+    when there are fewer; rows that repeat a key and its text count once there. Null texts count as empty; null keys are scored and
     never learnt from; labels that contradict each other count as not good;
     without trusted rows all scores are 0.5. Other columns are ignored.
     """
@@ -124,14 +131,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: i
     trusted = labels.where(learn).where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("q"))
     trusted = trusted.where("q = 1").select("doc_id")
 
-    def some(rows: DataFrame, n: int) -> DataFrame:
-        share = min(1.0, fit_rows / max(1, n))
-        return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-
-    chosen = some(trusted, trusted.count())  # about fit_rows keys: bounded
-    good = features.join(F.broadcast(chosen), "doc_id")
-    rest = features.where(learn)
-    rest = some(rest, rest.count())
+    good = _some(features.join(trusted, "doc_id"), fit_rows)
+    rest = _some(features.where(learn), fit_rows)
     good, rest = (np.array([np.frombuffer(r["x"], np.float32) for r in x.select("x").collect()]).reshape(-1, FEATURES) for x in (good, rest))
     model = fit(good, rest, prior)
 

@@ -88,17 +88,19 @@ def fit_noisy_or(texts: list[tuple[int, int, list[list[int]]]], n_terms: int, st
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_ROWS) -> dict:
-    """Vocabulary, weights and bias learnt from about ``fit_rows`` of the labelled texts whose keys may be learnt from.
+    """Vocabulary, weights and bias learnt from about ``fit_rows`` of the labelled texts whose keys may be learnt from; equal texts of a key count once.
 
     Labels that contradict each other count as toxic. Without labels of both
     kinds the vocabulary is empty and every text scores near zero.
     """
     known = labels.where(learn).where("doc_id is not null and toxic is not null")
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    share = min(1.0, fit_rows / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))  # about fit_rows keys: bounded
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id")
-    sample = staged(sample.select("toxic", F.coalesce("text", F.lit("")).alias("text")), "labelled")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    labelled = texts.withColumn("text_hash", F.xxhash64("text")).join(known, "doc_id")
+    keys = labelled.select("doc_id", "text_hash").distinct().count()
+    chosen = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1_000_000)) < int(min(1.0, fit_rows / max(1, keys)) * 1_000_000)
+    sample = labelled.where(chosen).dropDuplicates(["doc_id", "text_hash"])  # about fit_rows texts, also under a repeated key: bounded
+    sample = staged(sample.select("toxic", "text"), "labelled")
 
     def count(batches):
         seen: list[Counter] = [Counter(), Counter()]

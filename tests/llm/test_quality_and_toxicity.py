@@ -159,3 +159,12 @@ def test_edge_rows(spark, edge_docs, edge_rows, no_docs, no_labels):
         assert sorted(str(r.doc_id) for r in got) == keys and all(0 <= r.score <= 1 for r in got)
     assert score_quality(no_docs, no_labels, learn)[0].count() == 0
     assert score_toxicity(no_docs, fit_toxicity(no_docs, no_labels, learn)).count() == 0
+
+
+def test_samples_are_bounded_by_rows_and_hold_no_null_keys(spark):
+    from strata.llm.quality_model import _some, stage_features
+
+    rows = [(None, f"null {i}") for i in range(300)] + [(7, f"hot {i}") for i in range(3000)] + [(8, "copy")] * 300 + [(10 + i, f"own {i}") for i in range(300)]
+    features = stage_features(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = [r.doc_id for r in _some(features, 400).select("doc_id").collect()]
+    assert None not in got and 250 < len(got) < 600 and got.count(8) <= 1
