@@ -11,12 +11,15 @@ from strata.llm.common import fold, table
 from strata.llm.html_main import extract_main_text
 from strata.llm.impact_search import exact_top_k
 from strata.llm.jaccard_join import near_duplicates
+from strata.llm.multiset_hash import fingerprint_edits
 from strata.llm.oracles import oracle_sql  # noqa: F401
 from strata.llm.packing import pack_documents
 from strata.llm.piece_sampling import sample_digest
 from strata.llm.pii import KINDS, find_private, render
 from strata.llm.quality_model import score_quality
 from strata.llm.quality_rules import judge
+from strata.llm.spelling import group_variants
+from strata.llm.sphere_clusters import cluster_embeddings
 from strata.llm.token_files import read_token_files, write_token_files
 from strata.llm.toxicity import fit_toxicity, score_toxicity
 from strata.session import scratch_path
@@ -78,6 +81,18 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op11_sphere_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_impact_search": op1_impact_search,
@@ -90,4 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_adaptive_prefixes": op9_adaptive_prefixes,
         "op10_piece_sampling": op10_piece_sampling,
+        "op11_sphere_clusters": op11_sphere_clusters,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_multiset_hash": op13_multiset_hash,
     }
