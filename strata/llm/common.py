@@ -15,25 +15,25 @@ _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @contextmanager
-def small_batches(spark: SparkSession):
-    """Python steps of what is run inside get at most ``BATCH_ROWS`` rows at a time; the session's own setting comes back."""
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Python steps of what is run inside get at most ``rows`` rows at a time; the session's own setting comes back."""
     own = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, str(min(int(own), BATCH_ROWS) if int(own) > 0 else BATCH_ROWS))
+    spark.conf.set(_BATCH, str(min(int(own), rows) if int(own) > 0 else rows))
     try:
         yield
     finally:
         spark.conf.set(_BATCH, own)
 
 
-def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
+def staged(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, **options: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back; its Python steps get ``batch_rows`` rows at a time.
 
     This cuts the lineage: a lost executor costs a re-read of the files, not
     a recomputation, and no later step computes ``df`` again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with small_batches(spark):
+    with small_batches(spark, batch_rows):
         df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

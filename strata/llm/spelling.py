@@ -56,8 +56,9 @@ def count_words(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count:
         total: Counter = Counter()
 
         def flush():
-            yield pd.DataFrame({"word": list(total), "n": list(total.values())})
-            total.clear()
+            if total:
+                yield pd.DataFrame({"word": list(total), "n": list(total.values())})
+                total.clear()
 
         for batch in batches:
             for key, none, text in zip(batch["doc_id"].tolist(), batch["no_key"].tolist(), batch["text"].tolist()):
@@ -188,7 +189,8 @@ def near_words(words: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
                     continue
                 alive = {distinct.keys[i] for i in distinct.near(key, len(start), whole=False)}
                 out += [(blocks[k], backward, key) for k in range(first, stop) if blocks[k] != block and prefixes[k] in alive]
-            yield pd.DataFrame(out, columns=["block", "backward", "key"])
+            if out:
+                yield pd.DataFrame(out, columns=["block", "backward", "key"])
 
     def search(batches):
         """Rows come by block: its words first, in order, then the words from other blocks."""
@@ -199,7 +201,7 @@ def near_words(words: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         def found_in_own():
             nonlocal entries
             entries = SortedList(keys)
-            return found(keys)
+            yield from found(keys)
 
         def found(asked):
             backward, out = block[1], []
@@ -208,23 +210,24 @@ def near_words(words: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
                 if near:
                     best = min((-counts[i], keys[i][::-1] if backward else keys[i]) for i in near)
                     out.append((key[::-1] if backward else key, len(near), *best))
-            return pd.DataFrame(out, columns=["word", "n_near", "less_n", "form"])
+            if out:
+                yield pd.DataFrame(out, columns=["word", "n_near", "less_n", "form"])
 
         for batch in batches:
             for (at, backward, guest), part in batch.groupby(["block", "backward", "guest"], sort=True):
                 if (at, backward) != block:
                     if entries is None and keys:
-                        yield found_in_own()
+                        yield from found_in_own()
                     block, entries, keys, counts = (at, backward), None, [], []
                 if not guest:
                     keys += part["key"].tolist()
                     counts += part["n"].tolist()
                     continue
                 if entries is None:
-                    yield found_in_own()
-                yield found(part["key"].tolist())
+                    yield from found_in_own()
+                yield from found(part["key"].tolist())
         if entries is None and keys:
-            yield found_in_own()
+            yield from found_in_own()
 
     guests = lists.select("backward", "key", "block").mapInPandas(route, "block int, backward boolean, key string")
     rows = lists.select("block", F.lit(False).alias("guest"), "backward", "key", "n").union(guests.select("block", F.lit(True), "backward", "key", F.lit(0).cast("long")))

@@ -33,12 +33,14 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.common import plain_key, restore_key, shuffle_width, small_batches, staged
+from strata.llm.common import plain_key, restore_key, shuffle_width, staged
 from strata.llm.impact_search import quantise
 from strata.session import scratch_path
 
 #: Blocks (of up to a thousand vectors) of a bucket of the table of vectors, where there are more than shuffle partitions.
 BUCKET_BLOCKS = 256
+#: Blocks that a Python step is handed at a time: half a megabyte each at 64 dimensions.
+BATCH_BLOCKS = 16
 #: Components up to this keep squared distances in 64 dimensions exact in double precision; larger ones are computed with Python's integers.
 EXACT = 1 << 22
 #: The largest value of a result column; greater sums are given as this.
@@ -147,8 +149,7 @@ def _blocks(vectors: DataFrame) -> DataFrame:
 def _bucketed(blocks: DataFrame) -> str:
     """The name of a table of ``blocks``, bucketed by block: joins on block shuffle the other side only."""
     spark = blocks.sparkSession
-    with small_batches(spark):
-        blocks = staged(blocks, "vector-blocks")
+    blocks = staged(blocks, "vector-blocks")
     n = blocks.count()
     buckets = max(1, min(max(shuffle_width(spark), -(-n // BUCKET_BLOCKS)), n))
     name = f"strata_blocks_{uuid4().hex[:12]}"
@@ -204,7 +205,7 @@ def cluster_vectors(vectors: DataFrame, starts: list[list[int]], rounds: int = 1
         state, move, scanned = None, Move(np.array(centroids, object if max(map(abs, sum(centroids, [0]))) > MOST else np.int64)), []
         for _ in range(rounds):
             parts = joined(state, ["matrix"]).mapInPandas(rounds_step(move), "block long, state binary, scanned long, radius array<double>, at array<int>, change array<string>")
-            state = staged(parts, "bounds")
+            state = staged(parts, "bounds", BATCH_BLOCKS)
             for r in state.select(F.explode(F.arrays_zip("at", "change")).alias("x")).groupBy("x.at").agg(F.sum(F.col("x.change").cast("decimal(38,0)")).alias("s")).collect():  # k * (dims + 1) rows
                 totals[r["at"] // (dims + 1)][r["at"] % (dims + 1)] += int(r["s"])
             seen = state.agg(F.sum("scanned"), *(F.max(F.get("radius", F.lit(j))) for j in range(k))).first()
@@ -231,7 +232,7 @@ def cluster_vectors(vectors: DataFrame, starts: list[list[int]], rounds: int = 1
                     yield pd.DataFrame({"vec_id": np.frombuffer(row["ids"], "<i8"), "no_key": np.frombuffer(row["no_ids"], np.uint8) > 0, "cluster": own.astype(np.int32), "distance": [min(int(v), MOST) for v in d]})
 
         rows = joined(state, ["ids", "no_ids", "matrix"]).mapInPandas(last, "vec_id long, no_key boolean, cluster int, distance long")
-        rows = staged(restore_key(rows, "vec_id").select("vec_id", "cluster", "distance"), "clusters")
+        rows = staged(restore_key(rows, "vec_id").select("vec_id", "cluster", "distance"), "clusters", BATCH_BLOCKS)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     return Clusters(rows, centroids, scanned)
