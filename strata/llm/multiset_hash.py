@@ -150,8 +150,8 @@ def _range_of(key: Column, bounds: list) -> Column:
     return let(below(firsts), lambda g: g * step + below(F.get(constant(blocks, f"array<array<{kind}>>"), g)))
 
 
-def with_next(docs: DataFrame, key: str, *columns: str) -> DataFrame:
-    """``docs`` (``key`` a long, text never null, and ``columns``) and next_<column> of each: that of the next row by ``key`` (null first), then text hash; after the last comes the first.
+def with_next(docs: DataFrame, key: str, **columns: Column) -> DataFrame:
+    """``key`` (a long) and text (never null) of ``docs``, ``columns`` made of these, and next_<name> of the text and each column: that of the next row by ``key`` (null first), then text hash; after the last comes the first.
 
     Ranges of the order meet in one task each. Their bounds are the least keys
     of a range shuffle of keys alone, over text hashes and row numbers too, so
@@ -159,22 +159,21 @@ def with_next(docs: DataFrame, key: str, *columns: str) -> DataFrame:
     put at its end, as one more row.
     """
     spark = docs.sparkSession
-    rows = docs.withColumns({"known": F.col(key).isNotNull(), "id": F.coalesce(key, F.lit(0)), "h": F.xxhash64("text"), "u": F.monotonically_increasing_id()})
+    rows = docs.select(key, "text").withColumns({"known": F.col(key).isNotNull(), "id": F.coalesce(key, F.lit(0)), "h": F.xxhash64("text"), "u": F.monotonically_increasing_id()})
     n_ranges = RANGES * shuffle_width(spark)
-    dealt = docs.select(key, "text").withColumns({"known": F.col(key).isNotNull(), "id": F.coalesce(key, F.lit(0)), "h": F.xxhash64("text"), "u": F.monotonically_increasing_id()}).select(*_KEY)
-    least = dealt.repartitionByRange(n_ranges, *_KEY).groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(*_KEY)).alias("b"))
+    least = rows.select(*_KEY).repartitionByRange(n_ranges, *_KEY).groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(*_KEY)).alias("b"))
     bounds = sorted(tuple(r["b"]) for r in least.collect())  # one row a range
     if not bounds:
-        return docs.select(*docs.columns, *(F.col(c).alias(f"next_{c}") for c in columns))
+        return docs.select(key, "text").withColumns(columns).select("*", *(F.col(c).alias(f"next_{c}") for c in ["text", *columns]))
     bounds = [dict(zip(_KEY, b)) for b in bounds]
     rows = rows.withColumn("range", _range_of(F.struct(*_KEY), bounds))
     heads = spark.createDataFrame([((k - 1) % len(bounds), b["known"], b["id"], b["h"]) for k, b in enumerate(bounds)], "of int, known boolean, id long, h long")
     wanted = F.broadcast(heads.select("known", "id", "h").distinct())  # one row a range at most
-    firsts = rows.select(*(c for c in rows.columns if c not in ("u", "range"))).join(wanted, ["known", "id", "h"], "left_semi").dropDuplicates(["known", "id", "h"])
+    firsts = rows.select(key, "text", "known", "id", "h").join(wanted, ["known", "id", "h"], "left_semi").dropDuplicates(["known", "id", "h"])
     firsts = firsts.join(F.broadcast(heads), ["known", "id", "h"]).withColumnRenamed("of", "range").withColumn("u", F.lit(0).cast("long"))
-    both = rows.withColumn("after", F.lit(False)).unionByName(firsts.withColumn("after", F.lit(True)))
+    both = rows.withColumn("after", F.lit(False)).unionByName(firsts.withColumn("after", F.lit(True))).withColumns(columns)
     order = Window.partitionBy("range").orderBy("after", *_KEY)
-    both = both.select(*docs.columns, "after", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns))
+    both = both.select(key, "text", *columns, "after", *(F.lead(c).over(order).alias(f"next_{c}") for c in ["text", *columns]))
     return both.where("not after").drop("after")
 
 
@@ -189,7 +188,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = with_next(rows.withColumn("own", fingerprint(F.col("text"))), "doc_id", "text", "own")
+    rows = with_next(rows, "doc_id", own=fingerprint(F.col("text")))
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
 
