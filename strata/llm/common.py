@@ -25,6 +25,45 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
         spark.conf.set(_BATCH, own)
 
 
+class Scratch:
+    """The staged tables of one piece of work; those not `kept` go when it ends, as no later step reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, {}
+
+    def add(self, df: DataFrame, path: str) -> None:
+        self._paths[id(df)] = df, path
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """``df`` (as `staged` gave it) outlives this work; it belongs to the work around it, if any."""
+        df, path = self._paths.pop(id(df))
+        if _open[:-1]:
+            _open[-2].add(df, path)
+        return df
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Deletes what `staged` gave as ``frames``."""
+        for df in frames:
+            _, path = self._paths.pop(id(df))
+            folder = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_open: list[Scratch] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Owns the tables staged inside. What it returns to the outside must be `kept`, also when read lazily."""
+    own = Scratch(spark)
+    _open.append(own)
+    try:
+        yield own
+    finally:
+        own.drop(*(df for df, _ in list(own._paths.values())))
+        _open.pop()
+
+
 def staged(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, **options: str) -> DataFrame:
     """``df`` written once to the shared folder and read back; its Python steps get ``batch_rows`` rows at a time.
 
@@ -35,7 +74,10 @@ def staged(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, **options: st
     path = scratch_path(spark, name)
     with small_batches(spark, batch_rows):
         df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if _open:
+        _open[-1].add(out, path)
+    return out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +114,20 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes up to which a table is sent to all executors.
+BROADCAST_BYTES = 32 << 20
+
+
+def fits_broadcast(df: DataFrame, row_bytes: int) -> bool:
+    """Whether a staged table whose rows take at most ``row_bytes`` (fixed-size columns) stays below ``BROADCAST_BYTES``."""
+    return is_small(df, BROADCAST_BYTES // row_bytes)
+
+
+def sent_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """The staged table ``df``, to be sent to all executors if it fits; else the join shuffles."""
+    return F.broadcast(df) if fits_broadcast(df, row_bytes) else df
+
+
 def is_small(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` (a staged table) has at most ``max_rows`` rows; reads no more than that."""
     return df.limit(max_rows + 1).count() <= max_rows

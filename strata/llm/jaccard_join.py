@@ -12,13 +12,17 @@ grows by one shingle for each); a pair is verified when it shares the smaller m
 of the two among the first size - o + m, and verification compares whole texts.
 
 Groups of copies are never expanded into pairs. Documents with the same set
-are one class, whose node is the least 64-bit hash of its texts; keys play no
-part until the groups are known. Then every class is compared with one leader: each prefix
-shingle proposes its class with the most frequent shingles (the text that the
-others were made from has no rare ones), and a class takes the proposal it
-meets most often. Classes that hang together by then need no more comparing
-among themselves, so the second, complete round only meets pairs from
-different components.
+are one class, told apart by a 128-bit digest of the set, with an id of its own;
+keys play no part until the groups are known. Then every class is compared with
+one leader: each prefix shingle proposes its class with the most frequent
+shingles (the text that the others were made from has no rare ones), and a class
+takes the proposal it meets most often. Classes that hang together by then need
+no more comparing among themselves, so the second, complete round only meets
+pairs from different components.
+
+Texts are compared where their pairs meet: the texts paired with one hub travel
+to it, in chunks of bounded size, and each chunk gets the hub's text once. A
+class sends the text of one of its rows only.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.common import is_small, plain_key, restore_key, staged
+from strata.llm.common import plain_key, restore_key, scratch, sent_if_small, shuffle_width, staged
 from strata.llm.spans import SpanHasher
 from strata.llm.tokens import groups_of, worker_kept
 
@@ -40,8 +44,8 @@ FREQUENT = 1 << 18
 COST, MOST_MATCHES = 16, 12
 #: Characters hashed at a time: bounds a task's memory.
 GROUP_CHARS = 1_000_000
-#: Pairs up to which their ids are sent to all executors for the scan of the texts; beyond, a shuffle.
-BROADCAST_PAIRS = 500_000
+#: Texts that meet their hub in one chunk; more where there are over BIG_HUBS times as many pairs, so that hubs of several chunks are few.
+CHUNK, BIG_HUBS = 256, 50_000
 
 
 class Shingler:
@@ -133,44 +137,84 @@ def frequent_shingles(rows: DataFrame, words: int, most: int = FREQUENT) -> tupl
     return shingle[order], found["level"].to_numpy(np.float64)[order]
 
 
+def _least_neighbours(links: DataFrame, of: DataFrame) -> DataFrame:
+    """The links (u, v) of ``of`` with ``low``, the least of u and its neighbours over ``links`` (u, v).
+
+    A node with so many links that they would stand out in a shuffle (there
+    are few, by their number) gets them where they are: its ``low`` is sent
+    to all executors.
+    """
+    width = shuffle_width(links.sparkSession)
+    lows = staged(links.groupBy("u").agg(F.least("u", F.min("v")).alias("low"), F.count("*").alias("degree")), "lows")
+    total, most = lows.agg(F.sum("degree"), F.max("degree")).first()
+    limit = max(16, (total or 0) // (4 * width))  # at most 4 * width nodes have more
+    plain = lows.select("u", "low")
+    if (most or 0) <= limit:
+        return of.join(plain, "u")
+    hubs = F.broadcast(lows.where(F.col("degree") > limit).select("u", "low"))
+    return of.join(hubs, "u").unionByName(of.join(hubs.select("u"), "u", "left_anti").join(plain, "u"))
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable over ``edges`` (a, b), for every node on an edge.
+    """(node, component): the smallest node reachable over ``edges`` (a, b), for every node on an edge; staged.
 
-    Labels of neighbours spread and labels of labels are taken, until nothing
-    changes; every step is a join and an aggregate, staged.
+    Alternating stars: every node links its larger neighbours to the least of
+    all, then its smaller ones and itself to the least of these, until nothing
+    changes and every component is a star around its smallest node. Neither
+    step adds links, and none gathers a node's links in one task.
+    """
+    with scratch(edges.sparkSession) as own:
+        links = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
+        print_of = (F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 30))), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30))))
+        state = links.agg(*print_of).first()
+        while True:
+            both = links.union(links.select("v", "u"))
+            large = staged(_least_neighbours(both, both.where("v > u")).select(F.col("v").alias("u"), F.col("low").alias("v")).distinct(), "large-star")
+            small = _least_neighbours(large, large)
+            small = small.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v")).union(small.select("u", F.col("low").alias("v")))
+            after = staged(small.distinct(), "small-star")
+            own.drop(links, large)
+            links, before, state = after, state, after.agg(*print_of).first()
+            if state == before:
+                break
+        return own.kept(staged(links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(links.select("v", "v").distinct()), "components"))
+
+
+def verify(pairs: DataFrame, places: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` (hub, other; staged) whose whole texts link; staged.
+
+    ``places`` (node, doc_id, text_hash): the row whose text stands for a
+    node; ``rows``: doc_id, text_hash, text. Only these rows' texts are
+    shuffled, once for each pair and chunk.
     """
-    links = staged(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
-    labels = staged(links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("component")), "labels")
-    while True:
-        near = links.join(labels.select(F.col("node").alias("b"), F.col("component").alias("near")), "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
-        step = labels.join(near, "node").select("node", "component", F.least("component", "near").alias("next"))
-        step = staged(step, "step")
-        far = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        step = step.join(far, "next").select("node", F.col("component").alias("old"), F.least("next", "far").alias("component"))
-        step = staged(step, "labels")
-        labels = step.select("node", "component")
-        if step.where("old <> component").isEmpty():
-            return labels
-
-
-def verify(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` (staged) whose whole texts link; ``rows``: text_hash, text."""
 
     def check(batches):
         shingler = worker_kept(("shingles", words), lambda: Shingler(words))
+        hub = own = None
         for batch in batches:
+            sets = [s for a, b in groups_of(batch["text"].tolist(), GROUP_CHARS) for s in shingler.sets(batch["text"].iloc[a:b].tolist())]
             keep = []
-            for a, b in groups_of(batch["ta"].tolist(), GROUP_CHARS // 2):
-                part = batch.iloc[a:b]
-                for x, y in zip(shingler.sets(part["ta"].tolist()), shingler.sets(part["tb"].tolist())):
-                    keep.append(linked(x, y, percent))
-            yield batch.loc[keep, ["a", "b"]]
-
-    ids = staged(pairs.select(F.col("a").alias("text_hash")).union(pairs.select("b")).distinct(), "pair-ids")
-    wanted = rows.join(F.broadcast(ids) if is_small(ids, BROADCAST_PAIRS) else ids, "text_hash", "left_semi").dropDuplicates(["text_hash"])
-    texts = wanted.select(F.col("text_hash").alias("a"), F.col("text").alias("ta"))
-    other = wanted.select(F.col("text_hash").alias("b"), F.col("text").alias("tb"))
-    return pairs.select("a", "b").join(texts, "a").join(other, "b").select("a", "b", "ta", "tb").mapInPandas(check, "a long, b long").distinct()
+            for at, node, text_set in zip(batch["hub"].tolist(), batch["node"].tolist(), sets):
+                if node == at:
+                    hub, own = at, text_set
+                elif at == hub and linked(own, text_set, percent):
+                    keep.append((at, node))
+            if keep:
+                yield pd.DataFrame(keep, columns=["a", "b"])
+
+    with scratch(pairs.sparkSession) as scope:
+        sizes = staged(pairs.groupBy("hub").count(), "hubs")
+        total = sizes.agg(F.sum("count")).first()[0] or 0
+        chunk = max(CHUNK, total // BIG_HUBS)
+        big = F.broadcast(sizes.where(F.col("count") > chunk).select("hub", F.ceil(F.col("count") / chunk).alias("chunks")))  # BIG_HUBS at most
+        dealt = pairs.join(big, "hub", "left").select("hub", "other", F.coalesce(F.pmod(F.xxhash64("other"), F.col("chunks")), F.lit(0)).alias("chunk"))
+        asked = dealt.select(F.col("other").alias("node"), "hub", "chunk")
+        asked = staged(asked.union(asked.select("hub", "hub", "chunk").distinct()).join(places, "node"), "asked")
+        asked = asked.select("node", "hub", "chunk", F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"))
+        sent = rows.join(sent_if_small(asked, 64), (F.col("text_hash") == F.col("of_text")) & F.col("doc_id").eqNullSafe(F.col("of_doc")))
+        sent = sent.select("hub", "chunk", "node", (F.col("node") != F.col("hub")).alias("guest"), "text")
+        sent = sent.repartition(shuffle_width(pairs.sparkSession), "hub", "chunk").sortWithinPartitions("hub", "chunk", "guest")
+        return scope.kept(staged(sent.select("hub", "node", "text").mapInPandas(check, "a long, b long").distinct(), "verified"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -182,26 +226,32 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     a null doc_id is in a component of the others it links with, else null.
     Other columns are ignored; an empty table gives no rows.
     """
-    grouped = text_groups(docs, words, percent)
-    keyed = grouped.where("component is not null and doc_id is not null")
-    several = staged(keyed.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("doc_id", "a"), "several-texts")
-    if not several.isEmpty():  # the texts of one doc_id belong together
-        shared = keyed.join(F.broadcast(several) if is_small(several, BROADCAST_PAIRS) else several, "doc_id").where("a <> component")
-        merged = components(shared.select("a", F.col("component").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("whole"))
-        merged = F.broadcast(merged) if is_small(merged, BROADCAST_PAIRS) else merged
-        grouped = grouped.join(merged, "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole")
-    names = grouped.where("component is not null and doc_id is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    out = grouped.join(names, "component", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    with scratch(docs.sparkSession) as scope:
+        grouped = text_groups(docs, words, percent)
+        keyed = grouped.where("component is not null and doc_id is not null")
+        several = staged(keyed.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("doc_id", "a"), "several-texts")
+        if not several.isEmpty():  # the texts of one doc_id belong together
+            shared = keyed.join(sent_if_small(several, 64), "doc_id").where("a <> component")
+            merged = components(shared.select("a", F.col("component").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+            grouped = staged(grouped.join(sent_if_small(merged, 96), "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole"), "merged-groups")
+        names = grouped.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last"), F.max(F.col("doc_id").isNull()).alias("keyless"))
+        names = staged(names.where("component_id <> last or keyless").select("component", "component_id"), "component-names")  # any other row names its own
+        out = grouped.join(sent_if_small(names, 64), "component", "left")
+        return scope.kept(staged(out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")), "near-duplicates"))
 
 
 def text_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, text_hash, n_shingles, component; staged.
 
-    ``component`` is the least node reachable by links between texts, whatever
-    their keys; null for texts without shingles. ``text_hash`` takes a null
-    text as empty.
+    ``component`` is a digest that all texts reachable by links share,
+    whatever their keys; null for texts without shingles. ``text_hash`` takes
+    a null text as empty.
     """
+    with scratch(docs.sparkSession) as scope:
+        return scope.kept(_text_groups(docs, words, percent))
+
+
+def _text_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     frequent, level = frequent_shingles(rows, words)
@@ -220,34 +270,42 @@ def text_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 
     schema = "doc_id long, no_key boolean, text_hash long, n long, class binary, m int, prefix array<long>, mean double"
     signed = staged(restore_key(plain_key(rows, "doc_id", "text_hash", "text").mapInPandas(sign, schema), "doc_id"), "signatures")
-    classes = signed.where("n > 0").groupBy("class").agg(F.min("text_hash").alias("node"), F.first("n").alias("n"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("mean").alias("mean"))
-    postings = classes.select("node", "n", "m", "mean", F.posexplode("prefix").alias("pos", "token"))
-    leader = F.struct("mean", (-F.col("node")).alias("node"), "n")
-    shared = postings.groupBy("token").agg(F.count("*").alias("df"), F.max(leader).alias("lead")).where("df > 1")
-    shared = shared.select("token", (-F.col("lead.node")).alias("lead"), F.col("lead.n").alias("lead_n"))
-    postings = staged(postings.drop("mean").join(shared, "token"), "postings")
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("place")
+    classes = signed.where("n > 0").groupBy("class").agg(place, F.first("n").alias("n"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("mean").alias("mean"))
+    classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    places = classes.select("node", "place.doc_id", "place.text_hash")
+
+    # tokens of two classes at least, counted by themselves; only their postings get more columns
+    tokens = classes.select("node", F.posexplode("prefix").alias("pos", "token"))
+    shared = staged(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token"), "shared-tokens")
+    postings = tokens.join(shared, "token").join(classes.select("node", "n", "m", "mean"), "node")
+    postings = staged(postings.select("token", "node", "pos", "n", "m", "mean"), "postings")
 
     def near_sizes(x: str, y: str):
         return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
-    first = postings.where("node <> lead").where(near_sizes("n", "lead_n")).groupBy("node", "lead").count()
+    leads = postings.groupBy("token").agg(F.max(F.struct("mean", (-F.col("node")).alias("node"), "n")).alias("lead"))
+    leads = staged(leads.select("token", (-F.col("lead.node")).alias("lead"), F.col("lead.n").alias("lead_n")), "leads")  # staged, so that Spark can split a token's rows in the join
+    first = postings.select("token", "node", "n").join(leads, "token").where("node <> lead").where(near_sizes("n", "lead_n")).groupBy("node", "lead").count()
     first = first.groupBy("node").agg(F.max(F.struct("count", -F.col("lead")))["col2"].alias("lead"))
-    edges = staged(verify(staged(first.select(F.col("node").alias("a"), (-F.col("lead")).alias("b")), "leaders"), rows, words, percent), "leader-links")
+    edges = verify(staged(first.select((-F.col("lead")).alias("hub"), F.col("node").alias("other")), "leaders"), places, rows, words, percent)
     labels = components(edges)
 
     placed = postings.join(labels, "node", "left").select("token", "node", "n", "m", "pos", F.coalesce("component", "node").alias("component"))
-    placed = staged(placed, "placed")
     main = placed.groupBy("token", "component").count().groupBy("token").agg(F.count("*").alias("k"), F.max(F.struct("count", "component"))["component"].alias("main")).where("k > 1").select("token", "main")
-    mixed = staged(placed.join(main, "token"), "mixed")
+    mixed = staged(placed.join(staged(main, "mains"), "token"), "mixed")
     x = mixed.where("component <> main").select("token", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "m", "pos", "component")))
     y = mixed.select("token", "main", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "m", "pos", "component")))
     met = x.join(y, "token").where("x_component <> y_component and (y_component = main or x_node < y_node)").where(near_sizes("x_n", "y_n"))
     reach = F.least("x_m", "y_m") - F.ceil(percent * (F.col("x_n") + F.col("y_n")) / (100 + percent))  # m - o
     met = met.where((F.col("x_pos") < F.col("x_n") + reach) & (F.col("y_pos") < F.col("y_n") + reach))
-    met = met.groupBy(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("x_m", "y_m")).alias("m"))
-    edges = edges.union(verify(staged(met.where("shared >= m").select("a", "b"), "candidates"), rows, words, percent))
+    met = met.groupBy(F.least("x_node", "y_node").alias("hub"), F.greatest("x_node", "y_node").alias("other")).agg(F.count("*").alias("shared"), F.min(F.least("x_m", "y_m")).alias("m"))
+    edges = edges.union(verify(staged(met.where("shared >= m").select("hub", "other"), "candidates"), places, rows, words, percent))
     labels = components(edges)
 
-    of_class = classes.select("class", "node").join(labels, "node", "left").select("class", F.coalesce("component", "node").alias("component"))
-    out = signed.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "class").join(of_class, "class", "left")
-    return staged(out.select("doc_id", "text_hash", "n_shingles", "component"), "text-groups")
+    # rows of a class that isn't its component's first one get the digest of that one; all others are in their own
+    digests = classes.select("node", "class")
+    moved = labels.where("node <> component").join(digests, "node").join(digests.select(F.col("node").alias("component"), F.col("class").alias("whole")), "component")
+    moved = staged(moved.select("class", "whole"), "moved-classes")
+    out = signed.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class")).alias("class")).join(sent_if_small(moved, 112), "class", "left")
+    return staged(out.select("doc_id", "text_hash", "n_shingles", F.coalesce("whole", "class").alias("component")), "text-groups")
