@@ -52,6 +52,16 @@ def surrogate_id(df: DataFrame, name: str = "_record_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """``df`` whose columns are computed once, whatever reads them later.
+
+    Catalyst moves a filter below the projection that makes its columns and
+    computes their expressions there as well; it moves none below a generator,
+    so the columns come out of one (``inline`` of an array of one row).
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def flatten_nested(df: DataFrame, *, keep: Sequence[str] = (),
                    struct_fields: Mapping[str, str] | None = None,
                    array_col: str, element_fields: Mapping[str, str],
@@ -61,11 +71,17 @@ def flatten_nested(df: DataFrame, *, keep: Sequence[str] = (),
     ``struct_fields`` maps output name → dotted path (``"MON": "runningDays.MON"``);
     ``element_fields`` maps output name → field of the array element. Rows whose
     array is empty or null vanish unless ``keep_empty`` (then ``explode_outer``).
+
+    They vanish by their missing position: for a plain ``explode`` Catalyst
+    adds a filter on the array's size below it, and where the array is
+    computed there, the whole array is built a second time for that filter.
     """
-    gen = F.explode_outer if keep_empty else F.explode
     first = [F.col(c) for c in keep]
     first += [F.col(path).alias(alias) for alias, path in (struct_fields or {}).items()]
-    first.append(gen(F.col(array_col)).alias("_element"))
+    if keep_empty:
+        df = df.select(*first, F.explode_outer(F.col(array_col)).alias("_element"))
+    else:
+        df = df.select(*first, F.posexplode_outer(F.col(array_col)).alias("_position", "_element")).where("_position is not null")
     second = list(keep) + list((struct_fields or {}).keys())
     second += [F.col(f"_element.{field}").alias(alias) for alias, field in element_fields.items()]
-    return df.select(*first).select(*second)
+    return df.select(*second)

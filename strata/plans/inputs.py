@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _bit(key: str, k: int) -> str:
-    return f"cast(floor(cast({key} % 128 as double) / {2 ** k}) as bigint) % 2 = 1"
+    return f"({key} & {2 ** k}) > 0"
 
 
 # ---- trains: each line item is one record of its order's train --------------
@@ -43,7 +43,7 @@ STOP_COLUMNS = {
                "':', lpad(cast(l_partkey % 60 as string), 2, '0')) end",
     "departs": "case when l_returnflag = 'R' then 'Destination' else concat(lpad(cast((l_suppkey + 1) % 24 as string), "
                "2, '0'), ':', lpad(cast((l_partkey + 7) % 60 as string), 2, '0')) end",
-    "day": "cast(1 + cast(floor(l_linenumber / 3) as int) as string)",
+    "day": "case when l_linenumber < 3 then '1' when l_linenumber < 6 then '2' else '3' end",
     "distance": "case when l_discount = 0 then null when l_discount = 0.01 then 'n/a' "
                 "when l_quantity >= 49 then concat(cast(cast(l_quantity as int) as string), ',050 kms') "
                 "when l_tax = 0.08 then concat(cast(l_quantity as string), ' kms') "
@@ -55,7 +55,7 @@ SECOND_STOP_COLUMNS = {
     "stationName": "concat('STATION ', cast(l_suppkey % 300 as string), ' - S', cast(l_suppkey % 300 as string))",
     "arrives": "concat(lpad(cast(l_partkey % 24 as string), 2, '0'), ':15')",
     "departs": "case when l_linestatus = 'F' then 'Destination' else concat(lpad(cast(l_partkey % 24 as string), 2, '0'), ':20') end",
-    "day": "cast(2 + cast(floor(l_linenumber / 3) as int) as string)",
+    "day": "case when l_linenumber < 3 then '2' when l_linenumber < 6 then '3' else '4' end",
     "distance": "concat(cast(cast(l_quantity * 10 as int) + 500 as string), ' kms')",
 }
 NO_STOPS, TWO_STOPS = "l_partkey % 97 = 0", "l_partkey % 97 <> 0 and l_partkey % 4 = 1"
@@ -66,7 +66,8 @@ def trains_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     one stop, two (``TWO_STOPS``) or a null array (``NO_STOPS``). A train has as many records as
     its order has line items."""
     first, second = (F.struct(*[F.expr(e).alias(n) for n, e in c.items()]) for c in (STOP_COLUMNS, SECOND_STOP_COLUMNS))
-    stops = F.when(F.expr(TWO_STOPS), F.array(first, second)).when(~F.expr(NO_STOPS), F.array(first))
+    # both stops are written once: an array in each branch of a condition would double the generated code
+    stops = F.when(~F.expr(NO_STOPS), F.slice(F.array(first, second), F.lit(1), F.when(F.expr(TWO_STOPS), 2).otherwise(1)))
     return table(spark, sf_dir, "lineitem").select(
         *[F.expr(e).alias(n) for n, e in TRAIN_COLUMNS.items()],
         F.struct(*[F.expr(e).alias(d) for d, e in TRAIN_DAYS.items()]).alias("runningDays"),
