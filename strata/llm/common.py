@@ -64,14 +64,23 @@ def scratch(spark: SparkSession):
         _open.pop()
 
 
-def staged(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, **options: str) -> DataFrame:
+#: Narrow rows of a file of a staged table whose size is known beforehand, and its least number of files.
+FILE_ROWS, LEAST_FILES = 100_000, 4
+
+
+def staged(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, at_most: int | None = None, **options: str) -> DataFrame:
     """``df`` written once to the shared folder and read back; its Python steps get ``batch_rows`` rows at a time.
 
+    Where it has ``at_most`` so many rows of a few numbers, these take as
+    many tasks and files as they need, however many shuffle partitions there are.
+
     This cuts the lineage: a lost executor costs a re-read of the files, not
     a recomputation, and no later step computes ``df`` again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if at_most is not None:
+        df = df.coalesce(max(LEAST_FILES, -(-at_most // FILE_ROWS)))
     with small_batches(spark, batch_rows):
         df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -144,10 +144,9 @@ def _least_neighbours(links: DataFrame, of: DataFrame) -> DataFrame:
     are few, by their number) gets them where they are: its ``low`` is sent
     to all executors.
     """
-    width = shuffle_width(links.sparkSession)
-    lows = staged(links.groupBy("u").agg(F.least("u", F.min("v")).alias("low"), F.count("*").alias("degree")), "lows")
+    lows = links.groupBy("u").agg(F.least("u", F.min("v")).alias("low"), F.count("*").alias("degree"))
     total, most = lows.agg(F.sum("degree"), F.max("degree")).first()
-    limit = max(16, (total or 0) // (4 * width))  # at most 4 * width nodes have more
+    limit = max(16, (total or 0) // (4 * shuffle_width(links.sparkSession)))  # at most 4 nodes a shuffle partition have more
     plain = lows.select("u", "low")
     if (most or 0) <= limit:
         return of.join(plain, "u")
@@ -167,17 +166,19 @@ def components(edges: DataFrame) -> DataFrame:
         links = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
         print_of = (F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 30))), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30))))
         state = links.agg(*print_of).first()
-        while True:
+        most = state[0]
+        while most:
             both = links.union(links.select("v", "u"))
-            large = staged(_least_neighbours(both, both.where("v > u")).select(F.col("v").alias("u"), F.col("low").alias("v")).distinct(), "large-star")
+            large = _least_neighbours(both, both.where("v > u")).select(F.col("v").alias("u"), F.col("low").alias("v"))
+            large = staged(large.distinct(), "large-star", at_most=most)
             small = _least_neighbours(large, large)
             small = small.where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v")).union(small.select("u", F.col("low").alias("v")))
-            after = staged(small.distinct(), "small-star")
+            after = staged(small.distinct(), "small-star", at_most=most)
             own.drop(links, large)
             links, before, state = after, state, after.agg(*print_of).first()
             if state == before:
                 break
-        return own.kept(staged(links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(links.select("v", "v").distinct()), "components"))
+        return own.kept(staged(links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(links.select("v", "v").distinct()), "components", at_most=2 * most))
 
 
 def verify(pairs: DataFrame, places: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
@@ -203,18 +204,18 @@ def verify(pairs: DataFrame, places: DataFrame, rows: DataFrame, words: int, per
                 yield pd.DataFrame(keep, columns=["a", "b"])
 
     with scratch(pairs.sparkSession) as scope:
-        sizes = staged(pairs.groupBy("hub").count(), "hubs")
-        total = sizes.agg(F.sum("count")).first()[0] or 0
+        total = pairs.count()
+        sizes = pairs.groupBy("hub").count()
         chunk = max(CHUNK, total // BIG_HUBS)
         big = F.broadcast(sizes.where(F.col("count") > chunk).select("hub", F.ceil(F.col("count") / chunk).alias("chunks")))  # BIG_HUBS at most
         dealt = pairs.join(big, "hub", "left").select("hub", "other", F.coalesce(F.pmod(F.xxhash64("other"), F.col("chunks")), F.lit(0)).alias("chunk"))
         asked = dealt.select(F.col("other").alias("node"), "hub", "chunk")
-        asked = staged(asked.union(asked.select("hub", "hub", "chunk").distinct()).join(places, "node"), "asked")
+        asked = staged(asked.union(asked.select("hub", "hub", "chunk").distinct()).join(places, "node"), "asked", at_most=2 * total)
         asked = asked.select("node", "hub", "chunk", F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"))
         sent = rows.join(sent_if_small(asked, 64), (F.col("text_hash") == F.col("of_text")) & F.col("doc_id").eqNullSafe(F.col("of_doc")))
         sent = sent.select("hub", "chunk", "node", (F.col("node") != F.col("hub")).alias("guest"), "text")
         sent = sent.repartition(shuffle_width(pairs.sparkSession), "hub", "chunk").sortWithinPartitions("hub", "chunk", "guest")
-        return scope.kept(staged(sent.select("hub", "node", "text").mapInPandas(check, "a long, b long").distinct(), "verified"))
+        return scope.kept(staged(sent.select("hub", "node", "text").mapInPandas(check, "a long, b long").distinct(), "verified", at_most=total))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

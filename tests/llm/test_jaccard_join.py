@@ -100,6 +100,33 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
 
 
+def test_components_with_hubs(spark):
+    """Stars around the smallest and the largest node of thousands, joined by a path; a hub's rows never meet in one task."""
+    edges = [(0, i) for i in range(1, 1500)] + [(10**6, i) for i in range(2000, 3500)] + [(1499, 5000), (5000, 5001), (5001, 3499)] + [(7000 + i, 7001 + i) for i in range(0, 400, 2)]
+    random.Random(3).shuffle(edges)
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    nodes = {x for e in edges for x in e}
+    assert got == {x: 0 if x < 7000 or x == 10**6 else x - x % 2 for x in nodes}
+
+
+def test_components_of_digests_and_of_nothing(spark):
+    edges = spark.createDataFrame([(bytes([i]) * 16, bytes([i // 2]) * 16) for i in range(1, 40)] + [(bytes([200]) * 16, bytes([201]) * 16)], "a binary, b binary")
+    got = {bytes(r.node)[0]: bytes(r.component)[0] for r in components(edges).collect()}
+    assert got == {**{i: 0 for i in range(40)}, 200: 200, 201: 200}
+    assert components(edges.where("a = b")).count() == 0
+
+
+def test_staged_tables_end_with_the_join(spark):
+    from pathlib import Path
+
+    from strata.session import checkpoint_root
+
+    folder = Path(checkpoint_root(spark).removeprefix("file:")) / "strata"
+    before = {p.name for p in folder.glob("*")}
+    out = near_duplicates(spark.createDataFrame([(i, f"a b c d e f {i // 2}") for i in range(20)], "doc_id long, text string"))
+    assert out.count() == 20 and {p.name.rpartition("-")[0] for p in folder.glob("*") if p.name not in before} == {"near-duplicates"}
+
+
 def test_null_and_repeated_keys_link_through_all_their_texts(spark):
     pick = random.Random(9)
     base, other, third = ([f"{c}{pick.randrange(10**6)}" for _ in range(100)] for c in "abc")
