@@ -4,15 +4,18 @@ Every component of a vector is an integer. The index holds blocks of vectors;
 a block's postings (dimension, vector, value) lie in segments by quantised
 impact: segment s holds the values with |value| // step == s. A search goes
 through a block's segments by descending impact for a group of queries at once
-and adds each segment to the accumulators. What is unseen of a vector has
-values below the segment's lower edge, so
+and adds each segment to the accumulators. What is unseen of a vector and of the
+query, in the vector's unseen dimensions, bounds the rest by Cauchy-Schwarz:
 
     accumulator - slack <= score <= accumulator + slack,
-    slack = (edge - 1) * sum of |query| over the vector's unseen dimensions.
-
-A vector whose upper bound is below the k-th lower bound cannot be a member,
-which is proof, so it is left out of later segments. When the segments end, or
-the possible members are few, those are scored anew exactly in 64-bit integers.
+    slack = |unseen part of the query| * |unseen part of the vector|.
+
+The query's floor is the k-th score known so far: at first the one that the
+blocks searched before have left, then the k-th lower bound; and the vectors that
+look best after a segment are scored exactly to raise it. A vector whose upper bound is below the floor cannot
+be a member, which is proof, so that query leaves it out of all later segments;
+once few are possible, those are scored exactly and the rest of the segments is
+not read.
 """
 
 from __future__ import annotations
@@ -21,13 +24,26 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import shuffle_width, staged
 
 #: Vectors of an index block, and queries of a group: their product bounds a task's accumulators.
 BLOCK_ROWS = 4096
 GROUP_ROWS = 256
+#: Query groups that meet one copy of a block's postings.
+CHUNK_GROUPS = 4
+#: Blocks searched first; their k-th scores are the floors of all others.
+FIRST_BLOCKS = 4
 #: Impact segments of a block.
-SEGMENTS = 8
+SEGMENTS = 32
+#: Share of a block's vectors that a query must still need for its segments to be added for whole groups.
+TOGETHER = 0.7
+#: Sum of absolute products up to which doubles hold scores exactly; beyond, all are computed with Python's integers.
+EXACT = 1 << 52
+
+#: Rows that a Python step of a search is handed at a time: an index block takes some megabytes.
+BATCH_BLOCKS = 8
+#: The largest long.
+MOST = (1 << 63) - 1
 
 INDEX_SCHEMA = "block long, n long, dims int, step long, ids binary, copies binary, segment_ends binary, dim binary, row binary, value binary"
 MATCH_SCHEMA = "query_id long, vec_id long, score long"
@@ -81,76 +97,141 @@ def build_index(vectors: DataFrame, copies: int, block_rows: int = BLOCK_ROWS) -
     return staged(blocks.groupBy("block").applyInPandas(build, INDEX_SCHEMA), "impact-index")
 
 
-def search_block(block: dict, queries: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray, int]:
-    """Possible members of each query (entry numbers), the entries' vectors, and the postings processed."""
-    n, dims, step = block["n"], max(block["dims"], queries.shape[1]), block["step"]
+def _exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Integer scores; of any size, where 64 bits can't hold them."""
+    if int(abs(vectors).max(initial=0)) * int(abs(query).astype(object).sum()) < EXACT:
+        return vectors @ query
+    return vectors.astype(object) @ query.astype(object)
+
+
+def search_block(block: dict, queries: np.ndarray, k: int, floors: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray, int]:
+    """Possible members of each query (entry numbers), the entries' vectors, and how many times a posting was processed for a query.
+
+    ``floors``: scores that k other vectors at least are known to reach (-inf: none).
+    """
+    n, dims = block["n"], max(block["dims"], queries.shape[1])
     ends = np.frombuffer(block["segment_ends"], np.int64)
     dim, row, value = (np.frombuffer(block[c], t) for c, t in (("dim", np.int32), ("row", np.int32), ("value", np.int64)))
-    q = np.zeros((len(queries), dims))
-    q[:, : queries.shape[1]] = queries
-    weight = np.abs(q)
-    total, unseen = np.zeros((len(q), n)), np.tile(weight.sum(axis=1, keepdims=True), (1, n))
-    possible = np.ones((len(q), n), bool)
-    alive, start, done = np.arange(n), 0, 0
-    for s, end in zip(range(len(ends) - 1, -1, -1), ends.tolist()):
-        # the segment's postings of vectors that some query still needs, as a matrix of dimensions by vectors
-        place = np.full(n, -1)
-        place[alive] = np.arange(len(alive))
-        part = slice(start, end)
-        keep = place[row[part]] >= 0
-        r, d, v = place[row[part][keep]], dim[part][keep], value[part][keep]
-        start, done = end, done + len(r)
-        dense = np.zeros((dims, len(alive)))
-        dense[d, r] = v
-        total[:, alive] += q @ dense
-        dense[d, r] = 1
-        unseen[:, alive] -= weight @ dense
-        slack = max(0, s * step - 1) * unseen[:, alive]
-        low = np.where(possible[:, alive], total[:, alive] - slack, -np.inf)
-        # the query's own vector is no candidate: the k-th of the others is at least the (k+1)-th of all
-        kth = np.partition(low, max(0, len(alive) - k - 1), axis=1)[:, max(0, len(alive) - k - 1)] if len(alive) > k else np.full(len(q), -np.inf)
-        possible[:, alive] &= total[:, alive] + slack >= kth[:, None]
-        dead = np.setdiff1d(alive, np.flatnonzero(possible.any(axis=0)))
-        possible[:, dead] = False
-        alive = np.setdiff1d(alive, dead)
-        if not len(alive) or possible.sum(axis=1).max() <= 2 * (k + 1):
-            break
     vectors = np.zeros((n, dims), np.int64)
     vectors[row, dim] = value
-    return [np.flatnonzero(p) for p in possible], vectors, done
+    exact_q = np.zeros((len(queries), dims), np.int64)
+    exact_q[:, : queries.shape[1]] = queries
+    if int(abs(value).max(initial=0)) * int(abs(exact_q).astype(object).sum(axis=1).max(initial=0)) >= EXACT:
+        return [np.arange(n) for _ in exact_q], vectors, len(value) * len(queries)
+    q, x = exact_q.astype(np.float64), vectors.astype(np.float64)
+    floor = np.full(len(q), -np.inf) if floors is None else floors.astype(np.float64)
+    best = np.full((len(q), k + 1), -np.inf)  # scored so far; one more than k, as the query's own vector may be among them
+    total, rest_q = np.zeros((len(q), n)), np.tile((q * q).sum(axis=1, keepdims=True), (1, n))
+    rest_v = (x * x).sum(axis=1)
+    possible, scored = np.ones((len(q), n), bool), np.zeros((len(q), n), bool)
+    few, open_q, start, done = 4 * (k + 1), np.arange(len(q)), 0, 0
+
+    def score(i: int, entries: np.ndarray) -> None:
+        found = x[entries] @ q[i]
+        scored[i, entries] = True
+        best[i] = np.partition(np.concatenate([best[i], found]), -(k + 1))[-(k + 1) :]
+        floor[i] = max(floor[i], best[i][0])
 
+    for s, end in zip(range(len(ends) - 1, -1, -1), ends.tolist()):
+        r, d, v = row[start:end], dim[start:end], value[start:end]
+        start = end
+        if not len(r):
+            continue
+        part = np.zeros((n, dims))
+        part[r, d] = v
+        held, each = part != 0, np.bincount(r, minlength=n)
+        rest_v = rest_v - (part * part).sum(axis=1)
+        share = possible[open_q].mean(axis=1)
+        together, alone = open_q[share >= TOGETHER], open_q[share < TOGETHER]
+        if len(together):
+            total[together] += q[together] @ part.T
+            rest_q[together] -= (q[together] ** 2) @ held.T
+            done += len(r) * len(together)
+        for i in alone.tolist():
+            at = np.flatnonzero(possible[i])
+            total[i, at] += part[at] @ q[i]
+            rest_q[i, at] -= held[at] @ (q[i] ** 2)
+            done += int(each[at].sum())
+        slack_v = np.sqrt(np.maximum(rest_v, 0))
+        still = []
+        for i in open_q.tolist():
+            at = np.flatnonzero(possible[i])
+            slack = np.sqrt(np.maximum(rest_q[i, at], 0)) * slack_v[at] * (1 + 1e-9) + 1e-6
+            sums = total[i, at]
+            if s <= len(ends) // 2 and len(at) > few:  # the sums tell by now what looks best
+                top = at[np.argpartition(sums, -(k + 1))[-(k + 1) :]]
+                top = top[~scored[i, top]]
+                score(i, top)
+                done += len(top) * dims
+            if len(at) > k:  # so many others reach at least this
+                floor[i] = max(floor[i], np.partition(sums - slack, -(k + 1))[-(k + 1)])
+            keep = sums + slack >= floor[i]
+            possible[i, at[~keep]] = False
+            if keep.sum() > few:
+                still.append(i)
+        open_q = np.array(still, np.int64)
+        if not len(open_q):
+            break
+    return [np.flatnonzero(p) for p in possible], vectors, done + int(sum(possible[i].sum() for i in range(len(q)))) * dims
 
-def search(index: DataFrame, queries: DataFrame, k: int = 5, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """The ``k`` best of all indexed vectors for each query (query_id, v), its own id left out.
 
-    Returns query_id, rank (from 1), vec_id, score; ties go to smaller
-    vec_id; a query with fewer candidates gets them all. Vectors of unequal
-    lengths are compared as if padded with zeros. Groups of queries meet each
-    block once; a block gives at most k rows a query.
-    """
-    n_groups = max(1, -(-queries.count() // group_rows))
+def _matches(index: DataFrame, groups: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of each block of ``index`` for each query of ``groups`` (g, block, query_ids, vs, floors)."""
 
     def match(batches):
+        entry = at = ids = ends = None
         for batch in batches:
-            for entry in batch.to_dict("records"):
-                wanted = _matrix(entry["vs"], max(1, *map(len, entry["vs"])))
-                members, vectors, _ = search_block(entry, wanted, k)
-                ids, ends = np.frombuffer(entry["ids"], np.int64), np.cumsum(np.frombuffer(entry["copies"], np.int64))
+            for r in batch.to_dict("records"):
+                if r["g"] < 0:
+                    entry, at = {**r, "n": int(r["n"]), "dims": int(r["dims"])}, r["block"]  # floats next to the groups' nulls
+                    ids, ends = np.frombuffer(r["ids"], np.int64), np.cumsum(np.frombuffer(r["copies"], np.int64))
+                    continue
+                if entry is None or at != r["block"]:
+                    continue  # a block without vectors
+                wanted = _matrix(r["vs"], max(1, *map(len, r["vs"])))
+                floors = np.array([-np.inf if f is None or f != f else f for f in r["floors"]], np.float64)
+                members, vectors, _ = search_block(entry, wanted, k, floors)
                 padded = np.zeros((len(wanted), vectors.shape[1]), np.int64)
                 padded[:, : wanted.shape[1]] = wanted
                 out = []
-                for own, query, entries in zip(entry["query_ids"], padded, members):
-                    scores = vectors[entries] @ query
+                for own, query, entries in zip(r["query_ids"], padded, members):
+                    scores = _exact(vectors[entries], query)
                     found = [(-int(x), int(i), own) for x, e in zip(scores, entries) for i in ids[(ends[e - 1] if e else 0) : ends[e]] if i != own]
                     out += sorted(found)[:k]
-                yield pd.DataFrame([(own, i, -x) for x, i, own in out], columns=["query_id", "vec_id", "score"])
+                if out:
+                    yield pd.DataFrame([(own, i, min(max(-x, -MOST - 1), MOST)) for x, i, own in out], columns=["query_id", "vec_id", "score"])
+
+    asked = groups.withColumn("chunk", F.floor(F.col("g") / CHUNK_GROUPS))
+    copies = asked.select("block", "chunk").distinct().join(index, "block")
+    both = copies.withColumn("g", F.lit(-1).cast("long")).unionByName(asked, allowMissingColumns=True)
+    both = both.repartition(shuffle_width(index.sparkSession), "block", "chunk").sortWithinPartitions("block", "chunk", "g")
+    return staged(both.mapInPandas(match, MATCH_SCHEMA), "matches", BATCH_BLOCKS)
+
+
+def search(index: DataFrame, queries: DataFrame, k: int = 5, group_rows: int = GROUP_ROWS, first_blocks: int = FIRST_BLOCKS) -> DataFrame:
+    """The ``k`` best of all indexed vectors for each query (query_id, v), its own id left out.
 
-    groups = queries.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(n_groups))).groupBy("g").agg(F.sort_array(F.collect_list(F.struct("vec_id", "v"))).alias("q"))
+    Returns query_id, rank (from 1), vec_id, score; ties go to smaller
+    vec_id; a query with fewer candidates gets them all. Vectors of unequal
+    lengths are compared as if padded with zeros. Scores are exact integers of
+    any size; one beyond a long is given as the nearest long. A block's
+    postings are read once for ``CHUNK_GROUPS`` groups of queries; a block
+    gives at most k rows a query.
+    """
+    n_groups = max(1, -(-queries.count() // group_rows))
     last = index.agg(F.max("block")).first()[0] or 0
-    groups = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last))))  # a block without vectors meets none
-    pairs = groups.select("block", F.col("q.vec_id").alias("query_ids"), F.col("q.v").alias("vs")).join(index, "block")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    matches = pairs.mapInPandas(match, MATCH_SCHEMA)
+    queries = queries.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(n_groups)))
+
+    def in_groups(rows: DataFrame, start: int, stop: int) -> DataFrame:
+        groups = rows.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("vec_id", "v", "floor"))).alias("q"))
+        groups = groups.select("g", F.col("q.vec_id").alias("query_ids"), F.col("q.v").alias("vs"), F.col("q.floor").alias("floors"))
+        return groups.withColumn("block", F.explode(F.sequence(F.lit(start), F.lit(stop))))
+
+    matches = _matches(index, in_groups(queries.withColumn("floor", F.lit(None).cast("long")), 0, min(last, first_blocks - 1)), k)
+    if last >= first_blocks:
+        floors = matches.withColumn("nth", F.row_number().over(best)).where(F.col("nth") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+        matches = matches.union(_matches(index, in_groups(queries.join(floors, "vec_id", "left"), first_blocks, last), k))
     return matches.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
