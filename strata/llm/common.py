@@ -124,17 +124,22 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 #: Bytes up to which a table is sent to all executors.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 16 << 20
+#: Bytes that a row of such a table takes besides its strings and arrays.
+ROW_BYTES = 64
 
 
-def fits_broadcast(df: DataFrame, row_bytes: int) -> bool:
-    """Whether a staged table whose rows take at most ``row_bytes`` (fixed-size columns) stays below ``BROADCAST_BYTES``."""
-    return is_small(df, BROADCAST_BYTES // row_bytes)
+def sent_if_small(df: DataFrame, row_bytes: int | Column = ROW_BYTES) -> DataFrame:
+    """The staged table ``df``, to be sent to all executors if its bytes allow that; else the join shuffles.
 
-
-def sent_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """The staged table ``df``, to be sent to all executors if it fits; else the join shuffles."""
-    return F.broadcast(df) if fits_broadcast(df, row_bytes) else df
+    ``row_bytes``: the most that a row takes (fixed-size columns), or a column
+    that says it for each row, which is added up over the table.
+    """
+    if isinstance(row_bytes, Column):
+        small = (df.agg(F.sum(row_bytes + ROW_BYTES)).first()[0] or 0) <= BROADCAST_BYTES
+    else:
+        small = is_small(df, BROADCAST_BYTES // row_bytes)
+    return F.broadcast(df) if small else df
 
 
 def is_small(df: DataFrame, max_rows: int) -> bool:

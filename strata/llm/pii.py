@@ -2,26 +2,38 @@
 
 Patterns find emails, ip addresses, card and phone numbers. Each value found is
 a protected entity; the terms of the texts that hold it (runs of letters and
-digits outside base spans) may give it away. A term discloses an entity as far
-as their pointwise mutual information reaches the entity's own information:
-with N texts, n of them with the entity, s with the term and k with both,
+digits outside base spans) may give it away. Let n different texts hold the
+entity, s the term and k both. A term discloses an entity if
 
-    PMI = ln((k / s) / (n / N)),  IC = ln(N / n).
+* they meet more often than by chance: the chance of k or more of s, given that
+  they meet at all (a word met once says nothing), if each text held the entity
+  with probability n / N or BASE_RATE, whatever is more, bounded by Chernoff;
+  over all pairs of terms and entities in two texts or more, the share of false
+  findings is kept below FALSE_SHARE (Benjamini and Hochberg); and
+* it gives away DISCLOSURE of the entity's information among POPULATION texts:
 
-For k / s, the chance that a text with the term holds the entity, the lower
-confidence bound (Wilson, CONFIDENCE) is taken, so that few texts count as
-little evidence, and entities of one or two texts are judged like any other. A
-term with PMI >= DISCLOSURE * IC is generalised like the entity itself,
-wherever it stands, in texts without any entity too. Equal texts count once.
+      ln((k / s) / (n / POPULATION)) >= DISCLOSURE * ln(POPULATION / n),
+
+  where for k / s, the chance that a text with the term holds the entity, the
+  lower confidence bound (Wilson, CONFIDENCE) is taken.
+
+Neither depends on how many other texts there are, as long as the entity is in
+less than BASE_RATE of all, so joining a corpus with unrelated texts changes no
+verdict. A disclosing term is generalised wherever it stands, in texts without
+any entity too: to its class (WORD, NUMBER or CODE), or where texts with that
+class give the entity away, to any TERM, or where these do so too, it is removed.
+Equal texts count once.
 
 DataFrame expressions only.
 """
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import fresh, is_small, staged
+from strata.llm.common import fresh, scratch, sent_if_small, staged
 from strata.llm.quality_rules import let
 
 KINDS = ("email", "ip", "card", "phone")
@@ -29,8 +41,14 @@ KINDS = ("email", "ip", "card", "phone")
 DISCLOSURE = 0.8
 #: Normal quantile of the one-sided confidence (95 %) that it does.
 CONFIDENCE = 1.645
-#: Rows up to which a table of terms or spans is sent to all executors; beyond, a shuffle.
-BROADCAST_ROWS = 500_000
+#: Texts among which a term must single out an entity, and the least chance that a text without any relation is taken to hold one.
+POPULATION, BASE_RATE = 1_000_000, 0.01
+#: Share of pairs found to meet more often than by chance that may be false.
+FALSE_SHARE = 0.05
+#: Steps of -ln(chance) that are told apart, and the largest of them.
+CHANCE_STEPS, CHANCE_MOST = 16, 700
+#: Pairs of entities and terms of one text that meet in one task; a text with more is dealt out to several.
+TEXT_PAIRS = 1 << 16
 #: Spans whose positions are added up in one go; longer lists are added up in blocks of this size.
 BLOCK = 256
 
@@ -46,6 +64,7 @@ _PATTERNS = {
 _NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _TERM = r"[\p{L}\p{M}\p{N}]++"
 _SPANS = "array<struct<start:int,end:int>>"
+_TERM_SPANS = "array<struct<start:int,end:int,label:string>>"
 
 
 def positions(text: Column, pattern: str) -> Column:
@@ -146,53 +165,128 @@ def _lower_bound(k: Column, s: Column) -> Column:
     return (k + z2 / 2 - CONFIDENCE * F.sqrt(k * (s - k) / s + z2 / 4)) / (s + z2)
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(entity, term) for the terms that exceed the disclosure threshold; counts over all different texts; staged."""
-    firsts = staged(found.groupBy("text_hash").agg(F.min("row").alias("row")).select("row"), "first-rows")
-    total = firsts.count()
-    texts = found.join(F.broadcast(firsts) if is_small(firsts, BROADCAST_ROWS) else firsts, "row", "left_semi")
-    places = texts.select("row", F.explode("entities").alias("entity"))
-    places = places.join(places.groupBy("entity").agg(F.count("*").alias("n")), "entity")
-    seen = texts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("s"))
-    words = texts.where(F.size("entities") > 0).select("row", F.explode("terms").alias("term")).join(seen, "term")
+def _discloses(k: Column, s: Column, n: Column, disclosure: float) -> Column:
+    """Whether ``k`` of ``s`` texts give enough of the entity's information away, without logarithms."""
+    return (n < POPULATION) & (_lower_bound(k, s) >= F.pow(n / POPULATION, F.lit(1 - disclosure)))
+
 
-    def exceeds(k: Column) -> Column:  # PMI >= disclosure * IC, without logarithms
-        return (F.col("n") < total) & (_lower_bound(k, F.col("s")) >= F.pow(F.col("n") / total, F.lit(1 - disclosure)))
+def _chance(k: Column, s: Column, rate: Column) -> Column:
+    """-ln of (an upper bound of) the chance that ``k`` or more of ``s`` hold what each holds at ``rate``, given that one does."""
 
-    pairs = places.join(words, "row").where(exceeds(F.least("n", "s")))  # k is at most either; what fails with that is never counted
-    scored = pairs.groupBy("entity", "term", "n", "s").agg(F.count("*").alias("k"))
-    return staged(scored.where(exceeds(F.col("k"))).select("entity", "term"), "disclosed")
+    def part(x: Column, y: Column) -> Column:
+        return F.when(x > 0, x * F.ln(x / y)).otherwise(0.0)
+
+    chernoff = s * (part(k / s, rate) + part(1 - k / s, 1 - rate))
+    some = F.ln(-F.expm1(s * F.log1p(-rate)))
+    return F.when((rate >= 1) | (k <= s * rate), 0.0).otherwise(F.greatest(F.lit(0.0), chernoff + some))
+
+
+def _firsts(found: DataFrame) -> DataFrame:
+    """One row of ``found`` for each different text; staged."""
+    firsts = staged(found.groupBy("text_hash").agg(F.min("row").alias("row")).select("row"), "first-rows")
+    return staged(found.join(sent_if_small(firsts, 16), "row", "left_semi").select("row", "entities", "terms"), "different-texts")
+
+
+def _significant(pairs: DataFrame, total: int, false_share: float) -> DataFrame:
+    """Those of the staged ``pairs`` (n, s, k and others) that meet more often than by chance."""
+    rate = F.greatest(F.col("n") / total, F.lit(BASE_RATE))
+    step = F.least(F.floor(_chance(F.col("k"), F.col("s"), rate) * CHANCE_STEPS), F.lit(CHANCE_STEPS * CHANCE_MOST))
+    tested = pairs.withColumn("step", step)
+    counts = {r["step"]: r["count"] for r in tested.groupBy("step").count().collect()}  # CHANCE_STEPS * CHANCE_MOST rows at most
+    passed, tests, least = 0, sum(counts.values()), None
+    for at in sorted(counts, reverse=True):
+        passed += counts[at]
+        if -at / CHANCE_STEPS <= log(false_share * passed / tests):
+            least = at
+    return tested.where(F.col("step") >= least).drop("step") if least is not None else tested.where(F.lit(False)).drop("step")
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE, false_share: float = FALSE_SHARE) -> DataFrame:
+    """(entity, term, label) for the terms that disclose an entity; label: the class they are generalised to, '' where they are removed. Counts over all different texts; staged."""
+    with scratch(docs.sparkSession) as scope:
+        texts = _firsts(found)
+        total = texts.count()
+        places = texts.select("row", F.size("entities").alias("width"), F.explode("entities").alias("entity"))
+        entities = staged(places.groupBy("entity").agg(F.count("*").alias("n")).where("n > 1"), "entities")  # one text says nothing of chance
+        places = staged(places.join(sent_if_small(entities, F.octet_length("entity")), "entity"), "entity-places")
+        rows = staged(places.groupBy("row").agg(F.count("*").alias("width")), "entity-rows")
+        # a term's texts, for the terms that any such entity meets
+        words = texts.join(sent_if_small(rows.select("row"), 16), "row", "left_semi").select("row", F.explode("terms").alias("term"))
+        near = staged(words.select("term").distinct(), "near-terms")
+        seen = texts.select(F.explode("terms").alias("term")).join(sent_if_small(near, F.octet_length("term")), "term", "left_semi")
+        seen = staged(seen.groupBy("term").agg(F.count("*").alias("s")).where("s > 1"), "term-counts")
+        words = words.join(sent_if_small(seen, F.octet_length("term")), "term")
+        pairs = _met(places.select("row", "entity", "n"), words, rows, texts).groupBy("entity", "term", "n", "s").agg(F.count("*").alias("k"))
+        pairs = _significant(staged(pairs, "pairs"), total, false_share)
+        told = staged(pairs.where(_discloses(F.col("k"), F.col("s"), F.col("n"), disclosure)).select("entity", "term", "n"), "told")
+        return scope.kept(_labelled(told, places, texts, disclosure))
+
+
+def _met(places: DataFrame, words: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Every entity with every term of its texts; a text with very many of both is dealt out by its terms."""
+    parts = texts.select("row", F.size("terms").alias("terms")).join(sent_if_small(rows, 24), "row")
+    parts = parts.select("row", F.greatest(F.lit(1), F.ceil(F.col("terms") * F.col("width") / TEXT_PAIRS)).cast("int").alias("parts"))
+    parts = staged(parts.where("parts > 1"), "wide-texts")
+    if parts.isEmpty():
+        return places.join(words, "row")
+    of = sent_if_small(parts, 24)
+    places = places.join(of, "row", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    words = words.join(of, "row", "left").withColumn("part", F.pmod(F.xxhash64("term"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    return places.join(words, ["row", "part"])
+
+
+def _class(term: Column) -> Column:
+    return F.when(term.rlike(r"^\p{N}+$"), "NUMBER").when(term.rlike(r"\p{N}"), "CODE").otherwise("WORD")
+
+
+def _labelled(told: DataFrame, places: DataFrame, texts: DataFrame, disclosure: float) -> DataFrame:
+    """``told`` (entity, term, n) with the first label of each term that discloses none of its entities: its class, TERM, or ''; staged."""
+    if told.isEmpty():
+        return staged(told.select("entity", "term", F.lit("").alias("label")), "disclosed")
+    classes = texts.where(F.size("terms") > 0).select("row", F.explode(F.concat(F.array_distinct(F.transform("terms", _class)), F.array(F.lit("TERM")))).alias("label"))
+    sizes = classes.groupBy("label").agg(F.count("*").alias("s"))  # four rows
+    own = staged(told.select("entity").distinct(), "told-entities")
+    held = places.join(sent_if_small(own, F.octet_length("entity")), "entity", "left_semi").join(classes, "row").groupBy("entity", "n", "label").agg(F.count("*").alias("k"))
+    open_ = staged(held.join(F.broadcast(sizes), "label").where(_discloses(F.col("k"), F.col("s"), F.col("n"), disclosure)).select("entity", "label"), "telling-classes")
+    steps = told.select("entity", "term", F.posexplode(F.array(_class(F.col("term")), F.lit("TERM"))).alias("at", "label"))
+    bad = steps.join(sent_if_small(open_, F.octet_length("entity")), ["entity", "label"], "left_semi").groupBy("term").agg(F.collect_set("at").alias("bad"))
+    bad = sent_if_small(staged(bad, "given-up-classes"), F.octet_length("term"))
+    label = F.when(F.col("bad").isNull() | ~F.array_contains("bad", 0), _class(F.col("term"))).when(~F.array_contains("bad", 1), "TERM").otherwise("")
+    return staged(told.select("entity", "term").join(bad, "term", "left").select("entity", "term", label.alias("label")), "disclosed")
 
 
 def term_spans(docs: DataFrame, found: DataFrame, disclosed: DataFrame) -> DataFrame:
-    """text_hash and the spans (start, end) of all disclosing terms outside base spans, for every text that holds any; staged."""
-    telling = staged(disclosed.select("term").distinct(), "telling")
-    places = found.select("text_hash", F.explode("terms").alias("term"))
-    hits = places.join(F.broadcast(telling) if is_small(telling, BROADCAST_ROWS) else telling, "term", "left_semi")
-    hits = staged(hits.groupBy("text_hash").agg(F.collect_set("term").alias("own")), "term-texts")
-    hits = F.broadcast(hits) if is_small(hits, BROADCAST_ROWS) else hits
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    texts = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text")).join(hits, "text_hash")
+    """text_hash and the spans (start, end, label) of all disclosing terms outside base spans, for every text that holds any; staged."""
+    with scratch(docs.sparkSession) as scope:
+        telling = staged(disclosed.groupBy("term").agg(F.min("label").alias("label")), "telling")
+        places = found.select("text_hash", "row", F.explode("terms").alias("term"))
+        hits = places.join(sent_if_small(telling, F.octet_length("term")), "term").groupBy("text_hash", "row").agg(F.map_from_entries(F.collect_list(F.struct("term", "label"))).alias("own"))
+        firsts = hits.groupBy("text_hash").agg(F.min("row").alias("row"))
+        hits = hits.join(firsts, ["text_hash", "row"]).join(found.select("row", "spans"), "row").select("text_hash", "own", "spans")
+        hits = staged(hits, "term-texts")
+        sizes = F.size("own") * 64 + F.size("spans") * 64 + F.aggregate(F.map_keys("own"), F.lit(0), lambda n, x: n + F.octet_length(x)) + F.aggregate("spans", F.lit(0), lambda n, x: n + F.octet_length(x["value"]))
+        text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+        texts = docs.select(F.xxhash64(text).alias("text_hash"), text.alias("text")).join(sent_if_small(hits, sizes), "text_hash").dropDuplicates(["text_hash"])
 
-    def own(p: Column) -> Column:
-        spans = F.zip_with(p["m"], p["s"], lambda m, s: F.when(F.array_contains("own", F.lower(m)), s))
-        return F.filter(spans, lambda s: s.isNotNull())
+        def own(p: Column) -> Column:
+            spans = F.zip_with(p["m"], p["s"], lambda m, s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.try_element_at(F.col("own"), F.lower(m)).alias("label")))
+            return F.filter(spans, lambda s: s["label"].isNotNull())
 
-    spans = let(base_spans(F.col("text")), lambda s: let(positions(visible(F.col("text"), s), _TERM), own))
-    return staged(texts.select("text_hash", spans.alias("terms")).dropDuplicates(["text_hash"]), "term-spans")
+        spans = let(positions(visible(F.col("text"), F.col("spans")), _TERM), own)
+        return scope.kept(staged(texts.select("text_hash", spans.alias("terms")), "term-spans"))
 
 
-def find_private(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
-    """doc_id, base spans (kind, start, end, value) and spans of disclosing terms of every text.
+def find_private(docs: DataFrame, disclosure: float = DISCLOSURE, false_share: float = FALSE_SHARE) -> DataFrame:
+    """doc_id, text_hash, base spans (kind, start, end, value) and spans of disclosing terms (start, end, label) of every text; staged.
 
     Null texts count as empty; null and repeated keys are kept, each with its
     own text's spans; other columns are ignored; an empty table gives none.
     """
-    found = find(docs)
-    terms = term_spans(docs, found, disclosing_terms(docs, found, disclosure))
-    terms = F.broadcast(terms) if is_small(terms, BROADCAST_ROWS) else terms
-    rows = found.select("doc_id", "text_hash", "spans").join(terms, "text_hash", "left")
-    return rows.select("doc_id", "text_hash", "spans", F.coalesce("terms", F.array().cast(_SPANS)).alias("terms"))
+    with scratch(docs.sparkSession) as scope:
+        found = find(docs)
+        terms = term_spans(docs, found, disclosing_terms(docs, found, disclosure, false_share))
+        rows = found.select("doc_id", "text_hash", "spans").join(sent_if_small(terms, F.size("terms") * 64), "text_hash", "left")
+        return scope.kept(staged(rows.select("doc_id", "text_hash", "spans", F.coalesce("terms", F.array().cast(_TERM_SPANS)).alias("terms")), "private"))
 
 
 def render(spans: Column) -> Column:
@@ -200,23 +294,23 @@ def render(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by its kind in brackets; overlapping spans become one.
+def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, false_share: float = FALSE_SHARE) -> DataFrame:
+    """``docs`` with every span in ``text`` replaced by its kind or class in brackets, or by nothing; overlapping spans become one.
 
     Null texts stay null, all columns are kept; rows with nothing private keep
     their text unchanged.
     """
-    private = find_private(docs, disclosure).where((F.size("spans") > 0) | (F.size("terms") > 0))
+    private = find_private(docs, disclosure, false_share).where((F.size("spans") > 0) | (F.size("terms") > 0))
+    mark = lambda kind: F.concat(F.lit("["), F.upper(kind), F.lit("]"))
     tagged = F.concat(
-        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))),
-        F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("term").alias("kind"))),
+        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), mark(s["kind"]).alias("mark"))),
+        F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["label"] == "", "").otherwise(mark(s["label"])).alias("mark"))),
     )
     key, text_hash, spans = (fresh(c, docs.columns) for c in ("p_id", "p_hash", "p_spans"))
     private = private.select(F.col("doc_id").alias(key), F.col("text_hash").alias(text_hash), F.sort_array(tagged).alias(spans))
-    private = staged(private.dropDuplicates([key, text_hash]), "private")
-    private = F.broadcast(private) if is_small(private, BROADCAST_ROWS) else private
+    private = sent_if_small(staged(private.dropDuplicates([key, text_hash]), "private-texts"), F.size(spans) * 64)
     text = F.col("text").cast("string")
     rows = docs.join(private, F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(text_hash)), "left")
 
-    clean = replaced(text, F.col(spans), lambda s, at: F.when(s["start"] < at, F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+    clean = replaced(text, F.col(spans), lambda s, at: F.when(s["start"] < at, F.lit("")).otherwise(s["mark"]))
     return rows.select(*(F.when(F.col(spans).isNotNull(), clean).otherwise(text).alias("text") if c == "text" else F.col(c) for c in docs.columns))

@@ -1,5 +1,8 @@
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 
 from strata.llm import registry
 from strata.llm.html_main import best_container, extract_main_text, host_of, parse, text_of
@@ -84,17 +87,96 @@ def test_a_disclosing_term_goes_wherever_it_stands(spark):
     assert texts[None] == "[TERM] common" and texts[2002] is None and texts[3] == filler[3][1]
 
 
-def test_rare_entities_far_terms_and_identifiers_are_judged(spark):
+def brute_disclosed(texts, disclosure=0.8, false_share=0.05):
+    """(entity, term) by the stated rules, over all pairs of different ``texts``."""
+    texts = sorted({t or "" for t in texts})
+    held, terms = [], []
+    for t in texts:
+        spans = base(t)
+        held.append({f"{k}:{t[a:b].lower()}" for k, a, b in spans})
+        chars = list(t)
+        for _, a, b in spans:
+            chars[a:b] = " " * (b - a)
+        terms.append(set(re.findall(r"[^\W_]+", "".join(chars).lower())))
+    n, s, k = Counter(e for x in held for e in x), Counter(w for x in terms for w in x), Counter((e, w) for x, y in zip(held, terms) for e in x for w in y)
+    pairs = {(e, w): (n[e], s[w], c) for (e, w), c in k.items() if n[e] > 1 and s[w] > 1}
+
+    def chance(n, s, k):
+        rate = max(n / len(texts), 0.01)
+        if rate >= 1 or k <= s * rate:
+            return 0
+        part = lambda x, y: x * math.log(x / y) if x else 0
+        return math.floor(min(700, max(0, s * (part(k / s, rate) + part(1 - k / s, 1 - rate)) + math.log(-math.expm1(s * math.log1p(-rate))))) * 16)
+
+    steps = sorted((chance(*x) for x in pairs.values()), reverse=True)
+    least = min((x for x in set(steps) if -x / 16 <= math.log(false_share * sum(y >= x for y in steps) / len(steps))), default=None)
+    z = 1.645
+
+    def low(k, s):
+        return (k + z * z / 2 - z * math.sqrt(k * (s - k) / s + z * z / 4)) / (s + z * z)
+
+    return {p for p, x in pairs.items() if least is not None and chance(*x) >= least and low(x[2], x[1]) >= (x[0] / 1e6) ** (1 - disclosure)}
+
+
+def disclosed(df):
+    return {(r.entity, r.term) for r in disclosing_terms(df, find(df)).collect()}
+
+
+def corpus(seed, n=400):
+    """Texts with recurring entities, words that go with some of them, and words that occur once."""
+    pick = random.Random(seed)
+    out = []
+    for i in range(n):
+        words = [f"w{pick.randrange(150)}" for _ in range(12)] + [f"once{i}"]
+        if i % 9 == 0:
+            e = pick.randrange(6)
+            words += [f"user{e}@corp.example"] + [f"tell{e}{c}" for c in "abc" if pick.random() < 0.7] + ([f"10.0.0.{e % 3}"] if i % 2 else [])
+        elif i % 31 == 0:
+            words += [f"tell{pick.randrange(6)}a"]
+        pick.shuffle(words)
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_disclosure_against_brute_force_over_a_corpus(spark):
+    rows = corpus(1)
+    want = brute_disclosed([t for _, t in rows])
+    assert len(want) > 5 and any(w.startswith("tell") for _, w in want)
+    assert disclosed(spark.createDataFrame(rows + rows[:50], "doc_id long, text string")) == want
+
+
+def test_a_term_met_once_says_nothing_and_unrelated_texts_change_no_verdict(spark):
     filler = [(i, " ".join(f"common{(i * 7 + j) % 40} thing{(i + j) % 23}" for j in range(30))) for i in range(1500)]
     once = [(2000, "common1 Li has badge 4711 and key ab12cd " + "thing1 common2 " * 30 + "once@corp.example")]
-    twice = [(2001 + i, f"Zork common{i} " + "thing2 common3 " * 30 + "1.2.3.4") for i in range(2)]
-    df = spark.createDataFrame(filler + once * 3 + twice + [(3000, "badge 4711 of Li and thing1")], "doc_id long, text string")
-    terms = {(r.entity, r.term) for r in disclosing_terms(df, find(df)).collect()}
-    assert {("email:once@corp.example", "ab12cd"), ("email:once@corp.example", "key"), ("ip:1.2.3.4", "zork")} <= terms
-    assert not any(t.startswith(("common", "thing")) or t in ("li", "4711", "once", "example", "1") for _, t in terms)  # li and 4711: also in a text without it
-    df = df.where("doc_id <> 3000")
-    terms = {(r.entity, r.term) for r in disclosing_terms(df, find(df)).collect()}
-    assert {("email:once@corp.example", "li"), ("email:once@corp.example", "4711")} <= terms
+    often = [(2001 + i, f"Zork common{i} met{i} " + "thing2 common3 " * 30 + "1.2.3.4") for i in range(8)]
+    alone = [(3000, "badge of Zork and thing1")]
+    rows = filler + once * 3 + often + alone
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = disclosed(df)
+    assert terms == {("ip:1.2.3.4", "zork")} == brute_disclosed([t for _, t in rows])
+    unrelated = [(5000 + i, f"other{i % 50} words{i % 70} of{i} nothing") for i in range(4000)]
+    assert disclosed(df.union(spark.createDataFrame(unrelated, "doc_id long, text string"))) == terms
+    clean = {r.doc_id: r.text for r in sanitise(df).collect()}
+    assert clean[3000] == "badge of [TERM] and thing1"  # only these texts have plain words
+    assert clean[2000] == once[0][1].replace("once@corp.example", "[EMAIL]") and clean[5] == filler[5][1]
+
+
+def test_a_text_of_very_many_entities_is_dealt_out(spark, monkeypatch):
+    from strata.llm import pii
+
+    rows = corpus(2) + [(9000, " ".join(f"user{e}@corp.example tell{e}a w{e}" for e in range(6))), (9001, " ".join(f"user{e}@corp.example w{e}" for e in range(6)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = disclosed(df)
+    monkeypatch.setattr(pii, "TEXT_PAIRS", 4)
+    assert disclosed(df) == want == brute_disclosed([t for _, t in rows])
+
+
+def test_classes_that_give_an_entity_away_are_given_up(spark):
+    filler = [(i, f"plain{'abcdefgh'[i % 8]} words only here {'xyz'[i % 3]}") for i in range(300)]
+    telling = [(1000 + i, f"code 77x{chr(97 + i)} and badge 4711 of bob@corp.example") for i in range(10)]
+    clean = {r.doc_id: r.text for r in sanitise(spark.createDataFrame(filler + telling, "doc_id long, text string")).collect()}
+    assert "4711" not in clean[1000] and "[NUMBER]" not in clean[1000]  # only such texts have numbers
+    assert clean[7] == filler[7][1]
 
 
 def test_sanitise_keeps_columns_rows_and_clean_texts(edge_docs, edge_rows):
