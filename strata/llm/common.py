@@ -105,6 +105,16 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def smallest_hashes(rows: DataFrame, wanted: int) -> DataFrame:
+    """``wanted`` of the different (doc_id, text_hash) of ``rows``, those with the smallest hashes of both (all, if fewer); null keys never; staged.
+
+    The number is exact whatever the number of rows, and a repeated key or
+    row is one.
+    """
+    keys = rows.where("doc_id is not null").select("doc_id", "text_hash").distinct()
+    return staged(keys.orderBy(F.xxhash64("doc_id", "text_hash"), "doc_id", "text_hash").limit(min(wanted, (1 << 31) - 1)), "sampled-keys")
+
+
 def plain_key(df: DataFrame, key: str, *columns: Column) -> DataFrame:
     """``key`` as a long that is never null, ``no_key`` where it was, and further columns.
 

@@ -1,10 +1,11 @@
 """Quality classifier learnt from trusted positives and unlabelled text (PU learning).
 
 Only rows labelled good are trusted; every other row counts as unlabelled.
-The class prior (the share of good rows) is estimated from the scores of a
-first classifier of trusted against unlabelled rows: at the best cut the share
-of unlabelled rows above it over that of trusted rows. The model then
-minimises the non-negative unbiased risk
+The class prior (the share of good rows) is estimated from the scores that a
+first classifier of trusted against unlabelled rows, fitted on half of the
+sample, gives all other rows of the corpus: at the best cut the share of
+unlabelled rows above it over that of trusted rows, by histograms that Spark adds
+up. The model then minimises the non-negative unbiased risk
 
     prior * R_good(+) + max(0, R_unlabelled(-) - prior * R_good(-))
 
@@ -19,10 +20,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import plain_key, restore_key, staged
+from strata.llm.common import plain_key, restore_key, sent_if_small, smallest_hashes, staged
 
-#: Rows of each kind that the model is fitted on, in expectation: chosen by a hash of the key.
+#: Rows of each kind that the model is fitted on: those with the smallest hashes of key and text.
 FIT_ROWS = 12_000
+#: Bins of the histograms of scores (log-odds from -30 to 30).
+BINS = 2048
 
 #: Character classes of the style features, by byte.
 _CLASSES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", " ", "\n", ".,;:'\"()-", "!?", "#*$%&|<>")
@@ -76,26 +79,29 @@ def fit_nnpu(good: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
     return w
 
 
-def estimate_prior(good: np.ndarray, unlabelled: np.ndarray, confidence: float = 0.1) -> float:
-    """The share of good rows among ``unlabelled`` from scores of either, at the cut with the least upper bound."""
-    cuts = np.unique(np.quantile(good, np.linspace(0, 0.95, 96)))
-    above_u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
-    above_p = np.maximum(1 - np.searchsorted(np.sort(good), cuts) / len(good), 1e-9)
-    slack = sum(np.sqrt(np.log(4 / confidence) / 2 / n) for n in (len(good), len(unlabelled)))
-    best = np.argmin(above_u / above_p + slack / above_p)
+def prior_of_counts(good: np.ndarray, unlabelled: np.ndarray, confidence: float = 0.1) -> float:
+    """The share of good rows among unlabelled ones from how many of either have their score in each of ascending bins, at the cut with the least upper bound."""
+    n_good, n_rest = int(good.sum()), int(unlabelled.sum())
+    if n_good < 2 or n_rest < 2:
+        return 0.5
+    above_p, above_u = (x[::-1].cumsum()[::-1] / n for x, n in ((good, n_good), (unlabelled, n_rest)))
+    cuts = np.flatnonzero((above_p >= 0.05) & (good > 0))
+    slack = sum(np.sqrt(np.log(4 / confidence) / 2 / n) for n in (n_good, n_rest))
+    best = cuts[np.argmin((above_u[cuts] + slack) / above_p[cuts])]
     return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
 
 
-def fit(good: np.ndarray, unlabelled: np.ndarray, prior: float | None = None) -> dict:
-    """Scaling, weights and prior. Without trusted rows every score is 0.5; ``prior`` None: estimated."""
-    if not len(good) or not len(unlabelled):
-        return {"mean": np.zeros(FEATURES), "scale": np.ones(FEATURES), "w": np.zeros(FEATURES + 1), "prior": 0.5}
-    mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-4
-    good, unlabelled = ((np.clip((x - mean) / scale, -8, 8)).astype(np.float32) for x in (good, unlabelled))
-    if prior is None:  # one half fits the first classifier, the other one gives the estimate
-        w = fit_nnpu(good[::2], unlabelled[::2], 0.5, steps=150)
-        prior = estimate_prior(good[1::2] @ w[:-1], unlabelled[1::2] @ w[:-1]) if len(good) > 1 and len(unlabelled) > 1 else 0.5
-    return {"mean": mean, "scale": scale, "w": fit_nnpu(good, unlabelled, prior), "prior": prior}
+def bins_of(z: np.ndarray) -> np.ndarray:
+    return ((np.clip(z, -30, 29.999) + 30) * (BINS / 60)).astype(np.int32)
+
+
+def estimate_prior(good: np.ndarray, unlabelled: np.ndarray, confidence: float = 0.1) -> float:
+    """`prior_of_counts` of log-odds."""
+    return prior_of_counts(*(np.bincount(bins_of(z), minlength=BINS) for z in (good, unlabelled)), confidence)
+
+
+def scaled(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / scale, -8, 8).astype(np.float32)
 
 
 def stage_features(docs: DataFrame) -> DataFrame:
@@ -112,36 +118,67 @@ def stage_features(docs: DataFrame) -> DataFrame:
 
 
 def _some(rows: DataFrame, wanted: int) -> DataFrame:
-    """About ``wanted`` of the different (doc_id, text) of ``rows``, by a hash of both; null keys never. Bounded also under a repeated key."""
-    keys = rows.where("doc_id is not null").select("doc_id", "text_hash").distinct()
-    chosen = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1_000_000)) < int(min(1.0, wanted / max(1, keys.count())) * 1_000_000)
-    return rows.where("doc_id is not null").where(chosen).dropDuplicates(["doc_id", "text_hash"])
+    """At most ``wanted`` of the different (doc_id, text) of ``rows``, by the smallest hashes of both; null keys never."""
+    keys = F.broadcast(smallest_hashes(rows, wanted))  # a documented bound of fixed-size rows
+    return rows.join(keys, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+
+
+def _log_odds(features: DataFrame, model: dict, column: str, kind: str, of) -> DataFrame:
+    """doc_id, text_hash and ``column``: what ``of`` makes of the log-odds of every row."""
+
+    def score(batches):
+        for batch in batches:
+            if len(batch):
+                x = scaled(np.frombuffer(b"".join(batch["x"]), np.float32).reshape(len(batch), FEATURES), model["mean"], model["scale"])
+                yield batch[["doc_id", "no_key", "text_hash"]].assign(**{column: of(x @ model["w"][:-1] + model["w"][-1])})
+
+    found = plain_key(features, "doc_id", "text_hash", "x").mapInPandas(score, f"doc_id long, no_key boolean, text_hash long, {column} {kind}")
+    return restore_key(found, "doc_id")
+
+
+def corpus_prior(features: DataFrame, trusted: DataFrame, learn: Column, fitted: DataFrame, model: dict) -> float:
+    """The class prior from the scores of all rows that may be learnt from but those ``fitted`` (staged keys): only counts by bin reach the driver."""
+    placed = _log_odds(features.where("doc_id is not null").where(learn), model, "bin", "int", bins_of)
+    placed = placed.join(F.broadcast(fitted), ["doc_id", "text_hash"], "left_anti")
+    placed = staged(placed.select("doc_id", "bin"), "score-bins")
+    counts = np.zeros((2, BINS), np.int64)
+    for kind, rows in enumerate((placed.join(sent_if_small(trusted, 16), "doc_id", "left_semi"), placed)):
+        for r in rows.groupBy("bin").count().collect():  # BINS rows at most
+            counts[kind, r["bin"]] = r["count"]
+    return prior_of_counts(*counts)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_ROWS, prior: float | None = None) -> tuple[DataFrame, dict]:
     """(doc_id, text_hash, score) of every row of ``docs``, and the model.
 
     ``labels``: doc_id and quality; ``learn``: which keys may be learnt from.
-    The fit uses about ``fit_rows`` trusted and as many unlabelled rows, all
-    when there are fewer; rows that repeat a key and its text count once there. Null texts count as empty; null keys are scored and
-    never learnt from; labels that contradict each other count as not good;
-    without trusted rows all scores are 0.5. Other columns are ignored.
+    The fit uses ``fit_rows`` trusted and as many unlabelled rows, all when
+    there are fewer; rows that repeat a key and its text count once there; the
+    class prior comes from all rows. Null texts count as empty; null keys are
+    scored and never learnt from; labels that contradict each other count as
+    not good; without trusted rows all scores are 0.5. Other columns are
+    ignored.
     """
     features = stage_features(docs)
     trusted = labels.where(learn).where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("q"))
-    trusted = trusted.where("q = 1").select("doc_id")
-
-    good = _some(features.join(trusted, "doc_id"), fit_rows)
-    rest = _some(features.where(learn), fit_rows)
-    good, rest = (np.array([np.frombuffer(r["x"], np.float32) for r in x.select("x").collect()]).reshape(-1, FEATURES) for x in (good, rest))
-    model = fit(good, rest, prior)
-
-    def score(batches):
-        for batch in batches:
-            if len(batch):
-                x = np.frombuffer(b"".join(batch["x"]), np.float32).reshape(len(batch), FEATURES)
-                z = np.clip((x - model["mean"]) / model["scale"], -8, 8) @ model["w"][:-1] + model["w"][-1]
-                yield batch[["doc_id", "no_key", "text_hash"]].assign(score=1 / (1 + np.exp(-np.clip(z, -30, 30))))
-
-    scored = plain_key(features, "doc_id", "text_hash", "x").mapInPandas(score, "doc_id long, no_key boolean, text_hash long, score double")
-    return restore_key(scored, "doc_id"), model
+    trusted = staged(trusted.where("q = 1").select("doc_id"), "trusted")
+    keys = features.select("doc_id", "text_hash").where(learn)
+    chosen = [smallest_hashes(k, fit_rows) for k in (keys.join(sent_if_small(trusted, 16), "doc_id", "left_semi"), keys)]
+    half = F.pmod(F.xxhash64("text_hash", "doc_id", F.lit(1)), F.lit(2)) == 0
+    sample = [features.join(F.broadcast(k), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "x", half.alias("half")).dropDuplicates(["doc_id", "text_hash"]).collect() for k in chosen]
+    good, rest = (np.array([np.frombuffer(r["x"], np.float32) for r in x]).reshape(-1, FEATURES) for x in sample)
+    if not len(good) or not len(rest):
+        model = {"mean": np.zeros(FEATURES), "scale": np.ones(FEATURES), "w": np.zeros(FEATURES + 1), "prior": 0.5}
+    else:
+        mean, scale = rest.mean(axis=0), rest.std(axis=0) + 1e-4
+        good, rest = (scaled(x, mean, scale) for x in (good, rest))
+        model = {"mean": mean, "scale": scale, "prior": prior}
+        if prior is None:  # one half, by another hash, fits the first classifier; all other rows give the estimate
+            first = [x[np.array([r["half"] for r in s], bool)] for x, s in zip((good, rest), sample)]
+            if all(map(len, first)):
+                fitted = staged(chosen[0].union(chosen[1]).where(half).distinct(), "fitted-keys")
+                model["prior"] = corpus_prior(features, trusted, learn, fitted, model | {"w": fit_nnpu(*first, 0.5, steps=150)})
+            else:
+                model["prior"] = 0.5
+        model["w"] = fit_nnpu(good, rest, model["prior"])
+    return _log_odds(features, model, "score", "double", lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(np.float64)))), model

@@ -3,7 +3,9 @@
 Only texts are labelled. A sentence's probability is logistic in the words
 (and word beginnings) it holds; a text's is their noisy-or,
 1 - product(1 - p). Its likelihood is maximised over the labelled texts, so the
-learnt weights say which sentences offend.
+learnt weights say which sentences offend. The texts' known terms are staged once;
+every step of the fit (L-BFGS) is a pass of Spark over them that adds up losses
+and gradients, so the driver sees weights only, however long the texts are.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import plain_key, restore_key, staged
+from strata.llm.common import plain_key, restore_key, sent_if_small, smallest_hashes, staged
 
-#: Labelled texts the model is fitted on, in expectation: chosen by a hash of the key.
-FIT_ROWS = 16_000
+#: Labelled texts the model is fitted on: those with the smallest hashes of key and text; parts that they are added up in.
+FIT_ROWS, FIT_PARTS = 16_000, 16
+#: Passes of the fit over the staged terms, at most.
+FIT_PASSES = 60
 #: Words and word beginnings the model weighs, and in how many of the fitted texts each must be.
 TERMS, LEAST_TEXTS = 4096, 3
 #: Lengths of the word beginnings that count as terms next to whole words.
@@ -64,43 +68,99 @@ def noisy_or(sentence_of: np.ndarray, term: np.ndarray, text_of: np.ndarray, pla
     return p, none + plain * np.log1p(-1 / (1 + np.exp(-bias)))
 
 
-def fit_noisy_or(texts: list[tuple[int, int, list[list[int]]]], n_terms: int, steps: int = 300, rate: float = 0.1, l2: float = 2e-5) -> tuple[np.ndarray, float]:
-    """Weights and bias from (label, number of sentences, terms of the sentences that have any), by Adam."""
-    y = np.array([t[0] for t in texts], float)
-    plain = np.array([t[1] - len(t[2]) for t in texts], float)
-    text_of = np.repeat(np.arange(len(texts)), [len(t[2]) for t in texts])
-    each = [s for t in texts for s in t[2]]
-    sentence_of = np.repeat(np.arange(len(each)), [len(s) for s in each])
-    term = np.array([k for s in each for k in s], np.int64)
-    w, bias = np.zeros(n_terms), -6.0
-    m, v = np.zeros(n_terms + 1), np.zeros(n_terms + 1)
-    for t in range(1, steps + 1):
-        p, none = noisy_or(sentence_of, term, text_of, plain, w, bias)
-        none = np.minimum(none, -1e-9)
-        pull = np.where(y > 0, -np.exp(none) / -np.expm1(none), 1.0)  # d loss / d log-odds of a sentence, over its p
-        by_sentence = pull[text_of] * p / len(y)
-        p0 = 1 / (1 + np.exp(-bias))
-        g = np.append(np.bincount(term, by_sentence[sentence_of], n_terms) + l2 * w, by_sentence.sum() + (pull * plain).sum() * p0 / len(y))
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        step = rate * (1 - 0.9 * t / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-10)
-        w, bias = w - step[:-1], min(-2.0, bias - step[-1])
-    return w, float(bias)
+def loss_and_gradient(y: np.ndarray, plain: np.ndarray, sizes: list[np.ndarray], term: np.ndarray, w: np.ndarray, bias: float) -> tuple[float, np.ndarray]:
+    """Summed loss of texts and its gradient (the last one of the bias); ``sizes``: known terms of each sentence that has any, by text; ``term``: these, one after another."""
+    each = np.concatenate([np.zeros(0, np.int64), *sizes]).astype(np.int64)
+    text_of = np.repeat(np.arange(len(y)), [len(s) for s in sizes])
+    sentence_of = np.repeat(np.arange(len(each)), each)
+    p, none = noisy_or(sentence_of, term, text_of, plain, w, bias)
+    none = np.minimum(none, -1e-9)
+    pull = np.where(y > 0, -np.exp(none) / -np.expm1(none), 1.0)  # d loss / d log-odds of a sentence, over its p
+    by_sentence = pull[text_of] * p
+    loss = np.where(y > 0, -np.log(-np.expm1(none)), -none).sum()
+    ahead = np.bincount(term, by_sentence[sentence_of], len(w))
+    return float(loss), np.append(ahead, by_sentence.sum() + (pull * plain).sum() / (1 + np.exp(-bias)))
+
+
+def minimise(summed, n_texts: int, n_terms: int, steps: int, l2: float = 2e-5, memory: int = 10) -> tuple[np.ndarray, float]:
+    """Weights and bias (-2 at most) by L-BFGS; ``summed(w, bias)`` gives loss and gradient over all texts."""
+
+    def at(x: np.ndarray) -> tuple[float, np.ndarray]:
+        loss, g = summed(x[:-1], float(x[-1]))
+        return loss / n_texts + l2 / 2 * float(x[:-1] @ x[:-1]), g / n_texts + l2 * np.append(x[:-1], 0)
+
+    x = np.append(np.zeros(n_terms), -6.0)
+    (f, g), kept, passes = at(x), [], 1
+    while passes < steps and np.abs(g).max(initial=0) > 1e-6:
+        step, alphas = -g, []
+        for s, y in reversed(kept):
+            alphas.append(a := (s @ step) / (s @ y))
+            step = step - a * y
+        step = step * (kept[-1][0] @ kept[-1][1] / (kept[-1][1] @ kept[-1][1]) if kept else min(1.0, 4 / max(1e-12, np.abs(g).max())))
+        for (s, y), a in zip(kept, reversed(alphas)):
+            step = step + (a - (y @ step) / (s @ y)) * s
+        if (slope := g @ step) >= 0:
+            step, slope, kept = -g, -(g @ g), []
+        size = min(1.0, 8 / np.abs(step).max())
+        while passes < steps:
+            new = x + size * step
+            new[-1] = min(new[-1], -2.0)
+            (f_new, g_new), passes = at(new), passes + 1
+            if f_new <= f + 1e-4 * size * slope or size < 1e-6:
+                break
+            size /= 3
+        s, y = new - x, g_new - g
+        done = f - f_new < 1e-7 * abs(f)
+        if f_new <= f:
+            x, f, g = new, f_new, g_new
+            if s @ y > 1e-12:
+                kept = [*kept, (s, y)][-memory:]
+        if done:
+            break
+    return x[:-1], float(x[-1])
+
+
+def fit_noisy_or(texts: list[tuple[int, int, list[list[int]]]], n_terms: int, steps: int = FIT_PASSES) -> tuple[np.ndarray, float]:
+    """Weights and bias from (label, number of sentences, terms of the sentences that have any) of a few texts."""
+    y, plain = np.array([t[0] for t in texts]), np.array([t[1] - len(t[2]) for t in texts], float)
+    sizes = [np.array([len(s) for s in t[2]], np.int64) for t in texts]
+    term = np.array([k for t in texts for s in t[2] for k in s], np.int64)
+    return minimise(lambda w, bias: loss_and_gradient(y, plain, sizes, term, w, bias), len(texts), n_terms, steps)
+
+
+def fit_staged(bags: DataFrame, n_texts: int, n_terms: int, steps: int = FIT_PASSES) -> tuple[np.ndarray, float]:
+    """`fit_noisy_or` of staged ``bags`` (toxic, plain, sizes, ids): each pass gives one loss and gradient a task."""
+
+    def summed(w: np.ndarray, bias: float) -> tuple[float, np.ndarray]:
+        def add(batches):
+            loss, gradient = 0.0, np.zeros(n_terms + 1)
+            for batch in batches:
+                sizes = [np.frombuffer(s, np.int32) for s in batch["sizes"]]
+                ids = np.frombuffer(b"".join(batch["ids"]), np.int32).astype(np.int64)
+                part, g = loss_and_gradient(batch["toxic"].to_numpy(), batch["plain"].to_numpy(float), sizes, ids, w, bias)
+                loss, gradient = loss + part, gradient + g
+            yield pd.DataFrame({"loss": [loss], "gradient": [gradient.tobytes()]})
+
+        parts = bags.mapInPandas(add, "loss double, gradient binary").collect()  # FIT_PARTS rows at most
+        return sum(r["loss"] for r in parts), sum((np.frombuffer(r["gradient"]) for r in parts), np.zeros(n_terms + 1))
+
+    return minimise(summed, n_texts, n_terms, steps)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: int = FIT_ROWS) -> dict:
-    """Vocabulary, weights and bias learnt from about ``fit_rows`` of the labelled texts whose keys may be learnt from; equal texts of a key count once.
+    """Vocabulary, weights and bias learnt from ``fit_rows`` of the labelled texts whose keys may be learnt from (all, if fewer); equal texts of a key count once.
 
     Labels that contradict each other count as toxic. Without labels of both
     kinds the vocabulary is empty and every text scores near zero.
     """
     known = labels.where(learn).where("doc_id is not null and toxic is not null")
-    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    known = staged(known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")), "known")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    labelled = texts.withColumn("text_hash", F.xxhash64("text")).join(known, "doc_id")
-    keys = labelled.select("doc_id", "text_hash").distinct().count()
-    chosen = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1_000_000)) < int(min(1.0, fit_rows / max(1, keys)) * 1_000_000)
-    sample = labelled.where(chosen).dropDuplicates(["doc_id", "text_hash"])  # about fit_rows texts, also under a repeated key: bounded
-    sample = staged(sample.select("toxic", "text"), "labelled")
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    keys = smallest_hashes(texts.select("doc_id", "text_hash").join(sent_if_small(known, 24), "doc_id", "left_semi"), fit_rows)
+    keys = F.broadcast(keys.join(known, "doc_id"))  # fit_rows rows of three numbers
+    sample = texts.join(keys, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+    sample = staged(sample.select("toxic", "text").repartition(FIT_PARTS), "labelled")
 
     def count(batches):
         seen: list[Counter] = [Counter(), Counter()]
@@ -132,10 +192,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, fit_rows: in
         for batch in batches:
             for y, text in zip(batch["toxic"], batch["text"]):
                 total, found = hits(text, vocabulary)
-                yield pd.DataFrame({"toxic": [y], "n": [total], "ids": [[s[2] for s in found]]})
+                sizes, ids = [len(s[2]) for s in found], [k for s in found for k in s[2]]
+                yield pd.DataFrame({"toxic": [y], "plain": [total - len(found)], "sizes": [np.array(sizes, np.int32).tobytes()], "ids": [np.array(ids, np.int32).tobytes()]})
 
-    rows = sample.mapInPandas(find, "toxic int, n int, ids array<array<int>>").collect()
-    w, bias = fit_noisy_or([(r["toxic"], r["n"], r["ids"]) for r in rows], len(vocabulary))
+    bags = staged(sample.mapInPandas(find, "toxic int, plain int, sizes binary, ids binary"), "sentence-terms")
+    w, bias = fit_staged(bags, sum(n.values()), len(vocabulary))
     return {"vocabulary": vocabulary, "w": w, "bias": bias}
 
 

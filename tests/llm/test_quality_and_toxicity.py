@@ -167,4 +167,33 @@ def test_samples_are_bounded_by_rows_and_hold_no_null_keys(spark):
     rows = [(None, f"null {i}") for i in range(300)] + [(7, f"hot {i}") for i in range(3000)] + [(8, "copy")] * 300 + [(10 + i, f"own {i}") for i in range(300)]
     features = stage_features(spark.createDataFrame(rows, "doc_id long, text string"))
     got = [r.doc_id for r in _some(features, 400).select("doc_id").collect()]
-    assert None not in got and 250 < len(got) < 600 and got.count(8) <= 1
+    assert None not in got and len(got) == 400 and got.count(8) <= 1
+    assert _some(features, 10**11).count() == 3000 + 1 + 300  # all, if fewer: no share that could round to none
+
+
+def test_the_prior_comes_from_all_rows(spark):
+    """A sample far too small for an estimate, over rows whose share of good ones is known."""
+    pick = np.random.default_rng(3)
+    good = lambda i: f"calm words about thing number{i} and more of it here today. " * 3
+    bad = lambda i: f"W{i}!! ## BUY {i} $$ NOW && {i * 7} | " * 4
+    rows = [(i, good(i) if pick.random() < 0.7 else bad(i)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, t in rows if t.startswith("calm") and pick.random() < 0.25], "doc_id long, quality int")
+    _, model = score_quality(docs, labels, F.lit(True), fit_rows=120)
+    assert model["prior"] == pytest.approx(0.7, abs=0.05)
+
+
+def test_the_fit_in_spark_equals_the_local_one_and_takes_long_texts(spark):
+    from strata.llm.toxicity import fit_staged
+
+    texts = [(i % 2, 3 + i % 4, [[0, i % 5]] * (i % 3) + [[5]] * (i % 2)) for i in range(60)]
+    rows = [(y, n - len(s), np.array([len(x) for x in s], np.int32).tobytes(), np.array([k for x in s for k in x], np.int32).tobytes()) for y, n, s in texts]
+    bags = spark.createDataFrame(rows, "toxic int, plain int, sizes binary, ids binary").repartition(3)
+    (w, b), (v, c) = fit_staged(bags, 60, 6, 12), fit_noisy_or(texts, 6, 12)
+    assert np.allclose(w, v, atol=1e-6) and abs(b - c) < 1e-6
+    long = "A calm sentence of many words goes here. " * 250_000  # 10 MB
+    docs = [(i, "You vile zork. " * (i % 2) + f"Plain words {i} here.", i % 2) for i in range(60)] + [(100, long, 0)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, toxic int")
+    model = fit_toxicity(df.select("doc_id", "text"), df.select("doc_id", "toxic"), F.lit(True))
+    scores = {r.doc_id: r.score for r in score_toxicity(df.select("doc_id", "text"), model).collect()}
+    assert all((scores[i] > 0.5) == (i % 2 == 1) for i in range(60)) and scores[100] < 0.5
