@@ -35,8 +35,10 @@ CHUNK_GROUPS = 4
 FIRST_BLOCKS = 4
 #: Impact segments of a block.
 SEGMENTS = 32
-#: Share of a block's vectors that a query must still need for its segments to be added for whole groups.
-TOGETHER = 0.7
+#: Shares of a block's postings after which bounds are tested, at the last segment before each.
+TESTED = (0.01, 0.12, 0.3, 0.38, 0.46, 0.56, 0.75, 1.0)
+#: Share of a block's vectors that a group must still need for segments to be added for the whole group.
+TOGETHER = 0.5
 #: Sum of absolute products up to which doubles hold scores exactly; beyond, all are computed with Python's integers.
 EXACT = 1 << 52
 
@@ -124,55 +126,81 @@ def search_block(block: dict, queries: np.ndarray, k: int, floors: np.ndarray |
     total, rest_q = np.zeros((len(q), n)), np.tile((q * q).sum(axis=1, keepdims=True), (1, n))
     rest_v = (x * x).sum(axis=1)
     possible, scored = np.ones((len(q), n), bool), np.zeros((len(q), n), bool)
-    few, open_q, start, done = 4 * (k + 1), np.arange(len(q)), 0, 0
-
-    def score(i: int, entries: np.ndarray) -> None:
-        found = x[entries] @ q[i]
-        scored[i, entries] = True
-        best[i] = np.partition(np.concatenate([best[i], found]), -(k + 1))[-(k + 1) :]
-        floor[i] = max(floor[i], best[i][0])
-
-    for s, end in zip(range(len(ends) - 1, -1, -1), ends.tolist()):
+    few, start, done = 3 * (k + 1), 0, 0
+    rows = np.arange(len(q))[:, None]
+
+    def raise_floors(sums: np.ndarray, low: np.ndarray) -> None:
+        """From the k-th lower bound, and exact scores of what looks best."""
+        np.maximum(floor, np.partition(low, n - k - 1, axis=1)[:, n - k - 1], out=floor)
+        top = np.argpartition(sums, max(0, n - few), axis=1)[:, max(0, n - few) :]
+        found = np.where(scored[rows, top] | ~possible[rows, top], -np.inf, np.einsum("qd,qkd->qk", q, x[top]))
+        scored[rows, top] = True
+        best[:] = np.partition(np.hstack([best, found]), found.shape[1], axis=1)[:, found.shape[1] :]
+        np.maximum(floor, best[:, 0], out=floor)
+
+    def slack_of(rest: np.ndarray, ends_at: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(rest, 0)) * ends_at * (1 + 1e-9) + 1e-6
+
+    part, left, alone = np.zeros((n, dims)), rest_v, None
+    for s, end in _stops(ends):
         r, d, v = row[start:end], dim[start:end], value[start:end]
         start = end
-        if not len(r):
-            continue
-        part = np.zeros((n, dims))
+        part[:] = 0
         part[r, d] = v
         held, each = part != 0, np.bincount(r, minlength=n)
-        rest_v = rest_v - (part * part).sum(axis=1)
-        share = possible[open_q].mean(axis=1)
-        together, alone = open_q[share >= TOGETHER], open_q[share < TOGETHER]
-        if len(together):
-            total[together] += q[together] @ part.T
-            rest_q[together] -= (q[together] ** 2) @ held.T
-            done += len(r) * len(together)
-        for i in alone.tolist():
-            at = np.flatnonzero(possible[i])
-            total[i, at] += part[at] @ q[i]
-            rest_q[i, at] -= held[at] @ (q[i] ** 2)
-            done += int(each[at].sum())
-        slack_v = np.sqrt(np.maximum(rest_v, 0))
-        still = []
-        for i in open_q.tolist():
-            at = np.flatnonzero(possible[i])
-            slack = np.sqrt(np.maximum(rest_q[i, at], 0)) * slack_v[at] * (1 + 1e-9) + 1e-6
-            sums = total[i, at]
-            if s <= len(ends) // 2 and len(at) > few:  # the sums tell by now what looks best
+        left = left - (part * part).sum(axis=1)
+        ends_at = np.sqrt(np.maximum(left, 0))
+        if alone is None:
+            total += q @ part.T
+            rest_q -= (q * q) @ held.T
+            done += len(r) * len(q)
+            slack = slack_of(rest_q, ends_at)
+            sums = np.where(possible, total, -np.inf)
+            if s < len(TESTED) - 1 and n > k:
+                if s > 1:  # the sums tell by now what looks best
+                    done += min(few, n) * dims * len(q)
+                    raise_floors(sums, sums - slack)
+                else:
+                    np.maximum(floor, np.partition(sums - slack, n - k - 1, axis=1)[:, n - k - 1], out=floor)
+            possible &= total + slack >= floor[:, None]
+            if possible.mean() < TOGETHER:
+                alone = [np.flatnonzero(p) for p in possible]
+        else:  # each query has its own vectors left
+            for i, at in enumerate(alone):
+                if len(at) <= few:
+                    continue
+                total[i, at] += part[at] @ q[i]
+                rest_q[i, at] -= held[at] @ (q[i] * q[i])
+                done += int(each[at].sum())
+                sums, slack = total[i, at], slack_of(rest_q[i, at], ends_at[at])
                 top = at[np.argpartition(sums, -(k + 1))[-(k + 1) :]]
                 top = top[~scored[i, top]]
-                score(i, top)
+                scored[i, top] = True
+                best[i] = np.partition(np.append(best[i], x[top] @ q[i]), len(top))[len(top) :]
                 done += len(top) * dims
-            if len(at) > k:  # so many others reach at least this
-                floor[i] = max(floor[i], np.partition(sums - slack, -(k + 1))[-(k + 1)])
-            keep = sums + slack >= floor[i]
-            possible[i, at[~keep]] = False
-            if keep.sum() > few:
-                still.append(i)
-        open_q = np.array(still, np.int64)
-        if not len(open_q):
+                floor[i] = max(floor[i], best[i, 0], np.partition(sums - slack, -(k + 1))[-(k + 1)])
+                alone[i] = at[sums + slack >= floor[i]]
+        if alone is not None and max(map(len, alone)) <= few:
             break
-    return [np.flatnonzero(p) for p in possible], vectors, done + int(sum(possible[i].sum() for i in range(len(q)))) * dims
+    members = [np.flatnonzero(p) for p in possible] if alone is None else alone
+    return members, vectors, done + sum(map(len, members)) * dims
+
+
+def _stops(ends: np.ndarray) -> list[tuple[int, int]]:
+    """The postings up to which segments are read before bounds are tested, and the test's number: the last segment end before each of TESTED, at least one segment on."""
+    out: list[tuple[int, int]] = []
+    total = int(ends[-1]) if len(ends) else 0
+    for s, share in enumerate(TESTED):
+        last = out[-1][1] if out else 0
+        inside = ends[(ends > last) & (ends <= share * total)]
+        later = ends[ends > last]
+        if len(inside):
+            out.append((s, int(inside[-1])))
+        elif len(later) and (not out or s == len(TESTED) - 1):
+            out.append((s, int(later[0])))
+    while out and out[-1][1] < total:
+        out.append((len(TESTED) - 1, int(ends[ends > out[-1][1]][0])))
+    return out or [(len(TESTED) - 1, 0)]
 
 
 def _matches(index: DataFrame, groups: DataFrame, k: int) -> DataFrame:
