@@ -6,10 +6,10 @@ digits outside base spans) may give it away. Let n different texts hold the
 entity, s the term and k both. A term discloses an entity if
 
 * they meet more often than by chance: the chance of k or more of s, given that
-  they meet at all (a word met once says nothing), if each text held the entity
-  with probability n / N or BASE_RATE, whatever is more, bounded by Chernoff;
-  over all pairs of terms and entities in two texts or more, the share of false
-  findings is kept below FALSE_SHARE (Benjamini and Hochberg); and
+  they meet twice at least (a word met once or twice says nothing), if each text
+  held the entity with probability n / N or BASE_RATE, whatever is more, bounded
+  by Chernoff; over all pairs that meet twice, the share of false findings is
+  kept below FALSE_SHARE (Benjamini and Hochberg); and
 * it gives away DISCLOSURE of the entity's information among POPULATION texts:
 
       ln((k / s) / (n / POPULATION)) >= DISCLOSURE * ln(POPULATION / n),
@@ -38,7 +38,7 @@ from strata.llm.quality_rules import let
 
 KINDS = ("email", "ip", "card", "phone")
 #: Least share of an entity's information that a term must give away.
-DISCLOSURE = 0.8
+DISCLOSURE = 0.9
 #: Normal quantile of the one-sided confidence (95 %) that it does.
 CONFIDENCE = 1.645
 #: Texts among which a term must single out an entity, and the least chance that a text without any relation is taken to hold one.
@@ -171,29 +171,23 @@ def _discloses(k: Column, s: Column, n: Column, disclosure: float) -> Column:
 
 
 def _chance(k: Column, s: Column, rate: Column) -> Column:
-    """-ln of (an upper bound of) the chance that ``k`` or more of ``s`` hold what each holds at ``rate``, given that one does."""
+    """-ln of (an upper bound of) the chance that ``k`` or more of ``s`` hold what each holds at ``rate``, given that two do."""
 
     def part(x: Column, y: Column) -> Column:
         return F.when(x > 0, x * F.ln(x / y)).otherwise(0.0)
 
     chernoff = s * (part(k / s, rate) + part(1 - k / s, 1 - rate))
-    some = F.ln(-F.expm1(s * F.log1p(-rate)))
-    return F.when((rate >= 1) | (k <= s * rate), 0.0).otherwise(F.greatest(F.lit(0.0), chernoff + some))
+    twice = F.ln(-F.expm1(s * F.log1p(-rate)) - s * rate * F.pow(1 - rate, s - 1))
+    return F.when((rate >= 1) | (k <= s * rate) | (k <= 2), 0.0).otherwise(F.greatest(F.lit(0.0), chernoff + twice))
 
 
-def _firsts(found: DataFrame) -> DataFrame:
-    """One row of ``found`` for each different text; staged."""
-    firsts = staged(found.groupBy("text_hash").agg(F.min("row").alias("row")).select("row"), "first-rows")
-    return staged(found.join(sent_if_small(firsts, 16), "row", "left_semi").select("row", "entities", "terms"), "different-texts")
-
-
-def _significant(pairs: DataFrame, total: int, false_share: float) -> DataFrame:
-    """Those of the staged ``pairs`` (n, s, k and others) that meet more often than by chance."""
+def _significant(pairs: DataFrame, tests: int, total: int, false_share: float) -> DataFrame:
+    """Those of the staged ``pairs`` (n, s, k and others) that meet more often than by chance; the other ``tests`` surely don't."""
     rate = F.greatest(F.col("n") / total, F.lit(BASE_RATE))
     step = F.least(F.floor(_chance(F.col("k"), F.col("s"), rate) * CHANCE_STEPS), F.lit(CHANCE_STEPS * CHANCE_MOST))
     tested = pairs.withColumn("step", step)
     counts = {r["step"]: r["count"] for r in tested.groupBy("step").count().collect()}  # CHANCE_STEPS * CHANCE_MOST rows at most
-    passed, tests, least = 0, sum(counts.values()), None
+    passed, least = 0, None
     for at in sorted(counts, reverse=True):
         passed += counts[at]
         if -at / CHANCE_STEPS <= log(false_share * passed / tests):
@@ -202,51 +196,55 @@ def _significant(pairs: DataFrame, total: int, false_share: float) -> DataFrame:
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE, false_share: float = FALSE_SHARE) -> DataFrame:
-    """(entity, term, label) for the terms that disclose an entity; label: the class they are generalised to, '' where they are removed. Counts over all different texts; staged."""
+    """(entity, term, label) for the terms that disclose an entity; label: what they are generalised to, '' where they are removed. Counts over all different texts; staged."""
     with scratch(docs.sparkSession) as scope:
-        texts = _firsts(found)
-        total = texts.count()
-        places = texts.select("row", F.size("entities").alias("width"), F.explode("entities").alias("entity"))
-        entities = staged(places.groupBy("entity").agg(F.count("*").alias("n")).where("n > 1"), "entities")  # one text says nothing of chance
+        total = found.select("text_hash").distinct().count()
+        texts = found.where(F.size("entities") > 0).select("text_hash", "entities", "terms").dropDuplicates(["text_hash"])
+        texts = staged(texts, "entity-texts")  # the only ones whose terms can meet an entity
+        places = texts.select("text_hash", F.explode("entities").alias("entity"))
+        entities = staged(places.groupBy("entity").agg(F.count("*").alias("n")).where("n > 2"), "entities")  # fewer texts say nothing of chance
         places = staged(places.join(sent_if_small(entities, F.octet_length("entity")), "entity"), "entity-places")
-        rows = staged(places.groupBy("row").agg(F.count("*").alias("width")), "entity-rows")
-        # a term's texts, for the terms that any such entity meets
-        words = texts.join(sent_if_small(rows.select("row"), 16), "row", "left_semi").select("row", F.explode("terms").alias("term"))
-        near = staged(words.select("term").distinct(), "near-terms")
-        seen = texts.select(F.explode("terms").alias("term")).join(sent_if_small(near, F.octet_length("term")), "term", "left_semi")
-        seen = staged(seen.groupBy("term").agg(F.count("*").alias("s")).where("s > 1"), "term-counts")
-        words = words.join(sent_if_small(seen, F.octet_length("term")), "term")
-        pairs = _met(places.select("row", "entity", "n"), words, rows, texts).groupBy("entity", "term", "n", "s").agg(F.count("*").alias("k"))
-        pairs = _significant(staged(pairs, "pairs"), total, false_share)
+        rows = staged(places.groupBy("text_hash").agg(F.count("*").alias("width")), "entity-rows")
+        texts = texts.join(sent_if_small(rows, 24), "text_hash").select("text_hash", "terms", "width")
+        pairs = _met(places, texts).groupBy("entity", "term", "n").agg(F.count("*").alias("k"))
+        pairs = staged(pairs.where("k > 1"), "pairs")
+        tests, pairs = pairs.count(), pairs.where("k > 2")
+        near = staged(pairs.select("term").distinct(), "near-terms")
+        seen = found.select("text_hash", F.explode("terms").alias("term")).join(sent_if_small(near, F.octet_length("term")), "term", "left_semi")
+        seen = staged(seen.distinct().groupBy("term").agg(F.count("*").alias("s")), "term-counts")
+        pairs = staged(pairs.join(sent_if_small(seen, F.octet_length("term")), "term"), "pairs-in-all")
+        pairs = _significant(pairs, tests, total, false_share)
         told = staged(pairs.where(_discloses(F.col("k"), F.col("s"), F.col("n"), disclosure)).select("entity", "term", "n"), "told")
-        return scope.kept(_labelled(told, places, texts, disclosure))
+        return scope.kept(_labelled(told, places, found, disclosure))
 
 
-def _met(places: DataFrame, words: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Every entity with every term of its texts; a text with very many of both is dealt out by its terms."""
-    parts = texts.select("row", F.size("terms").alias("terms")).join(sent_if_small(rows, 24), "row")
-    parts = parts.select("row", F.greatest(F.lit(1), F.ceil(F.col("terms") * F.col("width") / TEXT_PAIRS)).cast("int").alias("parts"))
-    parts = staged(parts.where("parts > 1"), "wide-texts")
-    if parts.isEmpty():
-        return places.join(words, "row")
-    of = sent_if_small(parts, 24)
-    places = places.join(of, "row", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
-    words = words.join(of, "row", "left").withColumn("part", F.pmod(F.xxhash64("term"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
-    return places.join(words, ["row", "part"])
+def _met(places: DataFrame, texts: DataFrame) -> DataFrame:
+    """Every entity of ``places`` (text_hash, entity, n) with every term of its ``texts`` (text_hash, terms, width: its entities); a text with very many of both is dealt out by its terms."""
+    parts = F.greatest(F.lit(1), F.ceil(F.size("terms") * F.col("width") / TEXT_PAIRS)).cast("int")
+    sizes = staged(texts.select("text_hash", parts.alias("parts")).where("parts > 1"), "wide-texts")
+    words = texts.select("text_hash", F.explode("terms").alias("term"))
+    if sizes.isEmpty():
+        return places.join(words, "text_hash")
+    of = sent_if_small(sizes, 24)
+    places = places.join(of, "text_hash", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    words = words.join(of, "text_hash", "left").withColumn("part", F.pmod(F.xxhash64("term"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    return places.join(words, ["text_hash", "part"])
 
 
 def _class(term: Column) -> Column:
     return F.when(term.rlike(r"^\p{N}+$"), "NUMBER").when(term.rlike(r"\p{N}"), "CODE").otherwise("WORD")
 
 
-def _labelled(told: DataFrame, places: DataFrame, texts: DataFrame, disclosure: float) -> DataFrame:
+def _labelled(told: DataFrame, places: DataFrame, found: DataFrame, disclosure: float) -> DataFrame:
     """``told`` (entity, term, n) with the first label of each term that discloses none of its entities: its class, TERM, or ''; staged."""
     if told.isEmpty():
         return staged(told.select("entity", "term", F.lit("").alias("label")), "disclosed")
-    classes = texts.where(F.size("terms") > 0).select("row", F.explode(F.concat(F.array_distinct(F.transform("terms", _class)), F.array(F.lit("TERM")))).alias("label"))
+    labels = F.concat(F.array_distinct(F.transform("terms", _class)), F.array(F.lit("TERM")))
+    classes = found.where(F.size("terms") > 0).select("text_hash", F.explode(labels).alias("label")).distinct()
+    classes = staged(classes, "text-classes")
     sizes = classes.groupBy("label").agg(F.count("*").alias("s"))  # four rows
     own = staged(told.select("entity").distinct(), "told-entities")
-    held = places.join(sent_if_small(own, F.octet_length("entity")), "entity", "left_semi").join(classes, "row").groupBy("entity", "n", "label").agg(F.count("*").alias("k"))
+    held = places.join(sent_if_small(own, F.octet_length("entity")), "entity", "left_semi").join(classes, "text_hash").groupBy("entity", "n", "label").agg(F.count("*").alias("k"))
     open_ = staged(held.join(F.broadcast(sizes), "label").where(_discloses(F.col("k"), F.col("s"), F.col("n"), disclosure)).select("entity", "label"), "telling-classes")
     steps = told.select("entity", "term", F.posexplode(F.array(_class(F.col("term")), F.lit("TERM"))).alias("at", "label"))
     bad = steps.join(sent_if_small(open_, F.octet_length("entity")), ["entity", "label"], "left_semi").groupBy("term").agg(F.collect_set("at").alias("bad"))

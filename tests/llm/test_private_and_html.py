@@ -87,7 +87,7 @@ def test_a_disclosing_term_goes_wherever_it_stands(spark):
     assert texts[None] == "[TERM] common" and texts[2002] is None and texts[3] == filler[3][1]
 
 
-def brute_disclosed(texts, disclosure=0.8, false_share=0.05):
+def brute_disclosed(texts, disclosure=0.9, false_share=0.05):
     """(entity, term) by the stated rules, over all pairs of different ``texts``."""
     texts = sorted({t or "" for t in texts})
     held, terms = [], []
@@ -99,14 +99,14 @@ def brute_disclosed(texts, disclosure=0.8, false_share=0.05):
             chars[a:b] = " " * (b - a)
         terms.append(set(re.findall(r"[^\W_]+", "".join(chars).lower())))
     n, s, k = Counter(e for x in held for e in x), Counter(w for x in terms for w in x), Counter((e, w) for x, y in zip(held, terms) for e in x for w in y)
-    pairs = {(e, w): (n[e], s[w], c) for (e, w), c in k.items() if n[e] > 1 and s[w] > 1}
+    pairs = {(e, w): (n[e], s[w], c) for (e, w), c in k.items() if n[e] > 2 and c > 1}
 
     def chance(n, s, k):
         rate = max(n / len(texts), 0.01)
-        if rate >= 1 or k <= s * rate:
+        if rate >= 1 or k <= s * rate or k <= 2:
             return 0
         part = lambda x, y: x * math.log(x / y) if x else 0
-        return math.floor(min(700, max(0, s * (part(k / s, rate) + part(1 - k / s, 1 - rate)) + math.log(-math.expm1(s * math.log1p(-rate))))) * 16)
+        return math.floor(min(700, max(0, s * (part(k / s, rate) + part(1 - k / s, 1 - rate)) + math.log(-math.expm1(s * math.log1p(-rate)) - s * rate * (1 - rate) ** (s - 1)))) * 16)
 
     steps = sorted((chance(*x) for x in pairs.values()), reverse=True)
     least = min((x for x in set(steps) if -x / 16 <= math.log(false_share * sum(y >= x for y in steps) / len(steps))), default=None)
