@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and works on everything its predecessor
 kept; all but the last return the columns of ``documents``. `run` writes every
 stage to the shared folder and reads it back, so a lost executor costs a
-re-read and no stage is computed twice.
+re-read and no stage is computed twice. Tables that a stage stages go when its
+result is written, and each stage's result when the next one's is.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from strata.llm.common import fold, fresh, is_small, staged, table
+from strata.llm.common import fold, fresh, scratch, sent_if_small, staged, table
 from strata.llm.jaccard_join import text_groups
 from strata.llm.packing import pack_documents
 from strata.llm.pii import sanitise
@@ -21,10 +22,6 @@ from strata.llm.quality_model import score_quality
 from strata.llm.quality_rules import judge
 
 
-#: Named rows up to which they are sent to all executors; beyond, documents and these meet by a shuffle.
-BROADCAST_KEYS = 500_000
-
-
 def _text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
@@ -33,7 +30,8 @@ def _meet(docs: DataFrame, rows: DataFrame, how: str, *parts: Column) -> DataFra
     """The rows of ``docs`` that ``rows`` names ("left_semi") or does not ("left_anti") by doc_id (null included), text_hash and further columns, which are ``parts`` in ``docs``."""
     names = [fresh(f"{c}_of_row", docs.columns) for c in rows.columns]
     rows = staged(rows.distinct().toDF(*names), "rows")
-    rows = F.broadcast(rows) if is_small(rows, BROADCAST_KEYS) else rows
+    strings = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in rows.dtypes if kind == "string"]
+    rows = sent_if_small(rows, sum(strings, F.lit(0)))
     on = F.col("doc_id").eqNullSafe(F.col(names[0]))
     for part, name in zip((_text_hash(), *parts), names[1:]):
         on &= part == F.col(name)
@@ -62,7 +60,7 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     groups = text_groups(docs).where("component is not null")
     best = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("best"))
     best = staged(best.select("component", "best.id", "best.hash"), "kept-rows")
-    placed = groups.join(F.broadcast(best) if is_small(best, BROADCAST_KEYS) else best, "component")
+    placed = groups.join(sent_if_small(best, 96), "component")
     kept = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash"))
     docs = _meet(docs, placed.where(~kept).select("doc_id", "text_hash"), "left_anti")
     again = placed.where(kept).groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
@@ -97,9 +95,15 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    with scratch(spark) as results:
+        before = None
+        for name, stage in STAGES:
+            with scratch(spark) as own:
+                docs = own.kept(staged(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+            if before is not None:
+                results.drop(before)
+            before = docs
+        return results.kept(docs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
