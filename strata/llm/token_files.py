@@ -4,6 +4,9 @@ A file is a Parquet folder whose rows are segments; a segment's ``payload`` is
 the binary format below, so any store that Spark reads holds the files and
 Spark's commit protocol protects them from lost executors. Parts are in
 ascending ``doc_id`` order, and segments and documents in order inside a part.
+Each row also has its least and largest key, so a reader of a few documents, or of
+a range of ids, reads the payloads of segments that may hold them only, and of
+these unpacks the blocks that the index names.
 
 Payload (little-endian): ``PFR1``, documents u32, blocks u32, ids u64; then per
 document its key (i64), whether the key is null (u8), and its id count (u32);
@@ -34,7 +37,12 @@ SEGMENT_IDS = 1 << 18
 _MAGIC = b"PFR1"
 _HEAD = "<4sIIQ"
 
-SEGMENT_SCHEMA = "part int, segment int, first_id long, n_ids long, payload binary"
+#: Code points of a text that order the rows of one key.
+ORDERED_CHARS = 256
+#: Keys of a read by key that are told to the files' filter; more are read in rounds of as many.
+KEYS_AT_ONCE = 500
+
+SEGMENT_SCHEMA = "part int, segment int, first_id long, n_ids long, low_key long, high_key long, null_keys boolean, payload binary"
 DOCUMENT_SCHEMA = "part int, doc_id long, start long, n_tokens long, ids binary"
 
 
@@ -117,18 +125,29 @@ def pack_segment(keys: list[int | None], ids: list[bytes]) -> bytes:
     ])
 
 
-def unpack_segment(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """Keys, id counts and all ids of a segment."""
-    magic, n_docs, n_blocks, n_ids = struct.unpack_from(_HEAD, payload)
-    if magic != _MAGIC:
-        raise ValueError("not a token segment")
-    at = struct.calcsize(_HEAD)
-    keys = np.frombuffer(payload, "<i8", n_docs, at).tolist()
-    null = np.frombuffer(payload, np.uint8, n_docs, at + 8 * n_docs)
-    counts = np.frombuffer(payload, "<u4", n_docs, at + 9 * n_docs)
-    at += 13 * n_docs
-    index, blocks = payload[at : at + n_blocks * _INDEX.itemsize], payload[at + n_blocks * _INDEX.itemsize :]
-    return [None if x else k for k, x in zip(keys, null)], counts.astype(np.int64), unpack_ids(index, blocks, n_ids)
+class Segment:
+    """A payload's keys, places of documents and block index; ids are unpacked on demand."""
+
+    def __init__(self, payload: bytes):
+        magic, n_docs, n_blocks, self.n_ids = struct.unpack_from(_HEAD, payload)
+        if magic != _MAGIC:
+            raise ValueError("not a token segment")
+        at = struct.calcsize(_HEAD)
+        self.keys = np.frombuffer(payload, "<i8", n_docs, at)
+        self.null = np.frombuffer(payload, np.uint8, n_docs, at + 8 * n_docs) > 0
+        self.counts = np.frombuffer(payload, "<u4", n_docs, at + 9 * n_docs).astype(np.int64)
+        self.starts = np.cumsum(self.counts) - self.counts
+        at += 13 * n_docs
+        self._index, self._blocks = payload[at : at + n_blocks * _INDEX.itemsize], payload[at + n_blocks * _INDEX.itemsize :]
+
+    def ids(self, start: int = 0, stop: int | None = None) -> tuple[np.ndarray, int]:
+        """The ids from ``start`` to ``stop`` (exclusive) of the segment, and how many blocks were unpacked for them."""
+        stop = self.n_ids if stop is None else min(stop, self.n_ids)
+        if start >= stop:
+            return np.zeros(0, np.uint32), 0
+        first, last = start // BLOCK, (stop - 1) // BLOCK
+        found = unpack_ids(self._index, self._blocks, self.n_ids, first, last - first + 1)
+        return found[start - first * BLOCK : stop - first * BLOCK], last - first + 1
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) -> None:
@@ -136,8 +155,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 
     ``docs``: doc_id and text; further columns are ignored. A null text counts
     as empty (one id, the end). Null keys come first; rows that repeat a key
-    are all kept, in the order of their texts. One range shuffle of the texts;
-    a task keeps one segment at a time.
+    are all kept, in the order of their texts' first ``ORDERED_CHARS`` code
+    points. One range shuffle of the texts, whose bounds also tell texts and
+    rows of one key apart, so such rows spread over tasks; a task keeps one
+    segment at a time.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -153,33 +174,94 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                     ids.append(raw + end)
                     size += len(raw) // 4 + 1
                     if size >= SEGMENT_IDS:
-                        yield pd.DataFrame({"part": [part], "segment": [segment], "first_id": [first], "n_ids": [size], "payload": [pack_segment(keys, ids)]})
+                        yield closed(part, segment, first, size, keys, ids)
                         first += size
                         keys, ids, size, segment = [], [], 0, segment + 1
         if keys:
-            yield pd.DataFrame({"part": [part], "segment": [segment], "first_id": [first], "n_ids": [size], "payload": [pack_segment(keys, ids)]})
+            yield closed(part, segment, first, size, keys, ids)
+
+    def closed(part, segment, first, size, keys, ids):
+        known = [k for k in keys if k is not None]
+        low, high = pd.array([min(known)] if known else [None], "Int64"), pd.array([max(known)] if known else [None], "Int64")
+        return pd.DataFrame({"part": [part], "segment": [segment], "first_id": [first], "n_ids": [size], "low_key": low, "high_key": high, "null_keys": [len(known) < len(keys)], "payload": [pack_segment(keys, ids)]})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.repartitionByRange(shuffle_width(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", "head", "h", "u"]
+    rows = rows.withColumns({"head": F.substring("text", 1, ORDERED_CHARS), "h": F.xxhash64("text"), "u": F.monotonically_increasing_id()})
+    rows = rows.repartitionByRange(shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
     with small_batches(docs.sparkSession):
         plain_key(rows, "doc_id", "text").mapInPandas(encode, SEGMENT_SCHEMA).write.option("compression", "none").parquet(path)
 
 
+def _segments(spark: SparkSession, path: str) -> DataFrame:
+    """The files' rows with ``base``, the ids of all parts before."""
+    files = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a part
+    bases = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return files.join(bases, "part")
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Each document of the files: doc_id, start (ids before it in all files), n_tokens, ids (binary u32)."""
 
     def decode(batches):
         for batch in batches:
             for part, base, first, payload in zip(batch["part"], batch["base"], batch["first_id"], batch["payload"]):
-                keys, counts, ids = unpack_segment(payload)
-                ends = np.cumsum(counts)
-                raw = ids.astype("<u4").tobytes()
+                segment = Segment(payload)
+                raw, ends = segment.ids()[0].astype("<u4").tobytes(), (segment.starts + segment.counts).tolist()
+                keys = pd.arrays.IntegerArray(segment.keys.copy(), segment.null.copy())
                 yield pd.DataFrame({
-                    "part": np.int32(part), "doc_id": pd.array(keys, "Int64"), "start": base + first + ends - counts, "n_tokens": counts,
-                    "ids": [raw[4 * (e - c) : 4 * e] for e, c in zip(ends.tolist(), counts.tolist())],
+                    "part": np.int32(part), "doc_id": keys, "start": base + first + segment.starts, "n_tokens": segment.counts,
+                    "ids": [raw[4 * a : 4 * b] for a, b in zip(segment.starts.tolist(), ends)],
                 })
 
-    files = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a part
-    bases = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return files.join(bases, "part").select("part", "base", "first_id", "payload").mapInPandas(decode, DOCUMENT_SCHEMA).drop("part")
+    return _segments(spark, path).select("part", "base", "first_id", "payload").mapInPandas(decode, DOCUMENT_SCHEMA).drop("part")
+
+
+def read_documents(spark: SparkSession, path: str, keys: list[int | None]) -> DataFrame:
+    """The documents with the given keys (None: null ones), as `read_token_files` gives them, and ``blocks``, how many were unpacked for each.
+
+    Segments without such keys are left out by the files' statistics and
+    never read; of the others only the blocks that hold a wanted document are
+    unpacked.
+    """
+    wanted = sorted({k for k in keys if k is not None})
+    rounds = [wanted[a : a + KEYS_AT_ONCE] for a in range(0, len(wanted), KEYS_AT_ONCE)] + ([None] if None in keys else [])
+    out = spark.createDataFrame([], f"{DOCUMENT_SCHEMA}, blocks int").drop("part")
+    for some in rounds:
+        if some is None:
+            may, own = F.col("null_keys"), None
+        else:
+            may, own = F.lit(False), np.array(some, np.int64)
+            for k in some:
+                may |= (F.col("low_key") <= k) & (F.col("high_key") >= k)
+
+        def pick(batches, own=own):
+            for batch in batches:
+                for part, base, first, payload in zip(batch["part"], batch["base"], batch["first_id"], batch["payload"]):
+                    segment = Segment(payload)
+                    found = np.flatnonzero(segment.null if own is None else ~segment.null & np.isin(segment.keys, own))
+                    rows = [(int(part), *(segment.starts[i], segment.counts[i]), *segment.ids(segment.starts[i], segment.starts[i] + segment.counts[i])) for i in found.tolist()]
+                    if rows:
+                        yield pd.DataFrame({
+                            "part": np.int32(part), "doc_id": pd.arrays.IntegerArray(segment.keys[found], segment.null[found]), "start": [base + first + r[1] for r in rows],
+                            "n_tokens": [r[2] for r in rows], "ids": [r[3].astype("<u4").tobytes() for r in rows], "blocks": [r[4] for r in rows],
+                        })
+
+        parts = _segments(spark, path).where(may).select("part", "base", "first_id", "payload")
+        out = out.union(parts.mapInPandas(pick, f"{DOCUMENT_SCHEMA}, blocks int").drop("part"))
+    return out
+
+
+def read_span(spark: SparkSession, path: str, start: int, stop: int) -> DataFrame:
+    """The ids from ``start`` to ``stop`` (exclusive) of all files in their order: rows of start, ids (binary u32) and blocks, one a segment that holds any."""
+
+    def cut(batches):
+        for batch in batches:
+            for base, first, payload in zip(batch["base"], batch["first_id"], batch["payload"]):
+                ids, blocks = Segment(payload).ids(max(0, start - base - first), max(0, stop - base - first))
+                if len(ids):
+                    yield pd.DataFrame({"start": [max(start, base + first)], "ids": [ids.astype("<u4").tobytes()], "blocks": [blocks]})
+
+    rows = _segments(spark, path).where((F.col("base") + F.col("first_id") < stop) & (F.col("base") + F.col("first_id") + F.col("n_ids") > start))
+    return rows.select("base", "first_id", "payload").mapInPandas(cut, "start long, ids binary, blocks int")

@@ -4,10 +4,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm.packing import best_fit, cut_pieces, fit_repeats, pack_documents, plan_packing
-from strata.llm.token_files import pack_ids, read_token_files, unpack_ids, write_token_files
+from strata.llm.token_files import BLOCK, pack_ids, read_documents, read_span, read_token_files, unpack_ids, write_token_files
 from strata.llm.tokens import CachedEncoder
 from strata.session import scratch_path
 
@@ -52,6 +53,55 @@ def test_token_files_of_edge_rows(spark, edge_docs, edge_rows, no_docs, plain):
     assert read_token_files(spark, path).count() == 0
 
 
+@pytest.fixture(scope="module")
+def many(spark):
+    """Files of 30,000 documents in small segments, and all that a full read gives."""
+    from strata.llm import token_files
+
+    own, token_files.SEGMENT_IDS = token_files.SEGMENT_IDS, 1 << 14
+    path = scratch_path(spark, "many")
+    rows = [(3 * i, " ".join(f"w{(i * 37 + k * 11) % 900}" for k in range(40 + i % 60))) for i in range(30_000)] + [(None, "no key"), (None, None), (30, "again the key thirty")]
+    write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), path, PATH)
+    token_files.SEGMENT_IDS = own
+    return path, read_token_files(spark, path).collect()
+
+
+def test_a_hundred_documents_unpack_few_blocks(spark, many):
+    path, every = many
+    wanted = [3 * i for i in range(0, 30_000, 303)] + [30, 31, None]
+    got = read_documents(spark, path, wanted).collect()
+    as_rows = lambda rows: sorted((str(r.doc_id), r.start, r.n_tokens, bytes(r.ids)) for r in rows)
+    assert as_rows(got) == as_rows([r for r in every if r.doc_id in wanted]) and len(got) > 100
+    assert sum(r.blocks for r in got) < 0.01 * sum(r.n_tokens for r in every) / BLOCK
+    assert read_documents(spark, path, []).count() == 0 and read_documents(spark, path, [1, -5]).count() == 0
+
+
+def test_a_read_by_key_prunes_segments_by_the_files_statistics(spark, many):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = read_documents(spark, many[0], [3, 300])._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "LessThanOrEqual(low_key,3)" in plan and "GreaterThanOrEqual(high_key,300)" in plan
+
+
+def test_a_range_of_ids(spark, many):
+    path, every = many
+    flat = b"".join(bytes(r.ids) for r in sorted(every, key=lambda r: r.start))
+    for start, stop in ((0, 5), (1000, 1001), (40_000, 90_000), (len(flat) // 4 - 10, len(flat) // 4 + 50), (7, 7)):
+        got = sorted(read_span(spark, path, start, stop).collect(), key=lambda r: r.start)
+        assert b"".join(bytes(r.ids) for r in got) == flat[4 * start : 4 * stop]
+        assert sum(r.blocks for r in got) <= (stop - start) // BLOCK + 2 * len(got)
+
+
+def test_rows_of_one_key_spread_over_all_tasks_in_order(spark):
+    rows = [(7, f"text {k % 900}") for k in range(2000)] + [(7, "copy")] * 1000 + [(k, "x y") for k in range(100, 3100)] + [(None, None)] * 500
+    path = scratch_path(spark, "hot")
+    write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), path, PATH)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy("part").agg(F.sum("n_ids").alias("count")).collect()]
+    assert len(sizes) == 4 and max(sizes) < 3 * min(sizes)
+    got = sorted(read_token_files(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((k for k, _ in rows), key=lambda k: (k is not None, k or 0))
+
+
 def test_cut_pieces():
     assert cut_pieces(1, 8) == [(0, 1)] and cut_pieces(8, 8) == [(0, 8)] and cut_pieces(17, 8) == [(0, 1), (1, 8), (9, 8)]
 
