@@ -16,12 +16,10 @@ from collections import Counter
 from html import unescape
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import is_small, plain_key, restore_key, staged
+from strata.llm.common import plain_key, restore_key, sent_if_small, staged
 
-#: Hosts up to which the winning paths are sent to every executor; beyond, they are joined by a shuffle.
-BROADCAST_HOSTS = 50_000
 #: Share of the page's text outside links that a container must hold to be entered.
 ENTER = 0.85
 #: Least text at the host's path, as a share of the page's own proposal or of the mean on the pages that voted for it.
@@ -240,9 +238,9 @@ def text_of(element: _Element, pieces: list[str]) -> str:
     return " ".join("".join(x or " " for x in pieces[element.begin : element.end]).split())
 
 
-def host_of(url: str | None) -> str:
-    found = re.match(r"\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#\s]*)", url or "")
-    return found[1].rpartition("@")[2].partition(":")[0].lower() if found else ""
+def host_of(url: Column) -> Column:
+    """The host of a URL with one (after `//`, without user and port), in lower case; else ''."""
+    return F.coalesce(F.lower(F.regexp_extract(F.regexp_replace(url, r"^\s*([a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#\s]*@)?", "//"), r"^//([^/?#:\s]*)", 1)), F.lit(""))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -258,13 +256,14 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     def vote(batches):
         for batch in batches:
             votes, chars = Counter(), Counter()
-            for url, html in zip(batch["url"], batch["html"]):
+            for host, html in zip(batch["host"], batch["html"]):
                 if html:
                     best = best_container(parse(html)[0])
                     if best.path and best.text:
-                        votes[host_of(url), best.path] += 1
-                        chars[host_of(url), best.path] += best.plain
-            yield pd.DataFrame([(*k, n, chars[k]) for k, n in votes.items()], columns=["host", "path", "votes", "chars"])
+                        votes[host, best.path] += 1
+                        chars[host, best.path] += best.plain
+            if votes:
+                yield pd.DataFrame([(*k, n, chars[k]) for k, n in votes.items()], columns=["host", "path", "votes", "chars"])
 
     def extract(batches):
         for batch in batches:
@@ -278,12 +277,11 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
                 texts.append(" ".join(filter(None, (text_of(x, pieces) for x in found))))
             yield batch[["page_id", "no_key", "url"]].assign(text=texts, n_chars=[len(t) for t in texts])
 
-    host = F.coalesce(F.lower(F.regexp_extract(F.regexp_replace("url", r"^\s*([a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#\s]*@)?", "//"), r"^//([^/?#:\s]*)", 1)), F.lit(""))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    votes = pages.select("url", "html").mapInPandas(vote, "host string, path string, votes long, chars long").groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("chars").alias("chars"))
+    pages = pages.withColumn("host", host_of(F.col("url")))
+    votes = pages.select("host", "html").mapInPandas(vote, "host string, path string, votes long, chars long").groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("chars").alias("chars"))
     best = votes.groupBy("host").agg(F.max(F.struct("votes", "path", (F.col("chars") / F.col("votes")).alias("mean"))).alias("b"))
     paths = staged(best.select("host", "b.path", "b.mean"), "host-paths")
-    pages = pages.withColumn("host", host)
-    paths = F.broadcast(paths) if is_small(paths, BROADCAST_HOSTS) else paths
+    paths = sent_if_small(paths, F.octet_length("host") + F.octet_length("path"))
     pages = plain_key(pages.join(paths, "host", "left"), "page_id", "url", "html", "path", "mean")
     return restore_key(pages.mapInPandas(extract, "page_id long, no_key boolean, url string, text string, n_chars long"), "page_id")

@@ -74,7 +74,7 @@ with words as (
 ), labelled as (
     select * from measured join (select doc_id, min(quality) as quality from labels where doc_id is not null and quality is not null group by doc_id) using (doc_id)
 ), strata as (
-    select stratum from labelled group by stratum order by count(*) desc, stratum limit {_Q.STRATA}
+    select distinct stratum from labelled
 ), over_cutoffs as (
     select stratum, rule, cutoff, pos,
         count(*) filter (quality = 1) as n, count(*) filter (quality = 1 and 1000 * part > cutoff * whole) as good,

@@ -127,14 +127,19 @@ class PieceSampler:
             counts = np.diff(np.append(new, n))
             total[dst[e[new]]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts)), new))
         share = np.exp(total[src] + weight - total[dst])
-        run = np.cumsum(share)
         new = np.append(True, dst[1:] != dst[:-1])
-        base = np.repeat((run - share)[new], np.diff(np.append(np.flatnonzero(new), len(dst))))
+        nth = np.arange(len(dst)) - np.repeat(np.flatnonzero(new), np.diff(np.append(np.flatnonzero(new), len(dst))))
+        run, by_nth = share.copy(), np.argsort(nth, kind="stable")
+        at = int((nth == 0).sum())
+        for n in np.bincount(nth)[1:].tolist():  # every node by itself, so sums don't depend on what else is in the batch
+            e = by_nth[at : at + n]
+            at += n
+            run[e] += run[e - 1]
         width = np.where(piece >= 0, 1, 0)
         k = np.flatnonzero(piece < 0)
         width[k] = char_end[np.searchsorted(char_at, -1 - piece[k])] - (-1 - piece[k])
         edge_end = np.cumsum(np.bincount(dst, minlength=len(node_chunk))) - 1
-        return {"src": src, "piece": piece, "width": width, "cumulative": dst + np.minimum(run - base, 1.0), "last": edge_end, "begin": begin, "end": begin + n_chars}
+        return {"src": src, "piece": piece, "width": width, "cumulative": (dst.astype(np.uint64) << np.uint64(32)) + np.minimum(run * (1 << 32), (1 << 32) - 1).astype(np.uint64), "last": edge_end, "begin": begin, "end": begin + n_chars}
 
     def encode(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
         """Sampled ids of each text; ``seeds``: a 64-bit integer for each."""
@@ -158,9 +163,9 @@ class PieceSampler:
         step = 0
         while len(alive):  # backward sampling: one edge of every unfinished occurrence at a time
             step += 1
-            u = (mixed(key[alive] + np.uint64(step)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+            u = mixed(key[alive] + np.uint64(step)) >> np.uint64(32)
             at = node[alive]
-            edge = np.minimum(np.searchsorted(lattice["cumulative"], at + u, side="right"), lattice["last"][at])
+            edge = np.minimum(np.searchsorted(lattice["cumulative"], (at.astype(np.uint64) << np.uint64(32)) + u, side="right"), lattice["last"][at])
             draws.append((alive, edge))
             node[alive] = lattice["src"][edge]
             alive = alive[node[alive] > lattice["begin"][which[alive]]]

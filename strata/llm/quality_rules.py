@@ -18,7 +18,7 @@ from math import exp, lgamma, log, log1p
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.common import is_small, staged
+from strata.llm.common import BROADCAST_BYTES, sent_if_small, staged
 
 _BLANKS = r"[\x20\x09-\x0D]+"
 WINDOW = 5
@@ -26,10 +26,6 @@ WINDOW = 5
 CUTOFFS = tuple(range(900, 0, -25))
 #: Risk: share of a stratum's good texts that all rules together may reject; LEVEL: chance that any guarantee fails.
 RISK, LEVEL = 0.05, 0.05
-#: Strata that the SQL form judges, largest first; `choose_cutoffs` judges all.
-STRATA = 100
-#: Strata with cutoffs up to which these are sent to all executors; beyond, they are joined by a shuffle.
-BROADCAST_STRATA = 500_000
 #: Share of the bad texts rejected by the strictest certified cutoff that the chosen one must reject too.
 CATCH = 0.995
 #: Rules: name -> (part, whole), columns of `measure`.
@@ -144,17 +140,17 @@ def choose_cutoffs(measured: DataFrame, risk: float = RISK, level: float = LEVEL
     """(stratum, rule) -> cutoff from ``measured``: stratum, quality and the counts of labelled texts."""
     sizes = staged(measured.groupBy("stratum").agg(F.count(F.when(F.col("quality") == 1, 1)).alias("n_good")), "strata")
     part, level = risk / len(RULES), level / max(1, sizes.count() * len(RULES))
-    enough = sizes.where(F.col("n_good") * -log1p(-part) >= -log(level) - 1e-9).select("stratum")  # with fewer, not even no rejected text certifies
+    enough = staged(sizes.where(F.col("n_good") * -log1p(-part) >= -log(level) - 1e-9).select("stratum"), "judged-strata")  # with fewer, not even no rejected text certifies
     cutoffs = F.array(*map(F.lit, CUTOFFS))
     levels = [
         F.struct(F.lit(rule).alias("rule"), let(F.struct(F.col(n).alias("p"), F.col(whole).alias("w")), lambda x: F.size(F.filter(cutoffs, lambda c: 1000 * x["p"] > c * x["w"]))).alias("over"))
         for rule, (n, whole) in RULES.items()
     ]
-    rows = measured.join(F.broadcast(enough) if is_small(enough, BROADCAST_STRATA) else enough, "stratum", "left_semi").select("stratum", "quality", F.explode(F.array(*levels)).alias("x"))
+    rows = measured.join(sent_if_small(enough, F.octet_length("stratum")), "stratum", "left_semi").select("stratum", "quality", F.explode(F.array(*levels)).alias("x"))
     counts = rows.groupBy("stratum", "quality", "x.rule", "x.over").count()
     counts = staged(counts.groupBy("stratum", "rule").agg(F.collect_list(F.struct("quality", "over", "count")).alias("counts")), "rule-counts")
     chosen = {}
-    for r in counts.toLocalIterator():  # a few hundred good labels stand behind every row
+    for r in counts.toLocalIterator():  # a row a rule and stratum, a few hundred good labels behind each: at most a hundredth of the labels, one partition at a time
         good, bad = [0] * (len(CUTOFFS) + 1), [0] * (len(CUTOFFS) + 1)
         for x in r["counts"]:
             (good if x["quality"] == 1 else bad)[x["over"]] += x["count"]
@@ -178,7 +174,7 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, level: float =
     cutoffs = choose_cutoffs(measured.join(known, "doc_id"), risk, level)
     strata = sorted({s for s, _ in cutoffs})
     limits = docs.sparkSession.createDataFrame([(s, *(cutoffs.get((s, r)) for r in RULES)) for s in strata], ", ".join(["stratum string", *(f"limit_{r} int" for r in RULES)]))
-    rows = measured.join(F.broadcast(limits) if len(strata) <= BROADCAST_STRATA else limits, "stratum", "left")
+    rows = measured.join(F.broadcast(limits) if sum(len(x.encode()) + 64 for x in strata) <= BROADCAST_BYTES else limits, "stratum", "left")
     rejected = F.lit(False)
     for rule, (part, whole) in RULES.items():
         rejected |= F.coalesce(1000 * F.col(part) > F.col(f"limit_{rule}") * F.col(whole), F.lit(False))

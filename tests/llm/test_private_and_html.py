@@ -223,7 +223,6 @@ def test_parser_survives_broken_markup():
     assert main("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>") == "a b c d"
     assert main("<article>t<div class='comments'>bad</div><aside>bad</aside><form>bad</form></article>") == "t"
     assert main('<p "unclosed>text') in ("text", "") and main("<" * 3000 + "a'" * 3000) is not None
-    assert host_of("//u:p@A.b:8/x") == "a.b" and host_of(None) == ""
 
 
 def test_names_only_drop_what_is_wholly_named_so():
@@ -252,3 +251,9 @@ def test_whole_articles_stay_and_other_templates_keep_their_own(spark):
     assert text[1].startswith("Title many") and text[1].endswith("Rest.")
     assert text[2].startswith("Title Intro") and text[2].endswith("of a list")
     assert text[10] == f"{long}0" and "other many words" in text[20] and "other many words" in text[21]
+
+
+def test_hosts(spark):
+    urls = ["//u:p@A.b:8/x", None, "no host", "https://Host.example/a//b", "\u00a0 http://h:1", " \thttp://x.y?q", "mailto:a@b"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i long, url string")
+    assert [r.h for r in df.select("i", host_of(df.url).alias("h")).orderBy("i").collect()] == ["a.b", "", "", "host.example", "", "x.y", ""]
