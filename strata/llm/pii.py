@@ -8,14 +8,15 @@ entity, s the term and k both. A term discloses an entity if
 * they meet more often than by chance: the chance of k or more of s, given that
   they meet twice at least (a word met once or twice says nothing), if each text
   held the entity with probability n / N or BASE_RATE, whatever is more, bounded
-  by Chernoff; over all pairs that meet twice, the share of false findings is
-  kept below FALSE_SHARE (Benjamini and Hochberg); and
+  by Chernoff; with all pairs that meet twice as tests, the share of false
+  findings is kept below FALSE_SHARE (Benjamini and Hochberg); and
 * it gives away DISCLOSURE of the entity's information among POPULATION texts:
 
       ln((k / s) / (n / POPULATION)) >= DISCLOSURE * ln(POPULATION / n),
 
   where for k / s, the chance that a text with the term holds the entity, the
-  lower confidence bound (Wilson, CONFIDENCE) is taken.
+  lower confidence bound (Wilson, CONFIDENCE) is taken. Pairs for which the
+  texts with any entity alone rule this out are not counted in all texts.
 
 Neither depends on how many other texts there are, as long as the entity is in
 less than BASE_RATE of all, so joining a corpus with unrelated texts changes no
@@ -205,16 +206,18 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISC
         entities = staged(places.groupBy("entity").agg(F.count("*").alias("n")).where("n > 2"), "entities")  # fewer texts say nothing of chance
         places = staged(places.join(sent_if_small(entities, F.octet_length("entity")), "entity"), "entity-places")
         rows = staged(places.groupBy("text_hash").agg(F.count("*").alias("width")), "entity-rows")
-        texts = texts.join(sent_if_small(rows, 24), "text_hash").select("text_hash", "terms", "width")
+        texts_of, texts = texts, texts.join(sent_if_small(rows, 24), "text_hash").select("text_hash", "terms", "width")
         pairs = _met(places, texts).groupBy("entity", "term", "n").agg(F.count("*").alias("k"))
         pairs = staged(pairs.where("k > 1"), "pairs")
-        tests, pairs = pairs.count(), pairs.where("k > 2")
+        tests = pairs.count()
+        least = staged(texts_of.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("least")).where("least > 2"), "least-counts")
+        pairs = pairs.where("k > 2").join(sent_if_small(least, F.octet_length("term")), "term")  # s is this at least
+        pairs = staged(pairs.where(_discloses(F.col("k"), F.col("least"), F.col("n"), disclosure)).drop("least"), "near-pairs")
         near = staged(pairs.select("term").distinct(), "near-terms")
         seen = found.select("text_hash", F.explode("terms").alias("term")).join(sent_if_small(near, F.octet_length("term")), "term", "left_semi")
         seen = staged(seen.distinct().groupBy("term").agg(F.count("*").alias("s")), "term-counts")
-        pairs = staged(pairs.join(sent_if_small(seen, F.octet_length("term")), "term"), "pairs-in-all")
-        pairs = _significant(pairs, tests, total, false_share)
-        told = staged(pairs.where(_discloses(F.col("k"), F.col("s"), F.col("n"), disclosure)).select("entity", "term", "n"), "told")
+        pairs = pairs.join(sent_if_small(seen, F.octet_length("term")), "term").where(_discloses(F.col("k"), F.col("s"), F.col("n"), disclosure))
+        told = staged(_significant(staged(pairs, "telling-pairs"), tests, total, false_share).select("entity", "term", "n"), "told")
         return scope.kept(_labelled(told, places, found, disclosure))
 
 

@@ -108,14 +108,14 @@ def brute_disclosed(texts, disclosure=0.9, false_share=0.05):
         part = lambda x, y: x * math.log(x / y) if x else 0
         return math.floor(min(700, max(0, s * (part(k / s, rate) + part(1 - k / s, 1 - rate)) + math.log(-math.expm1(s * math.log1p(-rate)) - s * rate * (1 - rate) ** (s - 1)))) * 16)
 
-    steps = sorted((chance(*x) for x in pairs.values()), reverse=True)
-    least = min((x for x in set(steps) if -x / 16 <= math.log(false_share * sum(y >= x for y in steps) / len(steps))), default=None)
     z = 1.645
 
     def low(k, s):
         return (k + z * z / 2 - z * math.sqrt(k * (s - k) / s + z * z / 4)) / (s + z * z)
 
-    return {p for p, x in pairs.items() if least is not None and chance(*x) >= least and low(x[2], x[1]) >= (x[0] / 1e6) ** (1 - disclosure)}
+    told = {p: chance(*x) for p, x in pairs.items() if x[2] > 2 and low(x[2], x[1]) >= (x[0] / 1e6) ** (1 - disclosure)}
+    least = min((x for x in set(told.values()) if -x / 16 <= math.log(false_share * sum(y >= x for y in told.values()) / len(pairs))), default=None)
+    return {p for p, x in told.items() if least is not None and x >= least}
 
 
 def disclosed(df):
