@@ -102,11 +102,47 @@ def measures_for(available: Sequence[str], spec: Mapping[str, Sequence[Measure]]
 
 def group_summary(df: DataFrame, keys: Sequence[str | Column], measures: Sequence[Measure],
                   order_by: Sequence[str | Column] | None = None) -> DataFrame:
-    """``groupBy(keys).agg(measures)`` (two-phase: partial aggregate before the shuffle)."""
-    out = df.groupBy(*keys).agg(*[m.expr() for m in measures])
+    """``groupBy(keys).agg(measures)`` (two-phase: partial aggregate before the shuffle).
+
+    Several exact distinct counts of columns of one type, with row counts or
+    alone, go by (key, column, value): see `tagged_counts`.
+    """
+    if _taggable(df, measures):
+        out = tagged_counts(df, keys, measures)
+    else:
+        out = df.groupBy(*keys).agg(*[m.expr() for m in measures])
     return out.orderBy(*order_by) if order_by else out
 
 
+def _taggable(df: DataFrame, measures: Sequence[Measure]) -> bool:
+    distinct = [m for m in measures if m.fn == "count_distinct"]
+    types = {t for _, t in df.select(*[m._input() for m in distinct]).dtypes} if distinct else set()
+    return len(distinct) > 1 and len(types) == 1 and all(m.fn in ("count", "count_distinct") and m.round is None for m in measures)
+
+
+def tagged_counts(df: DataFrame, keys: Sequence[str | Column], measures: Sequence[Measure]) -> DataFrame:
+    """Exact distinct counts of several columns, and row counts, by ``keys``.
+
+    Each row becomes one (key, column number, value) a counted column; these
+    are counted first, then the different ones by key. Only such triples are
+    shuffled, instead of a copy of the row a counted column, and a key with
+    very many rows is spread over its values.
+    """
+    distinct = [m for m in measures if m.fn == "count_distinct"]
+    tags = {m.name: k for k, m in enumerate(distinct)}
+    values = [x for k, m in enumerate(distinct) for x in (F.lit(k), m._input())]
+    rows = df.select(*keys, F.stack(F.lit(len(distinct)), *values).alias("_column", "_value"))
+    names = rows.columns[: len(keys)]
+    seen = rows.groupBy(*names, "_column", "_value").agg(F.count(F.lit(1)).alias("_rows"))
+
+    def measure(m: Measure) -> Column:
+        if m.fn == "count":
+            return F.sum(F.when(F.col("_column") == 0, F.col("_rows"))).alias(m.name)
+        return F.count_if((F.col("_column") == tags[m.name]) & F.col("_value").isNotNull()).alias(m.name)
+
+    return seen.groupBy(*names).agg(*map(measure, measures))
+
+
 def global_summary(df: DataFrame, measures: Sequence[Measure]) -> DataFrame:
     """Aggregate without keys: one row."""
     return df.agg(*[m.expr() for m in measures])

@@ -25,20 +25,27 @@ def profiled_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if c in numeric or t == "string"]
 
 
-def _statistics(df: DataFrame, cols: Sequence[str], digits: int) -> tuple[list[Column], list[list[Column]]]:
-    """Aggregates of all columns, and for each column the fields of its row."""
+def _statistics(df: DataFrame, cols: Sequence[str], digits: int) -> tuple[list[tuple[Column, str]], list[list[Column]]]:
+    """Aggregates of all columns with their names, and for each column the fields of its row."""
     numeric, aggs, rows = set(numeric_columns(df)), [], []
+
+    def add(name: str, aggregate: Column) -> None:
+        aggs.append((aggregate.alias(name), name))
+
     none = F.lit(None)
     for i, c in enumerate(cols):
-        aggs.append(F.count(c).alias(f"n{i}"))
+        add(f"n{i}", F.count(c))
         if c in numeric:
             x = F.col(c).cast("double")
-            aggs += [F.round(F.avg(x), digits).alias(f"m{i}"), F.round(F.stddev_samp(x), digits).alias(f"s{i}"),
-                     F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+            add(f"m{i}", F.round(F.avg(x), digits))
+            add(f"s{i}", F.round(F.stddev_samp(x), digits))
+            add(f"lo{i}", F.min(x))
+            add(f"hi{i}", F.max(x))
             values = [F.col(f"m{i}"), F.col(f"s{i}"), F.col(f"lo{i}"), F.col(f"hi{i}")]
             texts = [none.cast("string")] * 2
         else:
-            aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+            add(f"lo{i}", F.min(c))
+            add(f"hi{i}", F.max(c))
             values, texts = [none.cast("double")] * 4, [F.col(f"lo{i}"), F.col(f"hi{i}")]
         fields = [F.lit(c), F.col(f"n{i}"), *values, *texts]
         names = ["column_name", "count", "mean", "stddev", "min", "max", "min_text", "max_text"]
@@ -46,10 +53,27 @@ def _statistics(df: DataFrame, cols: Sequence[str], digits: int) -> tuple[list[C
     return aggs, rows
 
 
+def _aggregated(df: DataFrame, cols: Sequence[str], digits: int) -> tuple[DataFrame, list[list[Column]]]:
+    """One row of all statistics, and for each column the fields of its row.
+
+    The extremes of text columns can't be kept in a hash aggregate, so they
+    have one of their own; the numeric columns' stays compiled.
+    """
+    aggs, rows = _statistics(df, cols, digits)
+    numeric = set(numeric_columns(df))
+    texts = {f"{p}{i}" for i, c in enumerate(cols) if c not in numeric for p in ("n", "lo", "hi")}
+    parts = [[a for a, n in aggs if (n in texts) == of] for of in (False, True)]
+    one, *more = [df.agg(*p) for p in parts if p]
+    return (one.crossJoin(more[0]) if more else one), rows  # one row by one row
+
+
 def profile_describe(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
-    """``column_name, count, mean, stddev, min, max, min_text, max_text`` per numeric or text column, one pass."""
-    aggs, rows = _statistics(df, cols := list(columns) if columns else profiled_columns(df), digits)
-    return df.agg(*aggs).select(F.inline(F.array(*[F.struct(*r) for r in rows]))) if cols else df.limit(0)
+    """``column_name, count, mean, stddev, min, max, min_text, max_text`` per numeric or text column, one pass over either kind."""
+    cols = list(columns) if columns else profiled_columns(df)
+    if not cols:
+        return df.limit(0)
+    stats, rows = _aggregated(df, cols, digits)
+    return stats.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
 
 
 def quartiles(df: DataFrame, cols: Sequence[str], k: int = 400, groups: int = 256) -> DataFrame:
@@ -73,8 +97,7 @@ def profile_summary(df: DataFrame, columns: Sequence[str] | None = None, digits:
     """``describe`` plus approximate quartiles ``p25, p50, p75`` (null for text columns)."""
     cols = list(columns) if columns else profiled_columns(df)
     numeric = [c for c in cols if c in set(numeric_columns(df))]
-    aggs, rows = _statistics(df, cols, digits)
-    stats = df.agg(*aggs)
+    stats, rows = _aggregated(df, cols, digits)
     if numeric:
         stats = stats.crossJoin(quartiles(df, numeric, k))  # one row by one row
     at = {c: F.col(f"q{i}") for i, c in enumerate(numeric)}
