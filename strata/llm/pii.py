@@ -210,7 +210,9 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISC
         pairs = _met(places, texts).groupBy("entity", "term", "n").agg(F.count("*").alias("k"))
         pairs = staged(pairs.where("k > 1"), "pairs")
         tests = pairs.count()
-        least = staged(texts_of.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("least")).where("least > 2"), "least-counts")
+        often = staged(pairs.where("k > 2").select("term").distinct(), "often-terms")
+        least = texts_of.select(F.explode("terms").alias("term")).join(sent_if_small(often, F.octet_length("term")), "term", "left_semi")
+        least = staged(least.groupBy("term").agg(F.count("*").alias("least")), "least-counts")
         pairs = pairs.where("k > 2").join(sent_if_small(least, F.octet_length("term")), "term")  # s is this at least
         pairs = staged(pairs.where(_discloses(F.col("k"), F.col("least"), F.col("n"), disclosure)).drop("least"), "near-pairs")
         near = staged(pairs.select("term").distinct(), "near-terms")
