@@ -198,7 +198,7 @@ def _segments(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a part
     bases = files.groupBy("part").agg(F.sum("n_ids").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return files.join(bases, "part")
+    return files.join(F.broadcast(bases), "part")  # two numbers a part, of which there are as many as tasks wrote
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
