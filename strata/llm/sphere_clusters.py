@@ -202,7 +202,7 @@ def cluster_vectors(vectors: DataFrame, starts: list[list[int]], rounds: int = 1
 
         centroids = [list(c) for c in starts]
         totals = [[0] * (dims + 1) for _ in range(k)]
-        state, move, scanned = None, Move(np.array(centroids, object if max(map(abs, sum(centroids, [0]))) > MOST else np.int64)), []
+        state, move, scanned = None, Move(np.array(centroids, np.int64)), []
         for _ in range(rounds):
             parts = joined(state, ["matrix"]).mapInPandas(rounds_step(move), "block long, state binary, scanned long, radius array<double>, at array<int>, change array<string>")
             state = staged(parts, "bounds", BATCH_BLOCKS)

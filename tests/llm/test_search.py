@@ -87,3 +87,9 @@ def test_scores_beyond_doubles_and_longs_are_exact(spark):
     clip = lambda x: max(min(x, (1 << 63) - 1), -(1 << 63))
     want = {(0, n + 1, c, clip(s)) for n, (s, c) in enumerate(sorted(((big * v[0] + v[1], k) for k, v in rows[1:]), key=lambda t: (-t[0], t[1])))}
     assert as_set(search(build_index(df, 6), df.where("vec_id = 0"), 5)) == {(q, r, c, s) for q, r, c, s in want}
+
+
+def test_components_beyond_longs_are_the_largest(spark):
+    df = spark.createDataFrame([(0, [1e300, 1.0]), (1, [-1e300, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    most = (1 << 63) - 1
+    assert as_set(exact_top_k(df, F.col("vec_id") == 0)) == {(0, 1, 2, most), (0, 2, 1, -most - 1)}
