@@ -16,7 +16,7 @@ _RUNS = re.compile(r"[\n -&(-~À-ÖØ-öø-ſ]+")
 _BLANKS = ("  ", "\n\n", " \n", "\n ")
 _LETTER, _DIGIT, _OTHER, _SPACE, _FEED = range(5)
 #: Distinct pre-tokens kept by one worker before the cache starts anew (bounds memory, not results).
-CACHE_WORDS = 100_000
+CACHE_WORDS = 200_000
 
 
 def _byte_classes() -> np.ndarray:
@@ -127,7 +127,7 @@ def worker_encoder(path: str) -> CachedEncoder:
     return worker_kept(("encoder", path), lambda: CachedEncoder(path))
 
 
-def groups_of(texts, max_chars: int = 500_000):
+def groups_of(texts, max_chars: int = 1_000_000):
     """Index ranges of consecutive texts of about ``max_chars`` together: bounds a task's memory."""
     start = size = 0
     for i, t in enumerate(texts):
