@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from strata.llm.common import plain_key, restore_key, staged
-from strata.llm.tokens import groups_of, worker_encoder
+from strata.llm.tokens import groups_of, tidied, worker_encoder
 
 #: Partner lengths tried for each first length in the patterns of three and four; more patterns fit better and take longer.
 PARTNERS = 12
@@ -52,7 +52,7 @@ def tokenise_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0)
                 yield pd.DataFrame(rows, columns=["doc_id", "no_key", "piece", "start", "length", "ids", "task", "nth"])
 
     rows = plain_key(docs, "doc_id", F.col("text").cast("string").alias("text"))
-    return staged(restore_key(rows.mapInPandas(encode, PIECE_SCHEMA), "doc_id"), "pieces", compression="zstd")
+    return staged(restore_key(rows.mapInPandas(tidied(encode), PIECE_SCHEMA), "doc_id"), "pieces", compression="zstd")
 
 
 def enumerate_patterns(lengths: list[int], size: int, partners: int = PARTNERS) -> list[tuple[int, ...]]:

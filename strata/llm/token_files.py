@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from strata.llm.common import plain_key, shuffle_width, small_batches
-from strata.llm.tokens import groups_of, worker_encoder
+from strata.llm.tokens import groups_of, tidied, worker_encoder
 
 BLOCK = 128
 #: Share of a block's ids that its width must hold without an exception.
@@ -190,7 +190,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     rows = rows.withColumns({"head": F.substring("text", 1, ORDERED_CHARS), "h": F.xxhash64("text"), "u": F.monotonically_increasing_id()})
     rows = rows.repartitionByRange(shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
     with small_batches(docs.sparkSession):
-        plain_key(rows, "doc_id", "text").mapInPandas(encode, SEGMENT_SCHEMA).write.option("compression", "none").parquet(path)
+        plain_key(rows, "doc_id", "text").mapInPandas(tidied(encode), SEGMENT_SCHEMA).write.option("compression", "none").parquet(path)
 
 
 def _segments(spark: SparkSession, path: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import sys
 from types import ModuleType
 
 import numpy as np
+import pyarrow as pa
 
 from strata.llm.spans import SpanHasher, ragged
 
@@ -15,8 +17,9 @@ from strata.llm.spans import SpanHasher, ragged
 _RUNS = re.compile(r"[\n -&(-~À-ÖØ-öø-ſ]+")
 _BLANKS = ("  ", "\n\n", " \n", "\n ")
 _LETTER, _DIGIT, _OTHER, _SPACE, _FEED = range(5)
-#: Distinct pre-tokens kept by one worker before the cache starts anew (bounds memory, not results).
-CACHE_WORDS = 200_000
+#: Distinct pre-tokens that one worker keeps (about 30 bytes each), in two halves: a full half replaces the one
+#: before it, whose pre-tokens stay if they were met again since (bounds memory, not results).
+CACHE_WORDS = 1_000_000
 
 
 def _byte_classes() -> np.ndarray:
@@ -38,6 +41,25 @@ def _is_runs(text: str) -> bool:
     return bool(_RUNS.fullmatch(text)) and not any(b in text for b in _BLANKS) and not text[0].isspace() and not text[-1].isspace()
 
 
+class _Learnt:
+    """Ids of pre-tokens by their hashes, which are ascending."""
+
+    def __init__(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray):
+        self.hashes, self.ids, self.counts = hashes, ids, counts
+        self.starts = np.cumsum(counts) - counts
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash is or would be, and whether it is there."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return at, self.hashes[at] == hashes
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Adds ascending hashes that aren't there yet."""
+        at, starts = np.searchsorted(self.hashes, hashes), len(self.ids) + np.cumsum(counts) - counts
+        self.hashes, self.starts, self.counts = (np.insert(old, at, new) for old, new in ((self.hashes, hashes), (self.starts, starts), (self.counts, counts)))
+        self.ids = np.concatenate([self.ids, ids])
+
+
 class CachedEncoder:
     """Encodes texts with a byte-level BPE file of the ``tokenizers`` library, special strings as ordinary text.
 
@@ -61,21 +83,23 @@ class CachedEncoder:
         self._length = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self._length[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self._classes, self._hasher = _byte_classes(), SpanHasher()
-        self._known: dict[bytes, bytes] = {b"\n": self._feed}
+        self._known, self._older = self._only_feed(), self._only_feed()
+
+    def _only_feed(self) -> _Learnt:
+        one = self._hasher.hashes(np.frombuffer(b"\n", np.uint8), np.array([0]), np.array([1]))
+        return _Learnt(one, np.frombuffer(self._feed, "<u4"), np.array([len(self._feed) // 4]))
 
     def whole(self, text: str) -> bytes:
         self._tokenizer.pre_tokenizer = self._split
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[bytes]) -> list[bytes]:
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after another, and each one's number of ids."""
         joined = b"\n".join(words).decode("latin-1").translate(self._letters)
         self._tokenizer.pre_tokenizer = self._lines
         ids = np.array(self._tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
         ends = np.searchsorted(np.cumsum(self._length[ids]), np.cumsum(list(map(len, words)))) + 1
-        raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-        learnt = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-        self._known.update(zip(words, learnt))
-        return learnt
+        return ids, np.diff(ends, prepend=0)
 
     def _encode_runs(self, texts: list[bytes]) -> list[bytes]:
         joined = b"\n".join([*texts, b""])
@@ -85,20 +109,24 @@ class CachedEncoder:
         begins[1:] = (kinds[1:] != kinds[:-1]) & (kinds[:-1] != _SPACE)
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(data))
-        _, first, which = np.unique(self._hasher.hashes(data, starts, ends), return_index=True, return_inverse=True)
-        words = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        if len(self._known) > CACHE_WORDS:
-            self._known = {b"\n": self._feed}
-        ids = list(map(self._known.get, words))
-        if new := [k for k, x in enumerate(ids) if x is None]:
-            for k, x in zip(new, self._learn([words[k] for k in new])):
-                ids[k] = x
-        lengths = np.array(list(map(len, ids)), np.int64) // 4
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        each = lengths[which]
+        hashes, first, which = np.unique(self._hasher.hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self._known.hashes) > CACHE_WORDS // 2:
+            self._known, self._older = self._only_feed(), self._known
+        new = np.flatnonzero(~self._known.find(hashes)[1])
+        at, there = self._older.find(hashes[new])
+        if there.any():
+            again, at = new[there], at[there]
+            counts = self._older.counts[at]
+            self._known.add(hashes[again], self._older.ids[ragged(self._older.starts[at], counts)], counts)
+            new = new[~there]
+        if len(new):
+            words = [joined[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+            self._known.add(hashes[new], *self._learn(words))
+        at, _ = self._known.find(hashes)
+        each = self._known.counts[at][which]
         closing = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]) - 1)  # the line feeds put after the texts
         each[closing] = 0
-        out = flat[ragged((np.cumsum(lengths) - lengths)[which], each)].tobytes()
+        out = self._known.ids[ragged(self._known.starts[at][which], each)].tobytes()
         cuts = [0, *(4 * np.cumsum(each)[closing]).tolist()]
         return [out[a:b] for a, b in zip(cuts, cuts[1:])]
 
@@ -127,6 +155,18 @@ def worker_encoder(path: str) -> CachedEncoder:
     return worker_kept(("encoder", path), lambda: CachedEncoder(path))
 
 
+def tidied(step):
+    """``step`` (from batches to frames) that gives back to the machine what it has freed, when its task ends: idle workers stay beside the stages that follow."""
+
+    def run(batches):
+        yield from step(batches)
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return run
+
+
 def groups_of(texts, max_chars: int = 1_000_000):
     """Index ranges of consecutive texts of about ``max_chars`` together: bounds a task's memory."""
     start = size = 0
