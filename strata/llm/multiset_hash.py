@@ -134,20 +134,21 @@ def likeness(x: Column, y: Column) -> Column:
     return F.when(x == y, F.lit(1.0)).otherwise(let(parts, lambda v: F.when(F.size(v) > 0, mean(v)).otherwise(F.lit(0.0))))
 
 
+def _constant(value, schema: str) -> Column:
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
 def _range_of(key: Column, bounds: list) -> Column:
     """How many of the ascending ``bounds`` after the first are at most ``key``: by blocks of them, then within one."""
     step = isqrt(len(bounds) - 1) + 1
     kind = "struct<known:boolean,id:bigint,h:bigint,u:bigint>"
     blocks = [bounds[k : k + step] for k in range(0, len(bounds), step)]
 
-    def constant(value, schema: str) -> Column:
-        return F.from_json(F.lit(json.dumps(value)), schema)
-
     def below(these: Column) -> Column:
         return F.greatest(F.size(F.filter(these, lambda b: b <= key)) - 1, F.lit(0))
 
-    firsts = constant([b[0] for b in blocks], f"array<{kind}>")
-    return let(below(firsts), lambda g: g * step + below(F.get(constant(blocks, f"array<array<{kind}>>"), g)))
+    firsts = _constant([b[0] for b in blocks], f"array<{kind}>")
+    return let(below(firsts), lambda g: g * step + below(F.get(_constant(blocks, f"array<array<{kind}>>"), g)))
 
 
 def with_next(docs: DataFrame, key: str, **columns: Column) -> DataFrame:
@@ -167,7 +168,8 @@ def with_next(docs: DataFrame, key: str, **columns: Column) -> DataFrame:
         return docs.select(key, "text").withColumns(columns).select("*", *(F.col(c).alias(f"next_{c}") for c in ["text", *columns]))
     bounds = [dict(zip(_KEY, b)) for b in bounds]
     rows = rows.withColumn("range", _range_of(F.struct(*_KEY), bounds))
-    heads = spark.createDataFrame([((k - 1) % len(bounds), b["known"], b["id"], b["h"]) for k, b in enumerate(bounds)], "of int, known boolean, id long, h long")
+    heads = [{"of": (k - 1) % len(bounds), "known": b["known"], "id": b["id"], "h": b["h"]} for k, b in enumerate(bounds)]
+    heads = spark.range(0, 1, 1, 1).select(F.inline(_constant(heads, "array<struct<of:int,known:boolean,id:bigint,h:bigint>>")))  # no Python worker
     wanted = F.broadcast(heads.select("known", "id", "h").distinct())  # one row a range at most
     firsts = rows.select(key, "text", "known", "id", "h").join(wanted, ["known", "id", "h"], "left_semi").dropDuplicates(["known", "id", "h"])
     firsts = firsts.join(F.broadcast(heads), ["known", "id", "h"]).withColumnRenamed("of", "range").withColumn("u", F.lit(0).cast("long"))
