@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from strata.llm.common import plain_key, restore_key, scratch, sent_if_small, shuffle_width, staged
 from strata.llm.spans import SpanHasher
-from strata.llm.tokens import groups_of, worker_kept
+from strata.llm.tokens import groups_of, tidied, worker_kept
 
 WORDS, PERCENT = 5, 80
 #: Frequent shingles known to the order; a longer list saves candidates and costs memory in each task.
@@ -123,7 +123,7 @@ def frequent_shingles(rows: DataFrame, words: int, most: int = FREQUENT) -> tupl
                 shingle, n = np.unique(np.concatenate(sets), return_counts=True)
                 yield pd.DataFrame({"shingle": shingle[n > 1].view(np.int64), "n": n[n > 1].astype(np.int64)})
 
-    counts = rows.select("text").mapInPandas(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counts = rows.select("text").mapInPandas(tidied(count), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     counts = staged(counts.select("shingle", F.log2("n").alias("level")), "frequent")
     kept, cut = 0, 64.0
     steps = counts.groupBy(F.floor(F.col("level") * 4).alias("step")).count().orderBy(F.desc("step"))
@@ -215,7 +215,7 @@ def verify(pairs: DataFrame, places: DataFrame, rows: DataFrame, words: int, per
         sent = rows.join(sent_if_small(asked, 64), (F.col("text_hash") == F.col("of_text")) & F.col("doc_id").eqNullSafe(F.col("of_doc")))
         sent = sent.select("hub", "chunk", "node", (F.col("node") != F.col("hub")).alias("guest"), "text")
         sent = sent.repartition(shuffle_width(pairs.sparkSession), "hub", "chunk").sortWithinPartitions("hub", "chunk", "guest")
-        return scope.kept(staged(sent.select("hub", "node", "text").mapInPandas(check, "a long, b long").distinct(), "verified", at_most=total))
+        return scope.kept(staged(sent.select("hub", "node", "text").mapInPandas(tidied(check), "a long, b long").distinct(), "verified", at_most=total))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -270,7 +270,7 @@ def _text_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 yield out.assign(doc_id=batch["doc_id"].iloc[a:b].to_numpy(), text_hash=batch["text_hash"].iloc[a:b].to_numpy(), no_key=batch["no_key"].iloc[a:b].to_numpy())
 
     schema = "doc_id long, no_key boolean, text_hash long, n long, class binary, m int, prefix array<long>, mean double"
-    signed = staged(restore_key(plain_key(rows, "doc_id", "text_hash", "text").mapInPandas(sign, schema), "doc_id"), "signatures")
+    signed = staged(restore_key(plain_key(rows, "doc_id", "text_hash", "text").mapInPandas(tidied(sign), schema), "doc_id"), "signatures")
     place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("place")
     classes = signed.where("n > 0").groupBy("class").agg(place, F.first("n").alias("n"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("mean").alias("mean"))
     classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
