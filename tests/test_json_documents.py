@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from strata.plans import inputs, trains
 from strata.session import scratch_path
 from strata.sources import readers, sinks
 
@@ -37,3 +38,15 @@ def test_no_rows_give_no_document(spark):
     path = scratch_path(spark, "test-json-none")
     sinks.write_json_documents(df, path)
     assert readers.read_json(spark, path, multiline=True, schema=df.schema).count() == 0
+
+
+def test_documents_take_a_fraction_of_their_characters_on_disk(spark, sf_dir):
+    df = inputs.trains_raw(spark, sf_dir)
+    path = scratch_path(spark, "test-json-disk")
+    sinks.write_json_documents(df, path)
+    on_disk = readers.file_inventory(spark, path).agg(F.sum("length")).first()[0]
+    assert on_disk * 5 < spark.read.text(path).agg(F.sum(F.length("value"))).first()[0]
+    for schema in (trains.RAW_SCHEMA, None):   # read by the given structure and by an inferred one
+        back = trains.bronze_stops(readers.read_json(spark, path, multiline=True, schema=schema))
+        want = trains.bronze_stops(df)
+        assert back.count() == want.count() and back.exceptAll(want).count() == 0
