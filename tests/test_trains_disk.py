@@ -6,6 +6,8 @@ import time
 from pyspark.sql import functions as F
 
 from strata.operators import gold
+from strata.plans import inputs, trains
+from strata.plans.layout import LayerLayout
 from strata.session import scratch_path
 from strata.sources import sinks
 
@@ -47,6 +49,22 @@ def test_split_sides_with_null_flags_and_hot_sides(spark):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) in (None, "0")
 
 
+def test_routes_in_passes_equal_those_in_one(spark, sf_dir):
+    landing = scratch_path(spark, "test-passes-landing")
+    sinks.write_json_documents(inputs.trains_raw(spark, sf_dir), landing)
+    reports, routes = [], []
+    for pass_stops in (trains.PASS_STOPS, 1500):
+        layout = LayerLayout(scratch_path(spark, "test-passes"))
+        reports.append(trains.run(spark, landing, layout, pass_stops=pass_stops).collect())
+        target = layout.spec("gold", "route_summary").target
+        routes.append(spark.read.parquet(target).collect())
+        assert not os.path.exists(layout.spec("split", "routes").target.removeprefix("file:"))
+    assert reports[0] == reports[1]
+    assert sorted(routes[0], key=str) == sorted(routes[1], key=str) and len(routes[0]) > 1000
+    order = [(-r.total_distance_km, r.trainNumber) for r in routes[1]]
+    assert order == sorted(order)
+
+
 def test_a_pass_shuffles_its_share_alone(spark):
     df = spark.range(9000).select((F.col("id") % 3000).cast("string").alias("k"), F.when(F.col("id") % 2 > 0, F.lit("x")).alias("t"))
     seen = []
